@@ -14,10 +14,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tallyline import schema as S
 from tallyline.functions import standard_column_name
 
-CORRUPT = "_corrupt_record"
 MAX_DISTINCT_HEADERS = 64
-# Quoted CSV field, to drop before counting separators.
-_QUOTED = r'"(?:[^"]|"")*"'
 
 
 def list_csv_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
@@ -54,7 +51,7 @@ def file_exists(spark: SparkSession, root: str, name: str) -> bool:
 def file_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """source_file, header (array of standardised column names) per file, in one
     distributed pass: the first line of the block starting at offset 0."""
-    lines = spark.read.text(paths).select(
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(paths).select(
         "value",
         F.col("_metadata.file_path").alias(S.SOURCE_FILE),
         F.col("_metadata.file_block_start").alias("_block"),
@@ -94,27 +91,29 @@ def read_sales_csv(
     for g in distinct:
         raw_names = list(g["header_raw"])
         names = _standard_names(raw_names)
-        schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(names))]
-                            + [StructField(CORRUPT, StringType(), True)])
+        # One column more than the header: a row with extra fields fills it.
+        # (The parser's own malformed-row flag is lost under CSV column pruning.)
+        extra = f"_c{len(names)}"
+        schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(names) + 1)])
         df = (
             spark.read.schema(schema)
             .option("header", "true")
             .option("escape", '"')
             .option("multiLine", str(multi_line).lower())
             .option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("pathGlobFilter", "*.csv")
             .csv(list(g["files"]))
         )
-        unquoted = F.regexp_replace(F.col(CORRUPT), _QUOTED, "")
-        seps = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-        cols = [F.col(f"_c{i}").alias(n) for i, n in enumerate(names) if n in S.REQUIRED_COLUMNS]
+        # Positional columns not named by a required header are carried (and
+        # dropped at the end) so every scan reads at least one data column.
+        cols = [F.col(f"_c{i}").alias(n if n in S.REQUIRED_COLUMNS else f"_x{i}") for i, n in enumerate(names)]
         parts.append(
             df.select(
                 F.col("_metadata.file_path").alias(S.SOURCE_FILE),
                 F.struct(F.col("_metadata.file_block_start").alias("block"),
                          F.monotonically_increasing_id().alias("pos")).alias(S.ROW_ORDINAL),
                 *cols,
-                F.coalesce(seps > len(names) - 1, F.lit(False)).alias("_extra_fields"),
+                F.col(extra).isNotNull().alias("_extra_fields"),
             )
         )
     if not parts:

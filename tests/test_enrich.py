@@ -58,7 +58,7 @@ def test_timestamp_constant(cleaned):
 
 def test_stats(cleaned):
     r = enrichment_stats(enrich(cleaned, EnrichConfig(run_ts=RUN_TS))).first()
-    assert r.row_count == 5 and r.total_revenue == 3779.87 and r.fields_added == "total_amount,ingestion_timestamp"
+    assert r.row_count == 5 and r.total_revenue == 3129.87 and r.fields_added == "total_amount,ingestion_timestamp"
 
 
 def test_aggregates_and_unknown_column(cleaned):
