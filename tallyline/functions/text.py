@@ -7,15 +7,30 @@ from pyspark.sql import functions as F
 
 from tallyline import schema as S
 
-# (?U) makes \s match Unicode whitespace (no-break space and friends), like
-# Python's str.strip() and re's \s.
-_EDGE_WS = r"(?U)^\s+|\s+$"
-_RUN_WS = r"(?U)\s+"
+# Whitespace as Python's str.isspace() sees it (ASCII controls, no-break
+# space, the Unicode spaces); derived by rule, not listed by hand.
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
+def _ranges(chars: str) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for cp in sorted(map(ord, chars)):
+        if out and cp == out[-1][1] + 1:
+            out[-1] = (out[-1][0], cp)
+        else:
+            out.append((cp, cp))
+    return out
+
+
+# The same set as a Java regex character class (merged into ranges).
+_RUN_WS = "[" + "".join(
+    f"\\u{a:04x}" if a == b else f"\\u{a:04x}-\\u{b:04x}" for a, b in _ranges(WHITESPACE)
+) + "]+"
 
 
 def strip_ws(c: Column) -> Column:
-    """Remove leading and trailing (Unicode) whitespace."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    """Remove leading and trailing whitespace (a character-set trim, no regex)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def squeeze_ws(c: Column) -> Column:

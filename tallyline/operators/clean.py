@@ -6,7 +6,7 @@ Here one classification pass tags every row with the first rule it breaks
 counts all come from the same plan, and the counts equal the step-by-step
 ones because the first failing rule wins.
 
-Dedupe is an aggregate (``min_by`` over the row ordinal), not a window over
+Dedupe is an aggregate (min of a struct led by the row ordinal), not a window over
 whole groups: partial aggregation keeps at most one row per key per map task
 before the shuffle, so a duplicate group holding a third of the input does
 not land on one task.
@@ -70,8 +70,10 @@ def dedupe_first(df: DataFrame, keys: list[str] | None = None, order: str = S.RO
     source file plus ``order_id``.
     """
     keys = keys if keys is not None else _scope(df) + ["order_id"]
-    rest = [c for c in df.columns if c not in keys]
-    first = F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order))
+    rest = [c for c in df.columns if c not in keys and c != order]
+    # min of a struct led by the (unique) ordinal = the first row; cheaper to
+    # aggregate than min_by over a struct value.
+    first = F.min(F.struct(F.col(order), *[F.col(c) for c in rest]))
     return (
         df.groupBy(*keys)
         .agg(first.alias("_first"), (F.count(F.lit(1)) - 1).alias(DUP_COUNT))
@@ -138,12 +140,14 @@ class CleanOutput:
 
 def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> CleanOutput:
     base = dedupe_first(df) if cfg.remove_duplicates else df.withColumn(DUP_COUNT, F.lit(0).cast("long"))
-    classified = classify(base, cfg)
+    return from_classified(classify(base, cfg), df, cfg)
+
+
+def from_classified(classified: DataFrame, raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> CleanOutput:
+    """Kept and rejected rows from a classified frame (possibly checkpointed)."""
     kept = classified.where(F.col(REJECT_REASON).isNull())
-    rejected = classified.where(F.col(REJECT_REASON).isNotNull()).select(
-        *df.columns, REJECT_REASON
-    )
-    return CleanOutput(cleaned=finish(kept, cfg), rejected=rejected, classified=classified, raw=df)
+    rejected = classified.where(F.col(REJECT_REASON).isNotNull()).select(*raw.columns, REJECT_REASON)
+    return CleanOutput(cleaned=finish(kept, cfg), rejected=rejected, classified=classified, raw=raw)
 
 
 def clean_df(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:

@@ -169,56 +169,99 @@ def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int = 100)
 # -- raw stage -----------------------------------------------------------------
 
 
-def file_verdict(raw: DataFrame, header_columns: DataFrame | None = None) -> DataFrame:
-    """Per source file: rows, null order ids, missing columns, rows with too many
-    fields, and whether the whole file is valid. A file is valid only if all
-    required columns exist and no order_id is null."""
+VERDICT_COLUMNS = ["total_rows", "null_order_ids", "malformed_rows", "missing_columns", "is_valid"]
+WARNING_COLUMNS = ["non_numeric_quantity", "empty_order_ids"]
+
+
+def raw_profile(raw: DataFrame, header_columns: DataFrame | None = None) -> DataFrame:
+    """Everything the raw stage needs, per source file, from ONE aggregate over
+    the raw rows: the whole-file verdict (rows, null order ids, rows with too
+    many fields, missing columns, is_valid) and the raw warnings (non-numeric
+    quantity text, empty order ids).
+
+    A file is valid only if all required columns exist, no order_id is null
+    and no row has more fields than the header. Non-numeric quantities count
+    only when the column is text, i.e. some non-null value is not a number.
+    """
     keys = _keys(raw)
-    missing = schema_problems(raw, "raw")
-    extra_fields = F.col("_extra_fields") if "_extra_fields" in raw.columns else F.lit(False)
+    has = set(raw.columns)
+    none = F.lit(None).cast("string")
+    oid = F.col("order_id") if "order_id" in has else none
+    q = null_tokens(F.col("quantity")) if "quantity" in has else none
+    extra_fields = F.col("_extra_fields") if "_extra_fields" in has else F.lit(False)
+    digits_only = F.regexp_like(F.replace(F.replace(q, F.lit("-"), F.lit("")), F.lit("."), F.lit("")),
+                                F.lit(r"^[0-9]+$"))
     agg = raw.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_rows"),
-        F.count_if(F.col("order_id").isNull()).alias("null_order_ids") if "order_id" in raw.columns
-        else F.lit(0).alias("null_order_ids"),
+        F.count_if(oid.isNull()).alias("null_order_ids"),
         F.count_if(extra_fields).alias("malformed_rows"),
+        F.count_if(q.isNotNull() & ~is_number_text(q)).alias("_text_values"),
+        F.count_if(q.isNotNull() & ~digits_only).alias("_non_numeric"),
+        F.count_if(null_tokens(oid).isNull() | (oid == "")).alias("empty_order_ids"),
     )
-    miss = F.array(*[F.lit(m.split(":", 1)[1]) for m in missing]) if missing else F.array().cast("array<string>")
+    missing = [m.split(":", 1)[1] for m in schema_problems(raw, "raw")]
     if header_columns is not None:
         # Per-file header columns from the scan (different files may differ).
         req = F.array(*[F.lit(c) for c in S.REQUIRED_COLUMNS])
         agg = agg.join(header_columns, keys, "left").withColumn(
-            "missing_columns", F.array_except(req, F.coalesce(F.col("header"), F.array().cast("array<string>")))
+            "_missing", F.array_except(req, F.coalesce(F.col("header"), F.array().cast("array<string>")))
         ).drop("header")
     else:
-        agg = agg.withColumn("missing_columns", miss)
-    ok = (F.size("missing_columns") == 0) & (F.col("null_order_ids") == 0) & (F.col("malformed_rows") == 0)
-    return agg.select(*keys, "total_rows", F.col("null_order_ids").cast("long").alias("null_order_ids"),
-                      F.col("malformed_rows").cast("long").alias("malformed_rows"),
-                      F.concat_ws(",", F.array_sort("missing_columns")).alias("missing_columns"),
-                      ok.alias("is_valid"))
-
-
-def raw_warnings(raw: DataFrame) -> DataFrame:
-    """Per file: count of non-numeric quantity text (only when the column is
-    text, i.e. some non-null value is not a number) and of empty order ids."""
-    keys = _keys(raw)
-    q = null_tokens(F.col("quantity"))
-    oid = F.col("order_id")
-    digits_only = F.regexp_like(F.replace(F.replace(q, F.lit("-"), F.lit("")), F.lit("."), F.lit("")),
-                                F.lit(r"^[0-9]+$"))
-    agg = raw.groupBy(*keys).agg(
-        F.count_if(q.isNotNull() & ~is_number_text(q)).alias("_text_values"),
-        F.count_if(q.isNotNull() & ~digits_only).alias("_non_numeric"),
-        F.count_if(null_tokens(oid).isNull() | (oid == "")).alias("empty_order_ids"),
-    )
+        agg = agg.withColumn("_missing", F.array(*[F.lit(m) for m in missing]).cast("array<string>"))
+    ok = (F.size("_missing") == 0) & (F.col("null_order_ids") == 0) & (F.col("malformed_rows") == 0)
     return agg.select(
         *keys,
+        F.col("total_rows").cast("long").alias("total_rows"),
+        F.col("null_order_ids").cast("long").alias("null_order_ids"),
+        F.col("malformed_rows").cast("long").alias("malformed_rows"),
+        F.concat_ws(",", F.array_sort("_missing")).alias("missing_columns"),
+        ok.alias("is_valid"),
         F.when(F.col("_text_values") > 0, F.col("_non_numeric")).otherwise(F.lit(0)).cast("long")
         .alias("non_numeric_quantity"),
         F.col("empty_order_ids").cast("long").alias("empty_order_ids"),
     )
 
 
+def file_verdict(raw: DataFrame, header_columns: DataFrame | None = None) -> DataFrame:
+    """Per source file: rows, null order ids, rows with too many fields,
+    missing columns, and whether the whole file is valid."""
+    return raw_profile(raw, header_columns).select(*_keys(raw), *VERDICT_COLUMNS)
+
+
+def raw_warnings(raw: DataFrame) -> DataFrame:
+    """Per file: non-numeric quantity text (only for a text column) and empty order ids."""
+    return raw_profile(raw).select(*_keys(raw), *WARNING_COLUMNS)
+
+
+def raw_stage_report(profile: DataFrame, strict: bool = False) -> DataFrame:
+    """The raw-stage report rows (same columns as ``stage_report``) from a raw
+    profile, without touching the raw rows again."""
+    keys = [c for c in profile.columns if c == S.SOURCE_FILE]
+    n_missing = F.when(F.col("missing_columns") == "", 0).otherwise(F.size(F.split("missing_columns", ",")))
+    err_n = F.col("null_order_ids") + n_missing + F.col("malformed_rows")
+    warn_n = (F.col("non_numeric_quantity") > 0).cast("int") + (F.col("empty_order_ids") > 0).cast("int")
+    ok = (err_n == 0) & ((warn_n == 0) | F.lit(not strict))
+    errs = F.filter(F.array(
+        F.when(F.col("null_order_ids") > 0, F.lit("order_id:not_null")),
+        F.when(n_missing > 0, F.lit("schema:missing_columns")),
+        F.when(F.col("malformed_rows") > 0, F.lit("schema:malformed_rows")),
+    ), lambda x: x.isNotNull())
+    status = F.when(~ok, "failed").when(F.col("total_rows") == 0, "skipped").when(warn_n > 0, "warning").otherwise("passed")
+    return profile.select(
+        *keys,
+        F.lit("raw").alias("stage"),
+        F.lit(SCHEMA_NAMES["raw"]).alias("schema_name"),
+        status.alias("status"),
+        ok.alias("is_valid"),
+        F.col("total_rows").cast("long").alias("total_rows"),
+        F.when(ok, F.col("total_rows")).otherwise(0).cast("long").alias("valid_rows"),
+        F.when(ok, 0).otherwise(F.col("total_rows")).cast("long").alias("invalid_rows"),
+        err_n.cast("long").alias("error_count"),
+        warn_n.cast("long").alias("warning_count"),
+        F.concat_ws(";", F.slice(F.array_sort(errs), 1, 10)).alias("first_errors"),
+    )
+
+
 # -- post-clean quality ----------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyline import schema as S
 from tallyline.functions import null_tokens
 from tallyline.operators import validate as V
-from tallyline.operators.clean import CleanConfig, CleanOutput, clean
+from tallyline.operators.clean import CleanConfig, CleanOutput, clean, from_classified
 from tallyline.operators.enrich import EnrichConfig, enrich, enrichment_stats
 from tallyline.operators.table import GATE_REASON, accepted, latest_per_key, load_gate
 
@@ -38,6 +38,7 @@ def normalize_nulls(raw: DataFrame) -> DataFrame:
 class BatchRun:
     cfg: RunConfig
     raw: DataFrame
+    profile: DataFrame      # per file: verdict + raw warnings (one aggregate)
     verdict: DataFrame
     valid_raw: DataFrame
     cleaning: CleanOutput
@@ -61,11 +62,6 @@ class BatchRun:
 
     def reports(self) -> DataFrame:
         """Validation report rows for the raw, cleaned and enriched stages, per file."""
-        raw_w = V.raw_warnings(self.raw).select(
-            S.SOURCE_FILE,
-            ((F.col("non_numeric_quantity") > 0).cast("int") + (F.col("empty_order_ids") > 0).cast("int"))
-            .alias("warning_count"),
-        )
         q = V.quality_warnings(self.cleaned, self.cleaning_stats())
         clean_w = q.select(
             S.SOURCE_FILE,
@@ -76,11 +72,23 @@ class BatchRun:
         data = [c for c in self.cleaned.columns if c != S.ROW_ORDINAL]
         edata = [c for c in self.enriched.columns if c != S.ROW_ORDINAL]
         return (
-            V.stage_report(self.raw.drop(S.ROW_ORDINAL), "raw", raw_w, self.cfg.strict)
+            V.raw_stage_report(self.profile, self.cfg.strict)
             .unionByName(V.stage_report(self.cleaned.select(*data), "cleaned", clean_w, self.cfg.strict))
             .unionByName(V.stage_report(self.enriched.select(*edata), "enriched", None, self.cfg.strict))
         )
 
+    def materialize(self) -> "BatchRun":
+        """Checkpoint the per-file profile and the classified rows (deduped,
+        tagged) to the shared checkpoint folder, so the several reports of a run
+        read them instead of recomputing scan, joins and dedupe each time."""
+        from tallyline.session import checkpoint_dir
+
+        checkpoint_dir(self.raw.sparkSession)
+        profile = self.profile.checkpoint(eager=True)
+        verdict, valid_raw = _valid(self.raw, profile)
+        classified = _classify(valid_raw, self.cfg).checkpoint(eager=True)
+        return _assemble(self.cfg, self.raw, profile, verdict, valid_raw, classified)
+
     def file_report(self) -> DataFrame:
         """Per valid file: counts through the stages, revenue and cleaning figures."""
         es = enrichment_stats(self.enriched, self.cfg.enrich).select(
@@ -120,13 +128,18 @@ class BatchRun:
         )
 
 
-def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataFrame | None = None) -> BatchRun:
-    """Everything lazy; the caller decides what to write or count."""
-    raw = normalize_nulls(raw)
-    verdict = V.file_verdict(raw, header_columns)
-    good = verdict.where(F.col("is_valid")).select(S.SOURCE_FILE)
-    valid_raw = raw.join(good, S.SOURCE_FILE, "left_semi")
-    cleaning = clean(valid_raw, cfg.clean)
+def _valid(raw: DataFrame, profile: DataFrame):
+    verdict = profile.select(S.SOURCE_FILE, *V.VERDICT_COLUMNS)
+    good = profile.where(F.col("is_valid")).select(S.SOURCE_FILE)
+    return verdict, raw.join(good, S.SOURCE_FILE, "left_semi")
+
+
+def _classify(valid_raw: DataFrame, cfg: RunConfig) -> DataFrame:
+    return clean(valid_raw, cfg.clean).classified
+
+
+def _assemble(cfg: RunConfig, raw, profile, verdict, valid_raw, classified) -> BatchRun:
+    cleaning = from_classified(classified, valid_raw, cfg.clean)
     cleaned = cleaning.cleaned
     if cfg.on_fail == "drop":
         # Rows breaking a cleaned-stage rule are removed instead of only reported.
@@ -138,4 +151,14 @@ def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataF
         cleaning = CleanOutput(cleaned, cleaning.rejected, cleaning.classified, cleaning.raw)
     enriched = enrich(cleaned, cfg.enrich)
     gated = load_gate(enriched, cfg.enrich.run_ts)
-    return BatchRun(cfg, raw, verdict, valid_raw, cleaning, enriched, gated)
+    return BatchRun(cfg, raw, profile, verdict, valid_raw, cleaning, enriched, gated)
+
+
+def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataFrame | None = None,
+             materialize: bool = False) -> BatchRun:
+    """Everything lazy unless ``materialize``; the caller decides what to write or count."""
+    raw = normalize_nulls(raw)
+    profile = V.raw_profile(raw, header_columns)
+    verdict, valid_raw = _valid(raw, profile)
+    run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg))
+    return run.materialize() if materialize else run

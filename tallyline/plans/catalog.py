@@ -74,12 +74,12 @@ def _enriched(spark, d, cfg: EnrichConfig = PINNED_ENRICH):
     return enrich(_cleaned(spark, d), cfg)
 
 
-def _run(spark, d, files: list[str] | None = None, exclude: bool = False):
+def _run(spark, d, files: list[str] | None = None, exclude: bool = False, materialize: bool = False):
     raw = _raw(spark, d)
     if files is not None:
         sel = F.col(S.SOURCE_FILE).isin(files)
         raw = raw.where(~sel if exclude else sel)
-    return plan_run(raw, PINNED_RUN)
+    return plan_run(raw, PINNED_RUN, materialize=materialize)
 
 
 def _sales(spark, d):
@@ -132,7 +132,7 @@ def q_quality_warnings(spark, d):
 
 
 def q_validation_report(spark, d):
-    return _run(spark, d).reports()
+    return _run(spark, d, materialize=True).reports()
 
 
 def q_failure_cases(spark, d):
@@ -140,7 +140,7 @@ def q_failure_cases(spark, d):
 
 
 def q_validation_summary(spark, d):
-    return V.validation_summary(_run(spark, d).reports())
+    return V.validation_summary(_run(spark, d, materialize=True).reports())
 
 
 def q_clean_dedup(spark, d):
@@ -308,7 +308,7 @@ def q_run_summary(spark, d):
 
 
 def q_file_report(spark, d):
-    return _run(spark, d).file_report()
+    return _run(spark, d, materialize=True).file_report()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -8,6 +8,7 @@ classify -> clean -> enrich -> gate -> keyed rows.
 from __future__ import annotations
 
 from tallyline import schema as S
+from tallyline.functions.text import _ranges
 from tallyline.sources import tables as T
 
 AS_OF = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -28,12 +29,17 @@ def qlist(xs) -> str:
     return ", ".join(q(x) for x in xs)
 
 
+WS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())   # str.isspace() set
+WS_RUN = "[" + "".join(                                              # RE2 class of the same set
+    f"\\x{{{a:04x}}}" if a == b else f"\\x{{{a:04x}}}-\\x{{{b:04x}}}" for a, b in _ranges(WS)) + "]+"
+
+
 def strip(x: str) -> str:
-    return rf"regexp_replace({x}, '^\s+|\s+$', '', 'g')"
+    return f"trim({x}, {q(WS)})"
 
 
 def squeeze(x: str) -> str:
-    return rf"regexp_replace({strip(x)}, '\s+', ' ', 'g')"
+    return f"regexp_replace({strip(x)}, '{WS_RUN}', ' ', 'g')"
 
 
 def fill(x: str, v: str) -> str:
