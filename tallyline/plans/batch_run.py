@@ -78,16 +78,11 @@ class BatchRun:
         )
 
     def materialize(self) -> "BatchRun":
-        """Checkpoint the per-file profile and the classified rows (deduped,
-        tagged) to the shared checkpoint folder, so the several reports of a run
-        read them instead of recomputing scan, joins and dedupe each time."""
-        from tallyline.session import checkpoint_dir
-
-        checkpoint_dir(self.raw.sparkSession)
-        profile = self.profile.checkpoint(eager=True)
-        verdict, valid_raw = _valid(self.raw, profile)
-        classified = _classify(valid_raw, self.cfg).checkpoint(eager=True)
-        return _assemble(self.cfg, self.raw, profile, verdict, valid_raw, classified)
+        """Checkpoint the classified rows (deduped, tagged) to the shared
+        checkpoint folder, so the several reports of a run read them instead of
+        recomputing scan, joins and dedupe each time."""
+        classified = self.cleaning.classified.checkpoint(eager=True)
+        return _assemble(self.cfg, self.raw, self.profile, self.verdict, self.valid_raw, classified)
 
     def file_report(self) -> DataFrame:
         """Per valid file: counts through the stages, revenue and cleaning figures."""
@@ -128,10 +123,20 @@ class BatchRun:
         )
 
 
+# Valid-file lists up to this many files are broadcast to the raw scan.
+MAX_BROADCAST_FILES = 200_000
+
+
 def _valid(raw: DataFrame, profile: DataFrame):
+    """Rows of valid files. ``profile`` is materialised (one row per file), so
+    its size is known: within the bound the file list is broadcast and the raw
+    rows are filtered where they are read, with no shuffle; beyond it a
+    shuffle join on the file name (AQE splits a file holding many rows)."""
     verdict = profile.select(S.SOURCE_FILE, *V.VERDICT_COLUMNS)
     good = profile.where(F.col("is_valid")).select(S.SOURCE_FILE)
-    return verdict, raw.join(good, S.SOURCE_FILE, "left_semi")
+    n_files = profile.count()
+    side = F.broadcast(good) if n_files <= MAX_BROADCAST_FILES else good
+    return verdict, raw.join(side, S.SOURCE_FILE, "left_semi")
 
 
 def _classify(valid_raw: DataFrame, cfg: RunConfig) -> DataFrame:
@@ -156,9 +161,15 @@ def _assemble(cfg: RunConfig, raw, profile, verdict, valid_raw, classified) -> B
 
 def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataFrame | None = None,
              materialize: bool = False) -> BatchRun:
-    """Everything lazy unless ``materialize``; the caller decides what to write or count."""
+    """Lazy after the file verdict unless ``materialize``; the caller decides
+    what to write or count."""
+    from tallyline.session import checkpoint_dir
+
+    checkpoint_dir(raw.sparkSession)
     raw = normalize_nulls(raw)
-    profile = V.raw_profile(raw, header_columns)
+    # The file verdict is a barrier, as in any file-by-file load: one small
+    # aggregate (a row per file) is computed and kept before the rows flow.
+    profile = V.raw_profile(raw, header_columns).checkpoint(eager=True)
     verdict, valid_raw = _valid(raw, profile)
     run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg))
     return run.materialize() if materialize else run
