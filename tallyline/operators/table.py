@@ -87,6 +87,19 @@ def latest_per_key(df: DataFrame, order: list[Column], key: str = "order_id") ->
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def latest_accepted(gated: DataFrame, order: list[Column], key: str = "order_id") -> DataFrame:
+    """Latest accepted row per key from gated rows (rejected rows never win).
+
+    Acceptance leads the window order and the filter comes after the window:
+    a filter on ``gate_reason`` below the window would be pushed through the
+    projections and re-evaluate every cleaning expression inside it."""
+    ok = F.col(GATE_REASON).isNull()
+    w = Window.partitionBy(key).orderBy(ok.desc(), *order)
+    return (gated.withColumn("_rn", F.row_number().over(w))
+            .where((F.col("_rn") == 1) & ok)
+            .drop("_rn", GATE_REASON))
+
+
 def merge(target: DataFrame, incoming: DataFrame, key: str = "order_id") -> DataFrame:
     """Upsert as a plan: target rows whose key is not incoming, plus incoming
     (already one row per key). All columns of a matched key are replaced."""

@@ -15,7 +15,7 @@ from tallyline.functions import null_tokens
 from tallyline.operators import validate as V
 from tallyline.operators.clean import CleanConfig, CleanOutput, clean, from_classified
 from tallyline.operators.enrich import EnrichConfig, enrich, enrichment_stats
-from tallyline.operators.table import GATE_REASON, accepted, latest_per_key, load_gate
+from tallyline.operators.table import GATE_REASON, latest_accepted, load_gate
 
 
 @dataclass(frozen=True)
@@ -51,8 +51,7 @@ class BatchRun:
 
     def loaded(self) -> DataFrame:
         """Accepted rows, latest file wins per order_id: the table after the run."""
-        acc = accepted(self.gated)
-        return latest_per_key(acc, [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
+        return latest_accepted(self.gated, [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
 
     def rejected(self) -> DataFrame:
         return self.gated.where(F.col(GATE_REASON).isNotNull())

@@ -35,9 +35,8 @@ from tallyline.operators.enrich import (
     running_totals,
 )
 from tallyline.operators.table import (
-    accepted,
     delete_before_plan,
-    latest_per_key,
+    latest_accepted,
     load_gate,
     merge,
     upsert_counts,
@@ -274,7 +273,7 @@ def q_load_gate(spark, d):
 def _two_runs(spark, d):
     first = _run(spark, d, RUN_ONE_FILES).loaded()
     second = _run(spark, d, RUN_ONE_FILES, exclude=True)
-    incoming = latest_per_key(accepted(second.gated), [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
+    incoming = latest_accepted(second.gated, [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
     return first, second, incoming
 
 
