@@ -148,10 +148,12 @@ class KeyedSalesTable:
     again, because an upsert applied twice equals one.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS,
+                 rows_per_file: int = 5_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        self.rows_per_file = rows_per_file
         self._stage_seq = 0
 
     # -- reading ----------------------------------------------------------
@@ -194,9 +196,19 @@ class KeyedSalesTable:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def _write_buckets(self, df: DataFrame) -> None:
-        (df.repartition(KEY_BUCKET)
-         .sortWithinPartitions("order_date", "country")
+    def _write_buckets(self, df: DataFrame, buckets_touched: int) -> None:
+        """Replace the bucket folders present in ``df`` (dynamic overwrite).
+
+        A bucket is written by several tasks when it is large: rows are spread
+        over (bucket, slice) with the slice count sized from the staged row
+        count, so no single task writes a whole bucket."""
+        import math
+
+        rows = df.count()   # staged Parquet: answered from footers
+        slices = max(1, math.ceil(rows / max(1, buckets_touched) / self.rows_per_file))
+        part = F.pmod(F.xxhash64(F.col("order_id"), F.lit("slice")), F.lit(slices))
+        (df.repartition(max(1, buckets_touched) * slices, F.col(KEY_BUCKET), part)
+         .sortWithinPartitions(KEY_BUCKET, "order_date", "country")
          .write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(KEY_BUCKET)
@@ -228,7 +240,7 @@ class KeyedSalesTable:
         counts = upsert_counts(current, incoming).first()
         merged = merge(current, incoming)
         merged = self._stage(merged, "merged")
-        self._write_buckets(merged)
+        self._write_buckets(merged, len(touched))
         return LoadResult(n_failed == 0, int(counts["rows_inserted"]), int(counts["rows_updated"]),
                           n_failed, failed_ids)
 
@@ -249,7 +261,7 @@ class KeyedSalesTable:
         kept = self._stage(kept, "kept")
         left = {r[0] for r in kept.select(KEY_BUCKET).distinct().collect()}
         if left:
-            self._write_buckets(kept)
+            self._write_buckets(kept, len(left))
         p, fs = self._fs()
         jvm = self.spark._jvm
         for b in touched:

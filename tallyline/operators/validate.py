@@ -66,6 +66,10 @@ ENRICHED_RULES = _typed_rules() + [
     Rule("*", "total_amount_calculation", lambda: ~F.coalesce(
         F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) < S.TOTAL_TOLERANCE,
         F.lit(False))),
+    # The enrichment validator's own count uses the other side of the tolerance.
+    Rule("total_amount", "calculation_error", lambda: F.coalesce(
+        F.abs(F.col("total_amount") - F.col("quantity") * F.col("unit_price")) > S.TOTAL_TOLERANCE,
+        F.lit(False))),
 ]
 STAGES = {"raw": RAW_RULES, "cleaned": CLEANED_RULES, "enriched": ENRICHED_RULES}
 SCHEMA_NAMES = {"raw": "RawSalesSchema", "cleaned": "CleanedSalesSchema", "enriched": "EnrichedSalesSchema"}

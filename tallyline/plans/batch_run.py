@@ -24,7 +24,7 @@ class RunConfig:
     enrich: EnrichConfig = field(default_factory=EnrichConfig)
     run_id: str = "manual"
     strict: bool = False
-    on_fail: str = "warn"   # warn | drop: what a failed post-clean check does to rows
+    on_fail: str = "warn"   # warn | drop | fail: what a failed post-clean check does
 
 
 def normalize_nulls(raw: DataFrame) -> DataFrame:
@@ -171,4 +171,11 @@ def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataF
     profile = V.raw_profile(raw, header_columns).checkpoint(eager=True)
     verdict, valid_raw = _valid(raw, profile)
     run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg))
-    return run.materialize() if materialize else run
+    run = run.materialize() if materialize else run
+    if cfg.on_fail == "fail":
+        data = [c for c in run.cleaned.columns if c != S.ROW_ORDINAL]
+        bad = V.rule_counts(run.cleaned.select(*data), "cleaned", keep_zero=False).limit(10).collect()
+        if bad:
+            raise ValueError("post-clean checks failed: " + ", ".join(
+                f"{r[S.SOURCE_FILE]}:{r['column']}:{r['check']}={r['failures']}" for r in bad))
+    return run

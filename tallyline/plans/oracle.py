@@ -220,6 +220,8 @@ ENRICHED_RULES = TYPED_RULES + [
     ("ingestion_timestamp", "not_null", "ingestion_timestamp IS NULL"),
     ("*", "total_amount_calculation",
      f"NOT coalesce(abs(total_amount - quantity * unit_price) < {S.TOTAL_TOLERANCE}, false)"),
+    ("total_amount", "calculation_error",
+     f"coalesce(abs(total_amount - quantity * unit_price) > {S.TOTAL_TOLERANCE}, false)"),
 ]
 RAW_RULES = [("order_id", "not_null", "order_id IS NULL")]
 

@@ -91,3 +91,18 @@ def test_failure_cases_and_summary(spark):
     assert s.total_validations == 1 and s.failed == 1 and s.total_errors > 0
     empty = V.validation_summary(rep.limit(0)).first()
     assert empty.total_validations == 0
+
+
+def test_on_fail_modes(spark, sample_raw_errors):
+    import pytest
+
+    from tallyline.plans.batch_run import RunConfig, plan_run
+
+    bad = raw_frame(spark, [("BAD-1", "A", "1", "1", "2024-01-01", "CUST-10001", "Canada"),
+                            ("ORD-000002", "A", "1", "1", "2024-01-01", "CUST-10001", "Canada")])
+    warn = plan_run(bad, RunConfig(clean=CFG))
+    assert warn.cleaned.count() == 2
+    drop = plan_run(bad, RunConfig(clean=CFG, on_fail="drop"))
+    assert [r.order_id for r in drop.cleaned.collect()] == ["ORD-000002"]
+    with pytest.raises(ValueError, match="str_matches"):
+        plan_run(bad, RunConfig(clean=CFG, on_fail="fail"))
