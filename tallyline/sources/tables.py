@@ -56,19 +56,31 @@ def _pick(rules: list[tuple[int, str]], key: Column, default: Column) -> Column:
     return expr.otherwise(default)
 
 
-def spread(df: DataFrame) -> DataFrame:
+_SPLITS: dict[tuple, int] = {}
+
+
+def _scan_splits(df: DataFrame, key: tuple) -> int:
+    # The split count depends on the files only; planning it once per path.
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    return _SPLITS[key]
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
     """Round-robin a scan narrower than the cluster (few large row groups) over
     all cores. A scan that already has that many splits is left alone, so on
     big inputs this adds no shuffle."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    spark = df.sparkSession
+    n = spark.sparkContext.defaultParallelism
+    key = (path, n, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    return df.repartition(n) if _scan_splits(df, key) < n else df
 
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source_file, row_ordinal (struct, total order), 7 raw text columns."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    li = spread(read("lineitem").select(*ORDINAL_KEYS))
-    orders = spread(read("orders").select("o_orderkey", "o_custkey", "o_orderdate"))
+    li = spread(read("lineitem").select(*ORDINAL_KEYS), f"{sf_dir}/lineitem")
+    orders = spread(read("orders").select("o_orderkey", "o_custkey", "o_orderdate"), f"{sf_dir}/orders")
     cust = read("customer").select("c_custkey", "c_nationkey")
     part = read("part").select("p_partkey", "p_name", "p_retailprice")
 
