@@ -140,6 +140,47 @@ def rule_counts(df: DataFrame, stage: str = "cleaned", keep_zero: bool = True) -
     return long if keep_zero else long.where(F.col("failures") > 0)
 
 
+def stage_counts(df: DataFrame, stages: list[str], extra: list[Column] | None = None):
+    """Rule failures of several stages (same rows, e.g. enriched rows checked
+    as cleaned and as enriched) from ONE aggregate pass plus one grouped count
+    for uniqueness.
+
+    Returns (long, wide): long has [source_file,] stage, column, check,
+    failures; wide is the per-file aggregate with ``total_rows`` and the
+    ``extra`` aggregate columns."""
+    df, keys, scoped = _scoped(df)
+    names: dict[tuple[str, str], str] = {}
+    exprs = []
+    group_rules = {}
+    for st in stages:
+        for r in STAGES[st]:
+            if not (r.column == "*" or r.column in df.columns):
+                continue
+            if r.group:
+                group_rules.setdefault(r.column, []).append((st, r.check))
+                continue
+            k = (r.column, r.check)
+            if k not in names:
+                names[k] = f"_r{len(names)}"
+                exprs.append(F.count_if(r.fails()).alias(names[k]))
+    wide = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_rows"), *exprs, *(extra or []))
+    rows = [(st, r.column, r.check, names[(r.column, r.check)])
+            for st in stages for r in STAGES[st] if (r.column, r.check) in names and not r.group]
+    pairs = ", ".join(f"'{st}', '{c}', '{k}', `{n}`" for st, c, k, n in rows)
+    long = wide.select(*keys, F.expr(f"stack({len(rows)}, {pairs}) as (stage, `column`, `check`, failures)"))
+    long = long.select(*keys, "stage", "column", "check", F.col("failures").cast("long").alias("failures"))
+    for col, uses in group_rules.items():
+        dup = _dup_members(df, keys, col)
+        per = wide.select(*keys).join(dup, keys, "left").select(
+            *keys, F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"))
+        for st, check in uses:
+            long = long.unionByName(per.select(*keys, F.lit(st).alias("stage"), F.lit(col).alias("column"),
+                                               F.lit(check).alias("check"), "failures"))
+    if scoped:
+        long, wide = long.drop(SCOPE), wide.drop(SCOPE)
+    return long, wide
+
+
 def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int = 100) -> DataFrame:
     """Every failing (row, column, check): [source_file,] column, check,
     row_index, failure_case (text cut to ``value_chars``). Uniqueness failures
@@ -269,16 +310,25 @@ def raw_stage_report(profile: DataFrame, strict: bool = False) -> DataFrame:
 # -- post-clean quality ----------------------------------------------------------
 
 
+def quality_aggregates() -> list[Column]:
+    """The per-file aggregates the quality warnings read (for a shared pass)."""
+    return [
+        F.count_if(F.col("customer_id") == S.DEFAULT_CUSTOMER_ID).alias("unknown_customers"),
+        F.count_if(F.col("country") == S.DEFAULT_COUNTRY).alias("unknown_countries"),
+        F.datediff(F.max("order_date"), F.min("order_date")).alias("date_span_days"),
+    ]
+
+
 def quality_warnings(cleaned: DataFrame, original_counts: DataFrame | None = None) -> DataFrame:
     """Per file: unknown customer / country shares, date span, data loss; each
     with its warning flag."""
     keys = _keys(cleaned)
-    agg = cleaned.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cleaned_count"),
-        F.count_if(F.col("customer_id") == S.DEFAULT_CUSTOMER_ID).alias("unknown_customers"),
-        F.count_if(F.col("country") == S.DEFAULT_COUNTRY).alias("unknown_countries"),
-        F.datediff(F.max("order_date"), F.min("order_date")).alias("date_span_days"),
-    )
+    agg = cleaned.groupBy(*keys).agg(F.count(F.lit(1)).alias("cleaned_count"), *quality_aggregates())
+    return quality_from_aggregates(agg, original_counts, keys)
+
+
+def quality_from_aggregates(agg: DataFrame, original_counts: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Warnings from per-file aggregates (cleaned_count + ``quality_aggregates``)."""
     if original_counts is not None:
         agg = agg.join(original_counts.select(*keys, "original_count"), keys, "left")
     else:
@@ -296,7 +346,7 @@ def quality_warnings(cleaned: DataFrame, original_counts: DataFrame | None = Non
         (F.col("unknown_customers") > n * S.UNKNOWN_SHARE_WARN).alias("warn_unknown_customers"),
         F.col("unknown_countries").cast("long").alias("unknown_countries"),
         (F.col("unknown_countries") > n * S.UNKNOWN_SHARE_WARN).alias("warn_unknown_countries"),
-        F.col("date_span_days"),
+        F.col("date_span_days").cast("long").alias("date_span_days"),
         F.coalesce(F.col("date_span_days") > S.DATE_SPAN_WARN_DAYS, F.lit(False)).alias("warn_date_span"),
     )
 
@@ -328,26 +378,33 @@ def stage_report(df: DataFrame, stage: str, warnings: DataFrame | None = None, s
     errors as text. ``warnings`` has [source_file,] warning_count."""
     problems = schema_problems(df, stage)
     df, keys, scoped = _scoped(df)
-    counts = rule_counts(df, stage, keep_zero=False)
-    errs = counts.groupBy(*keys).agg(
+    long, wide = stage_counts(df, [stage])
+    rep = report_from_counts(long, wide.select(*keys, "total_rows"), stage, keys,
+                             warnings if not scoped else None, len(problems), strict)
+    if scoped and warnings is not None:
+        rep = rep.drop("warning_count").crossJoin(warnings.select("warning_count"))
+    return rep.drop(SCOPE) if scoped else rep
+
+
+def report_from_counts(long: DataFrame, sizes: DataFrame, stage: str, keys: list[str],
+                       warnings: DataFrame | None = None, n_problems: int = 0,
+                       strict: bool = False) -> DataFrame:
+    """Report rows for one stage from precomputed failure counts and sizes."""
+    errs = long.where((F.col("stage") == stage) & (F.col("failures") > 0)).groupBy(*keys).agg(
         F.sum("failures").alias("error_count"),
         F.slice(F.array_sort(F.collect_list(F.concat_ws(":", "column", "check"))), 1, 10).alias("_errs"),
     )
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_rows"))
     rep = sizes.join(errs, keys, "left")
-    if warnings is not None and not scoped:
-        rep = rep.join(warnings, keys, "left")
-    elif warnings is not None:
-        rep = rep.crossJoin(warnings.select("warning_count"))
+    if warnings is not None:
+        rep = rep.join(warnings.select(*keys, "warning_count"), keys, "left")
     else:
         rep = rep.withColumn("warning_count", F.lit(0))
-    err_n = F.coalesce(F.col("error_count"), F.lit(0)) + F.lit(len(problems))
+    err_n = F.coalesce(F.col("error_count"), F.lit(0)) + F.lit(n_problems)
     warn_n = F.coalesce(F.col("warning_count"), F.lit(0))
     ok = (err_n == 0) & ((warn_n == 0) | F.lit(not strict))
     status = F.when(~ok, "failed").when(F.col("total_rows") == 0, "skipped").when(warn_n > 0, "warning").otherwise("passed")
-    out_keys = [] if scoped else keys
     return rep.select(
-        *out_keys,
+        *keys,
         F.lit(stage).alias("stage"),
         F.lit(SCHEMA_NAMES[stage]).alias("schema_name"),
         status.alias("status"),

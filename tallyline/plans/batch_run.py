@@ -60,20 +60,33 @@ class BatchRun:
         return self.cleaning.stats()
 
     def reports(self) -> DataFrame:
-        """Validation report rows for the raw, cleaned and enriched stages, per file."""
-        q = V.quality_warnings(self.cleaned, self.cleaning_stats())
+        """Validation report rows for the raw, cleaned and enriched stages, per file.
+
+        Cleaned and enriched rows are the same rows, so one aggregate over the
+        enriched rows gives both stages' rule counts, the row counts and the
+        quality figures; the raw stage comes from the file profile and the
+        data-loss figure from the cleaning statistics."""
+        keys = [S.SOURCE_FILE]
+        data = [c for c in self.cleaned.columns if c != S.ROW_ORDINAL]
+        edata = [c for c in self.enriched.columns if c != S.ROW_ORDINAL]
+        enriched = self.enriched.select(*edata)
+        long, wide = V.stage_counts(enriched, ["cleaned", "enriched"], V.quality_aggregates())
+        sizes = wide.select(*keys, "total_rows")
+        q = V.quality_from_aggregates(wide.withColumnRenamed("total_rows", "cleaned_count"),
+                                      self.cleaning_stats(), keys)
         clean_w = q.select(
-            S.SOURCE_FILE,
+            *keys,
             (F.col("warn_data_loss").cast("int") + F.col("warn_unknown_customers").cast("int")
              + F.col("warn_unknown_countries").cast("int") + F.col("warn_date_span").cast("int"))
             .alias("warning_count"),
         )
-        data = [c for c in self.cleaned.columns if c != S.ROW_ORDINAL]
-        edata = [c for c in self.enriched.columns if c != S.ROW_ORDINAL]
+        strict = self.cfg.strict
+        n_clean = len(V.schema_problems(self.cleaned.select(*data), "cleaned"))
+        n_enr = len(V.schema_problems(enriched, "enriched"))
         return (
-            V.raw_stage_report(self.profile, self.cfg.strict)
-            .unionByName(V.stage_report(self.cleaned.select(*data), "cleaned", clean_w, self.cfg.strict))
-            .unionByName(V.stage_report(self.enriched.select(*edata), "enriched", None, self.cfg.strict))
+            V.raw_stage_report(self.profile, strict)
+            .unionByName(V.report_from_counts(long, sizes, "cleaned", keys, clean_w, n_clean, strict))
+            .unionByName(V.report_from_counts(long, sizes, "enriched", keys, None, n_enr, strict))
         )
 
     def materialize(self) -> "BatchRun":
