@@ -118,3 +118,26 @@ def test_clean_column_names(spark):
 def test_remove_empty_rows(spark):
     df = raw_frame(spark, [(None,) * 7, ("ORD-000001", None, None, None, None, None, None)])
     assert remove_empty_rows(df).count() == 1
+
+
+def test_rows_in_equal_kept_plus_rejected_plus_duplicates(spark):
+    """Invariant on the real fixture tables: every raw row is kept, rejected
+    (with a reason) or dropped as a duplicate, per file."""
+    from pyspark.sql import functions as F
+
+    from conftest import SF_SMALL
+    from tallyline.sources.tables import raw_sales
+
+    raw = raw_sales(spark, SF_SMALL)
+    out = clean(raw, CFG)
+    stats = {r.source_file: r for r in out.stats().collect()}
+    raw_n = {r.source_file: r["count"] for r in raw.groupBy("source_file").count().collect()}
+    kept = {r.source_file: r["count"] for r in out.cleaned.groupBy("source_file").count().collect()}
+    rej = {r.source_file: r["count"] for r in out.rejected.groupBy("source_file").count().collect()}
+    for f, n in raw_n.items():
+        s = stats[f]
+        assert s.original_count == n
+        assert kept.get(f, 0) == s.cleaned_count
+        assert kept.get(f, 0) + rej.get(f, 0) + s.duplicates_removed == n
+        assert rej.get(f, 0) == s.invalid_dates_removed + s.invalid_numerics_removed
+    assert out.rejected.where(F.col("reject_reason").isNull()).count() == 0
