@@ -71,8 +71,8 @@ def _unit(h: Column) -> Column:
     return F.pmod(h, F.lit(1_000_000)).cast("double") / F.lit(1_000_000.0)
 
 
-def generate_sales(spark: SparkSession, n: int, error_rate: float = 0.05, seed: int = 42,
-                   anchor: date | None = None, partitions: int | None = None) -> DataFrame:
+def synthetic_sales(spark: SparkSession, n: int, error_rate: float = 0.05, seed: int = 42,
+                    anchor: date | None = None, partitions: int | None = None) -> DataFrame:
     """n orders, faults at ``error_rate``, then int(n * error_rate * 0.5) copies
     of random orders with another quantity (only if n > 10). All text columns."""
     anchor = anchor or date.today()

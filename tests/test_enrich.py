@@ -74,10 +74,10 @@ def test_daily_summary(cleaned):
 
 
 def test_running_totals_last_equals_sum(spark):
-    from tallyline.sources.generator import generate_sales
+    from tallyline.sources.generator import synthetic_sales
     from tallyline.operators.clean import CleanConfig, clean
 
-    raw = generate_sales(spark, 3000, 0.05, seed=7).withColumn("source_file", F.lit("g")) \
+    raw = synthetic_sales(spark, 3000, 0.05, seed=7).withColumn("source_file", F.lit("g")) \
         .withColumn("row_ordinal", F.struct("id")).drop("id")
     c = clean(raw, CleanConfig()).cleaned
     e = enrich(c, EnrichConfig(run_ts=RUN_TS))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyline.plans.batch_run import RunConfig, plan_run
 from tallyline.operators.clean import CleanConfig
 from tallyline.sources.csv_files import file_exists, list_csv_files, read_sales_csv, write_csv
-from tallyline.sources.generator import generate_sales
+from tallyline.sources.generator import synthetic_sales
 
 HEADER = "order_id,product_name,quantity,unit_price,order_date,customer_id,country\n"
 
@@ -55,10 +55,10 @@ def test_csv_export_roundtrip(spark):
 
 
 def test_generator_repeats_and_counts(spark):
-    a = generate_sales(spark, 200, 0.1, seed=1, anchor=date(2024, 6, 1), partitions=1)
-    b = generate_sales(spark, 200, 0.1, seed=1, anchor=date(2024, 6, 1), partitions=7)
+    a = synthetic_sales(spark, 200, 0.1, seed=1, anchor=date(2024, 6, 1), partitions=1)
+    b = synthetic_sales(spark, 200, 0.1, seed=1, anchor=date(2024, 6, 1), partitions=7)
     assert a.count() == 200 + int(200 * 0.1 * 0.5)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    clean_rows = generate_sales(spark, 50, 0.0, seed=1)
+    clean_rows = synthetic_sales(spark, 50, 0.0, seed=1)
     assert clean_rows.count() == 50
     assert clean_rows.where(F.col("order_id").rlike(r"^ORD-\d{6}$")).count() == 50

@@ -6,7 +6,7 @@ from tallyline.operators.clean import CleanConfig
 from tallyline.operators.enrich import EnrichConfig
 from tallyline.plans.batch_run import RunConfig
 from tallyline.sources.csv_files import read_sales_csv
-from tallyline.sources.generator import generate_sales
+from tallyline.sources.generator import synthetic_sales
 from tallyline.streaming.incremental import StreamPaths, run_incremental
 from tallyline.plans.batch_run import plan_run
 
@@ -14,7 +14,7 @@ CFG = RunConfig(clean=CleanConfig(as_of=datetime(2025, 1, 1)), enrich=EnrichConf
 
 
 def _file(spark, folder, name, seed):
-    rows = generate_sales(spark, 40, 0.1, seed=seed, anchor=date(2024, 6, 1)).drop("id").toPandas()
+    rows = synthetic_sales(spark, 40, 0.1, seed=seed, anchor=date(2024, 6, 1)).drop("id").toPandas()
     rows.to_csv(os.path.join(folder, name), index=False)
 
 
