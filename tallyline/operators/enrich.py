@@ -154,7 +154,10 @@ def running_totals(
     checkpoint_dir(spark)
     ties = [k for k in tie_keys if k in df.columns]
     order = [F.col(date_column).asc_nulls_last()] + [F.col(k).asc_nulls_last() for k in ties]
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        conf = spark.conf.get("spark.sql.shuffle.partitions")
+        partitions = int(conf) if str(conf).isdigit() else spark.sparkContext.defaultParallelism
+    n = partitions
     cents = F.coalesce(F.round(F.col("total_amount") * F.lit(100)).cast("long"), F.lit(0).cast("long"))
     ordered = (
         df.withColumn("_cents", cents)
