@@ -1,6 +1,6 @@
 """Incremental runs: new CSV files in a folder are processed once each.
 
-A file-source stream with ``trigger(availableNow=True)`` takes the files
+A file-source stream (paths only) with ``trigger(availableNow=True)`` takes the files
 present at start, processes them in micro-batches and stops; the checkpoint's
 source log is the bookmark, so the next run sees only files added since.
 Each micro-batch runs the batch plan and upserts into the keyed table; an
@@ -14,7 +14,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyline import schema as S
 from tallyline.operators.table import KeyedSalesTable
@@ -30,33 +29,41 @@ class StreamPaths:
     quarantine: str     # rejected rows (Parquet, append)
 
 
-def _raw_stream(spark: SparkSession, folder: str, clean_source: str = "off",
-                archive_dir: str | None = None, max_files: int | None = None) -> DataFrame:
-    schema = StructType([StructField(c, StringType(), True) for c in S.REQUIRED_COLUMNS])
-    reader = (spark.readStream.schema(schema)
-              .option("header", "true")
-              .option("escape", '"')
+def _file_stream(spark: SparkSession, folder: str, clean_source: str = "off",
+                 archive_dir: str | None = None, max_files: int = 1000) -> DataFrame:
+    """New CSV files as a stream of paths; file content is never read here."""
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    reader = (spark.readStream.format("binaryFile").schema(schema)
               .option("pathGlobFilter", "*.csv")
-              .option("cleanSource", clean_source))
+              .option("cleanSource", clean_source)
+              .option("maxFilesPerTrigger", max_files))
     if archive_dir:
         reader = reader.option("sourceArchiveDir", archive_dir)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder).select("*", F.col("_metadata.file_path").alias(S.SOURCE_FILE))
+    return reader.load(folder).select("path")
 
 
 def run_incremental(spark: SparkSession, paths: StreamPaths, cfg: RunConfig = RunConfig(),
                     buckets: int = 64, clean_source: str = "off", archive_dir: str | None = None,
-                    max_files_per_batch: int | None = None) -> int:
-    """Process every file not yet seen; returns the number of micro-batches run."""
+                    max_files_per_batch: int = 1000) -> int:
+    """Process every file not yet seen; returns the number of micro-batches run.
+
+    The stream only discovers files (its checkpoint is the bookmark). Each
+    micro-batch hands its file list (at most ``max_files_per_batch`` paths)
+    to the header-aware CSV scan and runs the batch plan on those files, so
+    files with other column orders or missing columns are judged as in a
+    batch run."""
+    from tallyline.sources.csv_files import read_sales_csv
+
     table = KeyedSalesTable(spark, paths.table, buckets)
     seen = {"batches": 0}
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        # Ordinal taken right at the scan of this batch, before any shuffle.
-        raw = batch.withColumn(S.ROW_ORDINAL, F.struct(
-            F.col(S.SOURCE_FILE).alias("file"), F.monotonically_increasing_id().alias("pos")))
-        run = plan_run(raw, RunConfig(cfg.clean, cfg.enrich, f"{cfg.run_id}-{batch_id}", cfg.strict, cfg.on_fail))
+        files = sorted(r["path"] for r in batch.collect())   # bounded by maxFilesPerTrigger
+        if not files:
+            return
+        rows, headers = read_sales_csv(spark, files)
+        run = plan_run(rows, RunConfig(cfg.clean, cfg.enrich, f"{cfg.run_id}-{batch_id}", cfg.strict, cfg.on_fail),
+                       headers)
         order = [F.col(S.SOURCE_FILE).desc()]
         result = table.upsert(run.enriched, seq=order, run_ts=cfg.enrich.run_ts)
         run.rejected().withColumn("batch_id", F.lit(batch_id)).drop(S.ROW_ORDINAL) \
@@ -67,7 +74,7 @@ def run_incremental(spark: SparkSession, paths: StreamPaths, cfg: RunConfig = Ru
             .write.mode("append").parquet(paths.reports)
         seen["batches"] += 1
 
-    q = (_raw_stream(spark, paths.incoming, clean_source, archive_dir, max_files_per_batch)
+    q = (_file_stream(spark, paths.incoming, clean_source, archive_dir, max_files_per_batch)
          .writeStream.foreachBatch(body)
          .option("checkpointLocation", paths.checkpoint)
          .trigger(availableNow=True)

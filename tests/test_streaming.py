@@ -34,3 +34,16 @@ def test_two_incremental_runs_equal_one_batch(spark):
     assert streamed == batch and len(batch) > 0
     reps = spark.read.parquet(paths.reports).collect()
     assert sorted(r.batch_id for r in reps) == [0, 1]
+
+
+def test_stream_reads_columns_by_header_name(spark):
+    base = tempfile.mkdtemp(prefix="tl-stream-")
+    inc = os.path.join(base, "in")
+    os.makedirs(inc)
+    paths = StreamPaths(inc, base + "/ckpt", base + "/table", base + "/reports", base + "/quarantine")
+    with open(os.path.join(inc, "swapped.csv"), "w") as f:
+        f.write("country,customer_id,order_date,unit_price,quantity,product_name,order_id\n"
+                "Canada,CUST-10001,2024-03-01,10.50,2,Mouse,ORD-000042\n")
+    assert run_incremental(spark, paths, CFG, buckets=4) == 1
+    r = spark.read.parquet(paths.table).first()
+    assert (r.order_id, r.country, r.quantity, float(r.total_amount)) == ("ORD-000042", "Canada", 2, 21.0)
