@@ -62,3 +62,17 @@ def test_generator_repeats_and_counts(spark):
     clean_rows = synthetic_sales(spark, 50, 0.0, seed=1)
     assert clean_rows.count() == 50
     assert clean_rows.where(F.col("order_id").rlike(r"^ORD-\d{6}$")).count() == 50
+
+
+def test_raw_archive_by_date(spark):
+    from conftest import raw_frame
+    from tallyline.sources.archive import archive_key, archive_rows, archived_files
+
+    d = tempfile.mkdtemp(prefix="tl-arch-") + "/archive"
+    rows = raw_frame(spark, [("ORD-000001", "A", "1", "1", "2024-01-01", "C", "Canada"),
+                             ("ORD-000002", "B", "1", "1", "2024-01-01", "C", "Canada")], "a.csv")
+    archive_rows(rows, d, date(2024, 6, 1))
+    archive_rows(rows.limit(1).withColumn("source_file", F.lit("b.csv")), d, date(2024, 6, 2))
+    got = sorted((r.source_file, str(r.archive_date), r.rows) for r in archived_files(spark, d).collect())
+    assert got == [("a.csv", "2024-06-01", 2), ("b.csv", "2024-06-02", 1)]
+    assert archive_key("a.csv", date(2024, 6, 1)) == "2024/06/01/a.csv"
