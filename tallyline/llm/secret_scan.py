@@ -90,7 +90,7 @@ def train(docs: DataFrame, min_sample: int = MIN_SAMPLE) -> list[float] | None:
     ordinary = t.where(F.size("base") == 0).select(F.explode(tokens).alias("token"), F.lit(False).alias("secret"))
     chars = secret.unionByName(ordinary).select("secret", F.split("token", "").alias("c"))
     pairs = chars.select("secret", F.explode(F.zip_with(
-        F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), F.concat)).alias("pair"))
+        F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: F.concat(a, b))).alias("pair"))
     counts = {True: {}, False: {}}
     for r in pairs.groupBy("secret", "pair").count().collect():   # at most 2 x 67 x 67 rows
         counts[r["secret"]][r["pair"]] = r["count"]
