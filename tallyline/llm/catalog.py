@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tallyline.llm.decontaminate import op2_wu_manber
+from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
 from tallyline.llm.quality import op5_js_divergence
 from tallyline.llm.secret_scan import op7_markov_secrets
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_wu_manber": op2_wu_manber,
     "op5_js_divergence": op5_js_divergence,
     "op7_markov_secrets": op7_markov_secrets,
+    "op8_min_max": op8_min_max,
     "op9_cost_packing": op9_cost_packing,
 }
 
