@@ -1,7 +1,7 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
 A document's characters are counted by class (white space, symbols, upper case,
-other ASCII punctuation, non-ASCII, the rest) and its words by a list of common
+other ASCII punctuation, the bytes that non-ASCII adds, the rest) and its words by a list of common
 words (all other words are one more bin). Both histograms are compared with
 language references by the Jensen-Shannon distance (base 2, 0 to 1); the
 nearest language counts, since the `lang` column may be wrong. A language's
@@ -10,8 +10,9 @@ languages with most documents have one. A distance counts only where the text
 is long enough for the histogram to mean something (MIN_CHARS,
 MIN_HISTOGRAM_WORDS).
 
-Two passes over the texts: one makes the references (a few rows, bounded by
-`max_languages`), one judges. No join, no shuffle of texts.
+The texts are measured once; counts, shares and the carried `row` are written to
+the shared checkpoint folder. The references (a few rows, bounded by
+`max_languages`) are one aggregate over them. No join, no shuffle of texts.
 
 Defined cases: a null text has no words (and fails the base rule); a null
 language is a language of its own; repeated documents are judged alike; an
@@ -23,17 +24,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import read
+from tallyline.llm.common import materialize, read
 
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
 # Common function words of the four languages (public word lists, shortened).
 COMMON_WORDS = [
-    "the", "of", "and", "to", "in", "a", "is", "that", "for", "it", "was", "with",
-    "der", "die", "und", "den", "von", "zu", "das", "mit", "sich", "ist", "ein", "nicht",
-    "le", "la", "les", "et", "des", "un", "une", "du", "est", "pour", "que", "dans",
-    "el", "de", "y", "los", "las", "en", "por", "con", "se", "del", "no", "una",
+    "the", "of", "and", "to", "in", "that",
+    "der", "die", "und", "den", "zu", "mit",
+    "le", "la", "et", "des", "une", "pour",
+    "el", "de", "y", "los", "en", "por",
 ]
 
 MIN_WORDS = 50
@@ -44,48 +45,66 @@ MIN_REFERENCE_DOCS = 20
 MAX_LANGUAGES = 16
 MAX_CHAR_DISTANCE = 0.14
 MAX_WORD_DISTANCE = 0.5
+FEW_REPEATS = 64
+N_CHAR_BINS = 6
 
 
 def _removed(text: Column, pattern: str) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
+    return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def histograms(docs: DataFrame, row: Column | None = None) -> DataFrame:
-    """row, lang, text, words (of the contract), counts by character class and by common word."""
+def measure(docs: DataFrame, row: Column | None = None) -> DataFrame:
+    """row, lang, the counts of the base rules and both histograms (as shares, null where a text is too short)."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if row is None else row
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     base = docs.select(row.alias("row"), lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     t = F.col("text")
-    base = base.select(
-        "row", "lang", "text",
-        F.array_remove(F.split(t, SPACE), "").alias("words"),
-        F.array_remove(F.split(F.lower(t), r"[\x00-\x60\x7B-\x7F]+"), "").alias("plain"),
-        _removed(t, SPACE).cast("long").alias("n_space"),
-        _removed(t, SYMBOLS).cast("long").alias("n_symbols"),
-        _removed(t, r"\p{Lu}+").cast("long").alias("n_upper"),
-        _removed(t, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+").cast("long").alias("n_marks"),
-        _removed(t, r"[^\x00-\x7F]+").cast("long").alias("n_wide"),
-        F.length(t).cast("long").alias("n_chars"),
-    )
+    base = base.withColumns({
+        "words": F.array_remove(F.split(t, SPACE), ""),
+        "n_symbols": _removed(t, SYMBOLS),
+        "n_upper": _removed(t, r"\p{Lu}+"),
+        "n_marks": _removed(t, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"),
+        "n_chars": F.length(t).cast("long"),
+        "n_wide": (F.octet_length(t) - F.length(t)).cast("long"),
+        "lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+    }).drop("text")
     common = F.array(*map(F.lit, COMMON_WORDS))
-    base = base.withColumn("hits", F.filter("plain", lambda w: F.array_contains(common, w)))
-    return base.select(
-        "row", "lang", "text", "words", "n_symbols", "n_chars",
-        (F.col("n_chars") - F.col("n_space")).alias("word_chars"),
-        F.array("n_space", "n_symbols", "n_upper", F.col("n_marks") - F.col("n_symbols"), "n_wide",
-                F.greatest(F.lit(0).cast("long"), F.col("n_chars") - F.col("n_space") - F.col("n_upper") - F.col("n_marks")
-                           - F.col("n_wide"))).alias("char_bins"),
+    n = F.size("words")
+    base = base.withColumns({
+        "n_words": n.cast("long"),
+        "word_chars": F.length(F.array_join("words", "")).cast("long"),
+        "hits": F.filter("words", lambda w: F.array_contains(common, w)),
+        "tri": F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
+            F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))),
+    })
+    base = base.withColumn("in_order", F.sort_array("tri"))
+    base = base.withColumn("repeated", F.array_distinct(F.filter("in_order", lambda x, k: F.get("in_order", k + 1) == x)))
+    # where the windows found twice begin: few such windows are looked up, many come from sorting windows with their places
+    base = base.withColumn("by_window", F.when(F.size("repeated") > FEW_REPEATS, F.sort_array(
+        F.transform("tri", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
+    base = base.withColumn("twice", F.when(F.size("repeated") > FEW_REPEATS, F.filter(F.transform("by_window", lambda x, k: F.when(
+        (F.get("by_window", k - 1)["h"] == x["h"]) | (F.get("by_window", k + 1)["h"] == x["h"]), x["i"])), lambda i: i.isNotNull()))
+        .when(F.size("repeated") > 0, F.filter(F.transform("tri", lambda x, i: F.when(
+            F.array_contains("repeated", x), i)), lambda i: i.isNotNull())))
+    space = F.col("n_chars") - F.col("word_chars")
+    rest = F.greatest(F.lit(0).cast("long"), F.col("word_chars") - F.col("n_upper") - F.col("n_marks") - F.col("n_wide"))
+    base = base.select(
+        "row", "lang", "n_words", "word_chars", "n_symbols", "n_chars",
+        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        F.when(F.col("twice").isNull(), 0).otherwise(F.size(F.array_union(F.array_union(
+            "twice", F.transform("twice", lambda i: i + 1)), F.transform("twice", lambda i: i + 2)))).cast("long").alias("n_repeat_words"),
+        F.array(space, "n_symbols", "n_upper", F.col("n_marks") - F.col("n_symbols"), "n_wide", rest).alias("char_bins"),
         F.concat(F.transform(common, lambda w: (F.size("hits") - F.size(F.array_remove(F.col("hits"), w))).cast("long")),
-                 F.array((F.size("plain") - F.size("hits")).cast("long"))).alias("word_bins"),
+                 F.array((F.col("n_words") - F.size("hits")).cast("long"))).alias("word_bins"),
     )
+    base = base.withColumn("char_sum", F.greatest(F.lit(1), sum((F.col("char_bins")[i] for i in range(1, N_CHAR_BINS)), F.col("char_bins")[0])))
+    return base.select(
+        "row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.when(F.col("n_chars") >= MIN_CHARS, F.transform("char_bins", lambda x: x / F.col("char_sum"))).alias("char_shares"),
+        F.when(F.col("n_words") >= MIN_HISTOGRAM_WORDS, F.transform("word_bins", lambda x: x / F.col("n_words"))).alias("word_shares"))
 
 
-def _shares(bins: Column) -> Column:
-    total = F.aggregate(bins, F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.transform(bins, lambda x: x / total)
-
-
-def references(docs: DataFrame, min_words: int = MIN_HISTOGRAM_WORDS, min_docs: int = MIN_REFERENCE_DOCS,
+def references(measured: DataFrame, min_docs: int = MIN_REFERENCE_DOCS,
                max_languages: int = MAX_LANGUAGES) -> list[tuple[list[float], list[float]]]:
     """Reference histograms of the whole input's languages, most documents first; at most `max_languages`.
 
@@ -93,16 +112,16 @@ def references(docs: DataFrame, min_words: int = MIN_HISTOGRAM_WORDS, min_docs:
     that its junk, if less than half, does not move them; words take the mean.
     Without a language of `min_docs` documents, all documents make one reference.
     """
-    n_char, n_word = 6, len(COMMON_WORDS) + 1
-    h = histograms(docs, F.struct(F.lit(0).alias("_"))).where(F.size("words") >= min_words)
-    h = h.select("lang", _shares(F.col("char_bins")).alias("c"), _shares(F.col("word_bins")).alias("w"))
-    sums = [F.percentile_approx(F.col("c")[i], 0.5, 1000).alias(f"c{i}") for i in range(n_char)]
-    sums += [F.avg(F.col("w")[i]).alias(f"w{i}") for i in range(n_word)]
-    per = h.groupBy("lang").agg(F.count("*").alias("n"), *sums).where(F.col("n") >= min_docs)
-    rows = per.orderBy(F.desc("n"), "lang").limit(max_languages).collect() or [r for r in h.agg(F.count("*").alias("n"), *sums).collect() if r["n"]]
+    n_word = len(COMMON_WORDS) + 1
+    h = measured.where("char_shares is not null and word_shares is not null")
+    made = [F.percentile_approx(F.col("char_shares")[i], 0.5, 1000).alias(f"c{i}") for i in range(N_CHAR_BINS)]
+    made += [F.avg(F.col("word_shares")[i]).alias(f"w{i}") for i in range(n_word)]
+    per = h.groupBy("lang").agg(F.count("*").alias("n"), *made).where(F.col("n") >= min_docs)
+    rows = per.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
+    rows = rows or [r for r in h.agg(F.count("*").alias("n"), *made).collect() if r["n"]]
     out = []
     for r in rows:
-        c = [r[f"c{i}"] or 0.0 for i in range(n_char)]
+        c = [r[f"c{i}"] or 0.0 for i in range(N_CHAR_BINS)]
         out.append(([x / sum(c) for x in c], [r[f"w{i}"] or 0.0 for i in range(n_word)]))
     return out
 
@@ -118,35 +137,16 @@ def js_distance(p: Column, q: Column) -> Column:
 def judge(docs: DataFrame, row: Column | None = None, refs: list | None = None, max_char: float = MAX_CHAR_DISTANCE,
           max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """row, base counts, both distances (null where a text is too short for one) and the verdict `kept`."""
-    refs = references(docs) if refs is None else refs
-    h = histograms(docs, row)
+    measured = materialize(measure(docs, row), "quality")
+    refs = references(measured) if refs is None else refs
 
-    def nearest(bins: str, at: int) -> Column:
+    def nearest(shares: str, at: int) -> Column:
         if not refs:
             return F.lit(None).cast("double")
-        return F.array_min(F.array(*[js_distance(F.col(bins), F.array(*map(F.lit, r[at]))) for r in refs]))
+        return F.array_min(F.array(*[js_distance(F.col(shares), F.array(*map(F.lit, r[at]))) for r in refs]))
 
-    n = F.size("words")
-    h = h.withColumns({
-        "n_words": n.cast("long"),
-        "lines": F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        "tri": F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
-            F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))),
-        "char_shares": F.when(F.col("n_chars") >= MIN_CHARS, _shares(F.col("char_bins"))),
-        "word_shares": F.when(n >= MIN_HISTOGRAM_WORDS, _shares(F.col("word_bins"))),
-    })
-    h = h.withColumn("sorted_tri", F.when(F.size(F.array_distinct("tri")) < F.size("tri"), F.sort_array(
-        F.transform("tri", lambda x, i: F.struct(x.alias("h"), i.alias("i"))))))
-    h = h.withColumn("twice", F.filter(F.transform("sorted_tri", lambda x, k: F.when(
-        (F.get("sorted_tri", k - 1)["h"] == x["h"]) | (F.get("sorted_tri", k + 1)["h"] == x["h"]), x["i"])), lambda i: i.isNotNull()))
-    h = h.select(
-        "row", "n_words", "word_chars", "n_symbols",
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("twice").isNull(), 0).otherwise(F.size(F.array_union(F.array_union(
-            "twice", F.transform("twice", lambda i: i + 1)), F.transform("twice", lambda i: i + 2)))).cast("long").alias("n_repeat_words"),
-        nearest("char_shares", 0).alias("char_distance"),
-        nearest("word_shares", 1).alias("word_distance"),
-    )
+    h = measured.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        nearest("char_shares", 0).alias("char_distance"), nearest("word_shares", 1).alias("word_distance"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     bad = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | (F.coalesce("word_distance", F.lit(0.0)) > max_word)
     return h.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~bad)
