@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from tallyline.llm.decontaminate import op2_wu_manber
+from tallyline.llm.lattice import op1_subword_lattice
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
 from tallyline.llm.quality import op5_js_divergence
 from tallyline.llm.secret_scan import op7_markov_secrets
 
 QUERIES = {
+    "op1_subword_lattice": op1_subword_lattice,
     "op2_wu_manber": op2_wu_manber,
     "op5_js_divergence": op5_js_divergence,
     "op7_markov_secrets": op7_markov_secrets,
