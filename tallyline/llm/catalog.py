@@ -7,11 +7,13 @@ from tallyline.llm.lattice import op1_subword_lattice
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
 from tallyline.llm.quality import op5_js_divergence
+from tallyline.llm.repeats import op3_column_bwt
 from tallyline.llm.secret_scan import op7_markov_secrets
 
 QUERIES = {
     "op1_subword_lattice": op1_subword_lattice,
     "op2_wu_manber": op2_wu_manber,
+    "op3_column_bwt": op3_column_bwt,
     "op5_js_divergence": op5_js_divergence,
     "op7_markov_secrets": op7_markov_secrets,
     "op8_min_max": op8_min_max,

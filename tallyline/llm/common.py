@@ -8,6 +8,7 @@ the batch or on the length of a document's neighbours.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import io
 import os
@@ -32,33 +33,47 @@ FOLD[ord("A"):ord("Z") + 1] += 32
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[list(SPACE_BYTES)] = False
 
-_written: dict[int, list[str]] = {}
+_written: dict[str, list[str]] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage: a lost executor repeats at most the work after this point.
-    `release` removes the tables written so far by the session.
+    `release` removes the tables written so far by the session, `discard` one.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.setdefault(id(spark.sparkContext), []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete materialized tables that nothing reads any more, and let Spark drop the shuffles of finished jobs."""
+    for t in tables:
+        _written[t.sparkSession.sparkContext.applicationId].remove(t.scratch_path)
+        _delete(t.sparkSession, t.scratch_path)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def release(spark: SparkSession) -> int:
     """Delete the intermediate tables of this session; call it when their results are no longer needed."""
-    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    paths = _written.pop(id(spark.sparkContext), [])
+    paths = _written.pop(spark.sparkContext.applicationId, [])
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, p)
     return len(paths)
 
 
