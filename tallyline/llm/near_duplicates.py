@@ -12,7 +12,7 @@ How the work is spread:
 * in each bucket (documents with one band key) every document is tried against
   the bucket's least one, so a bucket of n needs n pairs, not n * n;
 * a bucket with more than `hot` documents is replaced by buckets of two keys:
-  its own and that of the band 1, 2, 3, 5 or 8 further on, if hot as well;
+  its own and that of the band 1, 2 or 3 further on, if hot as well;
   unrelated documents that share a passage hardly meet there;
 * then, where a bucket still holds documents of several components, the
   documents of the smaller ones are tried against all members of the larger, so
@@ -47,7 +47,7 @@ BANDS = 32
 ROWS = 4
 HOT = 32
 CHUNK = 128
-PAIRED = (1, 2, 3, 5, 8)
+PAIRED = (1, 2, 3)
 SLICE = 1 << 20
 SEED = 20240229
 
@@ -94,12 +94,16 @@ def min_max(values: np.ndarray, first: np.ndarray, functions: int) -> np.ndarray
     return sig
 
 
+def band_columns(bands: int, rows: int) -> np.ndarray:
+    """Signature columns of each band's rows; turned from row to row, so no band holds both values of one function."""
+    return np.stack([np.roll(np.arange(r * bands, (r + 1) * bands), r) for r in range(rows)])
+
+
 def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """One key per band. Columns are dealt so that a function's least and greatest value fall in different bands."""
-    cols = sig[:, :bands * rows].reshape(len(sig), rows, bands)
+    """One key per band: a hash of its values and its number."""
     out = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), bands)).copy()
-    for r in range(rows):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + cols[:, r, :])
+    for columns in band_columns(bands, rows):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + sig[:, columns])
     return out
 
 
