@@ -49,9 +49,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark; n_chars follows the new text."""
     found = scan(docs)
     changed = F.size("spans") > 0
-    new = {"text": F.when(changed, redact(found)).otherwise(F.col("row.text"))}
+    new = {"text": F.when(changed, redact()).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length(redact(found))).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, F.length(redact())).otherwise(F.col("row.n_chars")).cast(docs.schema["n_chars"].dataType)
     return found.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -4,7 +4,8 @@ DataFrame functions only. Three fixed patterns give the base spans. The method
 adds further tokens: two first-order models over the token alphabet, one of
 secrets and one of ordinary identifiers, are counted over the whole input from
 labelled samples (a long token that overlaps a base span is a secret, any other
-is ordinary). A token outside the base spans is added when the mean of
+is ordinary). The secrets' model is half uniform, as a random string need not
+be of the alphabet that the fixed patterns know. A token outside the base spans is added when the mean of
 log2 P(next | char, secret) / P(next | char, ordinary) over its transitions and
 the sum both exceed their thresholds. The models are tables of at most
 67 x 67 transitions, so they travel as a literal.
@@ -38,9 +39,10 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 TOKEN = r"[A-Za-z0-9+/_=-]"
 MIN_SAMPLE = 12
 MIN_TOKEN = 20
-MIN_BITS_PER_CHAR = 1.0
-MIN_BITS = 24.0
+MIN_BITS_PER_CHAR = 0.6
+MIN_BITS = 12.0
 PRIOR = 67.0
+UNIFORM = 0.5
 
 SPAN = "struct<start:int,rank:int,stop:int,kind:string>"
 
@@ -98,11 +100,11 @@ def train(docs: DataFrame, min_sample: int = MIN_SAMPLE) -> list[float] | None:
         return None
     n = len(ALPHABET)
 
-    def share(own: dict[str, int], a: str) -> list[float]:
+    def share(own: dict[str, int], a: str, uniform: float) -> list[float]:
         total = sum(own.get(a + b, 0) for b in ALPHABET)
-        return [(own.get(a + b, 0) + PRIOR / n) / (total + PRIOR) for b in ALPHABET]
+        return [uniform / n + (1 - uniform) * (own.get(a + b, 0) + PRIOR / n) / (total + PRIOR) for b in ALPHABET]
 
-    return [math.log2(p / q) for a in ALPHABET for p, q in zip(share(counts[True], a), share(counts[False], a), strict=True)]
+    return [math.log2(p / q) for a in ALPHABET for p, q in zip(share(counts[True], a, UNIFORM), share(counts[False], a, 0.0), strict=True)]
 
 
 def scan(docs: DataFrame, row: Column | None = None, model: list[float] | None | str = "train", min_token: int = MIN_TOKEN,
@@ -130,7 +132,7 @@ def scan(docs: DataFrame, row: Column | None = None, model: list[float] | None |
     return t.withColumn("spans", F.array_sort(F.concat("base", F.filter("tokens", is_secret)))).drop("tokens")
 
 
-def redact(found: DataFrame, mark: str = "[SECRET]") -> Column:
+def redact(mark: str = "[SECRET]") -> Column:
     """The text with every run of touching or overlapping spans replaced by `mark`."""
     def step(acc: Column, s: Column) -> Column:
         more = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
