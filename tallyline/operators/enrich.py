@@ -5,7 +5,7 @@ running totals)."""
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -39,7 +39,7 @@ class EnrichConfig:
 
 def run_timestamp(run_ts: datetime | None = None) -> Column:
     """One timestamp value for the whole run (no time zone, like a naive UTC clock)."""
-    ts = run_ts if run_ts is not None else datetime.utcnow()
+    ts = run_ts if run_ts is not None else datetime.now(timezone.utc)
     return F.lit(ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 

@@ -1,24 +1,27 @@
 """The keyed sales table: constraint gate, upsert by ``order_id``, delete by
 date, load counts.
 
-Storage is Parquet partitioned by ``key_bucket = pmod(xxhash64(order_id), B)``.
-An upsert reads and rewrites only the buckets its keys hash to; a point
-lookup reads one bucket. Catalyst cannot derive the bucket from an
-``order_id`` predicate, so this module adds that filter itself.
+Storage is Parquet in buckets, ``pmod(xxhash64(order_id), B)``. An upsert reads
+and writes only the buckets its keys hash to; a point lookup reads one bucket.
 """
 
 from __future__ import annotations
 
+import json
+import math
+import re
+import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tallyline import schema as S
 from tallyline.functions import as_price, as_total
 from tallyline.operators.enrich import run_timestamp
-from tallyline.session import work_path
+from tallyline.session import hadoop_fs, keep, remove
 
 GATE_REASON = "gate_reason"
 KEY_BUCKET = "key_bucket"
@@ -124,150 +127,212 @@ def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
+def latest_order(df: DataFrame) -> list[Column] | None:
+    """Last file, then last row of the file: a total order where the lineage columns are there."""
+    cols = [c for c in (S.SOURCE_FILE, S.ROW_ORDINAL) if c in df.columns]
+    return [F.col(c).desc() for c in cols] if len(cols) == 2 else None
+
+
 @dataclass
 class LoadResult:
     success: bool
     rows_inserted: int
     rows_updated: int
     rows_failed: int
-    failed_order_ids: list
+    rejects: DataFrame | None = None     # every refused row with its reason; None when there is none
 
     @property
     def total_processed(self) -> int:
         return self.rows_inserted + self.rows_updated
 
+    def failed_order_ids(self) -> DataFrame:
+        return self.rejects.select("order_id")
+
 
 class KeyedSalesTable:
-    """Parquet table keyed by ``order_id`` with bucket partitions.
-
-    One writer at a time. Each write goes to a staged copy in the shared
-    checkpoint folder first, so the lineage is cut and a lost executor does
-    not recompute from the source; then the touched buckets are replaced
-    with dynamic partition overwrite. Replacing several bucket folders is not
-    atomic for concurrent readers; a failed run is repaired by running it
-    again, because an upsert applied twice equals one.
+    """Parquet table keyed by ``order_id``, in buckets of a hash of the key.
+
+    Layout: ``data/v=<version>/key_bucket=<b>`` holds a bucket as one write left
+    it; ``manifest/<number>.json`` names the bucket count and, for every live
+    bucket, its version. A write puts the touched buckets into a version folder
+    that nothing reads, then adds the next manifest by one rename. A stop before
+    the rename changes nothing for readers and the next run starts from the same
+    state; after it the write is whole. The rename does not overwrite, so of two
+    writers one fails and changes nothing. Folders that neither the current nor
+    the previous manifest names are removed after a write.
+
+    The bucket count belongs to the stored table: it is read from the manifest,
+    and the argument only counts for a new table.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS,
                  rows_per_file: int = 5_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.buckets = buckets
         self.rows_per_file = rows_per_file
-        self._stage_seq = 0
+        stored = self.manifest()
+        self.buckets = stored["buckets"] if stored else buckets
+
+    # -- manifest ---------------------------------------------------------
+    def _numbers(self) -> list[int]:
+        p, fs = hadoop_fs(self.spark, f"{self.path}/manifest")
+        if not fs.exists(p):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(p)]
+        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n))
+
+    def manifest(self, number: int | None = None) -> dict | None:
+        """{number, buckets, live: {bucket: version}}; None for a table never written."""
+        numbers = self._numbers()
+        if not numbers:
+            return None
+        p, fs = hadoop_fs(self.spark, f"{self.path}/manifest/{number or numbers[-1]:012d}.json")
+        stream = fs.open(p)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        out = json.loads(text)
+        return out | {"live": {int(b): v for b, v in out["live"].items()}}
+
+    def _commit(self, before: dict | None, live: dict[int, str]) -> None:
+        number = before["number"] + 1 if before else 1
+        body = json.dumps({"number": number, "buckets": self.buckets, "live": live}).encode()
+        temp, fs = hadoop_fs(self.spark, f"{self.path}/manifest/.{uuid.uuid4().hex}")
+        out = fs.create(temp, True)
+        out.write(bytearray(body))
+        out.close()
+        final, _ = hadoop_fs(self.spark, f"{self.path}/manifest/{number:012d}.json")
+        if fs.exists(final) or not fs.rename(temp, final):
+            fs.delete(temp, False)
+            raise RuntimeError(f"another writer has committed version {number} of {self.path}")
+        self.vacuum()
+
+    def vacuum(self) -> int:
+        """Remove bucket folders that neither the current nor the previous manifest names."""
+        numbers = self._numbers()
+        named = {(v, b) for n in numbers[-2:] for b, v in self.manifest(n)["live"].items()}
+        p, fs = hadoop_fs(self.spark, f"{self.path}/data")
+        gone = 0
+        for version in fs.listStatus(p) if fs.exists(p) else []:
+            v = version.getPath().getName().removeprefix("v=")
+            left = False
+            for folder in fs.listStatus(version.getPath()):
+                name = folder.getPath().getName()
+                if name.startswith(f"{KEY_BUCKET}=") and (v, int(name.split("=")[1])) not in named:
+                    fs.delete(folder.getPath(), True)
+                    gone += 1
+                else:
+                    left |= name.startswith(f"{KEY_BUCKET}=")
+            if not left:
+                fs.delete(version.getPath(), True)
+        return gone
 
     # -- reading ----------------------------------------------------------
-    def _fs(self):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
     def exists(self) -> bool:
-        p, fs = self._fs()
-        return fs.exists(p)
+        return bool(self._numbers())
+
+    def _buckets(self, only: list[int] | None = None) -> DataFrame:
+        """Rows of the live buckets (of those in ``only``) with ``key_bucket``."""
+        schema = StructType(list(S.TABLE_SCHEMA.fields) + [StructField(KEY_BUCKET, IntegerType())])
+        stored = self.manifest()
+        live = {b: v for b, v in (stored["live"] if stored else {}).items() if only is None or b in only}
+        if not live:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path}/data/v={v}/{KEY_BUCKET}={b}" for b, v in sorted(live.items())]   # at most the bucket count
+        return (self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
+                .option("recursiveFileLookup", "false").parquet(*paths).select(*S.TABLE_COLUMNS, KEY_BUCKET))
 
     def read(self, with_bucket: bool = False) -> DataFrame:
-        if not self.exists():
-            empty = self.spark.createDataFrame([], S.TABLE_SCHEMA)
-            return empty.withColumn(KEY_BUCKET, F.lit(0)) if with_bucket else empty
-        df = self.spark.read.schema(self._file_schema()).parquet(self.path)
+        df = self._buckets()
         return df if with_bucket else df.drop(KEY_BUCKET)
 
-    def _file_schema(self):
-        from pyspark.sql.types import IntegerType, StructField, StructType
-
-        return StructType(list(S.TABLE_SCHEMA.fields) + [StructField(KEY_BUCKET, IntegerType())])
-
     def has_order(self, order_id: str) -> bool:
-        """Point lookup reading one bucket folder."""
-        b = bucket_of(F.lit(order_id), self.buckets)
-        df = self.read(with_bucket=True).where((F.col(KEY_BUCKET) == b) & (F.col("order_id") == order_id))
-        return len(df.select("order_id").limit(1).take(1)) > 0
+        """Point lookup reading one bucket."""
+        b = self.spark.range(1).select(bucket_of(F.lit(order_id), self.buckets)).first()[0]
+        return not self._buckets([b]).where(F.col("order_id") == order_id).isEmpty()
 
     def has_orders(self, probe: DataFrame, key: str = "order_id") -> DataFrame:
-        from tallyline.operators.analytics import orders_exist
-
-        return orders_exist(self.read(), probe, key)
+        """For each probe id: does the table hold it? Joined on the bucket and the id."""
+        held = self.read(with_bucket=True).select(KEY_BUCKET, F.col("order_id").alias("_k"), F.lit(True).alias("_hit"))
+        asked = probe.select(key, bucket_of(F.col(key), self.buckets).alias("_b"))
+        return asked.join(held, (F.col("_b") == F.col(KEY_BUCKET)) & (F.col(key) == F.col("_k")), "left").select(
+            key, F.coalesce("_hit", F.lit(False)).alias("order_exists"))
 
     # -- writing ----------------------------------------------------------
-    def _stage(self, df: DataFrame, name: str) -> DataFrame:
-        self._stage_seq += 1
-        path = work_path(self.spark, f"tallyline-stage/{name}-{datetime.utcnow():%Y%m%d%H%M%S%f}-{self._stage_seq}")
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
-
-    def _write_buckets(self, df: DataFrame, buckets_touched: int) -> None:
-        """Replace the bucket folders present in ``df`` (dynamic overwrite).
-
-        A bucket is written by several tasks when it is large: rows are spread
-        over (bucket, slice) with the slice count sized from the staged row
-        count, so no single task writes a whole bucket."""
-        import math
-
-        rows = df.count()   # staged Parquet: answered from footers
-        slices = max(1, math.ceil(rows / max(1, buckets_touched) / self.rows_per_file))
+    def _write(self, df: DataFrame, touched: int, rows: int) -> tuple[str, DataFrame]:
+        """The rows (with ``key_bucket``) as a new version folder; its name and a reader of it.
+
+        A large bucket is written by several tasks: rows are spread over
+        (bucket, slice), with slices from the number of rows."""
+        version = uuid.uuid4().hex
+        slices = max(1, math.ceil(rows / max(1, touched) / self.rows_per_file))
         part = F.pmod(F.xxhash64(F.col("order_id"), F.lit("slice")), F.lit(slices))
-        (df.repartition(max(1, buckets_touched) * slices, F.col(KEY_BUCKET), part)
+        path = f"{self.path}/data/v={version}"
+        (df.repartition(max(1, touched) * slices, F.col(KEY_BUCKET), part)
          .sortWithinPartitions(KEY_BUCKET, "order_date", "country")
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy(KEY_BUCKET)
-         .parquet(self.path))
-
-    def _touched(self, keyed: DataFrame) -> list[int]:
-        # At most ``buckets`` small integers reach the driver.
-        return sorted(r[0] for r in keyed.select(KEY_BUCKET).distinct().collect())
+         .write.partitionBy(KEY_BUCKET).parquet(path))
+        return version, self.spark.read.schema(df.schema).parquet(path)
 
     def upsert(self, enriched: DataFrame, seq: list[Column] | None = None,
-               run_ts: datetime | None = None, atomic: bool = False,
-               max_failed_ids: int = 100) -> LoadResult:
-        """Gate, keep the latest row per key (``seq`` descending, default the
-        source file), merge into the touched buckets."""
-        gated = self._stage(load_gate(enriched, run_ts), "gated")
-        failed = gated.where(F.col(GATE_REASON).isNotNull())
-        n_failed = failed.count()
-        failed_ids = [r[0] for r in failed.select("order_id").limit(max_failed_ids).collect()]
-        if atomic and n_failed > 0:
-            return LoadResult(False, 0, 0, n_failed, failed_ids)
-        order = seq or ([F.col(S.SOURCE_FILE).desc()] if S.SOURCE_FILE in gated.columns else [F.lit(1)])
-        incoming = latest_per_key(accepted(gated), order).select(*S.TABLE_COLUMNS)
-        incoming = incoming.withColumn(KEY_BUCKET, bucket_of(F.col("order_id"), self.buckets))
-        incoming = self._stage(incoming, "incoming")
-        touched = self._touched(incoming)
-        if not touched:
-            return LoadResult(n_failed == 0, 0, 0, n_failed, failed_ids)
-        current = self.read(with_bucket=True).where(F.col(KEY_BUCKET).isin(touched))
-        counts = upsert_counts(current, incoming).first()
-        merged = merge(current, incoming)
-        merged = self._stage(merged, "merged")
-        self._write_buckets(merged, len(touched))
-        return LoadResult(n_failed == 0, int(counts["rows_inserted"]), int(counts["rows_updated"]),
-                          n_failed, failed_ids)
+               run_ts: datetime | None = None, atomic: bool = False) -> LoadResult:
+        """Gate the rows, keep the latest accepted one per key, merge it into the touched buckets.
+
+        ``seq`` orders the versions of a key, latest first; the default is the
+        last row of the last file. Without ``seq`` and lineage columns a key may
+        occur once only. ``atomic`` loads nothing if any row is refused."""
+        before = self.manifest()
+        gated, gated_path = keep(load_gate(enriched, run_ts), "upsert-gated")
+        ok = accepted(gated).withColumn(KEY_BUCKET, bucket_of(F.col("order_id"), self.buckets))
+        n_all, n_ok = gated.count(), ok.count()
+        rejects = None
+        if n_all > n_ok:
+            rejects, _ = keep(gated.where(F.col(GATE_REASON).isNotNull()), "upsert-rejects")
+        try:
+            if n_ok == 0 or (atomic and rejects is not None):
+                return LoadResult(rejects is None, 0, 0, n_all - n_ok, rejects)
+            order = seq or latest_order(gated)
+            if order is None:
+                if not ok.groupBy("order_id").count().where("count > 1").isEmpty():
+                    raise ValueError("a key occurs more than once and nothing orders its rows: give seq, or source_file and row_ordinal")
+                incoming = ok
+            else:
+                incoming = latest_per_key(ok, order)
+            touched = [r[0] for r in ok.select(KEY_BUCKET).distinct().collect()]   # at most the bucket count
+            current = self._buckets(touched)
+            old = current.select(KEY_BUCKET, "order_id", F.struct(*S.TABLE_COLUMNS).alias("_old"))
+            new = incoming.select(KEY_BUCKET, "order_id", F.struct(*S.TABLE_COLUMNS).alias("_new"))
+            both = old.join(new, [KEY_BUCKET, "order_id"], "full")
+            change = (F.when(F.col("_new").isNull(), "kept").when(F.col("_old").isNull(), "inserted").otherwise("updated"))
+            merged = both.select(F.coalesce("_new", "_old").alias("_row"), KEY_BUCKET, change.alias("_change")).select(
+                "_row.*", KEY_BUCKET, "_change")
+            version, written = self._write(merged, len(touched), current.count() + n_ok)
+            counts = {r["_change"]: r["count"] for r in written.groupBy("_change").count().collect()}
+            self._commit(before, (before["live"] if before else {}) | {b: version for b in touched})
+            return LoadResult(rejects is None, counts.get("inserted", 0), counts.get("updated", 0), n_all - n_ok, rejects)
+        finally:
+            remove(self.spark, gated_path)
 
     def delete_before(self, before: date | datetime) -> int:
-        """Delete rows with order_date < before (strict). Only buckets holding a
-        match are rewritten; a bucket left empty is removed."""
-        if not self.exists():
+        """Delete rows with order_date < before (strict). Only buckets that hold
+        such a row are written anew; one left empty leaves the manifest."""
+        stored = self.manifest()
+        if stored is None:
             return 0
         d = F.lit(before.date() if isinstance(before, datetime) else before)
         table = self.read(with_bucket=True)
-        hit = table.where(F.col("order_date") < d)
-        per_bucket = hit.groupBy(KEY_BUCKET).count().collect()
-        deleted = sum(r["count"] for r in per_bucket)
-        if deleted == 0:
+        per = table.groupBy(KEY_BUCKET).agg(F.count("*").alias("n"), F.count_if(F.col("order_date") < d).alias("gone"))
+        hit = {r[KEY_BUCKET]: (r["n"], r["gone"]) for r in per.where("gone > 0").collect()}   # at most the bucket count
+        if not hit:
             return 0
-        touched = sorted(r[KEY_BUCKET] for r in per_bucket)
-        kept = table.where(F.col(KEY_BUCKET).isin(touched) & ~(F.col("order_date") < d))
-        kept = self._stage(kept, "kept")
-        left = {r[0] for r in kept.select(KEY_BUCKET).distinct().collect()}
+        live = {b: v for b, v in stored["live"].items() if b not in hit}
+        left = [b for b, (n, gone) in hit.items() if n > gone]
         if left:
-            self._write_buckets(kept, len(left))
-        p, fs = self._fs()
-        jvm = self.spark._jvm
-        for b in touched:
-            if b not in left:
-                fs.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/{KEY_BUCKET}={b}"), True)
-        return deleted
+            kept = self._buckets(left).where(~(F.col("order_date") < d))
+            version, _ = self._write(kept, len(left), sum(n - gone for n, gone in hit.values()))
+            live |= {b: version for b in left}
+        self._commit(stored, live)
+        return sum(gone for _, gone in hit.values())
 
 
 def delete_before_plan(sales: DataFrame, before: date) -> DataFrame:

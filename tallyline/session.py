@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for correctness or for plans at scale.
 DEFAULT_CONF = {
@@ -48,7 +50,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):      # local-cluster has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set; point it at a folder every executor can reach"
         )
@@ -60,3 +62,25 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def hadoop_fs(spark: SparkSession, path: str):
+    """(path, file system) as Spark's own readers and writers see it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """`df` written under the shared checkpoint folder and read back, with its path.
+
+    Cuts the lineage, and lets Spark plan joins from the measured size. The
+    caller removes the path when nothing reads it any more.
+    """
+    path = work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path

@@ -1,6 +1,7 @@
 import tempfile
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyline.operators.table import KeyedSalesTable, load_gate
@@ -11,7 +12,83 @@ COLS = ("source_file string, order_id string, product_name string, quantity int,
 
 
 def _rows(spark, rows):
-    return spark.createDataFrame(rows, COLS)
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "pos long, " + COLS)
+    return df.withColumn("row_ordinal", F.struct("pos")).drop("pos")
+
+
+def _order(k, version="A", file="a", total=10.0):
+    return (file, f"ORD-{k:06d}", version, 1, 10.0, date(2024, 1, 1), "C", "Canada", total)
+
+
+def _table(spark, **kw):
+    return KeyedSalesTable(spark, tempfile.mkdtemp(prefix="tl-table-") + "/sales", **kw)
+
+
+def _state(t):
+    return sorted((r.order_id, r.product_name) for r in t.read().collect())
+
+
+@pytest.mark.parametrize("step", ["_write", "_commit"])
+def test_a_stop_before_the_switch_loses_nothing(spark, monkeypatch, step):
+    t = _table(spark, buckets=4)
+    t.upsert(_rows(spark, [_order(k) for k in range(20)]), run_ts=RUN_TS)
+    before = _state(t)
+    real = getattr(KeyedSalesTable, step)
+
+    def stop(self, *a, **kw):
+        if step == "_write":
+            real(self, *a, **kw)          # the new version is on disk, the manifest is not
+        raise KeyboardInterrupt
+
+    more = _rows(spark, [_order(k, "B") for k in range(10, 30)])
+    monkeypatch.setattr(KeyedSalesTable, step, stop)
+    with pytest.raises(KeyboardInterrupt):
+        t.upsert(more, run_ts=RUN_TS)
+    assert _state(KeyedSalesTable(spark, t.path)) == before
+    monkeypatch.setattr(KeyedSalesTable, step, real)
+    r = KeyedSalesTable(spark, t.path).upsert(more, run_ts=RUN_TS)     # the replay
+    assert (r.rows_inserted, r.rows_updated) == (10, 10)
+    assert _state(t) == [(f"ORD-{k:06d}", "A" if k < 10 else "B") for k in range(30)]
+    assert t.vacuum() == 0
+
+
+def test_bucket_count_is_the_stored_one(spark):
+    t = _table(spark, buckets=8)
+    t.upsert(_rows(spark, [_order(k) for k in range(20)]), run_ts=RUN_TS)
+    for buckets in (4, 16):
+        again = KeyedSalesTable(spark, t.path, buckets=buckets)
+        assert again.buckets == 8 and all(again.has_order(f"ORD-{k:06d}") for k in (0, 7, 19))
+        again.upsert(_rows(spark, [_order(k, "B") for k in range(20)]), run_ts=RUN_TS)
+        assert again.read().count() == 20
+    probe = spark.createDataFrame([("ORD-000003",), ("ORD-000099",)], "order_id string")
+    assert sorted(map(tuple, t.has_orders(probe).collect())) == [("ORD-000003", True), ("ORD-000099", False)]
+
+
+def test_last_row_of_the_last_file_wins_and_ties_need_an_order(spark):
+    t = _table(spark, buckets=2)
+    rows = _rows(spark, [_order(1, f"v{k}") for k in range(8)])
+    t.upsert(rows, run_ts=RUN_TS)
+    assert _state(t) == [("ORD-000001", "v7")]
+    with pytest.raises(ValueError):
+        t.upsert(rows.drop("row_ordinal"), run_ts=RUN_TS)
+    assert _state(t) == [("ORD-000001", "v7")]
+
+
+def test_every_refused_row_is_returned(spark):
+    t = _table(spark, buckets=2)
+    r = t.upsert(_rows(spark, [_order(k, total=11.0) for k in range(150)] + [_order(500)]), run_ts=RUN_TS)
+    assert r.rows_failed == 150 and r.failed_order_ids().distinct().count() == 150 and not r.success
+    assert _state(t) == [("ORD-000500", "A")]
+
+
+def test_two_writers_of_one_version(spark):
+    t = _table(spark, buckets=2)
+    t.upsert(_rows(spark, [_order(1)]), run_ts=RUN_TS)
+    seen = t.manifest()
+    t.upsert(_rows(spark, [_order(2)]), run_ts=RUN_TS)
+    with pytest.raises(RuntimeError):
+        t._commit(seen, {})
+    assert len(_state(t)) == 2
 
 
 def test_gate_exact_total_after_price_rounding(spark):
@@ -42,7 +119,7 @@ def test_upsert_insert_update_idempotent_and_delete(spark):
     ])
     r2 = t.upsert(second, run_ts=RUN_TS)
     assert (r2.rows_inserted, r2.rows_updated, r2.rows_failed) == (0, 1, 1)
-    assert r2.failed_order_ids == ["ORD-000003"]
+    assert [r.order_id for r in r2.failed_order_ids().collect()] == ["ORD-000003"]
     snap = sorted((r.order_id, r.product_name, r.quantity) for r in t.read().collect())
     assert snap == [("ORD-000001", "A", 1), ("ORD-000002", "B3", 4)]
     t.upsert(second, run_ts=RUN_TS)   # replay changes nothing
