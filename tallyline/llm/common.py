@@ -53,7 +53,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path

@@ -24,8 +24,8 @@ neighbours in suffix order:
 The sequential files are Spark's: segments reach a task sorted by gram, and are
 read once in runs of bounded size. Equal segments are counted before the
 shuffle, so a passage in a third of all documents is one text with a count. A
-gram with more than `hot` different segments (edges of a common passage) is not
-gathered: its segments are cut into single windows, which are counted by value.
+gram that occurs more than `hot` times is not gathered: its different segments
+are cut into single windows, which are counted by value.
 
 Defined cases: a null or short text loses nothing; repeated documents lose all
 their bytes if they have `length`; a null or repeated doc_id is carried as it
@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import discard, map_arrow, materialize, mix64, read, slices
 
 LENGTH = 200
-GRAM = 24
+GRAM = 64      # a power of two; longer grams repeat less often by chance, shorter ones make fewer segments
 HOT = 512
 STEP = 1 << 20
 RUN_TEXTS = 16384
@@ -53,7 +53,7 @@ N_BITS = 16
 
 _rng = np.random.default_rng(20240301)
 BYTE_HASH = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BYTE_POWERS = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0x27D4EB2F165667C5)]
+BYTE_POWERS = _rng.integers(0, 1 << 63, 7, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def text_key(text: Column) -> tuple[Column, Column]:
@@ -62,13 +62,13 @@ def text_key(text: Column) -> tuple[Column, Column]:
 
 
 def gram_hashes(buf: np.ndarray) -> np.ndarray:
-    """Hash of the GRAM bytes at every place: 24 = 3 * 8, 8 by doubling."""
-    h = BYTE_HASH[buf]
-    for k, power in zip((1, 2, 4), BYTE_POWERS, strict=False):
-        h = h[:-k] * power + h[k:]
+    """Hash of the GRAM bytes at every place, by doubling."""
+    h, have = BYTE_HASH[buf], 1
+    while have < GRAM:
+        h = h[:-have] * BYTE_POWERS[have % len(BYTE_POWERS)] + h[have:]
         h ^= h >> np.uint64(29)
-    n = len(h) - 16
-    return mix64((h[:n] * BYTE_POWERS[3] + h[8:n + 8]) * BYTE_POWERS[3] + h[16:])
+        have *= 2
+    return mix64(h)
 
 
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
@@ -125,7 +125,7 @@ def _strings(held: DataFrame, length: int) -> DataFrame:
             for r in range(batch.num_rows):
                 raw = batch.column("text")[r].as_buffer().to_pybytes()
                 places = batch.column("places")[r].values
-                gram, place = np.asarray(places.field("gram")), np.asarray(places.field("place"))
+                gram, place, uses = (np.asarray(places.field(c)) for c in ("gram", "place", "uses"))
                 start, n, at = place >> 2 * N_BITS, place >> N_BITS & 0xFFFF, place & 0xFFFF
                 for i in range(0, len(gram), 8192):
                     s, e = start[i:i + 8192], (start + n + length - 1)[i:i + 8192]
@@ -133,9 +133,10 @@ def _strings(held: DataFrame, length: int) -> DataFrame:
                         pa.array(gram[i:i + 8192]), pa.array(at[i:i + 8192].astype(np.int32)),
                         pa.array([raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)], pa.binary()),
                         pa.array([ta[r]] * len(s), pa.int64()), pa.array([tb[r]] * len(s), pa.int64()), pa.array(s),
-                    ], ["gram", "at", "bytes", "ta", "tb", "start"])
+                        pa.array(uses[i:i + 8192]),
+                    ], ["gram", "at", "bytes", "ta", "tb", "start", "uses"])
 
-    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long")
+    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long, uses long")
 
 
 def build(gram: np.ndarray, at: np.ndarray, texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -251,21 +252,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     keyed = texts.select("doc_id", "text", *text_key(F.col("text")))
 
     places = materialize(_anchors(keyed.where(F.octet_length("text") >= length), length), "repeat-places")
-    often = places.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram")
+    often = places.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
     listed = materialize(places.join(often, "gram").distinct().groupBy("ta").agg(
-        F.collect_list(F.struct("gram", "place")).alias("places")), "repeat-listed")
+        F.collect_list(F.struct("gram", "place", "uses")).alias("places")), "repeat-listed")
     discard(places)
 
     held = materialize(keyed.select("ta", "tb", "text").join(listed, "ta"), "repeat-texts")
     discard(listed)
 
     strings = _strings(held, length).withColumns({"sa": F.xxhash64("bytes"), "sb": F.xxhash64(F.lit(7), "bytes")})
-    counted = materialize(strings.groupBy("gram", "at", "sa", "sb", "bytes").agg(F.count("*").alias("n")), "repeat-strings")
-    crowd = counted.groupBy("gram").agg(F.count("*").alias("of_gram"), F.sum("n").alias("uses"))
-    counted = counted.join(crowd.where("uses > 1"), "gram")
-    few = counted.where(F.col("of_gram") <= hot).repartition("gram").sortWithinPartitions("gram").select("gram", "at", "bytes", "n", "sa", "sb")
-    many = counted.where(F.col("of_gram") > hot)
+    counted = materialize(strings.groupBy("gram", "uses", "at", "sa", "sb", "bytes").agg(F.count("*").alias("n")), "repeat-strings")
+    few = counted.where(F.col("uses") <= hot).repartition("gram").sortWithinPartitions("gram").select("gram", "at", "bytes", "n", "sa", "sb")
+    many = counted.where(F.col("uses") > hot)
     found = materialize(_collections(few, length).unionByName(_by_window(many, length)), "repeat-found")
+    discard(counted)
 
     spans = strings.select("ta", "tb", "start", "gram", "at", "sa", "sb").distinct().join(found, ["gram", "at", "sa", "sb"])
     spans = spans.select("ta", "tb", F.explode(F.transform("windows", lambda w: F.struct(
