@@ -30,6 +30,7 @@ from tallyline.functions import (
     parse_timestamp,
     timestamp_literal,
 )
+from tallyline.functions.parse import DATE_FORMATS
 
 DUP_COUNT = "dup_count"
 REJECT_REASON = "reject_reason"
@@ -53,10 +54,12 @@ class CleanConfig:
     normalize_strings: bool = True
     as_of: datetime | None = None          # newest allowed order time; None = now
     min_date: date = S.MIN_ORDER_DATE      # oldest allowed order date (inclusive)
+    date_formats: tuple[str, ...] = DATE_FORMATS   # tried in order
     extra: dict = field(default_factory=dict)
 
-    def as_of_value(self) -> datetime:
-        return self.as_of if self.as_of is not None else S.default_as_of()
+    def newest(self) -> Column:
+        """Newest allowed order time, in the session time zone as the parsed dates are."""
+        return timestamp_literal(self.as_of) if self.as_of is not None else F.current_timestamp()
 
 
 def _scope(df: DataFrame) -> list[str]:
@@ -88,10 +91,10 @@ def classify(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     bad_date = F.lit(False)
     bad_num = F.lit(False)
     if cfg.validate_dates:
-        ts = parse_timestamp(F.col("order_date"))
+        ts = parse_timestamp(F.col("order_date"), cfg.date_formats)
         out = out.withColumn(ORDER_TS, ts)
         t = F.col(ORDER_TS)
-        bad_date = t.isNull() | (t > timestamp_literal(cfg.as_of_value())) | (
+        bad_date = t.isNull() | (t > cfg.newest()) | (
             t < timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
         )
     if cfg.validate_numerics:
@@ -188,7 +191,7 @@ def cleaning_stats(classified: DataFrame) -> DataFrame:
 
 def parse_dates(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Date step alone: parse order_date, drop null / future / too old."""
-    c = CleanConfig(False, False, True, False, False, cfg.as_of, cfg.min_date)
+    c = CleanConfig(False, False, True, False, False, cfg.as_of, cfg.min_date, cfg.date_formats)
     k = classify(df, c)
     return k.where(F.col(REJECT_REASON).isNull()).withColumn(
         "order_date", F.to_date(F.col(ORDER_TS))

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline import schema as S
-from tallyline.functions import is_number_text, matches, null_tokens, parse_timestamp, strip_ws
+from tallyline.functions import is_number_text, matches, null_tokens, parse_number, parse_timestamp, strip_ws
+from tallyline.functions.parse import DATE_FORMATS
 
 INT_TEXT = r"^[+-]?\d+$"
 
@@ -181,9 +182,9 @@ def stage_counts(df: DataFrame, stages: list[str], extra: list[Column] | None =
     return long, wide
 
 
-def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int = 100) -> DataFrame:
+def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int | None = None) -> DataFrame:
     """Every failing (row, column, check): [source_file,] column, check,
-    row_index, failure_case (text cut to ``value_chars``). Uniqueness failures
+    row_index, failure_case (cut to ``value_chars`` characters if given). Uniqueness failures
     are listed for every member of a duplicated key."""
     keys = _keys(df)
     rules = [r for r in STAGES[stage] if r.column == "*" or r.column in df.columns]
@@ -193,9 +194,12 @@ def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int = 100)
     def val(r):
         return F.lit(None).cast("string") if r.column == "*" else F.col(r.column).cast("string")
 
+    def cut(text):
+        return text if value_chars is None else F.left(text, F.lit(value_chars))
+
     cases = F.array(*[
         F.struct(F.lit(r.column).alias("column"), F.lit(r.check).alias("check"),
-                 r.fails().alias("failed"), F.left(val(r), F.lit(value_chars)).alias("failure_case"))
+                 r.fails().alias("failed"), cut(val(r)).alias("failure_case"))
         for r in flat
     ])
     out = df.select(*keys, idx.alias("row_index"), F.inline(F.filter(cases, lambda x: x["failed"])))
@@ -207,7 +211,7 @@ def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int = 100)
             members = df.join(dup_keys, keys + [r.column], "left_semi")
             out = out.unionByName(members.select(
                 *keys, F.lit(r.column).alias("column"), F.lit(r.check).alias("check"),
-                idx.alias("row_index"), F.left(F.col(r.column).cast("string"), F.lit(value_chars)).alias("failure_case")))
+                idx.alias("row_index"), cut(F.col(r.column).cast("string")).alias("failure_case")))
     return out
 
 
@@ -244,13 +248,15 @@ def raw_profile(raw: DataFrame, header_columns: DataFrame | None = None) -> Data
         F.count_if(q.isNotNull() & ~digits_only).alias("_non_numeric"),
         F.count_if(null_tokens(oid).isNull() | (oid == "")).alias("empty_order_ids"),
     )
+    counts = ["total_rows", "null_order_ids", "malformed_rows", "_text_values", "_non_numeric", "empty_order_ids"]
     missing = [m.split(":", 1)[1] for m in schema_problems(raw, "raw")]
     if header_columns is not None:
-        # Per-file header columns from the scan (different files may differ).
+        # Every listed file has a verdict, also one without rows or header.
         req = F.array(*[F.lit(c) for c in S.REQUIRED_COLUMNS])
-        agg = agg.join(header_columns, keys, "left").withColumn(
-            "_missing", F.array_except(req, F.coalesce(F.col("header"), F.array().cast("array<string>")))
-        ).drop("header")
+        opened = F.col("open_quotes") if "open_quotes" in header_columns.columns else F.lit(0)
+        agg = header_columns.join(agg, keys, "left").select(
+            *keys, F.array_except(req, F.coalesce(F.col("header"), F.array().cast("array<string>"))).alias("_missing"),
+            *[(F.coalesce(c, F.lit(0)) + (opened if c == "malformed_rows" else F.lit(0))).alias(c) for c in counts])
     else:
         agg = agg.withColumn("_missing", F.array(*[F.lit(m) for m in missing]).cast("array<string>"))
     ok = (F.size("_missing") == 0) & (F.col("null_order_ids") == 0) & (F.col("malformed_rows") == 0)
@@ -282,14 +288,16 @@ def raw_stage_report(profile: DataFrame, strict: bool = False) -> DataFrame:
     """The raw-stage report rows (same columns as ``stage_report``) from a raw
     profile, without touching the raw rows again."""
     keys = [c for c in profile.columns if c == S.SOURCE_FILE]
-    n_missing = F.when(F.col("missing_columns") == "", 0).otherwise(F.size(F.split("missing_columns", ",")))
-    err_n = F.col("null_order_ids") + n_missing + F.col("malformed_rows")
-    warn_n = (F.col("non_numeric_quantity") > 0).cast("int") + (F.col("empty_order_ids") > 0).cast("int")
+    # Missing columns are one error, and nothing else of the file is looked at.
+    missing = F.col("missing_columns") != ""
+    err_n = F.when(missing, F.lit(1)).otherwise(F.col("null_order_ids") + F.col("malformed_rows"))
+    warn_n = F.when(missing, F.lit(0)).otherwise(
+        (F.col("non_numeric_quantity") > 0).cast("int") + (F.col("empty_order_ids") > 0).cast("int"))
     ok = (err_n == 0) & ((warn_n == 0) | F.lit(not strict))
     errs = F.filter(F.array(
-        F.when(F.col("null_order_ids") > 0, F.lit("order_id:not_null")),
-        F.when(n_missing > 0, F.lit("schema:missing_columns")),
-        F.when(F.col("malformed_rows") > 0, F.lit("schema:malformed_rows")),
+        F.when(~missing & (F.col("null_order_ids") > 0), F.lit("order_id:not_null")),
+        F.when(missing, F.concat(F.lit("schema:missing_columns:"), F.col("missing_columns"))),
+        F.when(~missing & (F.col("malformed_rows") > 0), F.lit("schema:malformed_rows")),
     ), lambda x: x.isNotNull())
     status = F.when(~ok, "failed").when(F.col("total_rows") == 0, "skipped").when(warn_n > 0, "warning").otherwise("passed")
     return profile.select(
@@ -303,7 +311,7 @@ def raw_stage_report(profile: DataFrame, strict: bool = False) -> DataFrame:
         F.when(ok, 0).otherwise(F.col("total_rows")).cast("long").alias("invalid_rows"),
         err_n.cast("long").alias("error_count"),
         warn_n.cast("long").alias("warning_count"),
-        F.concat_ws(";", F.slice(F.array_sort(errs), 1, 10)).alias("first_errors"),
+        F.concat_ws(";", F.array_sort(errs)).alias("first_errors"),
     )
 
 
@@ -330,7 +338,9 @@ def quality_warnings(cleaned: DataFrame, original_counts: DataFrame | None = Non
 def quality_from_aggregates(agg: DataFrame, original_counts: DataFrame | None, keys: list[str]) -> DataFrame:
     """Warnings from per-file aggregates (cleaned_count + ``quality_aggregates``)."""
     if original_counts is not None:
-        agg = agg.join(original_counts.select(*keys, "original_count"), keys, "left")
+        # From the original counts on: a file that lost all its rows has a row too.
+        agg = original_counts.select(*keys, "original_count").join(agg, keys, "left").fillna(
+            0, ["cleaned_count", "unknown_customers", "unknown_countries"])
     else:
         agg = agg.withColumn("original_count", F.lit(0).cast("long"))
     n = F.col("cleaned_count")
@@ -351,14 +361,14 @@ def quality_from_aggregates(agg: DataFrame, original_counts: DataFrame | None, k
     )
 
 
-def coerce_failures(raw: DataFrame) -> DataFrame:
+def coerce_failures(raw: DataFrame, date_formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
     """Type coercion of raw text to the cleaned types: per file and column,
     values present whose text does not convert."""
     keys = _keys(raw)
     checks = {
         "quantity": lambda c: F.regexp_like(strip_ws(c), F.lit(INT_TEXT)),
         "unit_price": is_number_text,
-        "order_date": lambda c: parse_timestamp(c).isNotNull(),
+        "order_date": lambda c: parse_timestamp(c, date_formats).isNotNull(),
     }
     agg = raw.groupBy(*keys).agg(*[
         F.count_if(F.col(c).isNotNull() & ~F.coalesce(ok(F.col(c)), F.lit(False))).alias(c)
@@ -380,26 +390,29 @@ def stage_report(df: DataFrame, stage: str, warnings: DataFrame | None = None, s
     df, keys, scoped = _scoped(df)
     long, wide = stage_counts(df, [stage])
     rep = report_from_counts(long, wide.select(*keys, "total_rows"), stage, keys,
-                             warnings if not scoped else None, len(problems), strict)
+                             warnings if not scoped else None, problems, strict)
     if scoped and warnings is not None:
-        rep = rep.drop("warning_count").crossJoin(warnings.select("warning_count"))
+        rep = rep.drop("warning_count").withColumn("_one", F.lit(1)).join(
+            warnings.select("warning_count", F.lit(1).alias("_one")), "_one").drop("_one")
     return rep.drop(SCOPE) if scoped else rep
 
 
 def report_from_counts(long: DataFrame, sizes: DataFrame, stage: str, keys: list[str],
-                       warnings: DataFrame | None = None, n_problems: int = 0,
+                       warnings: DataFrame | None = None, problems: list[str] | None = None,
                        strict: bool = False) -> DataFrame:
     """Report rows for one stage from precomputed failure counts and sizes."""
     errs = long.where((F.col("stage") == stage) & (F.col("failures") > 0)).groupBy(*keys).agg(
-        F.sum("failures").alias("error_count"),
-        F.slice(F.array_sort(F.collect_list(F.concat_ws(":", "column", "check"))), 1, 10).alias("_errs"),
+        # A wrong calculation is one error, however many rows show it.
+        F.sum(F.when(F.col("check") == "calculation_error", 1).otherwise(F.col("failures"))).alias("error_count"),
+        F.array_sort(F.collect_list(F.concat_ws(":", "column", "check"))).alias("_errs"),    # at most one per rule
     )
     rep = sizes.join(errs, keys, "left")
     if warnings is not None:
         rep = rep.join(warnings.select(*keys, "warning_count"), keys, "left")
     else:
         rep = rep.withColumn("warning_count", F.lit(0))
-    err_n = F.coalesce(F.col("error_count"), F.lit(0)) + F.lit(n_problems)
+    problems = problems or []
+    err_n = F.coalesce(F.col("error_count"), F.lit(0)) + F.lit(len(problems))
     warn_n = F.coalesce(F.col("warning_count"), F.lit(0))
     ok = (err_n == 0) & ((warn_n == 0) | F.lit(not strict))
     status = F.when(~ok, "failed").when(F.col("total_rows") == 0, "skipped").when(warn_n > 0, "warning").otherwise("passed")
@@ -414,7 +427,8 @@ def report_from_counts(long: DataFrame, sizes: DataFrame, stage: str, keys: list
         F.when(ok, 0).otherwise(F.col("total_rows")).cast("long").alias("invalid_rows"),
         err_n.cast("long").alias("error_count"),
         warn_n.cast("long").alias("warning_count"),
-        F.concat_ws(";", F.coalesce(F.col("_errs"), F.array().cast("array<string>"))).alias("first_errors"),
+        F.concat_ws(";", F.concat(F.array(*map(F.lit, problems)).cast("array<string>"),
+                                  F.coalesce(F.col("_errs"), F.array().cast("array<string>")))).alias("first_errors"),
     )
 
 
@@ -432,21 +446,45 @@ def validation_summary(reports: DataFrame) -> DataFrame:
     )
 
 
+def coerce(df: DataFrame, stage: str = "cleaned", date_formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
+    """The frame with its columns in the stage's types. A value that does not
+    convert becomes null and is named in ``_uncoerced`` (array of columns)."""
+    if stage == "raw":
+        return df.withColumn("_uncoerced", F.array().cast("array<string>"))
+    number = lambda c: parse_number(F.col(c))
+    whole = lambda c: F.when(number(c) == F.floor(number(c)), number(c)).try_cast("int")
+    stamp = lambda c: (F.col(c) if dict(df.dtypes)[c].startswith(("timestamp", "date")) else
+                       F.coalesce(parse_timestamp(F.col(c), date_formats), F.col(c).try_cast("timestamp")))
+    text = lambda c: F.col(c).cast("string")
+    kinds = {"quantity": whole, "unit_price": number, "total_amount": number, "order_date": stamp, "ingestion_timestamp": stamp,
+             "order_id": text, "product_name": text, "customer_id": text, "country": text}
+    made = {c: kind(c) for c, kind in kinds.items() if c in df.columns}
+    lost = F.filter(F.array(*[F.when(F.col(c).isNotNull() & v.isNull(), F.lit(c)) for c, v in made.items()]), lambda x: x.isNotNull())
+    return df.select(*[made[c].alias(c) if c in made else F.col(c) for c in df.columns], lost.alias("_uncoerced"))
+
+
 def validate_dataframe(df: DataFrame, stage: str = "cleaned", lazy: bool = True):
-    """(ok, df or None, message or None). lazy=True gathers every failure in one
-    pass; lazy=False stops at the first failing row."""
+    """(ok, typed frame or None, message or None). Values are brought to the
+    stage's types first; one that does not convert is a failure, never an
+    error. lazy=True gathers every failure in one pass; lazy=False stops at the
+    first failing row."""
     problems = schema_problems(df, stage)
     if problems:
         return False, None, "; ".join(problems)
+    typed = coerce(df, stage)
+    data = typed.drop("_uncoerced", S.SOURCE_FILE)
+    lost = typed.select(F.explode("_uncoerced").alias("column"))
     if lazy:
-        bad = rule_counts(df.drop(S.SOURCE_FILE) if S.SOURCE_FILE in df.columns else df, stage,
-                          keep_zero=False).collect()   # at most one row per rule
+        bad = [(r["column"], "coerce", r["count"]) for r in lost.groupBy("column").count().orderBy("column").collect()]
+        bad += [(r["column"], r["check"], r["failures"]) for r in rule_counts(data, stage, keep_zero=False).collect()]   # one row per rule
         if bad:
-            msg = "\n".join(f"  - Column '{r['column']}': {r['check']} ({r['failures']})" for r in bad)
-            return False, None, f"Validation failed with {sum(r['failures'] for r in bad)} error(s):\n{msg}"
-        return True, df, None
-    first = failure_cases(df.drop(S.SOURCE_FILE) if S.SOURCE_FILE in df.columns else df, stage).limit(1).collect()
+            return False, None, f"{stage}: {sum(n for *_, n in bad)} failing values; " + ", ".join(f"{c}/{k}: {n}" for c, k, n in bad)
+        return True, typed.drop("_uncoerced"), None
+    first = lost.take(1)
+    if first:
+        return False, None, f"{stage}: a value of {first[0]['column']} does not convert"
+    first = failure_cases(data, stage).take(1)
     if first:
         r = first[0]
-        return False, None, f"Column '{r['column']}' failed check {r['check']}: {r['failure_case']}"
-    return True, df, None
+        return False, None, f"{stage}: {r['column']} breaks {r['check']} with {r['failure_case']}"
+    return True, typed.drop("_uncoerced"), None

@@ -1,21 +1,32 @@
-"""A whole batch run as one DataFrame plan: scan -> file verdict -> clean ->
-checks -> enrich -> checks -> gate -> keyed rows, with per-file reports and a
-run summary computed from the same plan. Nothing is collected to the driver.
+"""A whole batch run: scan -> file verdict -> clean -> checks -> enrich ->
+checks -> gate -> keyed rows, with per-file reports and a run summary computed
+from the same plan, and `run_batch`, which writes all of it.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline import schema as S
 from tallyline.functions import null_tokens
 from tallyline.operators import validate as V
-from tallyline.operators.clean import CleanConfig, CleanOutput, clean, from_classified
+from tallyline.operators.clean import REJECT_REASON, CleanConfig, CleanOutput, clean, from_classified
 from tallyline.operators.enrich import EnrichConfig, enrich, enrichment_stats
-from tallyline.operators.table import GATE_REASON, latest_accepted, load_gate
+from tallyline.operators.table import (
+    DEFAULT_BUCKETS,
+    GATE_REASON,
+    KeyedSalesTable,
+    LoadResult,
+    latest_accepted,
+    latest_order,
+    load_gate,
+)
+from tallyline.session import keep, remove
+from tallyline.sources.archive import archive_rows
+from tallyline.sources.csv_files import read_sales_csv
 
 
 @dataclass(frozen=True)
@@ -44,18 +55,35 @@ class BatchRun:
     cleaning: CleanOutput
     enriched: DataFrame
     gated: DataFrame
+    kept: list[str] = field(default_factory=list)
 
     @property
     def cleaned(self) -> DataFrame:
         return self.cleaning.cleaned
 
     def loaded(self) -> DataFrame:
-        """Accepted rows, latest file wins per order_id: the table after the run."""
-        return latest_accepted(self.gated, [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
+        """Accepted rows, the last row of the last file wins per order_id: the table after the run."""
+        return latest_accepted(self.gated, latest_order(self.gated) or [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
 
     def rejected(self) -> DataFrame:
         return self.gated.where(F.col(GATE_REASON).isNotNull())
 
+    def quarantine(self) -> DataFrame:
+        """Every row that is not loaded for a fault, as text, with the stage and
+        the reason: rows of refused files, rows that do not parse or are out of
+        range, rows that break a table constraint."""
+        text = [F.col(c).cast("string").alias(c) for c in S.REQUIRED_COLUMNS]
+
+        def of(df, stage, reason):
+            return df.select(S.SOURCE_FILE, *text, F.lit(stage).alias("stage"), reason.alias("reason"))
+
+        refused = self.verdict.where(~F.col("is_valid")).select(S.SOURCE_FILE, F.when(
+            F.col("missing_columns") != "", F.concat(F.lit("missing_columns:"), F.col("missing_columns"))).when(
+            F.col("malformed_rows") > 0, "malformed_rows").otherwise("null_order_ids").alias("_why"))
+        return (of(self.raw.join(refused, S.SOURCE_FILE), "file", F.col("_why"))
+                .unionByName(of(self.cleaning.rejected, "clean", F.col(REJECT_REASON)))
+                .unionByName(of(self.rejected(), "load", F.col(GATE_REASON))))
+
     def cleaning_stats(self) -> DataFrame:
         return self.cleaning.stats()
 
@@ -71,9 +99,10 @@ class BatchRun:
         edata = [c for c in self.enriched.columns if c != S.ROW_ORDINAL]
         enriched = self.enriched.select(*edata)
         long, wide = V.stage_counts(enriched, ["cleaned", "enriched"], V.quality_aggregates())
-        sizes = wide.select(*keys, "total_rows")
-        q = V.quality_from_aggregates(wide.withColumnRenamed("total_rows", "cleaned_count"),
-                                      self.cleaning_stats(), keys)
+        stats = self.cleaning_stats()
+        # From the cleaning figures on: a file that lost all its rows has a report too.
+        sizes = stats.select(*keys).join(wide.select(*keys, "total_rows"), keys, "left").fillna(0, ["total_rows"])
+        q = V.quality_from_aggregates(wide.withColumnRenamed("total_rows", "cleaned_count"), stats, keys)
         clean_w = q.select(
             *keys,
             (F.col("warn_data_loss").cast("int") + F.col("warn_unknown_customers").cast("int")
@@ -81,20 +110,26 @@ class BatchRun:
             .alias("warning_count"),
         )
         strict = self.cfg.strict
-        n_clean = len(V.schema_problems(self.cleaned.select(*data), "cleaned"))
-        n_enr = len(V.schema_problems(enriched, "enriched"))
+        cleaned_problems = V.schema_problems(self.cleaned.select(*data), "cleaned")
+        enriched_problems = V.schema_problems(enriched, "enriched")
         return (
             V.raw_stage_report(self.profile, strict)
-            .unionByName(V.report_from_counts(long, sizes, "cleaned", keys, clean_w, n_clean, strict))
-            .unionByName(V.report_from_counts(long, sizes, "enriched", keys, None, n_enr, strict))
+            .unionByName(V.report_from_counts(long, sizes, "cleaned", keys, clean_w, cleaned_problems, strict))
+            .unionByName(V.report_from_counts(long, sizes, "enriched", keys, None, enriched_problems, strict))
         )
 
     def materialize(self) -> "BatchRun":
-        """Checkpoint the classified rows (deduped, tagged) to the shared
-        checkpoint folder, so the several reports of a run read them instead of
+        """The classified rows (deduped, tagged) written to the shared checkpoint
+        folder, so the several reports of a run read them instead of
         recomputing scan, joins and dedupe each time."""
-        classified = self.cleaning.classified.checkpoint(eager=True)
-        return _assemble(self.cfg, self.raw, self.profile, self.verdict, self.valid_raw, classified)
+        classified, path = keep(self.cleaning.classified, "run-classified")
+        self.kept.append(path)
+        return _assemble(self.cfg, self.raw, self.profile, self.verdict, self.valid_raw, classified, self.kept)
+
+    def discard(self) -> None:
+        """Remove what the run wrote to the checkpoint folder, once its results are taken."""
+        while self.kept:
+            remove(self.raw.sparkSession, self.kept.pop())
 
     def file_report(self) -> DataFrame:
         """Per valid file: counts through the stages, revenue and cleaning figures."""
@@ -114,14 +149,19 @@ class BatchRun:
             "removal_rate",
         )
 
-    def summary(self) -> DataFrame:
+    def summary(self, archived: DataFrame | None = None) -> DataFrame:
         """One row: files detected / valid / invalid, rows loaded / failed, files
-        archived, status. Built from per-file figures joined on the file name."""
+        archived, status. Built from per-file figures joined on the file name;
+        ``archived`` holds the files that the archive really has."""
         per_file = self.gated.groupBy(S.SOURCE_FILE).agg(
             F.count_if(F.col(GATE_REASON).isNull()).alias("ok_rows"),
             F.count_if(F.col(GATE_REASON).isNotNull()).alias("bad_rows"),
         )
         files = self.verdict.select(S.SOURCE_FILE, "is_valid").join(per_file, S.SOURCE_FILE, "left")
+        if archived is None:
+            files = files.withColumn("_archived", F.lit(False))
+        else:
+            files = files.join(archived.select(S.SOURCE_FILE, F.lit(True).alias("_archived")).distinct(), S.SOURCE_FILE, "left")
         failed = F.coalesce(F.sum("bad_rows"), F.lit(0)).cast("long")
         return files.agg(
             F.lit(self.cfg.run_id).alias("run_id"),
@@ -130,32 +170,25 @@ class BatchRun:
             F.count_if(~F.col("is_valid")).alias("files_invalid"),
             F.coalesce(F.sum("ok_rows"), F.lit(0)).cast("long").alias("rows_loaded"),
             failed.alias("rows_failed"),
-            F.count_if(F.col("is_valid")).alias("files_archived"),
+            F.count_if(F.coalesce("_archived", F.lit(False))).alias("files_archived"),
             F.when(failed == 0, F.lit("SUCCESS")).otherwise(F.lit("PARTIAL_SUCCESS")).alias("status"),
         )
 
 
-# Valid-file lists up to this many files are broadcast to the raw scan.
-MAX_BROADCAST_FILES = 200_000
-
-
 def _valid(raw: DataFrame, profile: DataFrame):
-    """Rows of valid files. ``profile`` is materialised (one row per file), so
-    its size is known: within the bound the file list is broadcast and the raw
-    rows are filtered where they are read, with no shuffle; beyond it a
-    shuffle join on the file name (AQE splits a file holding many rows)."""
+    """Rows of valid files, without the scan's helper columns. The profile is a
+    written table of a row per file, so Spark knows its size and picks the join."""
     verdict = profile.select(S.SOURCE_FILE, *V.VERDICT_COLUMNS)
     good = profile.where(F.col("is_valid")).select(S.SOURCE_FILE)
-    n_files = profile.count()
-    side = F.broadcast(good) if n_files <= MAX_BROADCAST_FILES else good
-    return verdict, raw.join(side, S.SOURCE_FILE, "left_semi")
+    helpers = [c for c in raw.columns if c.startswith("_")]
+    return verdict, raw.drop(*helpers).join(good, S.SOURCE_FILE, "left_semi")
 
 
 def _classify(valid_raw: DataFrame, cfg: RunConfig) -> DataFrame:
     return clean(valid_raw, cfg.clean).classified
 
 
-def _assemble(cfg: RunConfig, raw, profile, verdict, valid_raw, classified) -> BatchRun:
+def _assemble(cfg: RunConfig, raw, profile, verdict, valid_raw, classified, kept) -> BatchRun:
     cleaning = from_classified(classified, valid_raw, cfg.clean)
     cleaned = cleaning.cleaned
     if cfg.on_fail == "drop":
@@ -168,27 +201,64 @@ def _assemble(cfg: RunConfig, raw, profile, verdict, valid_raw, classified) -> B
         cleaning = CleanOutput(cleaned, cleaning.rejected, cleaning.classified, cleaning.raw)
     enriched = enrich(cleaned, cfg.enrich)
     gated = load_gate(enriched, cfg.enrich.run_ts)
-    return BatchRun(cfg, raw, profile, verdict, valid_raw, cleaning, enriched, gated)
+    return BatchRun(cfg, raw, profile, verdict, valid_raw, cleaning, enriched, gated, kept)
 
 
 def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataFrame | None = None,
              materialize: bool = False) -> BatchRun:
     """Lazy after the file verdict unless ``materialize``; the caller decides
     what to write or count."""
-    from tallyline.session import checkpoint_dir
-
-    checkpoint_dir(raw.sparkSession)
     raw = normalize_nulls(raw)
     # The file verdict is a barrier, as in any file-by-file load: one small
     # aggregate (a row per file) is computed and kept before the rows flow.
-    profile = V.raw_profile(raw, header_columns).checkpoint(eager=True)
+    profile, path = keep(V.raw_profile(raw, header_columns), "run-profile")
     verdict, valid_raw = _valid(raw, profile)
-    run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg))
+    run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg), [path])
     run = run.materialize() if materialize else run
     if cfg.on_fail == "fail":
         data = [c for c in run.cleaned.columns if c != S.ROW_ORDINAL]
-        bad = V.rule_counts(run.cleaned.select(*data), "cleaned", keep_zero=False).limit(10).collect()
-        if bad:
+        bad = V.rule_counts(run.cleaned.select(*data), "cleaned", keep_zero=False)
+        shown = bad.orderBy(*bad.columns).limit(10).collect()       # the message names ten
+        if shown:
             raise ValueError("post-clean checks failed: " + ", ".join(
-                f"{r[S.SOURCE_FILE]}:{r['column']}:{r['check']}={r['failures']}" for r in bad))
+                f"{r[S.SOURCE_FILE]}:{r['column']}:{r['check']}={r['failures']}" for r in shown))
     return run
+
+
+@dataclass
+class RunPaths:
+    table: str          # keyed sales table
+    archive: str        # raw rows of loaded files
+    quarantine: str     # rows that were not loaded, with reason
+    reports: str        # stage reports, file reports and run summaries
+
+
+def execute(rows: DataFrame, headers: DataFrame, paths: RunPaths, cfg: RunConfig = RunConfig(),
+            buckets: int = DEFAULT_BUCKETS) -> LoadResult:
+    """A whole run: check, clean, enrich, load, archive, quarantine, report.
+
+    The rows are evaluated once (the classified rows are kept) and every output
+    goes to the run's own folder, ``run_id=<id>``, which is written anew: a run
+    repeated after a failure changes nothing, as an upsert applied twice equals
+    one."""
+    spark, run_id, mine = rows.sparkSession, cfg.run_id, f"run_id={cfg.run_id}"
+    run = plan_run(rows, cfg, headers, materialize=True)
+    result = KeyedSalesTable(spark, paths.table, buckets).upsert(run.enriched, run_ts=cfg.enrich.run_ts)
+    on = cfg.enrich.run_ts.date() if cfg.enrich.run_ts else None
+    archive_rows(run.valid_raw, paths.archive, run_id, on)
+    done = run.verdict.where("is_valid").select(S.SOURCE_FILE).join(
+        spark.read.parquet(f"{paths.archive}/{mine}").select(S.SOURCE_FILE).distinct(), S.SOURCE_FILE, "left_semi")
+    run.quarantine().write.mode("overwrite").parquet(f"{paths.quarantine}/{mine}")
+    run.reports().write.mode("overwrite").parquet(f"{paths.reports}/stages/{mine}")
+    run.file_report().write.mode("overwrite").parquet(f"{paths.reports}/files/{mine}")
+    (run.summary(done).drop("run_id").withColumns({"rows_inserted": F.lit(result.rows_inserted), "rows_updated": F.lit(result.rows_updated)})
+     .write.mode("overwrite").parquet(f"{paths.reports}/runs/{mine}"))
+    run.discard()
+    return result
+
+
+def run_batch(spark: SparkSession, incoming: str | list[str], paths: RunPaths, cfg: RunConfig = RunConfig(),
+              buckets: int = DEFAULT_BUCKETS, multi_line: bool = False) -> LoadResult:
+    """Run over all CSV files of a folder (or of listed paths, see ``escape_path``)."""
+    rows, headers = read_sales_csv(spark, incoming, multi_line)
+    return execute(rows, headers, paths, cfg, buckets)

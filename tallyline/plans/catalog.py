@@ -6,6 +6,7 @@ as_of = 2025-01-01, min_date = 2020-01-01, run_ts = 2025-01-01 00:00:00.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 from typing import Callable
 
@@ -34,14 +35,10 @@ from tallyline.operators.enrich import (
     enrichment_stats,
     running_totals,
 )
-from tallyline.operators.table import (
-    delete_before_plan,
-    latest_accepted,
-    load_gate,
-    merge,
-    upsert_counts,
-)
+from tallyline.operators.table import KeyedSalesTable, load_gate
 from tallyline.plans.batch_run import RunConfig, normalize_nulls, plan_run
+from tallyline.session import work_path
+from tallyline.sources.archive import archive_rows, archived_files
 from tallyline.sources.tables import raw_sales
 
 AS_OF = datetime(2025, 1, 1)
@@ -270,32 +267,37 @@ def q_load_gate(spark, d):
     return g.select(S.SOURCE_FILE, "order_id", "quantity", "unit_price", "total_amount", "gate_reason")
 
 
-def _two_runs(spark, d):
-    first = _run(spark, d, RUN_ONE_FILES).loaded()
-    second = _run(spark, d, RUN_ONE_FILES, exclude=True)
-    incoming = latest_accepted(second.gated, [F.col(S.SOURCE_FILE).desc()]).select(*S.TABLE_COLUMNS)
-    return first, second, incoming
+def _table(spark) -> KeyedSalesTable:
+    return KeyedSalesTable(spark, work_path(spark, f"query-table-{uuid.uuid4().hex}"), buckets=8)
+
+
+def _two_loads(spark, d):
+    """The keyed table after two runs over different files, and the second load's figures."""
+    table = _table(spark)
+    table.upsert(_run(spark, d, RUN_ONE_FILES).enriched, run_ts=RUN_TS)
+    return table, table.upsert(_run(spark, d, RUN_ONE_FILES, exclude=True).enriched, run_ts=RUN_TS)
 
 
 def q_upsert(spark, d):
-    first, _, incoming = _two_runs(spark, d)
-    return merge(first, incoming)
+    return _two_loads(spark, d)[0].read()
 
 
 def q_load_counts(spark, d):
-    first, second, incoming = _two_runs(spark, d)
-    counts = upsert_counts(first, incoming)
-    failed = second.rejected().agg(F.count(F.lit(1)).alias("rows_failed"))
-    # Both sides are single-row aggregates; join them on a constant key.
-    c = counts.withColumn("_k", F.lit(1)).join(failed.withColumn("_k", F.lit(1)), "_k")
-    return c.select(
-        "rows_inserted", "rows_updated", "rows_failed",
-        (F.col("rows_inserted") + F.col("rows_updated")).alias("total_processed"),
-    )
+    r = _two_loads(spark, d)[1]
+    return spark.range(1).select(*[F.lit(n).cast("long").alias(c) for c, n in (
+        ("rows_inserted", r.rows_inserted), ("rows_updated", r.rows_updated), ("rows_failed", r.rows_failed),
+        ("total_processed", r.total_processed))])
+
+
+def q_load_rejects(spark, d):
+    return _two_loads(spark, d)[1].rejects.select(S.SOURCE_FILE, "order_id", "gate_reason")
 
 
 def q_delete_before(spark, d):
-    return delete_before_plan(_sales(spark, d), DELETE_BEFORE)
+    table = _table(spark)
+    table.upsert(_run(spark, d).enriched, run_ts=RUN_TS)
+    deleted = table.delete_before(DELETE_BEFORE)
+    return table.read().agg(F.lit(deleted).cast("long").alias("rows_deleted"), F.count("*").alias("rows_left"))
 
 
 def q_run_enriched(spark, d):
@@ -303,7 +305,20 @@ def q_run_enriched(spark, d):
 
 
 def q_run_summary(spark, d):
-    return _run(spark, d).summary()
+    run = _run(spark, d, materialize=True)
+    path = work_path(spark, f"query-archive-{uuid.uuid4().hex}")
+    archive_rows(run.valid_raw, path, "pinned", RUN_TS.date())
+    return run.summary(archived_files(spark, path))
+
+
+def q_quarantine(spark, d):
+    return _run(spark, d, materialize=True).quarantine()
+
+
+def q_coerced(spark, d):
+    """Raw text brought to the cleaned types; values that do not convert are named."""
+    typed = V.coerce(normalize_nulls(_raw(spark, d)).drop(S.ROW_ORDINAL), "cleaned")
+    return typed.withColumn("uncoerced", F.array_join("_uncoerced", ",")).drop("_uncoerced")
 
 
 def q_file_report(spark, d):
@@ -354,8 +369,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_gate": q_load_gate,
     "upsert": q_upsert,
     "load_counts": q_load_counts,
+    "load_rejects": q_load_rejects,
     "delete_before": q_delete_before,
     "run_enriched": q_run_enriched,
     "run_summary": q_run_summary,
     "file_report": q_file_report,
+    "quarantine": q_quarantine,
+    "coerced": q_coerced,
 }

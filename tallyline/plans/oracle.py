@@ -244,8 +244,8 @@ def rule_counts(src: str, rules, unique: bool, name: str) -> list[str]:
 
 
 def stage_report(stage: str, schema_name: str, src: str, rc: str, warn: str | None) -> list[str]:
-    errs = (f"{rc}_err AS (SELECT source_file, sum(failures) AS error_count, "
-            f"array_to_string(list_slice(list_sort(list(\"column\" || ':' || \"check\")), 1, 10), ';') AS first_errors "
+    errs = (f"{rc}_err AS (SELECT source_file, sum(CASE WHEN \"check\" = 'calculation_error' THEN 1 ELSE failures END) AS error_count, "
+            f"array_to_string(list_sort(list(\"column\" || ':' || \"check\")), ';') AS first_errors "
             f"FROM {rc} WHERE failures > 0 GROUP BY source_file)")
     wjoin = f"LEFT JOIN {warn} w USING (source_file)" if warn else ""
     wcol = "coalesce(w.warning_count, 0)" if warn else "0"
@@ -377,9 +377,9 @@ ORACLE_SQL: dict[str, str] = {
     "validation_report": with_(RUN + report_ctes(), "SELECT * FROM reports"),
     "failure_cases": with_(CLEAN_ALL, " UNION ALL ".join(
         [f"SELECT source_file, '{c}' AS \"column\", '{k}' AS \"check\", "
-         f"{'NULL' if c == '*' else f'left(CAST({c} AS VARCHAR), 100)'} AS failure_case FROM enr WHERE {e}"
+         f"{'NULL' if c == '*' else f'CAST({c} AS VARCHAR)'} AS failure_case FROM enr WHERE {e}"
          for c, k, e in ENRICHED_RULES]
-        + ["SELECT e.source_file, 'order_id', 'unique', left(e.order_id, 100) FROM enr e JOIN ("
+        + ["SELECT e.source_file, 'order_id', 'unique', e.order_id FROM enr e JOIN ("
            "SELECT source_file, order_id FROM enr WHERE order_id IS NOT NULL GROUP BY source_file, order_id "
            "HAVING count(*) > 1) d ON e.source_file = d.source_file AND e.order_id = d.order_id"])),
     "validation_summary": with_(RUN + report_ctes(),

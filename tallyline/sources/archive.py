@@ -1,8 +1,8 @@
 """Raw archive: every processed raw row kept with its file and archive date.
 
 The original copies each processed file under ``YYYY/MM/DD/<name>`` and
-deletes the source. Here the archive is a Parquet table partitioned by
-``archive_date``; moving or deleting the source files is left to the stream
+deletes the source. Here the archive is a Parquet table with a folder per run and the
+``archive_date`` in each row; moving or deleting the source files is left to the stream
 source option ``cleanSource`` (archive / delete / off).
 """
 
@@ -16,18 +16,19 @@ from pyspark.sql import functions as F
 from tallyline import schema as S
 
 
-def archive_rows(raw: DataFrame, archive_path: str, on: date | None = None) -> None:
-    """Append raw rows (text columns, source_file) under archive_date=YYYY-MM-DD."""
+def archive_rows(raw: DataFrame, archive_path: str, run_id: str, on: date | None = None) -> None:
+    """Raw rows (text columns, source_file) with their archive date, under run_id=<run>.
+
+    A run writes its own folder anew, so running it twice archives once."""
     day = on or date.today()
     cols = [c for c in raw.columns if c != S.ROW_ORDINAL and not c.startswith("_")]
-    (raw.select(*cols, F.lit(day).alias("archive_date"))
-        .write.mode("append").partitionBy("archive_date").parquet(archive_path))
+    raw.select(*cols, F.lit(day).alias("archive_date")).write.mode("overwrite").parquet(f"{archive_path}/run_id={run_id}")
 
 
 def archived_files(spark, archive_path: str) -> DataFrame:
-    """source_file, archive_date, rows: what the archive holds per file."""
+    """run_id, source_file, archive_date, rows: what the archive holds per file."""
     return (spark.read.parquet(archive_path)
-            .groupBy(S.SOURCE_FILE, "archive_date").agg(F.count(F.lit(1)).alias("rows")))
+            .groupBy("run_id", S.SOURCE_FILE, "archive_date").agg(F.count(F.lit(1)).alias("rows")))
 
 
 def archive_key(name: str, on: date) -> str:

@@ -7,15 +7,14 @@ schema, and lineage columns come from the file metadata at the scan
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tallyline import schema as S
-from tallyline.functions import standard_column_name
-
-MAX_DISTINCT_HEADERS = 64
-
+from tallyline.session import keep
 
 def list_csv_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
     """path, name, extension, is_csv, size, last_modified for files ending .csv
@@ -48,21 +47,31 @@ def file_exists(spark: SparkSession, root: str, name: str) -> bool:
     return len(file_info(spark, root, name).limit(1).take(1)) > 0
 
 
+def escape_path(path: str) -> str:
+    """A listed path as a literal for Spark's readers, which take paths for glob patterns."""
+    return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
+
+
 def file_headers(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """source_file, header (array of standardised column names) per file, in one
-    distributed pass: the first line of the block starting at offset 0."""
+    """Per CSV file, also empty ones: source_file, header (names as they stand),
+    open_quotes (lines with an odd number of quotes).
+
+    One distributed pass over the lines; the header is the first line of the
+    block at offset 0. The inventory comes from the listing."""
+    inventory = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(paths)
+                 .select(F.col("_metadata.file_path").alias(S.SOURCE_FILE)))
     lines = spark.read.option("pathGlobFilter", "*.csv").text(paths).select(
         "value",
         F.col("_metadata.file_path").alias(S.SOURCE_FILE),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_id"),
+        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("_id"),
     )
-    first = lines.where(F.col("_block") == 0).groupBy(S.SOURCE_FILE).agg(F.min_by("value", "_id").alias("line"))
-    return first.select(S.SOURCE_FILE, F.split(F.regexp_replace("line", '["\r]', ""), ",").alias("header_raw"))
-
-
-def _standard_names(names: list[str]) -> list[str]:
-    return [standard_column_name(n) for n in names]
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    first = lines.groupBy(S.SOURCE_FILE).agg(F.min_by("value", "_id").alias("line"),
+                                             F.count_if(quotes % 2 == 1).alias("open_quotes"))
+    names = F.transform(F.split(F.regexp_replace("line", '["\r\ufeff]', ""), ","), lambda x: F.trim(x))
+    return inventory.join(first, S.SOURCE_FILE, "left").select(
+        S.SOURCE_FILE, F.coalesce(names, F.array().cast("array<string>")).alias("header"),
+        F.coalesce("open_quotes", F.lit(0)).cast("long").alias("open_quotes"))
 
 
 def read_sales_csv(
@@ -71,66 +80,47 @@ def read_sales_csv(
     multi_line: bool = False,
     headers: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, header_columns).
+    """(rows, headers).
 
     rows: source_file, row_ordinal, the seven data columns as text (missing
     ones null), ``_extra_fields`` (a row with more fields than its header).
-    header_columns: source_file, header (standardised names) for the file verdict.
-
-    Files are grouped by header; each group is one CSV scan with its own column
-    order, and the groups are unioned by name. ``multi_line`` allows newlines
-    inside quotes but makes each file a single task.
-    """
-    hdr = headers if headers is not None else file_headers(spark, paths)
-    groups = hdr.groupBy("header_raw").agg(F.collect_list(S.SOURCE_FILE).alias("files"))
-    # Bounded: one row per distinct header; more than a few means bad input.
-    distinct = groups.limit(MAX_DISTINCT_HEADERS + 1).collect()
-    if len(distinct) > MAX_DISTINCT_HEADERS:
-        raise ValueError(f"more than {MAX_DISTINCT_HEADERS} distinct CSV headers")
-    parts = []
-    for g in distinct:
-        raw_names = list(g["header_raw"])
-        names = _standard_names(raw_names)
-        # One column more than the header: a row with extra fields fills it.
-        # (The parser's own malformed-row flag is lost under CSV column pruning.)
-        extra = f"_c{len(names)}"
-        schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(len(names) + 1)])
-        df = (
-            spark.read.schema(schema)
-            .option("header", "true")
-            .option("escape", '"')
-            .option("multiLine", str(multi_line).lower())
-            .option("mode", "PERMISSIVE")
-            .option("pathGlobFilter", "*.csv")
-            .csv(list(g["files"]))
-        )
-        # Positional columns not named by a required header are carried (and
-        # dropped at the end) so every scan reads at least one data column.
-        cols = [F.col(f"_c{i}").alias(n if n in S.REQUIRED_COLUMNS else f"_x{i}") for i, n in enumerate(names)]
-        parts.append(
-            df.select(
-                F.col("_metadata.file_path").alias(S.SOURCE_FILE),
-                F.struct(F.col("_metadata.file_block_start").alias("block"),
-                         F.monotonically_increasing_id().alias("pos")).alias(S.ROW_ORDINAL),
-                *cols,
-                F.col(extra).isNotNull().alias("_extra_fields"),
-            )
-        )
-    if not parts:
-        empty = spark.createDataFrame([], StructType(
-            [StructField(S.SOURCE_FILE, StringType())] + list(S.RAW_SCHEMA.fields)))
-        return empty.withColumn(S.ROW_ORDINAL, F.struct(F.lit(0).cast("long").alias("block"),
-                                                        F.lit(0).cast("long").alias("pos"))) \
-                    .withColumn("_extra_fields", F.lit(False)), hdr.select(S.SOURCE_FILE, F.col("header_raw").alias("header"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    for c in S.REQUIRED_COLUMNS:
-        if c not in out.columns:
-            out = out.withColumn(c, F.lit(None).cast("string"))
-    out = out.select(S.SOURCE_FILE, S.ROW_ORDINAL, *S.REQUIRED_COLUMNS, "_extra_fields")
-    std = F.transform("header_raw", lambda x: F.regexp_replace(F.regexp_replace(F.lower(F.trim(x)), r"\s+", "_"), r"[^\w]", ""))
-    return out, hdr.select(S.SOURCE_FILE, std.alias("header"))
+    headers: a row per file with its header, for the file verdict.
+
+    One scan under a positional schema as wide as the widest header, joined
+    with each file's header; a required column is taken at the place where the
+    file's header names it (the first one, if twice). ``multi_line`` allows
+    newlines inside quotes but makes each file a single task; without it such
+    lines count as malformed."""
+    if headers is None:
+        headers, _ = keep(file_headers(spark, paths), "csv-headers")     # small: a row per file
+        if multi_line:
+            headers = headers.withColumn("open_quotes", F.lit(0).cast("long"))
+    width = headers.agg(F.max(F.size("header"))).first()[0] or 0
+    # One column more than the widest header: a row with extra fields fills it.
+    # (The parser's own malformed-row flag is lost under CSV column pruning.)
+    schema = StructType([StructField(f"_c{i}", StringType(), True) for i in range(width + 1)])
+    scan = (
+        spark.read.schema(schema)
+        .option("header", "true")
+        .option("escape", '"')
+        .option("multiLine", str(multi_line).lower())
+        .option("mode", "PERMISSIVE")
+        .option("maxColumns", max(20480, width + 2))
+        .option("pathGlobFilter", "*.csv")
+        .csv(paths)
+    )
+    rows = scan.select(
+        F.col("_metadata.file_path").alias(S.SOURCE_FILE),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("pos")).alias(S.ROW_ORDINAL),
+        F.array(*[F.col(f"_c{i}") for i in range(width + 1)]).alias("_fields"),
+    ).join(headers.select(S.SOURCE_FILE, "header"), S.SOURCE_FILE)
+    at = lambda c: F.array_position("header", F.lit(c)).cast("int") - 1
+    return rows.select(
+        S.SOURCE_FILE, S.ROW_ORDINAL,
+        *[F.when(at(c) >= 0, F.get("_fields", at(c))).alias(c) for c in S.REQUIRED_COLUMNS],
+        F.get("_fields", F.size("header")).isNotNull().alias("_extra_fields"),
+    ), headers
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,34 +3,24 @@
 A file-source stream (paths only) with ``trigger(availableNow=True)`` takes the files
 present at start, processes them in micro-batches and stops; the checkpoint's
 source log is the bookmark, so the next run sees only files added since.
-Each micro-batch runs the batch plan and upserts into the keyed table; an
-upsert replayed after a failure changes nothing, so a batch re-run after an
-executor or driver loss is harmless.
+Each micro-batch is a whole batch run under its own run id: load, archive,
+quarantine and reports go to folders of that id and are written anew, so a
+batch repeated after an executor or driver loss changes nothing.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tallyline import schema as S
-from tallyline.operators.table import KeyedSalesTable
-from tallyline.plans.batch_run import RunConfig, plan_run
-
-
-@dataclass
-class StreamPaths:
-    incoming: str       # folder the CSV files land in
-    checkpoint: str     # stream checkpoint (shared storage)
-    table: str          # keyed sales table
-    reports: str        # per-batch run summaries (Parquet, append)
-    quarantine: str     # rejected rows (Parquet, append)
+from tallyline.operators.table import DEFAULT_BUCKETS
+from tallyline.plans.batch_run import RunConfig, RunPaths, run_batch
+from tallyline.sources.csv_files import escape_path, list_csv_files
 
 
 def _file_stream(spark: SparkSession, folder: str, clean_source: str = "off",
-                 archive_dir: str | None = None, max_files: int = 1000) -> DataFrame:
+                 archive_dir: str | None = None, max_files: int = 100_000) -> DataFrame:
     """New CSV files as a stream of paths; file content is never read here."""
     schema = "path string, modificationTime timestamp, length long, content binary"
     reader = (spark.readStream.format("binaryFile").schema(schema)
@@ -42,41 +32,25 @@ def _file_stream(spark: SparkSession, folder: str, clean_source: str = "off",
     return reader.load(folder).select("path")
 
 
-def run_incremental(spark: SparkSession, paths: StreamPaths, cfg: RunConfig = RunConfig(),
-                    buckets: int = 64, clean_source: str = "off", archive_dir: str | None = None,
-                    max_files_per_batch: int = 1000) -> int:
+def run_incremental(spark: SparkSession, incoming: str, checkpoint: str, paths: RunPaths, cfg: RunConfig = RunConfig(),
+                    buckets: int = DEFAULT_BUCKETS, clean_source: str = "off", archive_dir: str | None = None,
+                    max_files_per_batch: int = 100_000) -> int:
     """Process every file not yet seen; returns the number of micro-batches run.
 
-    The stream only discovers files (its checkpoint is the bookmark). Each
-    micro-batch hands its file list (at most ``max_files_per_batch`` paths)
-    to the header-aware CSV scan and runs the batch plan on those files, so
-    files with other column orders or missing columns are judged as in a
-    batch run."""
-    from tallyline.sources.csv_files import read_sales_csv
-
-    table = KeyedSalesTable(spark, paths.table, buckets)
+    The stream only discovers files (its checkpoint is the bookmark). A
+    micro-batch of at most ``max_files_per_batch`` files is one batch run; take
+    few large batches, since each writes the touched buckets of the table."""
     seen = {"batches": 0}
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        files = sorted(r["path"] for r in batch.collect())   # bounded by maxFilesPerTrigger
-        if not files:
-            return
-        rows, headers = read_sales_csv(spark, files)
-        run = plan_run(rows, RunConfig(cfg.clean, cfg.enrich, f"{cfg.run_id}-{batch_id}", cfg.strict, cfg.on_fail),
-                       headers)
-        order = [F.col(S.SOURCE_FILE).desc()]
-        result = table.upsert(run.enriched, seq=order, run_ts=cfg.enrich.run_ts)
-        run.rejected().withColumn("batch_id", F.lit(batch_id)).drop(S.ROW_ORDINAL) \
-            .write.mode("append").parquet(paths.quarantine)
-        run.summary().withColumn("batch_id", F.lit(batch_id)) \
-            .withColumn("rows_inserted", F.lit(result.rows_inserted)) \
-            .withColumn("rows_updated", F.lit(result.rows_updated)) \
-            .write.mode("append").parquet(paths.reports)
-        seen["batches"] += 1
+        files = sorted(escape_path(r["path"]) for r in batch.collect())   # bounded by maxFilesPerTrigger
+        if files:
+            run_batch(spark, files, paths, replace(cfg, run_id=f"{cfg.run_id}-{batch_id}"), buckets)
+            seen["batches"] += 1
 
-    q = (_file_stream(spark, paths.incoming, clean_source, archive_dir, max_files_per_batch)
+    q = (_file_stream(spark, incoming, clean_source, archive_dir, max_files_per_batch)
          .writeStream.foreachBatch(body)
-         .option("checkpointLocation", paths.checkpoint)
+         .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
     q.awaitTermination()
@@ -85,7 +59,5 @@ def run_incremental(spark: SparkSession, paths: StreamPaths, cfg: RunConfig = Ru
 
 def has_new_files(spark: SparkSession, folder: str, processed: DataFrame) -> bool:
     """Early stop check: any CSV in the folder not in ``processed`` (path column)."""
-    from tallyline.sources.csv_files import list_csv_files
-
     new = list_csv_files(spark, folder).join(processed.select("path"), "path", "left_anti")
     return len(new.limit(1).take(1)) > 0

@@ -4,12 +4,13 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tallyline import schema as S
 from tallyline.plans.batch_run import RunConfig, plan_run
 from tallyline.operators.clean import CleanConfig
 from tallyline.sources.csv_files import file_exists, list_csv_files, read_sales_csv, write_csv
 from tallyline.sources.generator import synthetic_sales
 
-HEADER = "order_id,product_name,quantity,unit_price,order_date,customer_id,country\n"
+HEADER = ",".join(S.REQUIRED_COLUMNS) + "\n"
 
 
 def _write(folder, name, text):
@@ -24,7 +25,7 @@ def test_csv_scan_headers_and_verdict(spark):
     _write(d, "a.csv", HEADER + 'ORD-001001,"Laptop, Pro",2,999.99,2024-01-15,CUST-10001,United States\n'
                               "ORD-001002,Mouse,5,29.99,2024-01-16,CUST-10002,Canada\n")
     # Other column order, still valid.
-    _write(d, "b.csv", "Country,Order ID,product_name,quantity,unit_price,order_date,customer_id\n"
+    _write(d, "b.csv", "country,order_id,product_name,quantity,unit_price,order_date,customer_id\n"
                        "Canada,ORD-001003,Hub,3,49.99,2024-01-17,CUST-10003\n")
     _write(d, "c.csv", "order_id,product_name\nORD-001004,Keyboard\n")        # missing columns
     _write(d, "d.csv", HEADER + "ORD-001005,Monitor,2,349.99,2024-01-19,CUST-10005,France,EXTRA\n")  # too many fields
@@ -71,8 +72,65 @@ def test_raw_archive_by_date(spark):
     d = tempfile.mkdtemp(prefix="tl-arch-") + "/archive"
     rows = raw_frame(spark, [("ORD-000001", "A", "1", "1", "2024-01-01", "C", "Canada"),
                              ("ORD-000002", "B", "1", "1", "2024-01-01", "C", "Canada")], "a.csv")
-    archive_rows(rows, d, date(2024, 6, 1))
-    archive_rows(rows.limit(1).withColumn("source_file", F.lit("b.csv")), d, date(2024, 6, 2))
+    archive_rows(rows, d, "r1", date(2024, 6, 1))
+    archive_rows(rows, d, "r1", date(2024, 6, 1))     # the same run again
+    archive_rows(rows.limit(1).withColumn("source_file", F.lit("b.csv")), d, "r2", date(2024, 6, 2))
     got = sorted((r.source_file, str(r.archive_date), r.rows) for r in archived_files(spark, d).collect())
     assert got == [("a.csv", "2024-06-01", 2), ("b.csv", "2024-06-02", 1)]
     assert archive_key("a.csv", date(2024, 6, 1)) == "2024/06/01/a.csv"
+
+
+def test_odd_files_are_judged_one_by_one(spark):
+    """Names with spaces and brackets, many headers, empty files, twin names and open quotes: no file stops another."""
+    d = tempfile.mkdtemp(prefix="tl-odd-")
+    row = "ORD-{:06d},Lamp,1,10,2024-01-15,CUST-10001,Canada"
+    _write(d, "a b.csv", HEADER + row.format(1) + "\n")
+    _write(d, "sales[1].csv", HEADER + row.format(2) + "\n")
+    _write(d, "only header.csv", HEADER)
+    _write(d, "no order id.csv", "product_name,quantity\n")
+    _write(d, "blank.csv", "\n")
+    _write(d, "twin.csv", "order_id," + HEADER.strip() + "\nORD-000003," + row.format(4) + "\n")
+    _write(d, "spelt.csv", HEADER.replace("order_id", "Order ID") + row.format(5) + "\n")
+    _write(d, "open.csv", HEADER + 'ORD-000006,"two\nlines",1,10,2024-01-15,CUST-10001,Canada\n')
+    for k in range(200):
+        names = S.REQUIRED_COLUMNS + [f"more_{i}" for i in range(k)]
+        _write(d, f"wide-{k}.csv", ",".join(names) + "\n" + row.format(1000 + k) + "," * k + "\n")
+    rows, headers = read_sales_csv(spark, d)
+    run = plan_run(rows, RunConfig(), headers, materialize=True)
+    v = {os.path.basename(r.source_file).replace("%20", " "): r for r in run.verdict.collect()}
+    assert len(v) == 208
+    ok = {n for n, r in v.items() if r.is_valid}
+    assert {"a b.csv", "only header.csv", "twin.csv"} <= ok and sum(n.startswith("wide") for n in ok) == 200
+    assert any("sales" in n and r.is_valid for n, r in v.items())
+    assert v["blank.csv"].missing_columns.count(",") == 6 and not v["spelt.csv"].is_valid and v["open.csv"].malformed_rows >= 1
+    loaded = {r.order_id for r in run.loaded().select("order_id").collect()}
+    assert loaded == {"ORD-000001", "ORD-000002", "ORD-000003"} | {f"ORD-{1000 + k:06d}" for k in range(200)}
+    rep = {(os.path.basename(r.source_file).replace("%20", " "), r.stage): r for r in run.reports().collect()}
+    assert rep["a b.csv", "cleaned"].is_valid and rep["a b.csv", "enriched"].is_valid and rep["a b.csv", "raw"].status == "passed"
+    missing = rep["no order id.csv", "raw"]
+    assert (missing.error_count, missing.warning_count, missing.status) == (1, 0, "failed")
+    s = run.summary().first()
+    assert (s.files_detected, s.files_valid, s.files_archived) == (208, 204, 0)
+    multi, h = read_sales_csv(spark, d, multi_line=True)
+    assert plan_run(multi, RunConfig(), h).verdict.where("source_file like '%open.csv'").first().is_valid
+
+
+def test_date_formats_are_a_setting(spark):
+    from conftest import raw_frame
+
+    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "1", "10", when, "CUST-10001", "Canada")
+                             for k, when in enumerate(["01/15/2024", "2024/01/16", "2024-01-17"])])
+    assert plan_run(rows, RunConfig(clean=CleanConfig())).loaded().count() == 1
+    wide = CleanConfig(date_formats=("M/d/yyyy", "yyyy/M/d", "yyyy-M-d"))
+    got = plan_run(rows, RunConfig(clean=wide)).loaded().select("order_date").collect()
+    assert sorted(str(r.order_date) for r in got) == ["2024-01-15", "2024-01-16", "2024-01-17"]
+
+
+def test_a_file_that_loses_all_rows_has_reports(spark):
+    from conftest import raw_frame
+
+    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "-1", "10", "2024-01-15", "CUST-10001", "Canada") for k in range(5)])
+    run = plan_run(rows, RunConfig(), materialize=True)
+    rep = {r.stage: r for r in run.reports().collect()}
+    assert rep["cleaned"].total_rows == 0 and rep["cleaned"].warning_count == 1 and rep["cleaned"].status == "skipped"
+    assert run.quarantine().count() == 5
