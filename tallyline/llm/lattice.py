@@ -41,9 +41,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import map_arrow, materialize, read
+from tallyline.llm.common import discard, map_arrow, materialize, read
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 16 << 20
 CHUNK_BITS = 33
 MAX_PIECE = 16
 WIDE = 40
@@ -328,7 +328,8 @@ def score_documents(docs: DataFrame, path: str | None = None, rounds: int = ROUN
                 p = (np.logaddexp(np.log(c), math.log(mu) + spelt) - math.log(total + mu + 1.0)) / math.log(10)
             yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(p)], ["word", "c", "p"])
 
-    weighed = map_arrow(counts, weigh, "word binary, c long, p double")
+    weighed = materialize(map_arrow(counts, weigh, "word binary, c long, p double"), "lattice-weighed")
+    discard(counts)
     scored = uses.select("chunk", "word", "number").join(weighed, "word").select(F.col("chunk").alias("of"), "number", "c", "p")
     base_of = lambda c: np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
     out_schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
