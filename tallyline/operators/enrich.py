@@ -7,12 +7,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from tallyline import schema as S
+from tallyline.session import keep
 from tallyline.functions import exact_sum, line_total, mean_of, revenue_class, round2
 
 
@@ -138,63 +137,31 @@ def running_totals(
     """Cumulative revenue and order count in date order, one output row per input row.
 
     A distributed prefix scan, never one partition for all rows:
-      1. range-partition on the full sort key (date, tie keys) and sort each
-         partition; a date with a third of all rows spans many partitions;
-      2. checkpoint, so partition contents are fixed for both passes;
-      3. per-partition sums (one row per partition) -> exclusive offsets;
-      4. a vectorised cumulative sum inside each partition plus its offset.
+      1. range-partition on the full sort key (date, tie keys); a date with a
+         third of all rows spans many partitions;
+      2. keep the rows with their partition number, so both passes see the same;
+      3. per-partition sums -> exclusive offsets (a row per partition, a table);
+      4. a window inside each partition plus its offset.
     Money is summed as integer cents, so the result does not depend on order
     of addition. Null dates sort last; null totals add nothing.
     """
-    from tallyline.session import checkpoint_dir
-
     if date_column not in df.columns:
         return df
     spark = df.sparkSession
-    checkpoint_dir(spark)
     ties = [k for k in tie_keys if k in df.columns]
     order = [F.col(date_column).asc_nulls_last()] + [F.col(k).asc_nulls_last() for k in ties]
     if partitions is None:
         conf = spark.conf.get("spark.sql.shuffle.partitions")
         partitions = int(conf) if str(conf).isdigit() else spark.sparkContext.defaultParallelism
-    n = partitions
     cents = F.coalesce(F.round(F.col("total_amount") * F.lit(100)).cast("long"), F.lit(0).cast("long"))
-    ordered = (
-        df.withColumn("_cents", cents)
-        .repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-    # One row per partition: a bounded, tiny result.
-    parts = ordered.groupBy("_pid").agg(F.sum("_cents").alias("c"), F.count(F.lit(1)).alias("n")).collect()
-    sums = {r["_pid"]: (int(r["c"] or 0), int(r["n"])) for r in parts}
-    offsets, acc_c, acc_n = {}, 0, 0
-    for pid in sorted(sums):
-        offsets[pid] = (acc_c, acc_n)
-        acc_c += sums[pid][0]
-        acc_n += sums[pid][1]
-
-    out_fields = [f for f in ordered.schema.fields if f.name not in ("_cents", "_pid")]
-    out_schema = StructType(
-        out_fields
-        + [StructField("running_revenue", DoubleType()), StructField("running_orders", LongType())]
-    )
-    names = [f.name for f in out_fields]
-
-    def scan(batches):
-        run_c = run_n = None
-        for b in batches:
-            if len(b) == 0:
-                continue
-            if run_c is None:
-                run_c, run_n = offsets.get(int(b["_pid"].iloc[0]), (0, 0))
-            c = b["_cents"].astype("int64").cumsum() + run_c
-            k = pd.Series(range(1, len(b) + 1), index=b.index, dtype="int64") + run_n
-            run_c, run_n = int(c.iloc[-1]), int(k.iloc[-1])
-            out = b[names].copy()
-            out["running_revenue"] = c / 100.0
-            out["running_orders"] = k
-            yield out
-
-    return ordered.mapInPandas(scan, out_schema)
+    ordered, _ = keep(df.withColumn("_cents", cents).repartitionByRange(partitions, *order)
+                      .withColumn("_pid", F.spark_partition_id()), "running-rows")
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)     # over a row per partition
+    sums = ordered.groupBy("_pid").agg(F.sum("_cents").alias("c"), F.count(F.lit(1)).alias("n"))
+    offsets, _ = keep(sums.select("_pid", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("_c0"),
+                                  F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n0")), "running-offsets")
+    here = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return ordered.join(offsets, "_pid").select(
+        *df.columns,
+        ((F.sum("_cents").over(here) + F.col("_c0")) / F.lit(100.0)).cast("double").alias("running_revenue"),
+        (F.count(F.lit(1)).over(here) + F.col("_n0")).cast("long").alias("running_orders"))

@@ -110,6 +110,44 @@ def q_check_counts(spark, d):
     return V.rule_counts(_drop_ord(_enriched(spark, d)), "enriched")
 
 
+def _faulty(spark, d):
+    """Raw rows brought to the enriched types without cleaning, with faults placed
+    by the keys, so that every rule meets rows that break it."""
+    raw = normalize_nulls(_raw(spark, d)).select("*", f"{S.ROW_ORDINAL}.*")
+    typed = V.coerce(raw.drop(S.ROW_ORDINAL), "cleaned").drop("_uncoerced")
+    every = lambda key, n: (F.col(key) % n) == 0
+    total = F.col("quantity") * F.col("unit_price")
+    return typed.withColumns({
+        "quantity": F.when(every("l_suppkey", 7), F.col("quantity") * 1000).otherwise(F.col("quantity")),
+        "unit_price": F.when(every("l_partkey", 19), F.lit(None)).when(every("l_partkey", 7), F.col("unit_price") * 1000).otherwise(F.col("unit_price")),
+        "product_name": F.when(every("l_partkey", 5), F.repeat("product_name", 60)).otherwise(F.col("product_name")),
+    }).withColumns({
+        "total_amount": F.when(every("l_suppkey", 11), F.lit(None)).when(every("l_suppkey", 13), total + 5).otherwise(total),
+        "ingestion_timestamp": F.when(~every("l_suppkey", 3), F.lit(RUN_TS.isoformat()).cast("timestamp")),
+    }).select(S.SOURCE_FILE, *DATA, "total_amount", "ingestion_timestamp")
+
+
+def q_check_counts_faults(spark, d):
+    return V.rule_counts(_faulty(spark, d), "enriched")
+
+
+def q_schema_problems(spark, d):
+    """Column checks of the stages on frames that lack or add columns, per file."""
+    faulty = _faulty(spark, d)
+    frames = [("raw", faulty.drop("country", "quantity")), ("cleaned", faulty), ("enriched", faulty.drop("total_amount"))]
+    files = faulty.select(S.SOURCE_FILE).distinct()
+    texts = F.array(*[F.concat(F.lit(f"{stage}:"), F.lit(x)) for stage, f in frames for x in V.schema_problems(f, stage)])
+    return files.select(S.SOURCE_FILE, F.array_join(F.array_sort(texts), ";").alias("problems"))
+
+
+def q_drop_empty_rows_faults(spark, d):
+    """Rows with no value at all are dropped: here those of every third supplier are emptied first."""
+    raw = normalize_nulls(_raw(spark, d))
+    gone = (F.col(S.ROW_ORDINAL)["l_suppkey"] % 3) == 0
+    emptied = raw.select(S.SOURCE_FILE, S.ROW_ORDINAL, *[F.when(~gone, F.col(c)).alias(c) for c in DATA])
+    return remove_empty_rows(emptied).groupBy(S.SOURCE_FILE).agg(F.count("*").alias("rows_left"))
+
+
 def q_check_unique(spark, d):
     raw = _raw(spark, d)
     r = [x for x in V.CLEANED_RULES if x.group][0]
@@ -330,6 +368,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_file_verdict": q_raw_file_verdict,
     "raw_warnings": q_raw_warnings,
     "check_counts": q_check_counts,
+    "check_counts_faults": q_check_counts_faults,
+    "schema_problems": q_schema_problems,
+    "drop_empty_rows_faults": q_drop_empty_rows_faults,
     "check_unique": q_check_unique,
     "check_coerce": q_check_coerce,
     "quality_warnings": q_quality_warnings,

@@ -351,6 +351,22 @@ def _two_runs() -> list[str]:
     return BASE + first + second
 
 
+def _coerced(src: str) -> str:
+    whole = f"CASE WHEN {num('quantity')} = floor({num('quantity')}) THEN TRY_CAST({num('quantity')} AS INTEGER) END"
+    return (f"typed AS (SELECT source_file, {ORD}, order_id, product_name, {whole} AS quantity, {num('unit_price')} AS unit_price, "
+            f"{ts('order_date')} AS order_date, customer_id, country, quantity AS raw_quantity, unit_price AS raw_price, "
+            f"order_date AS raw_date FROM {src})")
+
+
+def _faults() -> str:
+    return ("faulty AS (SELECT *, CASE WHEN k4 % 11 = 0 THEN NULL WHEN k4 % 13 = 0 THEN quantity * unit_price + 5 "
+            "ELSE quantity * unit_price END AS total_amount FROM (SELECT source_file, k4, order_id, "
+            "CASE WHEN k3 % 5 = 0 THEN repeat(product_name, 60) ELSE product_name END AS product_name, "
+            "CASE WHEN k4 % 7 = 0 THEN quantity * 1000 ELSE quantity END AS quantity, "
+            "CASE WHEN k3 % 19 = 0 THEN NULL WHEN k3 % 7 = 0 THEN unit_price * 1000 ELSE unit_price END AS unit_price, order_date, customer_id, country, "
+            f"CASE WHEN k4 % 3 <> 0 THEN {RUN_TS} END AS ingestion_timestamp FROM typed))")
+
+
 ORACLE_SQL: dict[str, str] = {
     "null_tokens": with_(BASE, "SELECT source_file, " + ", ".join(
         f"count_if({c} IS NULL) AS {c}_nulls" for c in DATA) + " FROM nraw GROUP BY source_file"),
@@ -477,4 +493,20 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT cs.source_file, original_count, cleaned_count, CAST(coalesce(es.row_count, 0) AS BIGINT) AS enriched_count, "
         "coalesce(es.total_revenue, 0.0) AS total_revenue, duplicates_removed, invalid_dates_removed, "
         "invalid_numerics_removed, removal_rate FROM cs LEFT JOIN es USING (source_file)"),
+    "load_rejects": with_(_two_runs(), "SELECT source_file, order_id, gate_reason FROM b_gate WHERE gate_reason IS NOT NULL"),
+    "quarantine": with_(RUN, " UNION ALL ".join([
+        f"SELECT r.source_file, {', '.join('r.' + c for c in DATA)}, 'file' AS stage, 'null_order_ids' AS reason "
+        "FROM rraw r JOIN verdict v ON v.source_file = r.source_file WHERE v.null_order_ids > 0",
+        f"SELECT source_file, {', '.join(DATA)}, 'clean', reject_reason FROM cls WHERE reject_reason IS NOT NULL",
+        f"SELECT source_file, {', '.join(f'CAST({c} AS VARCHAR)' for c in DATA)}, 'load', gate_reason "
+        "FROM gate WHERE gate_reason IS NOT NULL"])),
+    "coerced": with_(BASE + [_coerced("nraw")], f"SELECT {DATA_OUT}, concat_ws(',', "
+        "CASE WHEN raw_quantity IS NOT NULL AND quantity IS NULL THEN 'quantity' END, "
+        "CASE WHEN raw_price IS NOT NULL AND unit_price IS NULL THEN 'unit_price' END, "
+        "CASE WHEN raw_date IS NOT NULL AND order_date IS NULL THEN 'order_date' END) AS uncoerced FROM typed"),
+    "check_counts_faults": with_(BASE + [_coerced("nraw"), _faults()] + rule_counts("faulty", ENRICHED_RULES, True, "rc"), "SELECT * FROM rc"),
+    "schema_problems": with_(BASE, "SELECT DISTINCT source_file, 'cleaned:extra_column:ingestion_timestamp;cleaned:extra_column:total_amount;"
+        "enriched:missing_column:total_amount;raw:missing_column:country;raw:missing_column:quantity' AS problems FROM raw"),
+    "drop_empty_rows_faults": with_(BASE, "SELECT source_file, count(*) AS rows_left FROM nraw WHERE k4 % 3 <> 0 AND NOT ("
+        + " AND ".join(f"{c} IS NULL" for c in DATA) + ") GROUP BY source_file"),
 }

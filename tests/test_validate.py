@@ -85,7 +85,8 @@ def test_failure_cases_and_summary(spark):
     cases = V.failure_cases(df, "cleaned").collect()
     checks = sorted((c.column, c.check) for c in cases)
     assert checks == [("order_id", "str_matches"), ("product_name", "str_length")]
-    assert all(c.failure_case is None or len(c.failure_case) <= 100 for c in cases)
+    assert {len(c.failure_case) for c in cases} == {5, 300}          # values are whole unless a cut is asked for
+    assert all(len(c.failure_case) <= 100 for c in V.failure_cases(df, "cleaned", value_chars=100).collect())
     rep = V.stage_report(df, "cleaned")
     s = V.validation_summary(rep).first()
     assert s.total_validations == 1 and s.failed == 1 and s.total_errors > 0
@@ -106,3 +107,13 @@ def test_on_fail_modes(spark, sample_raw_errors):
     assert [r.order_id for r in drop.cleaned.collect()] == ["ORD-000002"]
     with pytest.raises(ValueError, match="str_matches"):
         plan_run(bad, RunConfig(clean=CFG, on_fail="fail"))
+
+
+def test_validate_coerces_and_never_raises(spark, sample_raw):
+    text = sample_raw.drop("source_file", "row_ordinal")
+    ok, typed, msg = V.validate_dataframe(text, "cleaned")
+    assert ok and dict(typed.dtypes)["quantity"] == "int" and dict(typed.dtypes)["order_date"] == "timestamp"
+    for value, fine in (("abc", False), ("1.0", True), ("1.5", False)):
+        ok, typed, msg = V.validate_dataframe(text.withColumn("quantity", F.lit(value)), "cleaned")
+        assert ok == fine and (fine or "quantity/coerce: 5" in msg)
+        assert V.validate_dataframe(text.withColumn("quantity", F.lit(value)), "cleaned", lazy=False)[0] == fine
