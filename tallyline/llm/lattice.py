@@ -50,7 +50,7 @@ WIDE = 40
 ROUNDS = 2
 GROUP = 4096
 FOLDS, HELD_OUT = 5, 1
-NONE = -1e300
+NONE = -1e30
 
 
 def ranks_file() -> str:
@@ -138,10 +138,11 @@ def _forward(edges: dict, length: int, n: int, scores: np.ndarray) -> np.ndarray
     into = defaultdict(list)
     for (i, j), ids in edges.items():
         into[j].append((i, ids))
-    alpha = np.full((length + 1, n), NONE)
+    none = scores.dtype.type(NONE)
+    alpha = np.full((length + 1, n), none)
     alpha[0] = 0.0
     for j in range(1, length + 1):
-        terms = np.stack([np.where(ids >= 0, alpha[i] + scores[ids], NONE) for i, ids in into[j]])
+        terms = np.stack([np.where(ids >= 0, alpha[i] + scores[ids], none) for i, ids in into[j]])
         top = terms.max(axis=0)
         alpha[j] = top + np.log(np.exp(terms - top).sum(axis=0))
     return alpha
@@ -151,10 +152,11 @@ def _backward(edges: dict, length: int, n: int, scores: np.ndarray) -> np.ndarra
     out_of = defaultdict(list)
     for (i, j), ids in edges.items():
         out_of[i].append((j, ids))
-    beta = np.full((length + 1, n), NONE)
+    none = scores.dtype.type(NONE)
+    beta = np.full((length + 1, n), none)
     beta[length] = 0.0
     for i in range(length - 1, -1, -1):
-        terms = np.stack([np.where(ids >= 0, beta[j] + scores[ids], NONE) for j, ids in out_of[i]])
+        terms = np.stack([np.where(ids >= 0, beta[j] + scores[ids], none) for j, ids in out_of[i]])
         top = terms.max(axis=0)
         beta[i] = top + np.log(np.exp(terms - top).sum(axis=0))
     return beta
@@ -272,7 +274,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
 def _expected(words: DataFrame, path: str, scores: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over the distinct training words; one partial row set per task."""
-    shared = words.sparkSession.sparkContext.broadcast(scores)
+    shared = words.sparkSession.sparkContext.broadcast(scores.astype(np.float32))     # counts need no more
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)

@@ -24,8 +24,8 @@ neighbours in suffix order:
 The sequential files are Spark's: segments reach a task sorted by gram, and are
 read once in runs of bounded size. Equal segments are counted before the
 shuffle, so a passage in a third of all documents is one text with a count. A
-gram that occurs more than `hot` times is not gathered: its different segments
-are cut into single windows, which are counted by value.
+gram with more than `hot` different segments is not gathered: they are cut into
+single windows, which are counted by value.
 
 Defined cases: a null or short text loses nothing; repeated documents lose all
 their bytes if they have `length`; a null or repeated doc_id is carried as it
@@ -46,7 +46,7 @@ from tallyline.llm.common import discard, map_arrow, materialize, mix64, read, s
 
 LENGTH = 200
 GRAM = 64      # a power of two; longer grams repeat less often by chance, shorter ones make fewer segments
-HOT = 512
+HOT = 8192
 STEP = 1 << 20
 RUN_TEXTS = 16384
 N_BITS = 16
@@ -125,7 +125,7 @@ def _strings(held: DataFrame, length: int) -> DataFrame:
             for r in range(batch.num_rows):
                 raw = batch.column("text")[r].as_buffer().to_pybytes()
                 places = batch.column("places")[r].values
-                gram, place, uses = (np.asarray(places.field(c)) for c in ("gram", "place", "uses"))
+                gram, place = np.asarray(places.field("gram")), np.asarray(places.field("place"))
                 start, n, at = place >> 2 * N_BITS, place >> N_BITS & 0xFFFF, place & 0xFFFF
                 for i in range(0, len(gram), 8192):
                     s, e = start[i:i + 8192], (start + n + length - 1)[i:i + 8192]
@@ -133,10 +133,9 @@ def _strings(held: DataFrame, length: int) -> DataFrame:
                         pa.array(gram[i:i + 8192]), pa.array(at[i:i + 8192].astype(np.int32)),
                         pa.array([raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)], pa.binary()),
                         pa.array([ta[r]] * len(s), pa.int64()), pa.array([tb[r]] * len(s), pa.int64()), pa.array(s),
-                        pa.array(uses[i:i + 8192]),
-                    ], ["gram", "at", "bytes", "ta", "tb", "start", "uses"])
+                    ], ["gram", "at", "bytes", "ta", "tb", "start"])
 
-    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long, uses long")
+    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long")
 
 
 def build(gram: np.ndarray, at: np.ndarray, texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -252,18 +251,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
     keyed = texts.select("doc_id", "text", *text_key(F.col("text")))
 
     places = materialize(_anchors(keyed.where(F.octet_length("text") >= length), length), "repeat-places")
-    often = places.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1")
+    often = places.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1").select("gram")
     listed = materialize(places.join(often, "gram").distinct().groupBy("ta").agg(
-        F.collect_list(F.struct("gram", "place", "uses")).alias("places")), "repeat-listed")
+        F.collect_list(F.struct("gram", "place")).alias("places")), "repeat-listed")
     discard(places)
 
     held = materialize(keyed.select("ta", "tb", "text").join(listed, "ta"), "repeat-texts")
     discard(listed)
 
     strings = _strings(held, length).withColumns({"sa": F.xxhash64("bytes"), "sb": F.xxhash64(F.lit(7), "bytes")})
-    counted = materialize(strings.groupBy("gram", "uses", "at", "sa", "sb", "bytes").agg(F.count("*").alias("n")), "repeat-strings")
-    few = counted.where(F.col("uses") <= hot).repartition("gram").sortWithinPartitions("gram").select("gram", "at", "bytes", "n", "sa", "sb")
-    many = counted.where(F.col("uses") > hot)
+    counted = materialize(strings.groupBy("gram", "at", "sa", "sb", "bytes").agg(F.count("*").alias("n")), "repeat-strings")
+    # grams with very many different segments: few, as each has more than `hot`
+    crowd = materialize(counted.groupBy("gram").count().where(F.col("count") > hot).select("gram"), "repeat-crowd")
+    few = counted.join(crowd, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram").select("gram", "at", "bytes", "n", "sa", "sb")
+    many = counted.join(crowd, "gram", "left_semi")
     found = materialize(_collections(few, length).unionByName(_by_window(many, length)), "repeat-found")
     discard(counted)
 
