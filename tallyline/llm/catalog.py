@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tallyline.llm.decontaminate import op2_wu_manber
 from tallyline.llm.lattice import op1_subword_lattice
+from tallyline.llm.licenses import op4_license_dice
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
 from tallyline.llm.quality import op5_js_divergence
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_subword_lattice": op1_subword_lattice,
     "op2_wu_manber": op2_wu_manber,
     "op3_column_bwt": op3_column_bwt,
+    "op4_license_dice": op4_license_dice,
     "op5_js_divergence": op5_js_divergence,
     "op6_redirect_components": op6_redirect_components,
     "op7_markov_secrets": op7_markov_secrets,
