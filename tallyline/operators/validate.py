@@ -73,6 +73,7 @@ ENRICHED_RULES = _typed_rules() + [
         F.lit(False))),
 ]
 STAGES = {"raw": RAW_RULES, "cleaned": CLEANED_RULES, "enriched": ENRICHED_RULES}
+# The schema names that report rows carry.
 SCHEMA_NAMES = {"raw": "RawSalesSchema", "cleaned": "CleanedSalesSchema", "enriched": "EnrichedSalesSchema"}
 STAGE_COLUMNS = {
     "raw": S.REQUIRED_COLUMNS,

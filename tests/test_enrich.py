@@ -18,11 +18,11 @@ RUN_TS = datetime(2025, 1, 1)
 @pytest.fixture
 def cleaned(spark):
     rows = [
-        ("f", "ORD-001001", "Laptop Pro 15", 2, 999.99, "2024-01-15", "CUST-10001", "United States"),
-        ("f", "ORD-001002", "Wireless Mouse", 5, 29.99, "2024-01-16", "CUST-10002", "Canada"),
-        ("f", "ORD-001003", "USB-C Hub", 3, 49.99, "2024-01-17", "CUST-10003", "United Kingdom"),
-        ("f", "ORD-001004", "Keyboard", 1, 129.99, "2024-01-18", "CUST-10004", "Germany"),
-        ("f", "ORD-001005", "Monitor", 2, 349.99, "2024-01-19", "CUST-10005", "France"),
+        ("f", "ORD-001001", "Oak Desk", 2, 999.99, "2024-01-15", "CUST-20417", "United States"),
+        ("f", "ORD-001002", "Reading Lamp", 5, 29.99, "2024-01-16", "CUST-31855", "Canada"),
+        ("f", "ORD-001003", "Wool Rug", 3, 49.99, "2024-01-17", "CUST-40266", "United Kingdom"),
+        ("f", "ORD-001004", "Bookshelf", 1, 129.99, "2024-01-18", "CUST-57731", "Germany"),
+        ("f", "ORD-001005", "Floor Mirror", 2, 349.99, "2024-01-19", "CUST-68102", "France"),
     ]
     df = spark.createDataFrame(rows, "source_file string, order_id string, product_name string, quantity int, "
                                      "unit_price double, order_date string, customer_id string, country string")

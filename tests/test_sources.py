@@ -22,13 +22,13 @@ def _write(folder, name, text):
 
 def test_csv_scan_headers_and_verdict(spark):
     d = tempfile.mkdtemp(prefix="tl-csv-")
-    _write(d, "a.csv", HEADER + 'ORD-001001,"Laptop, Pro",2,999.99,2024-01-15,CUST-10001,United States\n'
-                              "ORD-001002,Mouse,5,29.99,2024-01-16,CUST-10002,Canada\n")
+    _write(d, "a.csv", HEADER + 'ORD-001001,"Laptop, Pro",2,999.99,2024-01-15,CUST-20417,United States\n'
+                              "ORD-001002,Mouse,5,29.99,2024-01-16,CUST-31855,Canada\n")
     # Other column order, still valid.
     _write(d, "b.csv", "country,order_id,product_name,quantity,unit_price,order_date,customer_id\n"
-                       "Canada,ORD-001003,Hub,3,49.99,2024-01-17,CUST-10003\n")
+                       "Canada,ORD-001003,Hub,3,49.99,2024-01-17,CUST-40266\n")
     _write(d, "c.csv", "order_id,product_name\nORD-001004,Keyboard\n")        # missing columns
-    _write(d, "d.csv", HEADER + "ORD-001005,Monitor,2,349.99,2024-01-19,CUST-10005,France,EXTRA\n")  # too many fields
+    _write(d, "d.csv", HEADER + "ORD-001005,Monitor,2,349.99,2024-01-19,CUST-68102,France,EXTRA\n")  # too many fields
     _write(d, "notes.txt", "not a csv")
     inv = list_csv_files(spark, d).collect()
     assert sorted(r.name for r in inv) == ["a.csv", "b.csv", "c.csv", "d.csv"]
@@ -83,7 +83,7 @@ def test_raw_archive_by_date(spark):
 def test_odd_files_are_judged_one_by_one(spark):
     """Names with spaces and brackets, many headers, empty files, twin names and open quotes: no file stops another."""
     d = tempfile.mkdtemp(prefix="tl-odd-")
-    row = "ORD-{:06d},Lamp,1,10,2024-01-15,CUST-10001,Canada"
+    row = "ORD-{:06d},Lamp,1,10,2024-01-15,CUST-20417,Canada"
     _write(d, "a b.csv", HEADER + row.format(1) + "\n")
     _write(d, "sales[1].csv", HEADER + row.format(2) + "\n")
     _write(d, "only header.csv", HEADER)
@@ -91,7 +91,7 @@ def test_odd_files_are_judged_one_by_one(spark):
     _write(d, "blank.csv", "\n")
     _write(d, "twin.csv", "order_id," + HEADER.strip() + "\nORD-000003," + row.format(4) + "\n")
     _write(d, "spelt.csv", HEADER.replace("order_id", "Order ID") + row.format(5) + "\n")
-    _write(d, "open.csv", HEADER + 'ORD-000006,"two\nlines",1,10,2024-01-15,CUST-10001,Canada\n')
+    _write(d, "open.csv", HEADER + 'ORD-000006,"two\nlines",1,10,2024-01-15,CUST-20417,Canada\n')
     for k in range(200):
         names = S.REQUIRED_COLUMNS + [f"more_{i}" for i in range(k)]
         _write(d, f"wide-{k}.csv", ",".join(names) + "\n" + row.format(1000 + k) + "," * k + "\n")
@@ -118,7 +118,7 @@ def test_odd_files_are_judged_one_by_one(spark):
 def test_date_formats_are_a_setting(spark):
     from conftest import raw_frame
 
-    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "1", "10", when, "CUST-10001", "Canada")
+    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "1", "10", when, "CUST-20417", "Canada")
                              for k, when in enumerate(["01/15/2024", "2024/01/16", "2024-01-17"])])
     assert plan_run(rows, RunConfig(clean=CleanConfig())).loaded().count() == 1
     wide = CleanConfig(date_formats=("M/d/yyyy", "yyyy/M/d", "yyyy-M-d"))
@@ -129,7 +129,7 @@ def test_date_formats_are_a_setting(spark):
 def test_a_file_that_loses_all_rows_has_reports(spark):
     from conftest import raw_frame
 
-    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "-1", "10", "2024-01-15", "CUST-10001", "Canada") for k in range(5)])
+    rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "-1", "10", "2024-01-15", "CUST-20417", "Canada") for k in range(5)])
     run = plan_run(rows, RunConfig(), materialize=True)
     rep = {r.stage: r for r in run.reports().collect()}
     assert rep["cleaned"].total_rows == 0 and rep["cleaned"].warning_count == 1 and rep["cleaned"].status == "skipped"

@@ -69,7 +69,7 @@ def test_stream_reads_columns_by_header_name(spark):
     inc, ckpt, paths = _folders()
     with open(os.path.join(inc, "swapped.csv"), "w") as f:
         f.write("country,customer_id,order_date,unit_price,quantity,product_name,order_id\n"
-                "Canada,CUST-10001,2024-03-01,10.50,2,Mouse,ORD-000042\n")
+                "Canada,CUST-20417,2024-03-01,10.50,2,Mouse,ORD-000042\n")
     assert run_incremental(spark, inc, ckpt, paths, CFG, buckets=4) == 1
     r = KeyedSalesTable(spark, paths.table).read().first()
     assert (r.order_id, r.country, r.quantity, float(r.total_amount)) == ("ORD-000042", "Canada", 2, 21.0)

@@ -99,8 +99,8 @@ def test_on_fail_modes(spark, sample_raw_errors):
 
     from tallyline.plans.batch_run import RunConfig, plan_run
 
-    bad = raw_frame(spark, [("BAD-1", "A", "1", "1", "2024-01-01", "CUST-10001", "Canada"),
-                            ("ORD-000002", "A", "1", "1", "2024-01-01", "CUST-10001", "Canada")])
+    bad = raw_frame(spark, [("BAD-1", "A", "1", "1", "2024-01-01", "CUST-20417", "Canada"),
+                            ("ORD-000002", "A", "1", "1", "2024-01-01", "CUST-20417", "Canada")])
     warn = plan_run(bad, RunConfig(clean=CFG))
     assert warn.cleaned.count() == 2
     drop = plan_run(bad, RunConfig(clean=CFG, on_fail="drop"))
