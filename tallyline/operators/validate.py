@@ -313,6 +313,9 @@ def raw_stage_report(profile: DataFrame, strict: bool = False) -> DataFrame:
         err_n.cast("long").alias("error_count"),
         warn_n.cast("long").alias("warning_count"),
         F.concat_ws(";", F.array_sort(errs)).alias("first_errors"),
+        F.when(missing, F.lit("")).otherwise(F.concat_ws(
+            ";", F.when(F.col("non_numeric_quantity") > 0, F.concat(F.lit("non_numeric_quantity:"), F.col("non_numeric_quantity"))),
+            F.when(F.col("empty_order_ids") > 0, F.concat(F.lit("empty_order_ids:"), F.col("empty_order_ids"))))).alias("warnings"),
     )
 
 
@@ -386,15 +389,15 @@ def coerce_failures(raw: DataFrame, date_formats: tuple[str, ...] = DATE_FORMATS
 def stage_report(df: DataFrame, stage: str, warnings: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """One report row per file for a stage: status, is_valid, row counts
     (all-or-nothing), error and warning counts, schema name, and the first ten
-    errors as text. ``warnings`` has [source_file,] warning_count."""
+    errors as text. ``warnings`` has [source_file,] warning_count, warnings."""
     problems = schema_problems(df, stage)
     df, keys, scoped = _scoped(df)
     long, wide = stage_counts(df, [stage])
     rep = report_from_counts(long, wide.select(*keys, "total_rows"), stage, keys,
                              warnings if not scoped else None, problems, strict)
     if scoped and warnings is not None:
-        rep = rep.drop("warning_count").withColumn("_one", F.lit(1)).join(
-            warnings.select("warning_count", F.lit(1).alias("_one")), "_one").drop("_one")
+        rep = rep.drop("warning_count", "warnings").withColumn("_one", F.lit(1)).join(
+            warnings.select("warning_count", "warnings", F.lit(1).alias("_one")), "_one").drop("_one")
     return rep.drop(SCOPE) if scoped else rep
 
 
@@ -409,9 +412,9 @@ def report_from_counts(long: DataFrame, sizes: DataFrame, stage: str, keys: list
     )
     rep = sizes.join(errs, keys, "left")
     if warnings is not None:
-        rep = rep.join(warnings.select(*keys, "warning_count"), keys, "left")
+        rep = rep.join(warnings.select(*keys, "warning_count", "warnings"), keys, "left")
     else:
-        rep = rep.withColumn("warning_count", F.lit(0))
+        rep = rep.withColumns({"warning_count": F.lit(0), "warnings": F.lit("")})
     problems = problems or []
     err_n = F.coalesce(F.col("error_count"), F.lit(0)) + F.lit(len(problems))
     warn_n = F.coalesce(F.col("warning_count"), F.lit(0))
@@ -430,9 +433,19 @@ def report_from_counts(long: DataFrame, sizes: DataFrame, stage: str, keys: list
         warn_n.cast("long").alias("warning_count"),
         F.concat_ws(";", F.concat(F.array(*map(F.lit, problems)).cast("array<string>"),
                                   F.coalesce(F.col("_errs"), F.array().cast("array<string>")))).alias("first_errors"),
+        F.coalesce("warnings", F.lit("")).alias("warnings"),
     )
 
 
+def quality_warning_texts(q: DataFrame, keys: list[str]) -> DataFrame:
+    """warning_count and their texts per file, from ``quality_from_aggregates``."""
+    figures = {"warn_data_loss": None, "warn_unknown_customers": "unknown_customers",
+               "warn_unknown_countries": "unknown_countries", "warn_date_span": "date_span_days"}
+    texts = [F.when(F.col(flag), F.concat(F.lit(f"{flag[5:]}:"), F.col(value)) if value else F.lit(flag[5:])) for flag, value in figures.items()]
+    return q.select(*keys, sum((F.col(flag).cast("int") for flag in figures), F.lit(0)).alias("warning_count"),
+                    F.concat_ws(";", *texts).alias("warnings"))
+
+
 def validation_summary(reports: DataFrame) -> DataFrame:
     """Over a report table: total, passed, failed, success rate, errors, warnings."""
     n = F.count(F.lit(1))

@@ -103,12 +103,7 @@ class BatchRun:
         # From the cleaning figures on: a file that lost all its rows has a report too.
         sizes = stats.select(*keys).join(wide.select(*keys, "total_rows"), keys, "left").fillna(0, ["total_rows"])
         q = V.quality_from_aggregates(wide.withColumnRenamed("total_rows", "cleaned_count"), stats, keys)
-        clean_w = q.select(
-            *keys,
-            (F.col("warn_data_loss").cast("int") + F.col("warn_unknown_customers").cast("int")
-             + F.col("warn_unknown_countries").cast("int") + F.col("warn_date_span").cast("int"))
-            .alias("warning_count"),
-        )
+        clean_w = V.quality_warning_texts(q, keys)
         strict = self.cfg.strict
         cleaned_problems = V.schema_problems(self.cleaned.select(*data), "cleaned")
         enriched_problems = V.schema_problems(enriched, "enriched")

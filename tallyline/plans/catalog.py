@@ -363,6 +363,18 @@ def q_file_report(spark, d):
     return _run(spark, d, materialize=True).file_report()
 
 
+def q_sample_daily_sales(spark, d):
+    return A.sample_rows(q_v_daily_sales(spark, d), 5, "order_date")
+
+
+def q_sample_product_performance(spark, d):
+    return A.sample_rows(q_v_product_performance(spark, d), 5, "product_name")
+
+
+def q_sample_country_analysis(spark, d):
+    return A.sample_rows(q_v_country_analysis(spark, d), 5, "country")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_tokens": q_null_tokens,
     "raw_file_verdict": q_raw_file_verdict,
@@ -407,6 +419,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "aov_by_country": q_aov_by_country,
     "daily_change": q_daily_change,
     "sample_sales": q_sample_sales,
+    "sample_daily_sales": q_sample_daily_sales,
+    "sample_product_performance": q_sample_product_performance,
+    "sample_country_analysis": q_sample_country_analysis,
     "load_gate": q_load_gate,
     "upsert": q_upsert,
     "load_counts": q_load_counts,

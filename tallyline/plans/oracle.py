@@ -249,6 +249,7 @@ def stage_report(stage: str, schema_name: str, src: str, rc: str, warn: str | No
             f"FROM {rc} WHERE failures > 0 GROUP BY source_file)")
     wjoin = f"LEFT JOIN {warn} w USING (source_file)" if warn else ""
     wcol = "coalesce(w.warning_count, 0)" if warn else "0"
+    wtext = "coalesce(w.warnings, '')" if warn else "''"
     rep = (f"{rc}_rep AS (SELECT source_file, '{stage}' AS stage, '{schema_name}' AS schema_name, "
            f"CASE WHEN coalesce(e.error_count, 0) <> 0 THEN 'failed' WHEN s.total_rows = 0 THEN 'skipped' "
            f"WHEN {wcol} > 0 THEN 'warning' ELSE 'passed' END AS status, "
@@ -256,7 +257,7 @@ def stage_report(stage: str, schema_name: str, src: str, rc: str, warn: str | No
            f"CAST(CASE WHEN coalesce(e.error_count, 0) = 0 THEN s.total_rows ELSE 0 END AS BIGINT) AS valid_rows, "
            f"CAST(CASE WHEN coalesce(e.error_count, 0) = 0 THEN 0 ELSE s.total_rows END AS BIGINT) AS invalid_rows, "
            f"CAST(coalesce(e.error_count, 0) AS BIGINT) AS error_count, CAST({wcol} AS BIGINT) AS warning_count, "
-           f"coalesce(e.first_errors, '') AS first_errors "
+           f"coalesce(e.first_errors, '') AS first_errors, {wtext} AS warnings "
            f"FROM (SELECT source_file, count(*) AS total_rows FROM {src} GROUP BY source_file) s "
            f"LEFT JOIN {rc}_err e USING (source_file) {wjoin})")
     return [errs, rep]
@@ -311,12 +312,18 @@ def report_ctes() -> list[str]:
     out = []
     out += rule_counts("rraw", RAW_RULES, False, "rc_raw")
     out.append("w_raw AS (SELECT source_file, CAST(non_numeric_quantity > 0 AS INTEGER) + "
-               f"CAST(empty_order_ids > 0 AS INTEGER) AS warning_count FROM ({raw_warnings_body('rraw')}))")
+               f"CAST(empty_order_ids > 0 AS INTEGER) AS warning_count, concat_ws(';', "
+               "CASE WHEN non_numeric_quantity > 0 THEN 'non_numeric_quantity:' || non_numeric_quantity END, "
+               "CASE WHEN empty_order_ids > 0 THEN 'empty_order_ids:' || empty_order_ids END) AS warnings "
+               f"FROM ({raw_warnings_body('rraw')}))")
     out += stage_report("raw", "RawSalesSchema", "rraw", "rc_raw", "w_raw")
     out += rule_counts("clean", TYPED_RULES, True, "rc_clean")
     out += quality_ctes("clean", "cls")
     out.append("w_clean AS (SELECT source_file, CAST(warn_data_loss AS INTEGER) + CAST(warn_unknown_customers AS INTEGER) "
-               "+ CAST(warn_unknown_countries AS INTEGER) + CAST(warn_date_span AS INTEGER) AS warning_count FROM qw)")
+               "+ CAST(warn_unknown_countries AS INTEGER) + CAST(warn_date_span AS INTEGER) AS warning_count, concat_ws(';', "
+               "CASE WHEN warn_data_loss THEN 'data_loss' END, CASE WHEN warn_unknown_customers THEN 'unknown_customers:' || unknown_customers END, "
+               "CASE WHEN warn_unknown_countries THEN 'unknown_countries:' || unknown_countries END, "
+               "CASE WHEN warn_date_span THEN 'date_span:' || date_span_days END) AS warnings FROM qw)")
     out += stage_report("cleaned", "CleanedSalesSchema", "clean", "rc_clean", "w_clean")
     out += rule_counts("enr", ENRICHED_RULES, True, "rc_enr")
     out += stage_report("enriched", "EnrichedSalesSchema", "enr", "rc_enr", None)
@@ -510,3 +517,7 @@ ORACLE_SQL: dict[str, str] = {
     "drop_empty_rows_faults": with_(BASE, "SELECT source_file, count(*) AS rows_left FROM nraw WHERE k4 % 3 <> 0 AND NOT ("
         + " AND ".join(f"{c} IS NULL" for c in DATA) + ") GROUP BY source_file"),
 }
+
+# The first rows of each view, by its key.
+ORACLE_SQL |= {f"sample_{v}": f"SELECT * FROM ({ORACLE_SQL['v_' + v]}) ORDER BY {k} NULLS LAST LIMIT 5" for v, k in (
+    ("daily_sales", "order_date"), ("product_performance", "product_name"), ("country_analysis", "country"))}

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 
 FAST = ["clean_full", "clean_stats", "enrich_full", "agg_by_country", "running_totals", "v_country_analysis",
         "upsert", "load_gate", "check_counts", "validation_report", "run_summary", "daily_change", "load_rejects", "quarantine",
-        "coerced", "check_counts_faults", "delete_before", "load_counts", "drop_empty_rows_faults", "schema_problems", "orders_exist"]
+        "coerced", "check_counts_faults", "delete_before", "load_counts", "drop_empty_rows_faults", "schema_problems", "orders_exist", "sample_daily_sales", "sample_product_performance"]
 
 
 @pytest.fixture(scope="module")
