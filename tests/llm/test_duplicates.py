@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from tallyline.llm import near_duplicates as N
@@ -40,6 +41,23 @@ def test_near_duplicates_equal_brute_force(spark, hot, chunk):
     assert sorted((tuple(r) for r in got), key=key) == sorted(brute.near_components(docs), key=key)
 
 
+@pytest.mark.parametrize("bands", [(0, 10), (0, 31), (7,)])
+def test_documents_of_hot_bands_far_apart_are_compared(spark, monkeypatch, bands):
+    """Near copies that share hot band keys only, any distance apart or a single one."""
+    r = random.Random(11)
+    base = [f"v{r.randrange(5000)}" for _ in range(200)]
+    docs = [(k, " ".join([*base, f"own{k}"])) for k in range(40)]
+    signatures = N.signatures
+
+    def few(*args):
+        own = [F.lit(-1 - b) if b in bands else F.xxhash64("doc_id", F.lit(b)) for b in range(N.BANDS)]
+        return signatures(*args).withColumn("keys", F.array(*[x.cast("long") for x in own]))
+
+    monkeypatch.setattr(N, "signatures", few)
+    got = N.near_duplicates(frame(spark, docs), hot=8).collect()
+    assert {r["component_id"] for r in got} == {0} and len(got) == 40
+
+
 def test_signature_values_estimate_similarity():
     """Least and greatest values agree as often as the sets do, so their mean has no bias."""
     r = np.random.default_rng(5)
