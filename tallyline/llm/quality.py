@@ -5,14 +5,16 @@ other ASCII punctuation, the bytes that non-ASCII adds, the rest) and its words
 words (all other words are one more bin). Both histograms are compared with
 language references by the Jensen-Shannon distance (base 2, 0 to 1); the
 nearest language counts, since the `lang` column may be wrong. A language's
-reference is taken over all its documents in one aggregate; the `max_languages`
-languages with most documents have one. A distance counts only where the text
-is long enough for the histogram to mean something (MIN_CHARS,
-MIN_HISTOGRAM_WORDS).
+reference is taken over all its documents in one aggregate; every language with
+MIN_REFERENCE_DOCS long documents has one. A distance counts only where the
+document's own language has a reference, as other languages say nothing about
+it, and where the text is long enough for the histogram to mean something
+(MIN_CHARS, MIN_HISTOGRAM_WORDS).
 
 The texts are measured once; counts, shares and the carried `row` are written to
-the shared checkpoint folder. The references (a few rows, bounded by
-`max_languages`) are one aggregate over them. No join, no shuffle of texts.
+the shared checkpoint folder. The references are one aggregate over them, written
+as one row (about 300 bytes a language) that is joined to every document; Spark
+knows its size. No shuffle of texts.
 
 Defined cases: a null text has no words (and fails the base rule); a null
 language is a language of its own; repeated documents are judged alike; an
@@ -42,7 +44,6 @@ MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 200
 MIN_HISTOGRAM_WORDS = 100
 MIN_REFERENCE_DOCS = 20
-MAX_LANGUAGES = 16
 MAX_CHAR_DISTANCE = 0.14
 MAX_WORD_DISTANCE = 0.5
 FEW_REPEATS = 64
@@ -104,26 +105,20 @@ def measure(docs: DataFrame, row: Column | None = None) -> DataFrame:
         F.when(F.col("n_words") >= MIN_HISTOGRAM_WORDS, F.transform("word_bins", lambda x: x / F.col("n_words"))).alias("word_shares"))
 
 
-def references(measured: DataFrame, min_docs: int = MIN_REFERENCE_DOCS,
-               max_languages: int = MAX_LANGUAGES) -> list[tuple[list[float], list[float]]]:
-    """Reference histograms of the whole input's languages, most documents first; at most `max_languages`.
+def references(measured: DataFrame, min_docs: int = MIN_REFERENCE_DOCS) -> DataFrame:
+    """One row: `refs`, the reference histograms (lang, c, w) of all languages with `min_docs` documents of both histograms.
 
     Character classes take the median share over a language's documents, so
     that its junk, if less than half, does not move them; words take the mean.
-    Without a language of `min_docs` documents, all documents make one reference.
     """
-    n_word = len(COMMON_WORDS) + 1
     h = measured.where("char_shares is not null and word_shares is not null")
     made = [F.percentile_approx(F.col("char_shares")[i], 0.5, 1000).alias(f"c{i}") for i in range(N_CHAR_BINS)]
-    made += [F.avg(F.col("word_shares")[i]).alias(f"w{i}") for i in range(n_word)]
-    per = h.groupBy("lang").agg(F.count("*").alias("n"), *made).where(F.col("n") >= min_docs)
-    rows = per.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    rows = rows or [r for r in h.agg(F.count("*").alias("n"), *made).collect() if r["n"]]
-    out = []
-    for r in rows:
-        c = [r[f"c{i}"] or 0.0 for i in range(N_CHAR_BINS)]
-        out.append(([x / sum(c) for x in c], [r[f"w{i}"] or 0.0 for i in range(n_word)]))
-    return out
+    made += [F.avg(F.col("word_shares")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]
+    total = sum((F.col(f"c{i}") for i in range(1, N_CHAR_BINS)), F.col("c0"))
+    per = h.groupBy("lang").agg(F.count("*").alias("n"), *made).where((F.col("n") >= min_docs) & (total > 0))
+    return per.select("lang", F.array(*[F.col(f"c{i}") / total for i in range(N_CHAR_BINS)]).alias("c"),
+                      F.array(*[F.col(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]).alias("w")).agg(
+        F.collect_list(F.struct("lang", "c", "w")).alias("refs"))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -134,19 +129,18 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), (side(p, q) + side(q, p)) / 2))
 
 
-def judge(docs: DataFrame, row: Column | None = None, refs: list | None = None, max_char: float = MAX_CHAR_DISTANCE,
+def judge(docs: DataFrame, row: Column | None = None, refs: DataFrame | None = None, max_char: float = MAX_CHAR_DISTANCE,
           max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """row, base counts, both distances (null where a text is too short for one) and the verdict `kept`."""
+    """row, base counts, both distances (null where a text is too short for one or its language has no reference) and the verdict `kept`."""
     measured = materialize(measure(docs, row), "quality")
-    refs = references(measured) if refs is None else refs
+    refs = materialize(references(measured), "quality-references") if refs is None else refs
 
-    def nearest(shares: str, at: int) -> Column:
-        if not refs:
-            return F.lit(None).cast("double")
-        return F.array_min(F.array(*[js_distance(F.col(shares), F.array(*map(F.lit, r[at]))) for r in refs]))
+    def nearest(shares: str, at: str) -> Column:
+        return F.when(F.exists("refs", lambda r: r["lang"].eqNullSafe(F.col("lang"))), F.array_min(F.transform(
+            "refs", lambda r: js_distance(F.col(shares), r[at]))))
 
-    h = measured.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                        nearest("char_shares", 0).alias("char_distance"), nearest("word_shares", 1).alias("word_distance"))
+    h = measured.crossJoin(refs).select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                                        nearest("char_shares", "c").alias("char_distance"), nearest("word_shares", "w").alias("word_distance"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     bad = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | (F.coalesce("word_distance", F.lit(0.0)) > max_word)
     return h.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~bad)

@@ -36,6 +36,21 @@ def test_quality_counts_equal_brute_force(spark):
     assert rows[0]["row"]["row"] == "x"
 
 
+def test_every_language_has_its_reference(spark):
+    """A 17th language is held against its own reference, one without a reference against none."""
+    r = random.Random(12)
+    wide = lambda: " ".join("".join(r.choices("абвгдежзиклмнопрст", k=6)) for _ in range(150))
+    rows = [(1000 * k + i, f"l{k:02d}", prose(r, 150)) for k in range(16) for i in range(21)]
+    rows += [(50_000 + i, "ru", wide()) for i in range(20)] + [(60_000, "ru", "%$# " * 10 + prose(r, 20).upper() + wide()[:200])]
+    rows += [(70_000 + i, "uk", wide()) for i in range(3)]
+    got = {x["row"]["doc_id"]: x for x in Q.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
+    assert all(got[d]["kept"] and got[d]["char_distance"] < Q.MAX_CHAR_DISTANCE for d in range(50_000, 50_020))
+    assert all(got[d]["kept"] and got[d]["char_distance"] is None for d in range(70_000, 70_003))
+    assert not got[60_000]["kept"]
+    few = spark.createDataFrame([x for x in rows if x[0] % 1000 < 10], "doc_id long, lang string, text string")
+    assert all(x["kept"] for x in Q.judge(few).collect() if x["row"]["doc_id"] != 60_000)
+
+
 def test_js_distance_bounds(spark):
     a = lambda *x: F.array(*map(F.lit, x))
     r = spark.range(1).select(Q.js_distance(a(1.0, 0.0), a(0.0, 1.0)), Q.js_distance(a(0.5, 0.5), a(0.5, 0.5)),
