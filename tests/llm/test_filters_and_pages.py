@@ -161,6 +161,26 @@ def test_articles_are_extracted(spark):
     assert W.main_texts(pages(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("body, want", [
+    ("<p>one<svg viewBox='0 0 1 1'/> two</p><p>three</p>", "one two\nthree"),
+    ("<p>one <svg class=a/><text>no</text></svg>two</p><svg/><p>three<svg><path/><svg></svg><text>no</text></svg></p>", "one two\nthree"),
+    ("<p>one <math/>two</p><p><math><mi>x</mi><mo>=</mo><mn>2</mn></math></p>", "one two\nx=2"),
+    ("<p>one</p><object data=a><p>two</p><noscript>three<p>four</p>", "one\ntwo\nthree\nfour"),
+    ("<p>one</p><template><p>two</p><svg><p>three</p><svg><text>no</text></svg><p>four", "one\ntwo\nthree\nfour"),
+    ("<p>one</p><template><template>no</template><p>no</p></template><iframe>no</iframe><p>two</p>", "one\ntwo"),
+    ("<xmp>a <b> &amp;</xmp><p>two</p><noscript><p>three</p></noscript>", "a <b> &amp;\ntwo\nthree"),
+    ("<p>one</p>" + "<div>" * 400 + "<p>two</p>" + "<section class=ad><p>no</p></section>" + "</div>" * 400 + "<p>three</p>", "one\ntwo\nthree"),
+])
+def test_no_text_is_lost_behind_odd_elements(body, want):
+    page = f"<html><body><article>{body}</article><footer>Foot</footer></body></html>"
+    assert W.extract([W.parse(page)]) == [want]
+
+
+def test_article_beyond_the_depth_limit():
+    page = "<p>out</p>" + "<div>" * 200 + "<article><p>in</p><div>more</div></article>" + "</div>" * 200 + "<p>out</p>"
+    assert W.extract([W.parse(page)]) == ["in\nmore"]
+
+
 def test_template_is_left_out_without_article_tags():
     texts = W.extract([W.parse(layout(k, f"<div>Follow us</div><p>Body of {k}, which varies.</p><p>More {k} and more words {k}.</p>", "section"))
                        for k in range(20)])
