@@ -48,6 +48,39 @@ def test_dice_equals_brute_force(spark, threshold):
     assert found[102][0][0] == "all-rights-reserved" and found[None][0][0] == "mit" and not found[100] and bool(found[104]) == (threshold < 0.6)
 
 
+def test_notices_inside_longer_text_are_found(spark):
+    mit, bsd, isc = (L.TEMPLATES[x][-1] for x in ("mit", "bsd-2-clause", "isc"))
+    rows = [(1, "Copyright (c) 2020 Foo Inc. All rights reserved."), (2, "İ see this file. Licensed under the Apache License, Version 2.0."),
+            (3, "int x;\n/*\n" + " * ".join(w + ("\n" if k % 9 == 8 else " ") for k, w in enumerate(mit.split())) + "*/\nint main() { return 0; }"),
+            (4, "a b c " * 300 + bsd + " d e f" * 300), (5, isc + " and " + "Released under the MIT License."), (6, "nothing of the kind " * 50), (7, None)]
+    got = {r["row"]["doc_id"]: r["passages"] for r in L.scan_licenses(frame(spark, rows)).collect()}
+    names = {d: [p["license"] for p in x] for d, x in got.items()}
+    assert names == {1: ["all-rights-reserved"], 2: ["apache-2.0"], 3: ["mit"], 4: ["bsd-2-clause"], 5: ["isc", "mit"], 6: [], 7: []}
+    text = dict(rows)
+    assert text[1][got[1][0]["start"]:got[1][0]["stop"]] == "All rights reserved"
+    assert text[2][got[2][0]["start"]:got[2][0]["stop"]] == "Licensed under the Apache License, Version 2.0"
+
+
+def test_windows_equal_brute_force():
+    r = random.Random(5)
+    templates = {"x": ["a b c d e f"], "y": ["a b a b", "c a b d"], "z": ["e f g h a b c d"]}
+    counts = [(n, L.bigrams(t)) for n in templates for t in templates[n]]
+    m = L.Matcher(templates, 0.8)
+
+    def reach(w):
+        x = Counter(zip(w, w[1:]))
+        return max((2 * sum((x & y).values()) / (sum(x.values()) + sum(y.values())) for _, y in counts), default=0) if x else 0
+
+    for _ in range(150):
+        w = r.choices("abcdefgh", k=r.randint(0, 25)) if r.random() < 0.5 else r.choices(["a b c d", "e f", "c a b d", "q"], k=6)
+        w = " ".join(w).split()
+        got = m.passages(w)
+        assert all(reach(w[a:b + 1]) >= 0.8 for _, _, a, b in got)
+        every = [(reach(w[a:b + 1]), a, b) for a in range(len(w)) for b in range(a + 1, min(len(w), a + 14)) if reach(w[a:b + 1]) >= 0.8]
+        assert max((d for d, _, _ in every), default=None) == max((d for _, d, _, _ in got), default=None)
+        assert all(any(a <= q and p <= b for _, _, p, q in got) for _, a, b in every)
+
+
 def test_size_bounds_are_exact():
     m = L.Matcher(L.TEMPLATES, 0.8)
     for a in range(1, 200):
