@@ -3,8 +3,9 @@
 Each document becomes token ids plus an end id. A piece of n tokens costs
 ``linear * n + quadratic * n * n`` (projections and feed-forward layers grow
 with n, attention inside the piece with its square). Documents are taken in
-descending cost; each goes to the sequence of lowest cost that has room for it
-among the cheapest few, and is cut where none of those has room.
+descending cost; each goes to the sequence of lowest cost that has room for it,
+and is cut only where no sequence has. Sequences are kept in a heap per room
+left, with a tree of minima over the rooms.
 
 Packing works inside blocks of about `block_tokens` tokens of one task, so it
 needs no shuffle, no driver and bounded memory. The sequences of a block are
@@ -35,7 +36,6 @@ from tallyline.llm.common import map_arrow, read
 CAPACITY = 1024
 END_ID = 0
 BLOCK_TOKENS = 1 << 21
-LOOKAHEAD = 16
 SEQUENCE_BITS = 33
 CACHE_UNITS = 300_000
 CACHE_UNIT_CHARS = 64
@@ -112,30 +112,50 @@ def pack(lengths: list[int], capacity: int, linear: float, quadratic: float) ->
     cost = lambda n: linear * n + quadratic * n * n
     size = capacities(sum(lengths), capacity)
     used = [0] * len(size)
-    heap = [(0.0, s) for s in range(len(size))]
+    none = (float("inf"), -1)
+    rooms: list[list[tuple[float, int]]] = [[] for _ in range(capacity + 1)]
+    half = 1 << capacity.bit_length()
+    least = [none] * (2 * half)
+
+    def settle(room: int) -> None:
+        i = half + room
+        least[i] = rooms[room][0] if rooms[room] else none
+        while i > 1:
+            i >>= 1
+            least[i] = min(least[2 * i], least[2 * i + 1])
+
+    def cheapest(room: int) -> tuple[float, int]:
+        """The cheapest sequence with at least so much room."""
+        i, stop, best = half + room, 2 * half, none
+        while i < stop:
+            if i & 1:
+                best = min(best, least[i])
+                i += 1
+            i, stop = i >> 1, stop >> 1
+        return best
+
+    for s, n in enumerate(size):
+        rooms[n].append((0.0, s))
+    for n in set(size):
+        settle(n)
     pieces = []
     for d in sorted(range(len(lengths)), key=lambda d: (-lengths[d], d)):
         start, left = 0, lengths[d]
         while left:
             want = min(left, capacity)
-            looked, at = [], None
-            while heap and len(looked) < LOOKAHEAD:
-                c, s = heapq.heappop(heap)
-                if size[s] - used[s] >= want:
-                    at = (c, s)
-                    break
-                looked.append((c, s))
-            if at is None:                       # no room in one place: cut, the cheapest takes what it can
-                at = looked.pop(0)
-            for x in looked:
-                heapq.heappush(heap, x)
-            c, s = at
-            n = min(want, size[s] - used[s])
+            c, s = cheapest(want)
+            if s < 0:                            # no room in one place: cut, the cheapest takes what it can
+                c, s = cheapest(1)
+            room = size[s] - used[s]
+            heapq.heappop(rooms[room])
+            settle(room)
+            n = min(want, room)
             pieces.append((d, start, n, s, used[s]))
             used[s] += n
             start, left = start + n, left - n
             if used[s] < size[s]:
-                heapq.heappush(heap, (c + cost(n), s))
+                heapq.heappush(rooms[room - n], (c + cost(n), s))
+                settle(room - n)
     return pieces
 
 

@@ -227,3 +227,22 @@ def test_packing_balances_cost():
     full = sorted(cost.values())
     assert len(pieces) < 1.5 * len(lengths) and sum(p[2] for p in pieces) == sum(lengths)
     assert full[len(full) // 2] < 2048
+
+
+@pytest.mark.parametrize("capacity", [1024, 100])
+def test_documents_are_cut_only_where_no_sequence_has_room(capacity):
+    r = random.Random(13)
+    lengths = [min(4 * capacity, int(r.lognormvariate(5, 1)) + 1) for _ in range(1500)]
+    size = P.capacities(sum(lengths), capacity)
+    room, cost = list(size), [0.0] * len(size)
+    left = dict(enumerate(lengths))
+    for d, _, n, s, offset in P.pack(lengths, capacity, 1.0, 1 / capacity):
+        want = min(left[d], capacity)
+        fits = [(cost[x], x) for x in range(len(size)) if room[x] >= want]
+        assert offset == size[s] - room[s]
+        assert (cost[s], s) == min(fits or [(cost[x], x) for x in range(len(size)) if room[x]])
+        assert n == (want if fits else room[s])
+        room[s] -= n
+        left[d] -= n
+        cost[s] += n + n * n / capacity
+    assert not any(room) and not any(left.values())
