@@ -7,9 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-SF_SMALL = "/root/testdata/sf0.001"
-RAW_COLS = ["order_id", "product_name", "quantity", "unit_price", "order_date", "customer_id", "country"]
-
+from sales_rows import raw_frame  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
@@ -20,16 +18,6 @@ def spark():
     yield s
 
 
-def raw_frame(spark, rows, source_file="f1.csv"):
-    """Literal raw rows (tuples of 7 texts) with file and ordinal lineage."""
-    from pyspark.sql import functions as F
-
-    data = [(source_file, i) + tuple(r) for i, r in enumerate(rows)]
-    schema = "source_file string, _i long, " + ", ".join(f"{c} string" for c in RAW_COLS)
-    df = spark.createDataFrame(data, schema)
-    return df.select("source_file", F.struct(F.col("_i").alias("pos")).alias("row_ordinal"), *RAW_COLS)
-
-
 @pytest.fixture
 def sample_raw(spark):
     return raw_frame(spark, [

@@ -1,6 +1,6 @@
 from datetime import date, datetime
 
-from conftest import raw_frame
+from sales_rows import raw_frame
 
 from tallyline.operators.clean import (
     CleanConfig,
@@ -125,7 +125,7 @@ def test_rows_in_equal_kept_plus_rejected_plus_duplicates(spark):
     (with a reason) or dropped as a duplicate, per file."""
     from pyspark.sql import functions as F
 
-    from conftest import SF_SMALL
+    from sales_rows import SF_SMALL
     from tallyline.sources.tables import raw_sales
 
     raw = raw_sales(spark, SF_SMALL)

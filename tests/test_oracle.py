@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from sales_rows import SF_SMALL
 from oracle_compare import compare, duck
 
 import __spark_entry__ as E

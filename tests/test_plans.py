@@ -4,7 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, raw_frame
+from sales_rows import SF_SMALL, raw_frame
 from tallyline.operators.clean import CleanConfig, dedupe_first
 from tallyline.plans import catalog as C
 

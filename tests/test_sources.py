@@ -66,7 +66,7 @@ def test_generator_repeats_and_counts(spark):
 
 
 def test_raw_archive_by_date(spark):
-    from conftest import raw_frame
+    from sales_rows import raw_frame
     from tallyline.sources.archive import archive_key, archive_rows, archived_files
 
     d = tempfile.mkdtemp(prefix="tl-arch-") + "/archive"
@@ -116,7 +116,7 @@ def test_odd_files_are_judged_one_by_one(spark):
 
 
 def test_date_formats_are_a_setting(spark):
-    from conftest import raw_frame
+    from sales_rows import raw_frame
 
     rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "1", "10", when, "CUST-20417", "Canada")
                              for k, when in enumerate(["01/15/2024", "2024/01/16", "2024-01-17"])])
@@ -127,7 +127,7 @@ def test_date_formats_are_a_setting(spark):
 
 
 def test_a_file_that_loses_all_rows_has_reports(spark):
-    from conftest import raw_frame
+    from sales_rows import raw_frame
 
     rows = raw_frame(spark, [(f"ORD-{k:06d}", "Lamp", "-1", "10", "2024-01-15", "CUST-20417", "Canada") for k in range(5)])
     run = plan_run(rows, RunConfig(), materialize=True)

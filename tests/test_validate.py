@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import raw_frame
+from sales_rows import raw_frame
 from tallyline.operators import validate as V
 from tallyline.operators.clean import CleanConfig, clean
 from tallyline.operators.enrich import EnrichConfig, enrich
