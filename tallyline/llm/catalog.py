@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tallyline.llm.centroids import ORACLE_SQL as CENTROID_SQL
+from tallyline.llm.centroids import op13_lookup_centroids
 from tallyline.llm.decontaminate import op2_wu_manber
 from tallyline.llm.lattice import op1_subword_lattice
 from tallyline.llm.licenses import op4_license_dice
@@ -25,9 +27,10 @@ QUERIES = {
     "op8_min_max": op8_min_max,
     "op9_cost_packing": op9_cost_packing,
     "op10_tree_wrapper": op10_tree_wrapper,
+    "op13_lookup_centroids": op13_lookup_centroids,
 }
 
 # The other operators are beyond SQL: tests compare them with brute force. The
 # pages of the test tables declare no links, so rules alone decide there; links
 # and components are tested apart.
-ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op13_lookup_centroids": CENTROID_SQL}
