@@ -7,6 +7,7 @@ from tallyline.llm.centroids import op13_lookup_centroids
 from tallyline.llm.decontaminate import op2_wu_manber
 from tallyline.llm.lattice import op1_subword_lattice
 from tallyline.llm.licenses import op4_license_dice
+from tallyline.llm.manifest import op11_time_forward
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
 from tallyline.llm.quality import op5_js_divergence
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_min_max": op8_min_max,
     "op9_cost_packing": op9_cost_packing,
     "op10_tree_wrapper": op10_tree_wrapper,
+    "op11_time_forward": op11_time_forward,
     "op13_lookup_centroids": op13_lookup_centroids,
 }
 
