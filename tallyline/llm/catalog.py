@@ -7,6 +7,7 @@ from tallyline.llm.centroids import op13_lookup_centroids
 from tallyline.llm.decontaminate import op2_wu_manber
 from tallyline.llm.lattice import op1_subword_lattice
 from tallyline.llm.licenses import op4_license_dice
+from tallyline.llm.manifest import ORACLE_SQL as MANIFEST_SQL
 from tallyline.llm.manifest import op11_time_forward
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
@@ -35,4 +36,5 @@ QUERIES = {
 # The other operators are beyond SQL: tests compare them with brute force. The
 # pages of the test tables declare no links, so rules alone decide there; links
 # and components are tested apart.
-ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op13_lookup_centroids": CENTROID_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op11_time_forward": MANIFEST_SQL,
+                              "op13_lookup_centroids": CENTROID_SQL}

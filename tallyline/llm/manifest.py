@@ -276,3 +276,54 @@ def op11_time_forward(spark, sf_dir: str) -> DataFrame:
     out = manifest(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root",
                       (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _tree_sql(name: str, leaves_sql: str, most: int) -> list[str]:
+    """Levels 0..most of the trees over `leaves_sql` (g, idx, d, n) as CTEs, with each node's siblings."""
+    out = [f"{name}0 AS ({leaves_sql})"]
+    for k in range(most):
+        out.append(f"""{name}{k + 1} AS (SELECT g, idx // {FAN} AS idx, CASE WHEN n = 1 THEN min(d) ELSE sha256(string_agg(d, '' ORDER BY idx)) END AS d,
+  (n + {FAN - 1}) // {FAN} AS n FROM {name}{k} GROUP BY g, idx // {FAN}, n)""")
+        run = f"PARTITION BY g, idx // {FAN} ORDER BY idx ROWS BETWEEN"
+        out.append(f"""{name}_s{k} AS (SELECT g, idx, n, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+    return out
+
+
+def _fold_sql(name: str, start: str, most: int) -> list[str]:
+    """Climb from `start` (id, g, pos, x, proof) to the top of the trees `name`."""
+    out = [f"{name}_f0 AS ({start})"]
+    for k in range(most):
+        out.append(f"""{name}_f{k + 1} AS (SELECT f.id, f.g, f.pos, CASE WHEN s.n = 1 THEN f.x ELSE sha256(s.l || f.x || s.r) END AS x,
+  CASE WHEN s.n = 1 THEN f.proof ELSE f.proof || s.l || s.r END AS proof
+  FROM {name}_f{k} f JOIN {name}_s{k} s ON s.g = f.g AND s.idx = f.pos // {FAN**k})""")
+    return out
+
+
+def _oracle(group_levels: int = 7, root_levels: int = 3) -> str:
+    """The same rows in DuckDB SQL, for up to 8^7 rows of a language and 8^3 languages."""
+    def item(c: str) -> str:
+        return f"coalesce(CAST(strlen(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(item(text if c == "text" else c) for c in FIELDS) + ")"
+
+    crc = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)))"""
+    parts = [
+        f"""raw AS (SELECT doc_id, coalesce(':' || lang, '-') AS g, {leaf("text")} AS leaf,
+  CASE WHEN {crc} % {TAMPER_EVERY} = 0 THEN {leaf(f"translate(text, '{UPPER}', '{LOWER}')")} END AS changed FROM documents)""",
+        """leaves AS (SELECT *, row_number() OVER () AS id, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY g) AS n FROM raw)""",
+        *_tree_sql("t", "SELECT g, pos AS idx, leaf AS d, n FROM leaves", group_levels),
+        f"tops AS (SELECT g AS own, d, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM t{group_levels})",
+        *_tree_sql("u", "SELECT '' AS g, idx, d, n FROM tops", root_levels),
+        *_fold_sql("t", "SELECT id, g, pos, coalesce(changed, leaf) AS x, '' AS proof FROM leaves", group_levels),
+        *_fold_sql("u", f"SELECT f.id, '' AS g, o.idx AS pos, f.x, f.proof FROM t_f{group_levels} f JOIN tops o ON o.own = f.g", root_levels),
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT l.doc_id, l.leaf, o.d AS subroot, z.d AS root, sha256(f.proof) AS proof_sha256, f.x AS folded_root, f.x = z.d AS verified
+FROM leaves l JOIN u_f{root_levels} f ON f.id = l.id JOIN tops o ON o.own = l.g CROSS JOIN u{root_levels} z"""
+
+
+ORACLE_SQL = _oracle()

@@ -107,3 +107,15 @@ def test_the_same_root_for_any_order_and_partitioning(spark):
     data = docs([4, 0, 90])
     roots = {M.manifest(frame(spark, d).repartition(n)).first()["root"] for d, n in ((data, 1), (data[::-1], 7))}
     assert len(roots) == 1
+
+
+def test_query_equals_sql(spark, tmp_path):
+    import duckdb
+
+    data = [d for d in CASES[6] if d[0] is not None]
+    frame(spark, data).select("doc_id", "text", "lang", "source", "n_chars").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    rel = con.execute(M.ORACLE_SQL)
+    names = [d[0] for d in rel.description]
+    assert sorted(map(tuple, M.op11_time_forward(spark, str(tmp_path)).select(*names).collect())) == sorted(rel.fetchall())
