@@ -11,6 +11,7 @@ from tallyline.llm.manifest import ORACLE_SQL as MANIFEST_SQL
 from tallyline.llm.manifest import op11_time_forward
 from tallyline.llm.near_duplicates import op8_min_max
 from tallyline.llm.packing import op9_cost_packing
+from tallyline.llm.personal_data import op12_skip_chain
 from tallyline.llm.quality import op5_js_divergence
 from tallyline.llm.repeats import op3_column_bwt
 from tallyline.llm.secret_scan import op7_markov_secrets
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_cost_packing": op9_cost_packing,
     "op10_tree_wrapper": op10_tree_wrapper,
     "op11_time_forward": op11_time_forward,
+    "op12_skip_chain": op12_skip_chain,
     "op13_lookup_centroids": op13_lookup_centroids,
 }
 
@@ -37,4 +39,5 @@ QUERIES = {
 # pages of the test tables declare no links, so rules alone decide there; links
 # and components are tested apart.
 ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op11_time_forward": MANIFEST_SQL,
-                              "op13_lookup_centroids": CENTROID_SQL}
+                              "op12_skip_chain": op12_skip_chain,
+    "op13_lookup_centroids": CENTROID_SQL}
