@@ -36,6 +36,7 @@ from tallyline.operators.enrich import (
     running_totals,
 )
 from tallyline.operators.table import KeyedSalesTable, load_gate
+from tallyline.plans import time_queries
 from tallyline.plans.batch_run import RunConfig, normalize_nulls, plan_run
 from tallyline.session import work_path
 from tallyline.sources.archive import archive_rows, archived_files
@@ -433,3 +434,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantine": q_quarantine,
     "coerced": q_coerced,
 }
+
+QUERIES |= time_queries.QUERIES

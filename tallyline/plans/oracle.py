@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from tallyline import schema as S
 from tallyline.functions.text import _ranges
+from tallyline.plans import time_queries
 from tallyline.sources import tables as T
 
 AS_OF = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -521,3 +522,5 @@ ORACLE_SQL: dict[str, str] = {
 # The first rows of each view, by its key.
 ORACLE_SQL |= {f"sample_{v}": f"SELECT * FROM ({ORACLE_SQL['v_' + v]}) ORDER BY {k} NULLS LAST LIMIT 5" for v, k in (
     ("daily_sales", "order_date"), ("product_performance", "product_name"), ("country_analysis", "country"))}
+
+ORACLE_SQL |= time_queries.ORACLE_SQL
