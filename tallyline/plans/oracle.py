@@ -523,4 +523,4 @@ ORACLE_SQL: dict[str, str] = {
 ORACLE_SQL |= {f"sample_{v}": f"SELECT * FROM ({ORACLE_SQL['v_' + v]}) ORDER BY {k} NULLS LAST LIMIT 5" for v, k in (
     ("daily_sales", "order_date"), ("product_performance", "product_name"), ("country_analysis", "country"))}
 
-ORACLE_SQL |= time_queries.ORACLE_SQL
+ORACLE_SQL |= time_queries.ORACLE_SQL | {"stream_first_orders": time_queries.first_orders_sql(RAW)}
