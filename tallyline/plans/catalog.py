@@ -36,7 +36,7 @@ from tallyline.operators.enrich import (
     running_totals,
 )
 from tallyline.operators.table import KeyedSalesTable, load_gate
-from tallyline.plans import time_queries
+from tallyline.plans import group_queries, time_queries
 from tallyline.plans.batch_run import RunConfig, normalize_nulls, plan_run
 from tallyline.session import work_path
 from tallyline.sources.archive import archive_rows, archived_files
@@ -436,3 +436,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 QUERIES |= time_queries.QUERIES
+QUERIES |= {name: (lambda spark, d, fn=fn: fn(_sales(spark, d))) for name, fn in group_queries.ON_SALES.items()}
+QUERIES |= {name: (lambda spark, d, fn=fn: fn(_raw(spark, d))) for name, fn in group_queries.ON_RAW.items()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from tallyline import schema as S
 from tallyline.functions.text import _ranges
-from tallyline.plans import time_queries
+from tallyline.plans import group_queries, time_queries
 from tallyline.sources import tables as T
 
 AS_OF = "TIMESTAMP '2025-01-01 00:00:00'"
@@ -524,3 +524,6 @@ ORACLE_SQL |= {f"sample_{v}": f"SELECT * FROM ({ORACLE_SQL['v_' + v]}) ORDER BY
     ("daily_sales", "order_date"), ("product_performance", "product_name"), ("country_analysis", "country"))}
 
 ORACLE_SQL |= time_queries.ORACLE_SQL | {"stream_first_orders": time_queries.first_orders_sql(RAW)}
+ORACLE_SQL |= {name: with_(RUN, body) if body.startswith("SELECT") else with_([*RUN, body[:body.index("\nSELECT")]], body[body.index("\nSELECT") + 1:])
+               for name, body in group_queries.SALES_SQL.items()}
+ORACLE_SQL |= {name: with_([RAW], body) for name, body in group_queries.RAW_SQL.items()}
