@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from tallyline import schema as S
 from tallyline.operators import analytics as A
+from tallyline.operators import records as R
+from tallyline.operators import sketches as K
 from tallyline.operators import validate as V
 from tallyline.operators.clean import (
     CleanConfig,
@@ -35,10 +37,11 @@ from tallyline.operators.enrich import (
     enrichment_stats,
     running_totals,
 )
-from tallyline.operators.table import KeyedSalesTable, load_gate
+from tallyline.operators.table import KeyedSalesTable, latest_accepted, latest_order, load_gate, merge
+from tallyline.operators.views import MaintainedView
 from tallyline.plans import group_queries, time_queries
 from tallyline.plans.batch_run import RunConfig, normalize_nulls, plan_run
-from tallyline.session import work_path
+from tallyline.session import keep, note, work_path
 from tallyline.sources.archive import archive_rows, archived_files
 from tallyline.sources.tables import raw_sales
 
@@ -307,7 +310,7 @@ def q_load_gate(spark, d):
 
 
 def _table(spark) -> KeyedSalesTable:
-    return KeyedSalesTable(spark, work_path(spark, f"query-table-{uuid.uuid4().hex}"), buckets=8)
+    return KeyedSalesTable(spark, note(spark, work_path(spark, f"query-table-{uuid.uuid4().hex}")), buckets=8)
 
 
 def _two_loads(spark, d):
@@ -345,7 +348,7 @@ def q_run_enriched(spark, d):
 
 def q_run_summary(spark, d):
     run = _run(spark, d, materialize=True)
-    path = work_path(spark, f"query-archive-{uuid.uuid4().hex}")
+    path = note(spark, work_path(spark, f"query-archive-{uuid.uuid4().hex}"))
     archive_rows(run.valid_raw, path, "pinned", RUN_TS.date())
     return run.summary(archived_files(spark, path))
 
@@ -376,6 +379,85 @@ def q_sample_country_analysis(spark, d):
     return A.sample_rows(q_v_country_analysis(spark, d), 5, "country")
 
 
+def _sketched(spark, d, by, column=None):
+    """Sketches of every day and country are stored; the figures of `by` come from them and are held against exact ones."""
+    sales = _sales(spark, d)
+    sales = sales.withColumn(by, column) if column is not None else sales
+    stored, _ = keep(K.day_sketches(sales, ["country"]), "day-sketches")
+    rolled = K.estimates(K.merged(stored, [column.alias(by) if column is not None else by]))
+    return K.held_to_exact(sales, rolled, by).withColumnRenamed("n", "total_orders")
+
+
+def q_sketch_countries(spark, d):
+    return _sketched(spark, d, "country")
+
+
+def q_sketch_months(spark, d):
+    return _sketched(spark, d, "month", F.date_format("order_date", "yyyy-MM"))
+
+
+def _after_loads(spark, d, key):
+    """A view kept up to date over three loads (a file each) and a delete by date: only changed rows reach it."""
+    view = MaintainedView(spark, note(spark, work_path(spark, f"query-view-{uuid.uuid4().hex}")), key, buckets=8)
+    table = None
+    for number, name in enumerate(VIEW_FILES):
+        gated = _run(spark, d, [name]).gated
+        new, _ = keep(latest_accepted(gated, latest_order(gated)).select(*S.TABLE_COLUMNS), "view-load")
+        if table is None:
+            view.apply(new.limit(0), new, number)
+            table = new
+            continue
+        view.apply(table.join(new.select("order_id"), "order_id", "left_semi"), new, number)
+        table, _ = keep(merge(table, new), "view-table")
+    gone = table.where(F.col("order_date") < F.lit(DELETE_BEFORE))
+    view.apply(gone, table.limit(0), len(VIEW_FILES))
+    return view.read()
+
+
+VIEW_FILES = ["part-0", "part-1", "part-2"]      # part-3 is refused as a whole
+
+
+def q_view_country_after_loads(spark, d):
+    return _after_loads(spark, d, "country")
+
+
+def q_view_product_after_loads(spark, d):
+    return _after_loads(spark, d, "product_name")
+
+
+def q_result_records(spark, d):
+    """The rule counts of each file handed over as one JSON record, read back and summed by check."""
+    counts = V.rule_counts(_faulty(spark, d), "enriched")
+    checks = F.collect_list(F.struct("column", "check", "failures"))             # one per rule
+    records = R.to_records(counts.groupBy(S.SOURCE_FILE).agg(checks.alias("checks"), F.sum("failures").alias("error_count")))
+    kind = "array<struct<column:string,check:string,failures:bigint>>"
+    read = R.good(R.parse_records(records, {"file": ("$.source_file", "string"), "checks": ("$.checks", kind)}, ("file",)))
+    by_check = R.counts_by_name(F.col("checks"), "check", "failures")
+    errors = F.col(R.UNKNOWN)["error_count"].cast("long")                          # a field that the reader did not ask for
+    return read.select(F.col("file").alias(S.SOURCE_FILE), errors.alias("file_errors"), F.explode(by_check).alias("check", "failures"))
+
+
+def _event_records(spark, d):
+    """Events as JSON texts of several ages: some cut off, some arrays, some with fields more or fewer, some with other types."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    i = F.col("event_id")
+    number = F.when(i % 13 == 0, F.lit("")).otherwise(F.concat(F.lit('"id":'), i.cast("string"), F.lit(",")))
+    props = F.when(i % 19 == 0, F.lit('"none"')).otherwise(F.col("props"))
+    shard = F.when(i % 7 == 0, F.concat(F.lit(',"shard":'), (i % 5).cast("string"))).otherwise(F.lit(""))
+    whole = F.concat(F.lit("{"), number, F.lit('"type":"'), F.col("event_type"), F.lit('","props":'), props, shard, F.lit("}"))
+    text = F.when(i % 17 == 0, F.concat(F.lit("["), whole, F.lit("]"))).when(i % 11 == 0, F.expr("substring(whole, 1, length(whole) - 1)")).otherwise(F.col("whole"))
+    fields = {"id": ("$.id", "bigint"), "type": ("$.type", "string"), "k": ("$.props.k", "int")}
+    return R.parse_records(e.withColumn("whole", whole).select("event_id", text.alias("record")), fields, ("id",))
+
+
+def q_event_records(spark, d):
+    return R.good(_event_records(spark, d)).select("id", "type", "k", F.col(R.UNKNOWN)["shard"].alias("shard"), F.size(R.UNKNOWN).alias("n_unknown"))
+
+
+def q_event_record_rejects(spark, d):
+    return R.rejects(_event_records(spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_tokens": q_null_tokens,
     "raw_file_verdict": q_raw_file_verdict,
@@ -433,6 +515,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "file_report": q_file_report,
     "quarantine": q_quarantine,
     "coerced": q_coerced,
+    "sketch_countries": q_sketch_countries,
+    "sketch_months": q_sketch_months,
+    "view_country_after_loads": q_view_country_after_loads,
+    "view_product_after_loads": q_view_product_after_loads,
+    "result_records": q_result_records,
+    "event_records": q_event_records,
+    "event_record_rejects": q_event_record_rejects,
 }
 
 QUERIES |= time_queries.QUERIES

@@ -527,3 +527,37 @@ ORACLE_SQL |= time_queries.ORACLE_SQL | {"stream_first_orders": time_queries.fir
 ORACLE_SQL |= {name: with_(RUN, body) if body.startswith("SELECT") else with_([*RUN, body[:body.index("\nSELECT")]], body[body.index("\nSELECT") + 1:])
                for name, body in group_queries.SALES_SQL.items()}
 ORACLE_SQL |= {name: with_([RAW], body) for name, body in group_queries.RAW_SQL.items()}
+
+
+def _sketch_sql(by: str, column: str) -> str:
+    return with_(RUN, f"SELECT {column} AS {by}, count(*) AS total_orders, true AS distinct_within, true AS p50_within, true AS p90_within FROM sales GROUP BY 1")
+
+
+def _view_sql(key: str) -> str:
+    return with_(RUN, f"""SELECT {key}, count(*) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_units, CAST(sum(total_amount) AS DOUBLE) AS total_revenue,
+  CAST(sum(total_amount) AS DOUBLE) / count(*) AS avg_order_value, count(DISTINCT customer_id) AS unique_customers,
+  min(order_date) AS first_order_date, max(order_date) AS last_order_date FROM sales WHERE order_date >= {DELETE_BEFORE} GROUP BY {key}""")
+
+
+def _event_records_sql(body: str) -> str:
+    """The texts of the events, and what each is by the rule that made it."""
+    whole = """'{' || CASE WHEN event_id % 13 = 0 THEN '' ELSE '"id":' || event_id || ',' END || '"type":"' || event_type || '","props":' ||
+  CASE WHEN event_id % 19 = 0 THEN '"none"' ELSE props END || CASE WHEN event_id % 7 = 0 THEN ',"shard":' || event_id % 5 ELSE '' END || '}'"""
+    return f"""WITH texts AS (SELECT *, {whole} AS whole FROM events),
+records AS (SELECT *, CASE WHEN event_id % 17 = 0 THEN '[' || whole || ']' WHEN event_id % 11 = 0 THEN whole[:-2] ELSE whole END AS record,
+  CASE WHEN event_id % 17 = 0 THEN 'not_an_object' WHEN event_id % 11 = 0 THEN 'not_json' WHEN event_id % 13 = 0 THEN 'missing:id' END AS reject_reason FROM texts)
+{body}"""
+
+
+ORACLE_SQL |= {
+    "sketch_countries": _sketch_sql("country", "country"),
+    "sketch_months": _sketch_sql("month", "strftime(order_date, '%Y-%m')"),
+    "view_country_after_loads": _view_sql("country"),
+    "view_product_after_loads": _view_sql("product_name"),
+    "result_records": with_(BASE + [_coerced("nraw"), _faults()] + rule_counts("faulty", ENRICHED_RULES, True, "rc"),
+                            'SELECT source_file, CAST(sum(sum(failures)) OVER (PARTITION BY source_file) AS BIGINT) AS file_errors, "check", '
+                            'CAST(sum(failures) AS BIGINT) AS failures FROM rc GROUP BY source_file, "check"'),
+    "event_records": _event_records_sql("""SELECT event_id AS id, event_type AS type, CASE WHEN event_id % 19 <> 0 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+  CASE WHEN event_id % 7 = 0 THEN CAST(event_id % 5 AS VARCHAR) END AS shard, CAST(event_id % 7 = 0 AS INTEGER) AS n_unknown FROM records WHERE reject_reason IS NULL"""),
+    "event_record_rejects": _event_records_sql("SELECT record, reject_reason FROM records WHERE reject_reason IS NOT NULL"),
+}

@@ -70,17 +70,36 @@ def hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
 
 
+_kept: dict[str, set[str]] = {}
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p, fs = hadoop_fs(spark, path)
     fs.delete(p, True)
+    _kept.get(spark.sparkContext.applicationId, set()).discard(path)
+
+
+def note(spark: SparkSession, path: str) -> str:
+    """Remember a folder that `discard_kept` shall remove."""
+    _kept.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
 
 
 def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """`df` written under the shared checkpoint folder and read back, with its path.
 
     Cuts the lineage, and lets Spark plan joins from the measured size. The
-    caller removes the path when nothing reads it any more.
+    caller removes the path when nothing reads it any more, or `discard_kept`
+    does so for all of the session.
     """
-    path = work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    path = note(df.sparkSession, work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard_kept(spark: SparkSession) -> int:
+    """Remove what the session's queries have kept, once their results are taken; returns the number of folders."""
+    paths = sorted(_kept.get(spark.sparkContext.applicationId, set()))
+    for path in paths:
+        remove(spark, path)
+    return len(paths)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tallyline.session import keep, remove, work_path
+from tallyline.session import keep, note, remove, work_path
 
 
 @dataclass
@@ -48,7 +48,7 @@ def replay(rows: DataFrame, batch: str, plan: Callable[[DataFrame], DataFrame],
     so a failure between output and commit leaves no rows twice. `batch` is meant
     to have a few values; a batch may be of any size."""
     spark = rows.sparkSession
-    folder = work_path(spark, f"replay-{uuid.uuid4().hex}")
+    folder = note(spark, work_path(spark, f"replay-{uuid.uuid4().hex}"))
     # kept by batch, so each is read alone
     kept = f"{folder}/rows"
     rows.withColumn("_arrival", F.col(batch)).write.partitionBy("_arrival").parquet(kept)
