@@ -10,18 +10,22 @@ How the work is spread:
 
 * documents with the same shingle set are one class from the start;
 * in each bucket (documents with one band key) every document is tried against
-  the bucket's least one, so a bucket of n needs n pairs, not n * n;
-* a bucket with more than `hot` documents keeps its star, and its documents meet
-  further in buckets of two keys: its own and that of every other hot band;
-  unrelated documents that share a passage hardly meet there;
-* then, where a bucket still holds documents of several components, the
-  documents of the smaller ones are tried against all members of the larger, so
-  no link between different components of a bucket is left untried. Both sides
-  are cut into chunks that meet once, in one task of bounded size.
-
-With `rows` 4 and `bands` 32 a pair of similarity 0.75 misses every band with
-a chance of 5e-6; higher similarities miss far less. Where all its bands are hot
-it needs two of them, or one whose least document it holds: 8e-5 at most.
+  one leader, so a bucket of n needs n pairs, not n * n. The leader is the
+  document that meets most others over all its buckets: in a group of edited
+  copies that is the text closest to all of them;
+* documents of buckets that then still hold several components are joined by
+  rare shingles: two sets of similarity t or more share one of the first few
+  shingles of both when these are ordered from rare to frequent, and what may
+  follow the first shared one must suffice for t. That is exact. A passage that
+  many unrelated texts share is frequent, so it makes no pair of them; an edited
+  copy whose own edits already rule out t makes none either. Only pairs of
+  different components are formed, and those of the component that has most
+  of a shingle's documents are not tried among themselves.
+
+With `rows` 4 and `bands` 32 a pair of similarity 0.75 shares no band with a
+chance of 5e-6; higher similarities far less. That is the only way to miss a link
+that joins components. Links inside a component change nothing and are not all
+tried.
 
 Defined cases: a text with fewer than `width` words is one shingle; a null or
 wordless text has an empty set, is linked with nothing and is its own
@@ -36,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import FOLD, NOT_SPACE, hash_words, map_arrow, materialize, mix64, read, slices, word_spans
@@ -46,9 +50,8 @@ WIDTH = 5
 PERCENT = 75
 BANDS = 32
 ROWS = 4
-HOT = 32
-CHUNK = 128
 SLICE = 1 << 20
+COUNTER_BITS = 20        # counters of the shingle frequencies by which prefixes are ordered: 4 MB
 SEED = 20240229
 
 
@@ -154,8 +157,7 @@ def _reaches(a: str, b: str, percent: int):
     return 100 * both >= percent * (F.size(a) + F.size(b) - both)
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS,
-                    hot: int = HOT, chunk: int = CHUNK) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of `docs`."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = materialize(signatures(texts, width, bands, rows), "near-signatures")
@@ -169,21 +171,14 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT,
     reps = members.join(classes.select("n_shingles", "set_a", "set_b", F.col("rep").alias("doc_id")),
                         ["n_shingles", "set_a", "set_b", "doc_id"]).select("doc_id", "keys")
 
-    shared = materialize(_shared(reps.select("doc_id", F.posexplode("keys").alias("band", "key"))), "near-shared")
-    buckets = materialize(_buckets(shared, hot), "near-buckets")                # key, doc_id
-    tried = buckets.unionByName(shared.where(F.col("n") > hot).select("key", "doc_id"))
-    least = tried.groupBy("key").agg(F.min("doc_id").alias("least"))
-    stars = tried.join(least, "key").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = materialize(stars, "near-stars")
-
+    shared = materialize(_shared(reps.select("doc_id", F.explode("keys").alias("key")).distinct()), "near-shared")
+    stars = materialize(_stars(shared), "near-stars")
     wanted = materialize(shared.select("doc_id").distinct(), "near-wanted")
     sets = materialize(shingle_sets(texts.join(wanted, "doc_id").dropDuplicates(["doc_id", "text"]), width), "near-sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
-    links = materialize(stars.join(right, "b").join(left, "a").where(_reaches("sa", "sb", percent)).select("a", "b").distinct(), "near-links")
+    links = materialize(_confirmed(stars, sets, percent), "near-links")
 
     comp = components(links, "near-first")
-    rest = materialize(_cross(buckets, comp, sets, percent, chunk), "near-rest")
+    rest = materialize(_confirmed(_by_rare_shingles(_unsettled(shared, comp), sets, percent), sets, percent), "near-rest")
     every = components(links.unionByName(rest).unionByName(same), "near-components")
     out = sig.select("doc_id", "n_shingles").join(every.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
@@ -195,74 +190,83 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.where("lo <> hi").select("key", "n"), "key")
 
 
-def _buckets(shared: DataFrame, hot: int) -> DataFrame:
-    """(key, doc_id) of all buckets of two documents or more; hot ones are replaced by pairs of band keys."""
-    cold = shared.where(F.col("n") <= hot).select("key", "doc_id")
-    # a document's own hot keys, in pairs: at most bands * (bands - 1) / 2 rows
-    own = shared.where(F.col("n") > hot).groupBy("doc_id").agg(F.collect_list(F.struct("band", "key")).alias("k"))
-    pairs = own.select("doc_id", F.explode(F.flatten(F.transform("k", lambda x: F.transform(
-        F.filter("k", lambda y: y["band"] > x["band"]), lambda y: F.xxhash64(x["key"], y["key"]))))).alias("key"))
-    return cold.unionByName(_shared(pairs.distinct()).select("key", "doc_id"))
+def _stars(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each bucket's leader and its other documents."""
+    meets = shared.groupBy("doc_id").agg(F.sum("n").alias("meets"))
+    leader = shared.join(meets, "doc_id").groupBy("key").agg(F.max(F.struct("meets", (-F.col("doc_id")).alias("d"))).alias("x"))
+    return shared.join(leader.select("key", (-F.col("x.d")).alias("a")), "key").where("doc_id <> a").select(
+        F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose full sets reach the threshold."""
+    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
+    return pairs.join(right, "b").join(left, "a").where(_reaches("sa", "sb", percent)).select("a", "b").distinct()
 
 
-def _cross(buckets: DataFrame, comp: DataFrame, sets: DataFrame, percent: int, chunk: int) -> DataFrame:
-    """Links (a, b) between documents of different components that meet in a bucket, all of them tried."""
-    at = buckets.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+def _unsettled(shared: DataFrame, comp: DataFrame) -> DataFrame:
+    """(doc_id, component) of the documents in buckets that hold several components."""
+    at = shared.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
         "key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = at.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    at = materialize(at.join(mixed, "key"), "near-mixed")
-    size = comp.groupBy("component").agg(F.count("*").alias("size"))
-    groups = at.select("key", "component").distinct().join(size, "component", "left").select(
-        "key", "component", F.coalesce("size", F.lit(1)).alias("size"))
-    # document x of a smaller component, and the larger one it must be tried against
-    top = groups.groupBy("key").agg(F.max(F.struct("size", "component")).alias("top"))
-    one = at.join(groups.withColumnRenamed("size", "own"), ["key", "component"]).join(top, "key").where("component <> top.component")
-    two = groups.select("key", F.col("component").alias("other"), F.col("size").alias("theirs"))
-    tries = one.join(two, "key").where("own < theirs or (own = theirs and component < other)").select("doc_id", "other").distinct()
-    members = comp.select(F.col("node").alias("doc_id"), F.col("component").alias("other")).unionByName(
-        at.join(comp.select(F.col("node").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.col("component").alias("other")).distinct())
-
-    def chunks(size: str) -> Column:
-        return F.greatest(F.lit(1), F.ceil(F.col(size) / chunk)).cast("int")
-
-    def chunk_of(size: str) -> Column:
-        return F.pmod(F.xxhash64("doc_id"), chunks(size)).cast("int")
-
-    def cell(df: DataFrame, side: int) -> DataFrame:
-        return df.select(F.xxhash64("other", "part", "try_part").alias("cell"), "doc_id", F.lit(side).alias("side"))
-
-    tries = materialize(tries, "near-tries")
-    size_of = tries.groupBy("other").agg(F.count("*").alias("n_tries")).join(
-        groups.select(F.col("component").alias("other"), "size").distinct(), "other")
-    parts = lambda size: F.explode(F.sequence(F.lit(0), chunks(size) - 1))
-    theirs = members.join(size_of, "other").select("other", "doc_id", chunk_of("size").alias("part"), parts("n_tries").alias("try_part"))
-    mine = tries.join(size_of, "other").select("other", "doc_id", parts("size").alias("part"), chunk_of("n_tries").alias("try_part"))
-    both = cell(theirs, 0).unionByName(cell(mine, 1)).join(sets, "doc_id")
-
-    def meet(t: pa.Table) -> pa.Table:
-        side, ids = np.asarray(t.column("side")), np.asarray(t.column("doc_id"))
-        lists = t.column("shingles").combine_chunks()
-        off = np.asarray(lists.offsets)
-        off, flat = off - off[0], np.asarray(lists.flatten())
-        n, owner = np.diff(off), np.repeat(np.arange(len(ids)), np.diff(off))
-        value = np.unique(flat, return_inverse=True)[1]
-        a_rows, b_rows = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        slot = np.cumsum(side == 0) - 1
-        in_a = side[owner] == 0
-        order = np.argsort(value[in_a], kind="stable")
-        held = slot[owner[in_a]][order]
-        first = np.searchsorted(value[in_a][order], np.arange(value.max(initial=-1) + 2))
-        out_a, out_b = [], []
-        for x in b_rows.tolist():
-            mine = value[off[x]:off[x + 1]]
-            hits = [held[first[v]:first[v + 1]] for v in mine[first[mine] < first[mine + 1]].tolist()]
-            overlap = np.bincount(np.concatenate(hits), minlength=len(a_rows)) if hits else np.zeros(len(a_rows), np.int64)
-            ok = a_rows[100 * overlap >= percent * (n[a_rows] + n[x] - overlap)]
-            out_a += ids[ok].tolist()
-            out_b += [int(ids[x])] * len(ok)
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
-
-    return both.groupBy("cell").applyInArrow(meet, "a long, b long").distinct()
+    return materialize(at.join(mixed, "key").select("doc_id", "component").distinct(), "near-unsettled")
+
+
+def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    lists = batch.column("shingles")
+    off = np.asarray(lists.offsets)
+    return np.asarray(lists.flatten()).view(np.uint64), off - off[0]
+
+
+def shingle_counts(sets: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
+    """How often shingles occur over `sets`, in 2^bits counters by the shingle's highest bits."""
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(1 << bits, np.int64)
+        for batch in batches:
+            n += np.bincount((_lists(batch)[0] >> np.uint64(64 - bits)).astype(np.int64), minlength=len(n))
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["i", "n"])
+
+    got = map_arrow(sets.select("shingles"), tasks, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()   # at most 2^bits rows
+    out = np.zeros(1 << bits, np.uint32)
+    out[got.column("i").to_numpy()] = np.minimum(got.column("n").to_numpy(), (1 << 32) - 1)
+    return out
+
+
+def _prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+    """(shingle, doc_id, component, n, pos): each document's rarest shingles, as many as any partner must share one of."""
+    bits = np.uint64(64 - (len(counts).bit_length() - 1))
+
+    def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, off = _lists(batch)
+            size = np.diff(off)
+            row = np.repeat(np.arange(len(size)), size)
+            order = np.lexsort((values, counts[(values >> bits).astype(np.int64)], row))
+            pos = np.arange(len(values)) - off[row]
+            keep = pos < (size - -(-percent * size // 100) + 1)[row]
+            order, row, pos = order[keep], row[keep], pos[keep]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[order].view(np.int64)), batch.column("doc_id").take(pa.array(row)), batch.column("component").take(pa.array(row)),
+                 pa.array(size[row].astype(np.int64)), pa.array(pos)], ["shingle", "doc_id", "component", "n", "pos"])
+
+    return map_arrow(sets, tasks, "shingle long, doc_id long, component long, n long, pos long")
+
+
+def _by_rare_shingles(docs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components among `docs` (doc_id, component) that can reach the threshold; no such pair is left out."""
+    own = materialize(sets.join(docs, "doc_id").select("doc_id", "component", "shingles"), "near-own")
+    rows = materialize(_prefixes(own, shingle_counts(own), percent), "near-prefixes")
+    spread = rows.groupBy("shingle", "component").count().groupBy("shingle").agg(
+        F.count("*").alias("c"), F.max(F.struct("count", "component")).alias("top")).where("c > 1")
+    rows = materialize(rows.join(spread.select("shingle", F.col("top.component").alias("top")), "shingle"), "near-rare")
+    x = rows.where("component <> top").select("shingle", *[F.col(c).alias(f"x_{c}") for c in ("doc_id", "component", "n", "pos")])
+    y = rows.select("shingle", *[F.col(c).alias(f"y_{c}") for c in ("doc_id", "component", "n", "pos")])
+    # at the first shingle that both share, what is left of either must hold the overlap that is needed
+    enough = (100 + percent) * F.least(F.col("x_n") - F.col("x_pos"), F.col("y_n") - F.col("y_pos")) >= percent * (F.col("x_n") + F.col("y_n"))
+    met = x.join(y, (x.shingle == y.shingle) & (F.col("x_component") != F.col("y_component")) & enough)
+    return materialize(met.select(F.least("x_doc_id", "y_doc_id").alias("a"), F.greatest("x_doc_id", "y_doc_id").alias("b")).distinct(), "near-tries")
 
 
 def op8_min_max(spark, sf_dir: str) -> DataFrame:

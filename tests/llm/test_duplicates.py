@@ -33,17 +33,15 @@ def near_docs(seed=3):
     return out + [(5, docs[5]), (7, docs[130]), (None, docs[0]), (None, "one two")]
 
 
-@pytest.mark.parametrize("hot, chunk", [(N.HOT, N.CHUNK), (8, 16)])
-def test_near_duplicates_equal_brute_force(spark, hot, chunk):
+def test_near_duplicates_equal_brute_force(spark):
     docs = near_docs()
-    got = N.near_duplicates(frame(spark, docs), hot=hot, chunk=chunk).collect()
+    got = N.near_duplicates(frame(spark, docs)).collect()
     key = lambda x: tuple((v is None, v) for v in x)
     assert sorted((tuple(r) for r in got), key=key) == sorted(brute.near_components(docs), key=key)
 
 
 @pytest.mark.parametrize("bands", [(0, 10), (0, 31), (7,)])
-def test_documents_of_hot_bands_far_apart_are_compared(spark, monkeypatch, bands):
-    """Near copies that share hot band keys only, any distance apart or a single one."""
+def test_documents_that_share_one_band_only_are_compared(spark, monkeypatch, bands):
     r = random.Random(11)
     base = [f"v{r.randrange(5000)}" for _ in range(200)]
     docs = [(k, " ".join([*base, f"own{k}"])) for k in range(40)]
@@ -54,10 +52,63 @@ def test_documents_of_hot_bands_far_apart_are_compared(spark, monkeypatch, bands
         return signatures(*args).withColumn("keys", F.array(*[x.cast("long") for x in own]))
 
     monkeypatch.setattr(N, "signatures", few)
-    got = N.near_duplicates(frame(spark, docs), hot=8).collect()
+    got = N.near_duplicates(frame(spark, docs)).collect()
     assert {r["component_id"] for r in got} == {0} and len(got) == 40
 
 
+def edited_docs(seed):
+    """A chain of edits, so most links are between documents far from any leader, and texts that share a passage."""
+    r = random.Random(seed)
+    fresh = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    out, now, passage = [], fresh(100), fresh(70)
+    for _ in range(80):
+        out.append(" ".join(now))
+        for _ in range(r.choice([1, 2, 3, 4])):
+            now[r.randrange(len(now))] = fresh(1)[0]
+        if r.random() < 0.2:
+            now = now[r.choice([0, 5, 20]):] + fresh(r.choice([0, 5, 20]))
+    out += [" ".join(passage + fresh(r.randrange(0, 60))) for _ in range(60)]
+    r.shuffle(out)
+    return list(enumerate(out))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_one_bucket_for_all_is_still_exact(spark, monkeypatch, seed):
+    """Every document in one bucket: all links between components come from rare shingles."""
+    docs = edited_docs(seed)
+    signatures = N.signatures
+    monkeypatch.setattr(N, "signatures", lambda *args: signatures(*args).withColumn("keys", F.array(F.lit(5).cast("long"))))
+    got = N.near_duplicates(frame(spark, docs)).collect()
+    want = brute.near_components(docs)
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert 10 < len({c for _, _, c in want}) < len(docs)
+
+
+def test_an_edited_group_makes_few_pairs(spark, monkeypatch):
+    """Of n copies with edits of their own, far and near ones, the pairs tried grow with n, not with n * n."""
+    r = random.Random(3)
+    base = [f"v{k}" for k in range(150)]
+    def copies(n):
+        out = [" ".join(base)]
+        for k in range(n):
+            w = list(base)
+            for i in r.sample(range(150), r.choice([2, 3, 8, 9])):
+                w[i] = f"e{k}-{i}"
+            out.append(" ".join(w))
+        return list(enumerate(out))
+    tried = []
+    original = N._by_rare_shingles
+    def counted(*args):
+        out = original(*args)
+        tried.append(out.count())
+        return out
+    monkeypatch.setattr(N, "_by_rare_shingles", counted)
+    docs = copies(300)
+    got = N.near_duplicates(frame(spark, docs)).collect()
+    assert sorted(map(tuple, got)) == sorted(brute.near_components(docs))
+    assert tried[0] <= 2 * len(docs)
+
+
 def test_signature_values_estimate_similarity():
     """Least and greatest values agree as often as the sets do, so their mean has no bias."""
     r = np.random.default_rng(5)
