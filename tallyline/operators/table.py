@@ -1,20 +1,21 @@
 """The keyed sales table: constraint gate, upsert by ``order_id``, delete by
 date, load counts.
 
-Storage is Parquet in buckets, ``pmod(xxhash64(order_id), B)``. An upsert reads
-and writes only the buckets its keys hash to; a point lookup reads one bucket.
+A load is one plan: gate the rows, keep the latest accepted one per key, join
+them with the table (full outer, on the key) and write the outcome as a new
+Parquet folder. One small file names the folder that is the table; moving it is
+the last step of a load.
 """
 
 from __future__ import annotations
 
-import json
 import math
-import re
+import time
 import uuid
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -78,18 +79,6 @@ def load_gate(enriched: DataFrame, run_ts: datetime | None = None) -> DataFrame:
     return typed.withColumn(GATE_REASON, gate_reason())
 
 
-def accepted(gated: DataFrame) -> DataFrame:
-    return gated.where(F.col(GATE_REASON).isNull()).drop(GATE_REASON)
-
-
-def latest_per_key(df: DataFrame, order: list[Column], key: str = "order_id") -> DataFrame:
-    """One row per key: the first by ``order`` (give it descending for 'latest').
-    ``row_number() = 1`` plans as a partial WindowGroupLimit before the
-    shuffle, so a hot key is cut to one row per map task first."""
-    w = Window.partitionBy(key).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-
-
 def latest_accepted(gated: DataFrame, order: list[Column], key: str = "order_id") -> DataFrame:
     """Latest accepted row per key from gated rows (rejected rows never win).
 
@@ -103,26 +92,6 @@ def latest_accepted(gated: DataFrame, order: list[Column], key: str = "order_id"
             .drop("_rn", GATE_REASON))
 
 
-def merge(target: DataFrame, incoming: DataFrame, key: str = "order_id") -> DataFrame:
-    """Upsert as a plan: target rows whose key is not incoming, plus incoming
-    (already one row per key). All columns of a matched key are replaced."""
-    cols = [c for c in target.columns]
-    keep = target.join(incoming.select(key), key, "left_anti")
-    return keep.unionByName(incoming.select(*cols))
-
-
-def upsert_counts(target_keys: DataFrame, incoming: DataFrame, rejected_count: Column | None = None,
-                  key: str = "order_id") -> DataFrame:
-    """inserted (new keys), updated (existing keys), from one left join of the
-    incoming keys to the target keys."""
-    tk = target_keys.select(F.col(key).alias("_tk")).distinct()
-    j = incoming.select(key).join(tk, F.col(key) == F.col("_tk"), "left")
-    return j.agg(
-        F.count_if(F.col("_tk").isNull()).alias("rows_inserted"),
-        F.count_if(F.col("_tk").isNotNull()).alias("rows_updated"),
-    )
-
-
 def bucket_of(key: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
@@ -140,205 +109,159 @@ class LoadResult:
     rows_updated: int
     rows_failed: int
     rejects: DataFrame | None = None     # every refused row with its reason; None when there is none
+    seconds: float = 0.0
 
     @property
     def total_processed(self) -> int:
         return self.rows_inserted + self.rows_updated
 
+    @property
+    def rows_per_second(self) -> float:
+        return self.total_processed / self.seconds if self.seconds else 0.0
+
     def failed_order_ids(self) -> DataFrame:
         return self.rejects.select("order_id")
 
 
 class KeyedSalesTable:
-    """Parquet table keyed by ``order_id``, in buckets of a hash of the key.
-
-    Layout: ``data/v=<version>/key_bucket=<b>`` holds a bucket as one write left
-    it; ``manifest/<number>.json`` names the bucket count and, for every live
-    bucket, its version. A write puts the touched buckets into a version folder
-    that nothing reads, then adds the next manifest by one rename. A stop before
-    the rename changes nothing for readers and the next run starts from the same
-    state; after it the write is whole. The rename does not overwrite, so of two
-    writers one fails and changes nothing. Folders that neither the current nor
-    the previous manifest names are removed after a write.
-
-    The bucket count belongs to the stored table: it is read from the manifest,
-    and the argument only counts for a new table.
+    """Parquet table keyed by ``order_id``: a folder per load, and a file that names the current one.
+
+    Rows lie in partitions by a hash of the key (``key_bucket``), so a point
+    lookup reads one of them. A load writes the whole table anew beside the old
+    one and then moves the name; a stop before that changes nothing for readers,
+    and the load repeated starts from the same state. The folder before the
+    current one stays for readers that still use it; the one before that is
+    removed. Loads run one after the other, as the scheduled run does: a writer
+    that finds the name moved since it began fails and changes nothing.
+
+    The bucket count belongs to the stored table; the argument only counts for a
+    new one. `rows_per_file` sets how many tasks write one bucket.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS,
-                 rows_per_file: int = 5_000_000):
+    def __init__(self, spark: SparkSession, path: str, buckets: int = DEFAULT_BUCKETS, rows_per_file: int = 5_000_000):
         self.spark = spark
         self.path = path.rstrip("/")
         self.rows_per_file = rows_per_file
-        stored = self.manifest()
-        self.buckets = stored["buckets"] if stored else buckets
+        named = self.current()
+        self.buckets = int(named[1]) if named else buckets
 
-    # -- manifest ---------------------------------------------------------
-    def _numbers(self) -> list[int]:
-        p, fs = hadoop_fs(self.spark, f"{self.path}/manifest")
+    # -- the current folder --------------------------------------------------
+    def current(self) -> tuple[str, str, str] | None:
+        """(folder, bucket count, folder before it); None for a table never written."""
+        p, fs = hadoop_fs(self.spark, f"{self.path}/CURRENT")
         if not fs.exists(p):
-            return []
-        names = [f.getPath().getName() for f in fs.listStatus(p)]
-        return sorted(int(n[:-5]) for n in names if re.fullmatch(r"\d+\.json", n))
-
-    def manifest(self, number: int | None = None) -> dict | None:
-        """{number, buckets, live: {bucket: version}}; None for a table never written."""
-        numbers = self._numbers()
-        if not numbers:
             return None
-        p, fs = hadoop_fs(self.spark, f"{self.path}/manifest/{number or numbers[-1]:012d}.json")
         stream = fs.open(p)
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return tuple(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").split(","))
         finally:
             stream.close()
-        out = json.loads(text)
-        return out | {"live": {int(b): v for b, v in out["live"].items()}}
 
-    def _commit(self, before: dict | None, live: dict[int, str]) -> None:
-        number = before["number"] + 1 if before else 1
-        body = json.dumps({"number": number, "buckets": self.buckets, "live": live}).encode()
-        temp, fs = hadoop_fs(self.spark, f"{self.path}/manifest/.{uuid.uuid4().hex}")
+    def _commit(self, before: tuple | None, folder: str) -> None:
+        """Make `folder` the table: a file of the new name replaces the old one in one rename."""
+        if self.current() != before:
+            raise RuntimeError(f"another writer has changed {self.path}")
+        old = before[0] if before else ""
+        temp, fs = hadoop_fs(self.spark, f"{self.path}/.{uuid.uuid4().hex}")
         out = fs.create(temp, True)
-        out.write(bytearray(body))
+        out.write(bytearray(f"{folder},{self.buckets},{old}".encode()))
         out.close()
-        final, _ = hadoop_fs(self.spark, f"{self.path}/manifest/{number:012d}.json")
-        if fs.exists(final) or not fs.rename(temp, final):
-            fs.delete(temp, False)
-            raise RuntimeError(f"another writer has committed version {number} of {self.path}")
-        self.vacuum()
-
-    def vacuum(self) -> int:
-        """Remove bucket folders that neither the current nor the previous manifest names."""
-        numbers = self._numbers()
-        named = {(v, b) for n in numbers[-2:] for b, v in self.manifest(n)["live"].items()}
-        p, fs = hadoop_fs(self.spark, f"{self.path}/data")
-        gone = 0
-        for version in fs.listStatus(p) if fs.exists(p) else []:
-            v = version.getPath().getName().removeprefix("v=")
-            left = False
-            for folder in fs.listStatus(version.getPath()):
-                name = folder.getPath().getName()
-                if name.startswith(f"{KEY_BUCKET}=") and (v, int(name.split("=")[1])) not in named:
-                    fs.delete(folder.getPath(), True)
-                    gone += 1
-                else:
-                    left |= name.startswith(f"{KEY_BUCKET}=")
-            if not left:
-                fs.delete(version.getPath(), True)
-        return gone
-
-    # -- reading ----------------------------------------------------------
+        jvm = self.spark._jvm
+        replace = jvm.org.apache.hadoop.fs.Options.Rename.valueOf("OVERWRITE")
+        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        options[0] = replace
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(temp.toUri(), conf).rename(
+            temp, hadoop_fs(self.spark, f"{self.path}/CURRENT")[0], options)
+        if before and before[2]:
+            remove(self.spark, f"{self.path}/{before[2]}")
+
+    # -- reading ---------------------------------------------------------------
     def exists(self) -> bool:
-        return bool(self._numbers())
-
-    def _buckets(self, only: list[int] | None = None) -> DataFrame:
-        """Rows of the live buckets (of those in ``only``) with ``key_bucket``."""
-        schema = StructType(list(S.TABLE_SCHEMA.fields) + [StructField(KEY_BUCKET, IntegerType())])
-        stored = self.manifest()
-        live = {b: v for b, v in (stored["live"] if stored else {}).items() if only is None or b in only}
-        if not live:
-            return self.spark.createDataFrame([], schema)
-        paths = [f"{self.path}/data/v={v}/{KEY_BUCKET}={b}" for b, v in sorted(live.items())]   # at most the bucket count
-        return (self.spark.read.schema(schema).option("basePath", f"{self.path}/data")
-                .option("recursiveFileLookup", "false").parquet(*paths).select(*S.TABLE_COLUMNS, KEY_BUCKET))
+        return self.current() is not None
 
     def read(self, with_bucket: bool = False) -> DataFrame:
-        df = self._buckets()
+        named = self.current()
+        if named is None:
+            df = self.spark.createDataFrame([], self._schema())
+        else:
+            df = self.spark.read.schema(self._schema()).parquet(f"{self.path}/{named[0]}")
         return df if with_bucket else df.drop(KEY_BUCKET)
 
+    @staticmethod
+    def _schema() -> StructType:
+        return StructType([*S.TABLE_SCHEMA.fields, StructField(KEY_BUCKET, IntegerType())])
+
     def has_order(self, order_id: str) -> bool:
         """Point lookup reading one bucket."""
-        b = self.spark.range(1).select(bucket_of(F.lit(order_id), self.buckets)).first()[0]
-        return not self._buckets([b]).where(F.col("order_id") == order_id).isEmpty()
+        rows = self.read(with_bucket=True)
+        return not rows.where((F.col(KEY_BUCKET) == bucket_of(F.lit(order_id), self.buckets)) & (F.col("order_id") == order_id)).isEmpty()
 
     def has_orders(self, probe: DataFrame, key: str = "order_id") -> DataFrame:
-        """For each probe id: does the table hold it? Joined on the bucket and the id."""
-        held = self.read(with_bucket=True).select(KEY_BUCKET, F.col("order_id").alias("_k"), F.lit(True).alias("_hit"))
-        asked = probe.select(key, bucket_of(F.col(key), self.buckets).alias("_b"))
-        return asked.join(held, (F.col("_b") == F.col(KEY_BUCKET)) & (F.col(key) == F.col("_k")), "left").select(
+        """For each probe id: does the table hold it?"""
+        held = self.read().select(F.col("order_id").alias("_k"), F.lit(True).alias("_hit"))
+        return probe.select(key).join(held, F.col(key) == F.col("_k"), "left").select(
             key, F.coalesce("_hit", F.lit(False)).alias("order_exists"))
 
-    # -- writing ----------------------------------------------------------
-    def _write(self, df: DataFrame, touched: int, rows: int) -> tuple[str, DataFrame]:
-        """The rows (with ``key_bucket``) as a new version folder; its name and a reader of it.
-
-        A large bucket is written by several tasks: rows are spread over
-        (bucket, slice), with slices from the number of rows."""
-        version = uuid.uuid4().hex
-        slices = max(1, math.ceil(rows / max(1, touched) / self.rows_per_file))
+    # -- writing ---------------------------------------------------------------
+    def _write(self, df: DataFrame, rows: int) -> str:
+        """The rows as a new folder; a large bucket is written by several tasks."""
+        folder = f"load-{uuid.uuid4().hex}"
+        slices = max(1, math.ceil(rows / self.buckets / self.rows_per_file))
         part = F.pmod(F.xxhash64(F.col("order_id"), F.lit("slice")), F.lit(slices))
-        path = f"{self.path}/data/v={version}"
-        (df.repartition(max(1, touched) * slices, F.col(KEY_BUCKET), part)
+        (df.withColumn(KEY_BUCKET, bucket_of(F.col("order_id"), self.buckets))
+         .repartition(self.buckets * slices, F.col(KEY_BUCKET), part)
          .sortWithinPartitions(KEY_BUCKET, "order_date", "country")
-         .write.partitionBy(KEY_BUCKET).parquet(path))
-        return version, self.spark.read.schema(df.schema).parquet(path)
+         .write.partitionBy(KEY_BUCKET).parquet(f"{self.path}/{folder}"))
+        return folder
 
     def upsert(self, enriched: DataFrame, seq: list[Column] | None = None,
                run_ts: datetime | None = None, atomic: bool = False) -> LoadResult:
-        """Gate the rows, keep the latest accepted one per key, merge it into the touched buckets.
+        """Gate the rows, keep the latest accepted one per key, merge it into the table.
 
         ``seq`` orders the versions of a key, latest first; the default is the
         last row of the last file. Without ``seq`` and lineage columns a key may
-        occur once only. ``atomic`` loads nothing if any row is refused."""
-        before = self.manifest()
-        gated, gated_path = keep(load_gate(enriched, run_ts), "upsert-gated")
-        ok = accepted(gated).withColumn(KEY_BUCKET, bucket_of(F.col("order_id"), self.buckets))
-        n_all, n_ok = gated.count(), ok.count()
-        rejects = None
-        if n_all > n_ok:
-            rejects, _ = keep(gated.where(F.col(GATE_REASON).isNotNull()), "upsert-rejects")
-        try:
-            if n_ok == 0 or (atomic and rejects is not None):
-                return LoadResult(rejects is None, 0, 0, n_all - n_ok, rejects)
-            order = seq or latest_order(gated)
-            if order is None:
-                if not ok.groupBy("order_id").count().where("count > 1").isEmpty():
-                    raise ValueError("a key occurs more than once and nothing orders its rows: give seq, or source_file and row_ordinal")
-                incoming = ok
-            else:
-                incoming = latest_per_key(ok, order)
-            touched = [r[0] for r in ok.select(KEY_BUCKET).distinct().collect()]   # at most the bucket count
-            current = self._buckets(touched)
-            old = current.select(KEY_BUCKET, "order_id", F.struct(*S.TABLE_COLUMNS).alias("_old"))
-            new = incoming.select(KEY_BUCKET, "order_id", F.struct(*S.TABLE_COLUMNS).alias("_new"))
-            both = old.join(new, [KEY_BUCKET, "order_id"], "full")
-            change = (F.when(F.col("_new").isNull(), "kept").when(F.col("_old").isNull(), "inserted").otherwise("updated"))
-            merged = both.select(F.coalesce("_new", "_old").alias("_row"), KEY_BUCKET, change.alias("_change")).select(
-                "_row.*", KEY_BUCKET, "_change")
-            version, written = self._write(merged, len(touched), current.count() + n_ok)
-            counts = {r["_change"]: r["count"] for r in written.groupBy("_change").count().collect()}
-            self._commit(before, (before["live"] if before else {}) | {b: version for b in touched})
-            return LoadResult(rejects is None, counts.get("inserted", 0), counts.get("updated", 0), n_all - n_ok, rejects)
-        finally:
-            remove(self.spark, gated_path)
+        occur once only. ``atomic`` loads nothing if any row is refused. The kept
+        rows (also those of `rejects`) go with `session.discard_kept`."""
+        began = time.monotonic()
+        before = self.current()
+        gated, _ = keep(load_gate(enriched, run_ts), "upsert-gated")
+        ok = F.col(GATE_REASON).isNull()
+        n_ok, n_bad = gated.agg(F.count_if(ok), F.count_if(~ok)).first()
+        rejects = gated.where(~ok) if n_bad else None
+        result = lambda i, u: LoadResult(not n_bad, i, u, n_bad, rejects, time.monotonic() - began)
+        if n_ok == 0 or (atomic and n_bad):
+            return result(0, 0)
+        order = seq or latest_order(gated)
+        if order is None:
+            if not gated.where(ok).groupBy("order_id").count().where("count > 1").isEmpty():
+                raise ValueError("a key occurs more than once and nothing orders its rows: give seq, or source_file and row_ordinal")
+            order = [F.lit(1)]
+        new = latest_accepted(gated, order)
+        both = self.read().select("order_id", F.struct(*S.TABLE_COLUMNS).alias("_old")).join(
+            new.select("order_id", F.struct(*S.TABLE_COLUMNS).alias("_new")), "order_id", "full")
+        counts = Observation()                    # taken while the rows are written
+        added, changed = F.col("_old").isNull(), F.col("_old").isNotNull() & F.col("_new").isNotNull()
+        merged = both.observe(counts, F.count_if(added).alias("inserted"), F.count_if(changed).alias("updated"))
+        held = self.read().count() if before else 0
+        folder = self._write(merged.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*"), held + n_ok)
+        got = counts.get
+        self._commit(before, folder)
+        return result(got["inserted"], got["updated"])
 
     def delete_before(self, before: date | datetime) -> int:
-        """Delete rows with order_date < before (strict). Only buckets that hold
-        such a row are written anew; one left empty leaves the manifest."""
-        stored = self.manifest()
-        if stored is None:
-            return 0
-        d = F.lit(before.date() if isinstance(before, datetime) else before)
-        table = self.read(with_bucket=True)
-        per = table.groupBy(KEY_BUCKET).agg(F.count("*").alias("n"), F.count_if(F.col("order_date") < d).alias("gone"))
-        hit = {r[KEY_BUCKET]: (r["n"], r["gone"]) for r in per.where("gone > 0").collect()}   # at most the bucket count
-        if not hit:
+        """Delete rows with order_date < before (strict); nothing is written if there is none."""
+        named = self.current()
+        if named is None:
             return 0
-        live = {b: v for b, v in stored["live"].items() if b not in hit}
-        left = [b for b, (n, gone) in hit.items() if n > gone]
-        if left:
-            kept = self._buckets(left).where(~(F.col("order_date") < d))
-            version, _ = self._write(kept, len(left), sum(n - gone for n, gone in hit.values()))
-            live |= {b: version for b in left}
-        self._commit(stored, live)
-        return sum(gone for _, gone in hit.values())
-
-
-def delete_before_plan(sales: DataFrame, before: date) -> DataFrame:
-    """Plan form of the delete for reporting: rows deleted and rows left."""
-    d = F.lit(before)
-    return sales.agg(
-        F.count_if(F.col("order_date") < d).alias("rows_deleted"),
-        F.count_if(~(F.col("order_date") < d) | F.col("order_date").isNull()).alias("rows_left"),
-    )
+        old = F.coalesce(F.col("order_date") < F.lit(before.date() if isinstance(before, datetime) else before), F.lit(False))
+        n, gone = self.read().agg(F.count("*"), F.count_if(old)).first()
+        if gone:
+            self._commit(named, self._write(self.read().where(~old), n - gone))
+        return gone
+
+
+def merge(target: DataFrame, incoming: DataFrame, key: str = "order_id") -> DataFrame:
+    """Upsert as a plan: target rows whose key is not incoming, plus incoming
+    (already one row per key). All columns of a matched key are replaced."""
+    return target.join(incoming.select(key), key, "left_anti").unionByName(incoming.select(*target.columns))
