@@ -183,9 +183,12 @@ def stage_counts(df: DataFrame, stages: list[str], extra: list[Column] | None =
     return long, wide
 
 
-def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int | None = None) -> DataFrame:
+VALUE_CHARS = 100      # of a failing value that a report shows
+
+
+def failure_cases(df: DataFrame, stage: str = "cleaned", value_chars: int | None = VALUE_CHARS) -> DataFrame:
     """Every failing (row, column, check): [source_file,] column, check,
-    row_index, failure_case (cut to ``value_chars`` characters if given). Uniqueness failures
+    row_index, failure_case (cut to ``value_chars`` characters; None: whole). Uniqueness failures
     are listed for every member of a duplicated key."""
     keys = _keys(df)
     rules = [r for r in STAGES[stage] if r.column == "*" or r.column in df.columns]

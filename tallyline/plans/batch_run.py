@@ -5,6 +5,7 @@ from the same plan, and `run_batch`, which writes all of it.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +27,7 @@ from tallyline.operators.table import (
 )
 from tallyline.session import keep, remove
 from tallyline.sources.archive import archive_rows
-from tallyline.sources.csv_files import read_sales_csv
+from tallyline.sources.csv_files import list_csv_files, read_sales_csv
 
 
 @dataclass(frozen=True)
@@ -237,14 +238,19 @@ def execute(rows: DataFrame, headers: DataFrame, paths: RunPaths, cfg: RunConfig
     repeated after a failure changes nothing, as an upsert applied twice equals
     one."""
     spark, run_id, mine = rows.sparkSession, cfg.run_id, f"run_id={cfg.run_id}"
+    began = time.monotonic()
     run = plan_run(rows, cfg, headers, materialize=True)
+    checked = time.monotonic() - began
     result = KeyedSalesTable(spark, paths.table, buckets).upsert(run.enriched, run_ts=cfg.enrich.run_ts)
     on = cfg.enrich.run_ts.date() if cfg.enrich.run_ts else None
     archive_rows(run.valid_raw, paths.archive, run_id, on)
     done = run.verdict.where("is_valid").select(S.SOURCE_FILE).join(
         spark.read.parquet(f"{paths.archive}/{mine}").select(S.SOURCE_FILE).distinct(), S.SOURCE_FILE, "left_semi")
     run.quarantine().write.mode("overwrite").parquet(f"{paths.quarantine}/{mine}")
-    run.reports().write.mode("overwrite").parquet(f"{paths.reports}/stages/{mine}")
+    # the stages are checked in one pass over all files, so they share its duration
+    (run.reports().withColumns({"duration_seconds": F.lit(round(checked, 4)), "metadata": F.to_json(F.struct(
+        F.col(S.SOURCE_FILE).alias("file_name"), F.lit(run_id).alias("run_id"), F.col("total_rows")))})
+     .write.mode("overwrite").parquet(f"{paths.reports}/stages/{mine}"))
     run.file_report().write.mode("overwrite").parquet(f"{paths.reports}/files/{mine}")
     (run.summary(done).drop("run_id").withColumns({"rows_inserted": F.lit(result.rows_inserted), "rows_updated": F.lit(result.rows_updated)})
      .write.mode("overwrite").parquet(f"{paths.reports}/runs/{mine}"))
@@ -254,6 +260,10 @@ def execute(rows: DataFrame, headers: DataFrame, paths: RunPaths, cfg: RunConfig
 
 def run_batch(spark: SparkSession, incoming: str | list[str], paths: RunPaths, cfg: RunConfig = RunConfig(),
               buckets: int = DEFAULT_BUCKETS, multi_line: bool = False) -> LoadResult:
-    """Run over all CSV files of a folder (or of listed paths, see ``escape_path``)."""
+    """Run over all CSV files of a folder (or of listed paths, see ``escape_path``).
+
+    Without any file the run stops at once: nothing is written, and the result counts nothing."""
+    if list_csv_files(spark, incoming).isEmpty():
+        return LoadResult(True, 0, 0, 0)
     rows, headers = read_sales_csv(spark, incoming, multi_line)
     return execute(rows, headers, paths, cfg, buckets)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyline.operators.table import DEFAULT_BUCKETS
 from tallyline.plans.batch_run import RunConfig, RunPaths, run_batch
-from tallyline.sources.csv_files import escape_path, list_csv_files
+from tallyline.sources.csv_files import escape_path
 
 
 def _file_stream(spark: SparkSession, folder: str, clean_source: str = "off",
@@ -55,9 +55,3 @@ def run_incremental(spark: SparkSession, incoming: str, checkpoint: str, paths:
          .start())
     q.awaitTermination()
     return seen["batches"]
-
-
-def has_new_files(spark: SparkSession, folder: str, processed: DataFrame) -> bool:
-    """Early stop check: any CSV in the folder not in ``processed`` (path column)."""
-    new = list_csv_files(spark, folder).join(processed.select("path"), "path", "left_anti")
-    return len(new.limit(1).take(1)) > 0

@@ -134,3 +134,36 @@ def test_a_file_that_loses_all_rows_has_reports(spark):
     rep = {r.stage: r for r in run.reports().collect()}
     assert rep["cleaned"].total_rows == 0 and rep["cleaned"].warning_count == 1 and rep["cleaned"].status == "skipped"
     assert run.quarantine().count() == 5
+
+
+def test_the_archive_goes_on_after_a_bad_file(spark):
+    from tallyline.sources.archive import archive_paths
+
+    d = tempfile.mkdtemp(prefix="tl-arch-")
+    names = [f"f{i}.csv" for i in range(9)]
+    for i, n in enumerate(names):
+        _write(d, n, HEADER + f"ORD-{i:06d},A,2,9.99,2024-01-15,CUST-20417,Canada\n")
+    bad = {names[2], names[7]}
+
+    def read(paths):
+        if bad & {os.path.basename(p) for p in paths}:
+            raise OSError("cannot read")
+        return read_sales_csv(spark, paths)[0]
+
+    paths = [os.path.join(d, n) for n in names]
+    for _ in range(2):                                    # a repeated run archives once
+        done, errors = archive_paths(read, paths, d + "/archive", "r1", date(2025, 1, 1))
+        assert [os.path.basename(p) for p in done] == [n for n in names if n not in bad]
+        assert {os.path.basename(p): e for p, e in errors.items()} == dict.fromkeys(bad, "cannot read")
+        kept = spark.read.parquet(d + "/archive").select("source_file", "order_id").collect()
+        assert len(kept) == 7 and len({r.order_id for r in kept}) == 7
+    assert archive_paths(read, [], d + "/archive", "r2") == ([], {})
+
+
+def test_a_run_without_files_stops_at_once(spark):
+    from tallyline.plans.batch_run import RunPaths, run_batch
+
+    d = tempfile.mkdtemp(prefix="tl-empty-")
+    base = d + "/out"
+    r = run_batch(spark, d, RunPaths(base + "/table", base + "/archive", base + "/quarantine", base + "/reports"))
+    assert (r.success, r.total_processed, r.rows_failed) == (True, 0, 0) and not os.path.exists(base)

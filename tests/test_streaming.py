@@ -26,7 +26,7 @@ def _folders():
 
 
 def _outputs(spark, paths):
-    return {name: sorted(map(str, spark.read.parquet(p).collect())) for name, p in (
+    return {name: sorted(map(str, spark.read.parquet(p).drop("duration_seconds").collect())) for name, p in (
         ("archive", paths.archive), ("quarantine", paths.quarantine), ("stages", paths.reports + "/stages"),
         ("files", paths.reports + "/files"), ("runs", paths.reports + "/runs"))} | {
         "table": sorted(map(str, KeyedSalesTable(spark, paths.table).read().collect()))}
