@@ -11,7 +11,11 @@ the sum both exceed their thresholds. The models are tables of at most
 67 x 67 transitions, so they travel as a literal.
 
 Positions come from the pieces between matches (split) and the matches
-themselves, added up along the text; both run only on texts that have one.
+themselves, added up along the text; both run only on texts that have one. An
+array of n that grows by one element a step costs n * n; so sums along an array,
+the search for base spans at a token, and the redacted text are made from
+stretches of STRETCH elements, whose results are put together at the end, and
+no step takes a substring from the start of a long text.
 
 Defined cases: a null text is empty; repeated documents are judged alike; an
 empty table or one without samples adds nothing; other columns travel in `row`
@@ -21,6 +25,7 @@ and cannot clash. Offsets are code points, the end is exclusive.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,38 +50,101 @@ PRIOR = 67.0
 UNIFORM = 0.5
 
 SPAN = "struct<start:int,rank:int,stop:int,kind:string>"
+STRETCH = 128
+PIECE = 1024          # code points
 
+INTS = "array<int>"
 
-def _found(text: Column, pattern: str, kind: str, least: tuple[int, int] | None = None) -> Column:
-    """Spans of all matches from left to right; `least` (group, n) drops matches whose group is shorter."""
-    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    group = F.regexp_extract_all(text, F.lit(pattern), F.lit(least[0])) if least else matches
-    parts = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("g"), matches.alias("m"), group.alias("v"))
-    rank = KINDS.index(kind)
 
-    def step(acc: Column, p: Column) -> Column:
-        start = acc["at"] + F.length(p["g"])
-        stop = start + F.length(p["m"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), stop.alias("stop"), F.lit(kind).alias("kind"))
-        keep = F.length(p["v"]) >= (least[1] if least else 0)
-        return F.struct(stop.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+def _none(kind: str) -> Column:
+    return F.expr(f"cast(array() as {kind})")
 
-    none = F.expr(f"cast(array() as array<{SPAN}>)")
-    all_of = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step)["out"]
-    return F.when(text.rlike(pattern), all_of).otherwise(none)
+
+def _bound(value: Column, then: Callable[[Column], Column], last: bool = False) -> Column:
+    """`then` of a value that is computed once: an array of one element binds it (with `last`, the array is given out)."""
+    one = F.transform(F.array(value), then)
+    return one if last else F.get(one, F.lit(0))
+
+
+def _stretches(values: Column) -> Column:
+    """The array in slices of STRETCH; none for an empty one."""
+    n = F.size(values)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STRETCH).cast("int")), lambda k: F.slice(values, k * STRETCH + 1, STRETCH))
+                  ).otherwise(F.array().cast(f"array<{INTS}>"))
+
+
+def before(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each int of an array, what `step` has made of those before it, from 0."""
+    zero = F.lit(0)
+
+    def running(xs: Column, start: Column) -> Column:
+        return F.aggregate(xs, F.struct(start.alias("at"), _none(INTS).alias("out")), lambda acc, x: F.struct(
+            step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))["out"]
+
+    parts = _stretches(values)
+    starts = running(F.transform(parts, lambda xs: F.aggregate(xs, zero, step)), zero)
+    return F.flatten(F.zip_with(parts, starts, running))
+
+
+def _span_of(kind: str) -> Callable[[Column, Column], Column]:
+    return lambda start, x: F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + F.length(x)).alias("stop"),
+                                     F.lit(kind).alias("kind"), x.alias("text"))
+
+
+def _long_enough(spans: Column, groups: Column, least: int) -> Column:
+    both = F.arrays_zip(spans.alias("s"), groups.alias("v"))
+    return F.transform(F.filter(both, lambda x: F.length(x["v"]) >= least), lambda x: x["s"])
+
+
+def _with_found(t: DataFrame, patterns: dict[str, tuple[str, str, tuple[int, int] | None]]) -> DataFrame:
+    """Adds, per name -> (pattern, kind, least), the array of all its matches from left to right: a span and its text each;
+    `least` (group, n) drops matches whose group is shorter."""
+    text = F.col("text")
+    arrays, spans = {}, {}
+    for name, (pattern, kind, least) in patterns.items():
+        has = text.rlike(pattern)
+        arrays[f"_{name}_m"] = F.coalesce(F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), _none("array<string>"))
+        arrays[f"_{name}_g"] = F.coalesce(F.when(has, F.split(text, pattern, -1)), _none("array<string>"))
+        if least:
+            arrays[f"_{name}_v"] = F.coalesce(F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(least[0]))), _none("array<string>"))
+        m, g = F.col(f"_{name}_m"), F.col(f"_{name}_g")
+        lengths = F.zip_with(F.slice(g, F.lit(1), F.size(m)), m, lambda a, b: F.length(a) + F.length(b))
+        starts = F.zip_with(before(lengths, lambda x, y: x + y), F.slice(g, F.lit(1), F.size(m)), lambda a, gap: a + F.length(gap))
+        made = F.zip_with(starts, m, _span_of(kind))
+        spans[name] = _long_enough(made, F.col(f"_{name}_v"), least[1]) if least else made
+    return t.withColumns(arrays).withColumns(spans).drop(*arrays)
+
+
+def _spans(found: Column) -> Column:
+    """Spans without their texts."""
+    return F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), s["kind"].alias("kind")))
 
 
 def base_spans(docs: DataFrame, row: Column | None = None) -> DataFrame:
     """row, text and `base`: the spans of the fixed patterns, by start and kind."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if row is None else row
-    base = docs.select(row.alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    t = F.col("text")
-    return base.withColumn("base", F.array_sort(F.concat(
-        _found(t, ASSIGN, "assign", (2, ASSIGN_LEAST)), _found(t, ACCESS, "access"), _found(t, HEX, "hex"))))
+    t = docs.select(row.alias("row"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    t = _with_found(t, {"_assign": (ASSIGN, "assign", (2, ASSIGN_LEAST)), "_access": (ACCESS, "access", None), "_hex": (HEX, "hex", None)})
+    return t.withColumn("base", F.sort_array(F.concat(*[_spans(F.col(c)) for c in ("_assign", "_access", "_hex")]))).select("row", "text", "base")
+
+
+def _in_base(tokens: Column, base: Column) -> Column:
+    """Of each token whether it overlaps a base span. Tokens are in order; a stretch of them looks at the spans of its part of the text."""
+    n = F.size(tokens)
+
+    def stretch(k: Column) -> Column:
+        def inside(p: Column) -> Column:
+            return F.transform(p["xs"], lambda x: F.exists(p["near"], lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
+
+        def near(p: Column) -> Column:
+            return F.struct(p["xs"].alias("xs"), F.filter(base, lambda b: (b["start"] < p["hi"]) & (p["lo"] < b["stop"])).alias("near"))
+
+        def bounds(xs: Column) -> Column:
+            return F.struct(xs.alias("xs"), F.get(xs, F.lit(0))["start"].alias("lo"), F.element_at(xs, -1)["stop"].alias("hi"))
 
+        return F.flatten(_bound(_bound(_bound(F.slice(tokens, k * STRETCH + 1, STRETCH), bounds), near), inside, last=True))
 
-def _in_base(x: Column) -> Column:
-    return F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"]))
+    return F.when(n > 0, F.flatten(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / STRETCH).cast("int")), stretch))).otherwise(_none("array<boolean>"))
 
 
 def train(docs: DataFrame, min_sample: int = MIN_SAMPLE) -> list[float] | None:
@@ -85,10 +153,9 @@ def train(docs: DataFrame, min_sample: int = MIN_SAMPLE) -> list[float] | None:
     sample = f"{TOKEN}{{{min_sample},}}"
     tokens = F.regexp_extract_all("text", F.lit(sample), F.lit(0))
     # only texts with base spans need positions: elsewhere every token is ordinary
-    secret = t.where(F.size("base") > 0).withColumn("found", _found(F.col("text"), sample, "markov")).select(
-        F.explode(F.transform("found", lambda x: F.struct(
-            F.substring(F.col("text"), x["start"] + 1, x["stop"] - x["start"]).alias("token"), _in_base(x).alias("secret")))).alias("x")
-    ).select("x.token", "x.secret")
+    found = _with_found(t.where(F.size("base") > 0), {"found": (sample, "markov", None)}).withColumn("inside", _in_base(F.col("found"), F.col("base")))
+    secret = found.select(F.explode(F.zip_with("found", "inside", lambda x, y: F.struct(x["text"].alias("token"), y.alias("secret")))).alias("x")).select(
+        "x.token", "x.secret")
     ordinary = t.where(F.size("base") == 0).select(F.explode(tokens).alias("token"), F.lit(False).alias("secret"))
     chars = secret.unionByName(ordinary).select("secret", F.split("token", "").alias("c"))
     pairs = chars.select("secret", F.explode(F.zip_with(
@@ -114,7 +181,8 @@ def scan(docs: DataFrame, row: Column | None = None, model: list[float] | None |
     t = base_spans(docs, row)
     if model is None:
         return t.withColumn("spans", F.col("base"))
-    table = F.array(*map(F.lit, model))
+    # one constant, not thousands of literals
+    table = F.expr(f"cast(split('{','.join(map(repr, model))}', ',') as array<double>)")
     index = lambda c: F.instr(F.lit(ALPHABET), c) - 1
 
     def score(token: Column) -> Column:
@@ -122,26 +190,40 @@ def scan(docs: DataFrame, row: Column | None = None, model: list[float] | None |
         return F.aggregate(F.zip_with(F.slice(c, F.lit(1), F.size(c) - 1), F.slice(c, F.lit(2), F.size(c) - 1),
                                       lambda a, b: F.get(table, a * len(ALPHABET) + b)), F.lit(0.0), lambda s, x: s + x)
 
-    t = t.withColumn("tokens", F.filter(_found(F.col("text"), f"{TOKEN}{{{min_token},}}", "markov"), lambda x: ~_in_base(x)))
+    t = _with_found(t, {"tokens": (f"{TOKEN}{{{min_token},}}", "markov", None)}).withColumn("inside", _in_base(F.col("tokens"), F.col("base")))
 
     def is_secret(x: Column) -> Column:
-        n = x["stop"] - x["start"]
-        s = score(F.substring(F.col("text"), x["start"] + 1, n))
-        return s >= F.greatest(F.lit(bits), per_char * (n - 1))
+        return score(x["text"]) >= F.greatest(F.lit(bits), per_char * (F.length(x["text"]) - 1))
 
-    return t.withColumn("spans", F.array_sort(F.concat("base", F.filter("tokens", is_secret)))).drop("tokens")
+    free = F.transform(F.filter(F.arrays_zip(F.col("tokens").alias("x"), F.col("inside").alias("y")), lambda p: ~p["y"]), lambda p: p["x"])
+    return t.withColumn("more", F.filter(free, is_secret)).select("row", "text", "base", F.sort_array(F.concat("base", _spans(F.col("more")))).alias("spans"))
 
 
 def redact(mark: str = "[SECRET]") -> Column:
-    """The text with every run of touching or overlapping spans replaced by `mark`."""
-    def step(acc: Column, s: Column) -> Column:
-        more = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
-                        F.when((s["start"] < acc["at"]) & (acc["at"] > 0), acc["out"]).otherwise(more).alias("out"))
-
-    done = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
-    rest = F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
-    return F.when(F.size("spans") > 0, rest).otherwise(F.col("text"))
+    """The text with every run of touching or overlapping spans replaced by `mark`.
+
+    A run begins at a span that starts behind all ends before it. What lies between
+    two runs is put together from pieces of PIECE code points."""
+    text, spans = F.col("text"), F.col("spans")
+    ends = before(F.transform(spans, lambda s: s["stop"]), lambda x, y: F.greatest(x, y))
+    cuts = F.filter(F.zip_with(spans, ends, lambda s, e: F.struct(e.alias("a"), s["start"].alias("b"))),
+                    lambda c: (c["b"] >= c["a"]) & ((c["b"] > c["a"]) | (c["a"] == 0)))
+    tail = F.struct(F.array_max(F.transform(spans, lambda s: s["stop"])).alias("a"), F.length(text).alias("b"))
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def between(all_pieces: Column, c: Column) -> Column:
+        first, last = F.floor(c["a"] / PIECE).cast("int"), F.floor((c["b"] - 1) / PIECE).cast("int")
+
+        def part(k: Column) -> Column:
+            lo, hi = F.greatest(c["a"] - k * PIECE, F.lit(0)), F.least(c["b"] - k * PIECE, F.lit(PIECE))
+            return F.substring(F.get(all_pieces, k), lo + 1, hi - lo)
+
+        return F.when(c["b"] > c["a"], F.array_join(F.transform(F.sequence(first, last), part), "")).otherwise(F.lit(""))
+
+    # the pieces are made once: an array of one element hands them to all cuts
+    done = F.array_join(F.flatten(F.transform(F.array(pieces), lambda ps: F.transform(
+        F.concat(cuts, F.array(tail)), lambda c: between(ps, c)))), mark)
+    return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
 def _joined(spans: str) -> Column:

@@ -90,6 +90,63 @@ def test_base_spans_equal_brute_force(spark):
         assert bool(more) == (r["row"]["doc_id"] in (104, 105))    # 104 holds 23 hexadecimal digits
 
 
+def added_secrets(docs):
+    """The method row by row: both models from all labelled tokens, and the ratio of each free token."""
+    import math
+    import re
+
+    counts = {True: {}, False: {}}
+    overlaps = lambda m, base: any(a < m.end() and m.start() < b for _, a, b in base)
+    for _, t in docs:
+        base = brute.base_secrets(t)
+        for m in re.finditer(f"{S.TOKEN}{{{S.MIN_SAMPLE},}}", t or ""):
+            own = counts[overlaps(m, base)]
+            for pair in zip(m.group(), m.group()[1:], strict=False):
+                own[pair] = own.get(pair, 0) + 1
+    n = len(S.ALPHABET)
+
+    def p(own, a, b, uniform):
+        total = sum(own.get((a, x), 0) for x in S.ALPHABET)
+        return uniform / n + (1 - uniform) * (own.get((a, b), 0) + S.PRIOR / n) / (total + S.PRIOR)
+
+    out = {}
+    for k, (_, t) in enumerate(docs):
+        base = brute.base_secrets(t)
+        for m in re.finditer(f"{S.TOKEN}{{{S.MIN_TOKEN},}}", t or ""):
+            w = m.group()
+            if not overlaps(m, base):
+                bits = sum(math.log2(p(counts[True], a, b, S.UNIFORM) / p(counts[False], a, b, 0.0)) for a, b in zip(w, w[1:], strict=False))
+                if bits >= max(S.MIN_BITS, S.MIN_BITS_PER_CHAR * (len(w) - 1)):
+                    out.setdefault(k, []).append((m.start(), m.end()))
+    return out
+
+
+def test_added_spans_equal_brute_force(spark):
+    r = random.Random(12)
+    docs = [(k, t) for k, (_, t) in enumerate(secret_docs())]
+    docs += [(1000 + k, " ".join("".join(r.choices(S.ALPHABET[:r.choice([20, 40, 62])], k=r.randint(15, 50))) for _ in range(300)) + f" secret={'x' * k}") for k in range(12)]
+    want = {docs[k][0]: v for k, v in added_secrets(docs).items()}
+    got = {x["row"]["doc_id"]: [(s["start"], s["stop"]) for s in x["spans"] if s["kind"] == "markov"] for x in S.scan(frame(spark, docs)).collect()}
+    assert {k: v for k, v in got.items() if v} == want and sum(map(len, want.values())) > 50
+
+
+def test_a_text_full_of_secrets_takes_time_in_proportion(spark):
+    import time
+
+    r = random.Random(1)
+    text = lambda n: " ".join(("token=" if i % 3 == 0 else "") + "".join(r.choices("0123456789abcdef" if i % 3 == 0 else "ABCDabcd0123456789", k=24)) for i in range(n))
+    model = S.train(frame(spark, [(k, text(20)) for k in range(20)]))
+    took = {}
+    for n in (1000, 16_000):
+        df = frame(spark, [(1, text(n))])
+        for _ in range(2):
+            t = time.perf_counter()
+            row = S.scan(df, model=model).select("base", F.length(S.redact()).alias("n")).first()
+            took[n] = time.perf_counter() - t
+        assert sum(s["kind"] == "assign" for s in row["base"]) == -(-n // 3) and row["n"] > 0
+    assert took[16_000] < took[1000] + 6, took
+
+
 def test_redaction(spark):
     docs = secret_docs()
     rows = S.scan(frame(spark, docs)).select("row.doc_id", "text", "spans", S.redact().alias("new")).collect()
