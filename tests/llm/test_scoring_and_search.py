@@ -104,14 +104,47 @@ def test_wu_manber_equals_brute_force(spark, block_bytes):
 
 def test_search_over_lane_borders():
     pattern = b"alpha beta gamma delta epsilon zeta"
-    s = D.build([pattern, b"beta"])
+    windows = D.Windows([("1", pattern), ("2", b"beta")], 13)
+    string = lambda k: windows.text[windows.start[k]:windows.start[k] + windows.size[k]]
     for gap in (0, 1, D.LANE - 20, D.LANE - 1, 3 * D.LANE + 5):
         raw = b"\x01" + b"x" * gap + b" " + pattern + b"\x01"
         text = np.frombuffer(raw + bytes(9), np.uint8)
-        found = {(p, x.patterns[k]) for x in s for p, k in x.find(text, len(raw))}
+        found = {(p, string(k)) for x in D.build(windows) for p, k in x.find(text, len(raw))}
         assert found == {(gap + 2, pattern), (gap + 8, b"beta")}
 
 
+def test_windows_are_places_in_the_block(spark):
+    """Equal strings of several items are one, and a window costs bytes in proportion to nothing but its number."""
+    import pickle
+
+    r = random.Random(2)
+    words = [" ".join(r.choices([f"w{k}" for k in range(30)], k=r.randint(1, 60))).encode() for _ in range(50)]
+    pieces = [(str(k), w) for k, w in enumerate([*words, words[0], words[3] + b" " + words[0]])]
+    got = D.Windows(pieces, 13)
+    want = {}
+    for key, w in pieces:
+        w = w.split()
+        for i in range(max(1, len(w) - 12)):
+            want.setdefault(b" ".join(w[i:i + 13]), set()).add(key)
+    assert {got.text[a:a + n]: got.items(k) for k, (a, n) in enumerate(zip(got.start, got.size, strict=True))} == want
+    assert (got.n_words == [got.text[a:a + n].count(b" ") + 1 for a, n in zip(got.start, got.size, strict=True)]).all()
+    big = D.Windows([("x", " ".join(f"word{k}" for k in range(100_000)).encode())], 13)
+    assert len(pickle.dumps(big)) < len(big.text) + 50 * len(big.start)
+
+
+def test_long_items_are_cut_into_pieces_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(D, "PIECE_WORDS", 40)
+    items, docs = items_and_docs()
+    items.append((77, " ".join(f"long{k}" for k in range(400))))
+    docs.append((500, "x " + " ".join(f"long{k}" for k in range(30, 160)) + " y"))
+    table = spark.createDataFrame(items, "item_id long, text string")
+    pieces = D.item_pieces(table.selectExpr("string(item_id) AS item_id", "text").where("text is not null"), 13).collect()
+    assert sum(r["item_id"] == "77" for r in pieces) == 10
+    found = D.judged(D.decontaminate(frame(spark, docs), table, block_bytes=2000))
+    got = sorted(((r["row"]["doc_id"], r["n_words"], r["n_hit"], sorted(r["item_ids"]), r["contaminated"]) for r in found.collect()), key=str)
+    assert got == sorted(brute.contamination(docs, items), key=str)
+
+
 def test_decontamination_of_empty_tables(spark):
     items = spark.createDataFrame([], "item_id long, text string")
     assert D.decontaminate(frame(spark, []), items).count() == 0
