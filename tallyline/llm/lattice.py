@@ -45,7 +45,8 @@ from tallyline.llm.common import discard, map_arrow, materialize, read
 
 CHUNK_BYTES = 16 << 20
 CHUNK_BITS = 33
-MAX_PIECE = 16
+HALVES = 16          # bytes of a piece that two 64-bit halves hold; longer ones are few and looked up by a rolling hash
+WORDS_A_TASK = 100_000
 WIDE = 40
 ROUNDS = 2
 GROUP = 4096
@@ -59,21 +60,36 @@ def ranks_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+STEP = 0x9E3779B97F4A7C15
+
+
+def rolling(piece: bytes) -> int:
+    """Polynomial hash modulo 2^64: those of substrings come from those of prefixes."""
+    h = 0
+    for c in piece:
+        h = (h * STEP + c + 1) & 0xFFFFFFFFFFFFFFFF
+    return h
+
+
 class Vocabulary:
-    """Pieces of at most MAX_PIECE bytes with a lookup by two 64-bit halves; all single bytes are among them."""
+    """All pieces, those of at most HALVES bytes with a lookup by two 64-bit halves; all single bytes are among them."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
-            pieces = [base64.b64decode(line.split()[0]) for line in f]
-        self.pieces = [p for p in pieces if len(p) <= MAX_PIECE]
-        self.bits = (len(self.pieces) - 1).bit_length() + 3
+            self.pieces = [base64.b64decode(line.split()[0]) for line in f]
+        self.number = {p: k for k, p in enumerate(self.pieces)}
+        self.short = np.array([k for k, p in enumerate(self.pieces) if len(p) <= HALVES])
+        self.lengths = sorted({len(p) for p in self.pieces})
+        self.long = {n: np.sort(np.array([rolling(p) for p in self.pieces if len(p) == n], np.uint64)) for n in self.lengths if n > HALVES}
+        short = [self.pieces[k] for k in self.short]
+        self.bits = (len(short) - 1).bit_length() + 3
         self.slots = np.full(1 << self.bits, -1, np.int32)
-        padded = np.frombuffer(b"".join(p.ljust(MAX_PIECE, b"\0") for p in self.pieces), "<u8").reshape(-1, 2)
-        self.size = np.array([len(p) for p in self.pieces], np.uint64)
+        padded = np.frombuffer(b"".join(p.ljust(HALVES, b"\0") for p in short), "<u8").reshape(-1, 2)
+        self.size = np.array([len(p) for p in short], np.uint64)
         self.lo, self.hi = padded[:, 0].copy(), padded[:, 1].copy()
         home = self.home(self.lo, self.hi, self.size)
         self.probes = 0
-        left = np.arange(len(self.pieces))
+        left = np.arange(len(short))
         while len(left):                       # linear probing, one step for all that have no slot
             at = (home[left] + self.probes) & ((1 << self.bits) - 1)
             free = self.slots[at] < 0
@@ -93,7 +109,7 @@ class Vocabulary:
         for k in range(self.probes):
             at = self.slots[(home[todo] + k) & ((1 << self.bits) - 1)]
             hit = (at >= 0) & (self.lo[at] == lo[todo]) & (self.hi[at] == hi[todo]) & (self.size[at] == size[todo])
-            out[todo[hit]] = at[hit]
+            out[todo[hit]] = self.short[at[hit]]
             todo = todo[~hit & (at >= 0)]
             if not len(todo):
                 break
@@ -116,12 +132,12 @@ def first_scores(v: Vocabulary) -> np.ndarray:
 
 
 def _edges(v: Vocabulary, words: list[bytes], length: int):
-    """Piece number of words[:, i:j] for all i < j <= i + MAX_PIECE, as a dict (i, j) -> array."""
+    """Piece number of words[:, i:j] for all i < j that are a piece in some word, as a dict (i, j) -> array."""
     raw = np.frombuffer(b"".join(words), np.uint8).reshape(len(words), length).astype(np.uint64)
     out = {}
     for i in range(length):
         lo, hi = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
-        for j in range(i + 1, min(length, i + MAX_PIECE) + 1):
+        for j in range(i + 1, min(length, i + HALVES) + 1):
             k = j - i - 1
             if k < 8:
                 lo = lo | (raw[:, j - 1] << np.uint64(8 * k))
@@ -130,6 +146,20 @@ def _edges(v: Vocabulary, words: list[bytes], length: int):
             ids = v.find(lo, hi, np.full(len(words), k + 1, np.uint64))
             if (ids >= 0).any():
                 out[i, j] = ids
+    if length > HALVES:
+        prefix = np.zeros((length + 1, len(words)), np.uint64)
+        for j in range(length):
+            prefix[j + 1] = prefix[j] * np.uint64(STEP) + raw[:, j] + np.uint64(1)
+        for n, hashes in v.long.items():
+            power = np.uint64(pow(STEP, n, 1 << 64))
+            for i in range(length - n + 1):
+                h = prefix[i + n] - prefix[i] * power
+                maybe = np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h)
+                ids = np.full(len(words), -1, np.int32)
+                for k in maybe.tolist():
+                    ids[k] = v.number.get(words[k][i:i + n], -1)
+                if (ids >= 0).any():
+                    out[i, i + n] = ids
     return out
 
 
@@ -164,14 +194,12 @@ def _backward(edges: dict, length: int, n: int, scores: np.ndarray) -> np.ndarra
 
 def _long_forward(v: Vocabulary, scores: np.ndarray, word: bytes, counts: np.ndarray | None, weight: float) -> float:
     """One long word: the recursion in a loop over its bytes, memory in proportion to its length."""
-    number = getattr(v, "number", None)
-    if number is None:
-        number = v.number = {p: k for k, p in enumerate(v.pieces)}
+    number, lengths = v.number, v.lengths
     n = len(word)
     alpha = [0.0] + [NONE] * n
     into = []
     for j in range(1, n + 1):
-        terms = [(i, k) for i in range(max(0, j - MAX_PIECE), j) if (k := number.get(word[i:j])) is not None]
+        terms = [(j - m, k) for m in lengths if m <= j and (k := number.get(word[j - m:j])) is not None]
         values = [alpha[i] + scores[k] for i, k in terms]
         top = max(values)
         alpha[j] = top + math.log(sum(math.exp(x - top) for x in values))
@@ -272,6 +300,11 @@ def _chunks(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), tasks, ROWS)
 
 
+def _spread(words: DataFrame, n: int) -> DataFrame:
+    """The words over tasks by their number: a word costs far more than reading its few bytes."""
+    return words.repartition(max(1, -(-n // WORDS_A_TASK)), "word")
+
+
 def _expected(words: DataFrame, path: str, scores: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over the distinct training words; one partial row set per task."""
     shared = words.sparkSession.sparkContext.broadcast(scores.astype(np.float32))     # counts need no more
@@ -314,7 +347,7 @@ def score_documents(docs: DataFrame, path: str | None = None, rounds: int = ROUN
     v = vocabulary(path)
     scores = first_scores(v)
     for _ in range(rounds if known[0] else 0):
-        expected = _expected(counts.where("c > 0").select("word"), path, scores)
+        expected = _expected(_spread(counts.where("c > 0").select("word"), known[0]), path, scores)
         smooth = expected + expected.sum() * np.exp(first_scores(v)) * 1e-3 + 1e-9
         scores = np.log(smooth / smooth.sum())
     shared = spark.sparkContext.broadcast(scores)
@@ -330,7 +363,7 @@ def score_documents(docs: DataFrame, path: str | None = None, rounds: int = ROUN
                 p = (np.logaddexp(np.log(c), math.log(mu) + spelt) - math.log(total + mu + 1.0)) / math.log(10)
             yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(p)], ["word", "c", "p"])
 
-    weighed = materialize(map_arrow(counts, weigh, "word binary, c long, p double"), "lattice-weighed")
+    weighed = materialize(map_arrow(_spread(counts, counts.count()), weigh, "word binary, c long, p double"), "lattice-weighed")
     discard(counts)
     scored = uses.select("chunk", "word", "number").join(weighed, "word").select(F.col("chunk").alias("of"), "number", "c", "p")
     base_of = lambda c: np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))

@@ -43,7 +43,7 @@ def test_lattice_sums_all_segmentations():
     def every(w):
         if not w:
             return 1.0
-        return sum(math.exp(scores[number[w[:k]]]) * every(w[k:]) for k in range(1, min(len(w), L.MAX_PIECE) + 1) if w[:k] in number)
+        return sum(math.exp(scores[number[w[:k]]]) * every(w[k:]) for k in range(1, len(w) + 1) if w[:k] in number)
 
     words = [b" the", b" thinking", " été".encode(), b" a", b" zzqx9"]
     got = L.path_scores(v, scores, words)
@@ -76,6 +76,55 @@ def test_scores_of_empty_tables(spark, docs):
     assert L.score_documents(frame(spark, docs)).count() == len(docs)
 
 
+def segmentations(word, number):
+    if not word:
+        yield []
+    for j in range(1, len(word) + 1):
+        if (k := number.get(word[:j])) is not None:
+            for rest in segmentations(word[j:], number):
+                yield [k, *rest]
+
+
+def test_expected_counts_equal_enumeration():
+    v = L.vocabulary(L.ranks_file())
+    scores = L.first_scores(v)
+    words = [b" the", b" token", b" straight", "\u00e9t\u00e9".encode(), b" aaaaaaa", b"q", b" unhappy", b" the"]
+    weights = np.array([1.0, 2.0, 1.0, 3.0, 1.0, 1.0, 0.5, 1.0])
+    counts = np.zeros(len(v.pieces))
+    got = L.path_scores(v, scores, words, counts, weights)
+    want = np.zeros(len(v.pieces))
+    for w, weight, score in zip(words, weights, got, strict=True):
+        paths = list(segmentations(w, v.number))
+        p = np.array([math.exp(sum(scores[k] for k in path)) for path in paths])
+        assert score == pytest.approx(math.log(p.sum()))
+        for path, x in zip(paths, p / p.sum(), strict=True):
+            for k in path:
+                want[k] += weight * x
+    assert np.allclose(counts, want, atol=1e-9)
+
+
+def test_every_piece_counts_however_long():
+    v = L.vocabulary(L.ranks_file())
+    scores = L.first_scores(v)
+    longest = [p for p in v.pieces if len(p) > L.HALVES]
+    assert len(v.pieces) == 50_256 and len(longest) == 72
+
+    def plain(word):
+        alpha = [0.0] + [-math.inf] * len(word)
+        for j in range(1, len(word) + 1):
+            for i in range(j):
+                if (k := v.number.get(word[i:j])) is not None:
+                    alpha[j] = np.logaddexp(alpha[j], alpha[i] + scores[k])
+        return alpha[-1]
+
+    words = [*longest, b" telecommunicationsx", b"un" + b" unconstitutional", b"-" * 40, b"-" * 64, b"=" * 100, b" ab" + longest[0] * 2]
+    got = L.path_scores(v, scores, words)
+    assert np.allclose(got, [plain(w) for w in words])
+    counts = np.zeros(len(v.pieces))
+    L.path_scores(v, scores, longest, counts, np.ones(len(longest)))
+    assert all(counts[v.number[p]] > 0.5 for p in longest)
+
+
 def items_and_docs(seed=2):
     r = random.Random(seed)
     words = [f"w{k}" for k in range(30)] + ["Ünï", "X9"]
