@@ -1,20 +1,23 @@
 """Quality rules by distribution divergence, with DataFrame functions only.
 
 A document's characters are counted by class (white space, symbols, upper case,
-other ASCII punctuation, the bytes that non-ASCII adds, the rest) and its words by a list of common
-words (all other words are one more bin). Both histograms are compared with
-language references by the Jensen-Shannon distance (base 2, 0 to 1); the
-nearest language counts, since the `lang` column may be wrong. A language's
-reference is taken over all its documents in one aggregate; every language with
-MIN_REFERENCE_DOCS long documents has one. A distance counts only where the
-document's own language has a reference, as other languages say nothing about
-it, and where the text is long enough for the histogram to mean something
-(MIN_CHARS, MIN_HISTOGRAM_WORDS).
-
-The texts are measured once; counts, shares and the carried `row` are written to
-the shared checkpoint folder. The references are one aggregate over them, written
-as one row (about 300 bytes a language) that is joined to every document; Spark
-knows its size. No shuffle of texts.
+other ASCII punctuation, the bytes that non-ASCII adds, the rest), and its words,
+lower-cased and without ASCII punctuation, by the common words of its language
+(all other words are one more bin). The common words are learnt: the
+COMMON_WORDS words that most documents of a language hold. Both histograms are
+compared with references by the Jensen-Shannon distance (base 2, 0 to 1):
+characters with the nearest language, since the `lang` column may be wrong, and
+words with the document's own language. A language's reference is taken over all
+its documents in one aggregate. A reference of n documents may itself be off, so
+it allows MARGIN / n more; a distance counts only where the text is long enough
+for the histogram to mean something (MIN_CHARS, MIN_HISTOGRAM_WORDS), and none
+where the document's language has no such text at all.
+
+The texts are read twice: once for the words' document frequencies (combined
+before the shuffle, by language and word), once to be measured; counts, shares
+and the carried `row` are written to the shared checkpoint folder. Word lists and
+references are tables of a row per language (about 1 KB) that are joined to the
+documents; Spark knows their size. No shuffle of texts.
 
 Defined cases: a null text has no words (and fails the base rule); a null
 language is a language of its own; repeated documents are judged alike; an
@@ -23,7 +26,7 @@ empty table yields no rows; other columns travel in `row` and cannot clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import materialize, read
@@ -31,21 +34,16 @@ from tallyline.llm.common import materialize, read
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
 
-# Common function words of the four languages (public word lists, shortened).
-COMMON_WORDS = [
-    "the", "of", "and", "to", "in", "that",
-    "der", "die", "und", "den", "zu", "mit",
-    "le", "la", "et", "des", "une", "pour",
-    "el", "de", "y", "los", "en", "por",
-]
+MARKS = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
+COMMON_WORDS = 32        # of a language
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 200
 MIN_HISTOGRAM_WORDS = 100
-MIN_REFERENCE_DOCS = 20
+MARGIN = 0.5
 MAX_CHAR_DISTANCE = 0.14
-MAX_WORD_DISTANCE = 0.5
+MAX_WORD_DISTANCE = 0.4
 FEW_REPEATS = 64
 N_CHAR_BINS = 6
 
@@ -54,27 +52,47 @@ def _removed(text: Column, pattern: str) -> Column:
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
 
 
-def measure(docs: DataFrame, row: Column | None = None) -> DataFrame:
+def _lang(docs: DataFrame) -> Column:
+    return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+
+
+def _folded(plain: Column) -> Column:
+    return F.array_remove(F.split(F.lower(plain), SPACE), "")
+
+
+def common_words(docs: DataFrame, n: int = COMMON_WORDS) -> DataFrame:
+    """lang, words: the n words of each language that most of its documents hold, the most frequent first, ties by the word."""
+    words = F.array_distinct(_folded(F.regexp_replace(F.col("text").cast("string"), MARKS, "")))
+    seen = docs.select(_lang(docs).alias("lang"), F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("docs"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("docs").desc(), "word"))
+    top = seen.withColumn("place", place).where(F.col("place") <= n)
+    return top.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]).alias("words"))
+
+
+def measure(docs: DataFrame, row: Column | None = None, common: DataFrame | None = None) -> DataFrame:
     """row, lang, the counts of the base rules and both histograms (as shares, null where a text is too short)."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if row is None else row
-    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
-    base = docs.select(row.alias("row"), lang.alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    common = materialize(common_words(docs), "quality-words") if common is None else common
+    own = common.select(F.col("lang").alias("_lang"), F.col("words").alias("common"))
+    base = docs.select(row.alias("row"), _lang(docs).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    base = base.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn(
+        "common", F.coalesce("common", F.array().cast("array<string>"))).drop("_lang")
     t = F.col("text")
-    base = base.withColumns({
+    base = base.withColumn("plain", F.regexp_replace(t, MARKS, "")).withColumns({
         "words": F.array_remove(F.split(t, SPACE), ""),
         "n_symbols": _removed(t, SYMBOLS),
         "n_upper": _removed(t, r"\p{Lu}+"),
-        "n_marks": _removed(t, r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"),
+        "n_marks": (F.length(t) - F.length("plain")).cast("long"),
+        "folded": _folded(F.col("plain")),
         "n_chars": F.length(t).cast("long"),
         "n_wide": (F.octet_length(t) - F.length(t)).cast("long"),
         "lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-    }).drop("text")
-    common = F.array(*map(F.lit, COMMON_WORDS))
+    }).drop("text", "plain")
     n = F.size("words")
     base = base.withColumns({
         "n_words": n.cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
-        "hits": F.filter("words", lambda w: F.array_contains(common, w)),
+        "hits": F.filter("folded", lambda w: F.array_contains("common", w)),
         "tri": F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
             F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))),
     })
@@ -90,35 +108,35 @@ def measure(docs: DataFrame, row: Column | None = None) -> DataFrame:
     space = F.col("n_chars") - F.col("word_chars")
     rest = F.greatest(F.lit(0).cast("long"), F.col("word_chars") - F.col("n_upper") - F.col("n_marks") - F.col("n_wide"))
     base = base.select(
-        "row", "lang", "n_words", "word_chars", "n_symbols", "n_chars",
+        "row", "lang", "n_words", "word_chars", "n_symbols", "n_chars", F.size("folded").alias("n_folded"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("twice").isNull(), 0).otherwise(F.size(F.array_union(F.array_union(
             "twice", F.transform("twice", lambda i: i + 1)), F.transform("twice", lambda i: i + 2)))).cast("long").alias("n_repeat_words"),
         F.array(space, "n_symbols", "n_upper", F.col("n_marks") - F.col("n_symbols"), "n_wide", rest).alias("char_bins"),
-        F.concat(F.transform(common, lambda w: (F.size("hits") - F.size(F.array_remove(F.col("hits"), w))).cast("long")),
-                 F.array((F.col("n_words") - F.size("hits")).cast("long"))).alias("word_bins"),
+        F.concat(F.transform("common", lambda w: (F.size("hits") - F.size(F.array_remove(F.col("hits"), w))).cast("long")),
+                 F.array((F.size("folded") - F.size("hits")).cast("long"))).alias("word_bins"),
     )
     base = base.withColumn("char_sum", F.greatest(F.lit(1), sum((F.col("char_bins")[i] for i in range(1, N_CHAR_BINS)), F.col("char_bins")[0])))
     return base.select(
         "row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.when(F.col("n_chars") >= MIN_CHARS, F.transform("char_bins", lambda x: x / F.col("char_sum"))).alias("char_shares"),
-        F.when(F.col("n_words") >= MIN_HISTOGRAM_WORDS, F.transform("word_bins", lambda x: x / F.col("n_words"))).alias("word_shares"))
+        F.when((F.col("n_words") >= MIN_HISTOGRAM_WORDS) & (F.col("n_folded") > 0), F.transform(
+            "word_bins", lambda x: x / F.col("n_folded"))).alias("word_shares"))
 
 
-def references(measured: DataFrame, min_docs: int = MIN_REFERENCE_DOCS) -> DataFrame:
-    """One row: `refs`, the reference histograms (lang, c, w) of all languages with `min_docs` documents of both histograms.
+def references(measured: DataFrame) -> DataFrame:
+    """lang, n (documents with both histograms), and their reference histograms c and w.
 
     Character classes take the median share over a language's documents, so
     that its junk, if less than half, does not move them; words take the mean.
     """
     h = measured.where("char_shares is not null and word_shares is not null")
     made = [F.percentile_approx(F.col("char_shares")[i], 0.5, 1000).alias(f"c{i}") for i in range(N_CHAR_BINS)]
-    made += [F.avg(F.col("word_shares")[i]).alias(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]
+    made += [F.avg(F.get("word_shares", i)).alias(f"w{i}") for i in range(COMMON_WORDS + 1)]
     total = sum((F.col(f"c{i}") for i in range(1, N_CHAR_BINS)), F.col("c0"))
-    per = h.groupBy("lang").agg(F.count("*").alias("n"), *made).where((F.col("n") >= min_docs) & (total > 0))
-    return per.select("lang", F.array(*[F.col(f"c{i}") / total for i in range(N_CHAR_BINS)]).alias("c"),
-                      F.array(*[F.col(f"w{i}") for i in range(len(COMMON_WORDS) + 1)]).alias("w")).agg(
-        F.collect_list(F.struct("lang", "c", "w")).alias("refs"))
+    per = h.groupBy("lang").agg(F.count("*").alias("n"), *made).where(total > 0)
+    return per.select("lang", "n", F.array(*[F.col(f"c{i}") / total for i in range(N_CHAR_BINS)]).alias("c"),
+                      F.filter(F.array(*[F.col(f"w{i}") for i in range(COMMON_WORDS + 1)]), lambda x: x.isNotNull()).alias("w"))
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -126,24 +144,24 @@ def js_distance(p: Column, q: Column) -> Column:
     side = lambda a, b: F.aggregate(
         F.zip_with(a, b, lambda x, y: F.when(x > 0, x * F.log2(2 * x / (x + y))).otherwise(F.lit(0.0))),
         F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(F.lit(0.0), (side(p, q) + side(q, p)) / 2))
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), (side(p, q) + side(q, p)) / 2)))
 
 
-def judge(docs: DataFrame, row: Column | None = None, refs: DataFrame | None = None, max_char: float = MAX_CHAR_DISTANCE,
-          max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
+def judge(docs: DataFrame, row: Column | None = None, max_char: float = MAX_CHAR_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """row, base counts, both distances (null where a text is too short for one or its language has no reference) and the verdict `kept`."""
     measured = materialize(measure(docs, row), "quality")
-    refs = materialize(references(measured), "quality-references") if refs is None else refs
-
-    def nearest(shares: str, at: str) -> Column:
-        return F.when(F.exists("refs", lambda r: r["lang"].eqNullSafe(F.col("lang"))), F.array_min(F.transform(
-            "refs", lambda r: js_distance(F.col(shares), r[at]))))
-
-    h = measured.crossJoin(refs).select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                                        nearest("char_shares", "c").alias("char_distance"), nearest("word_shares", "w").alias("word_distance"))
+    refs = materialize(references(measured), "quality-references")
+    every = refs.agg(F.collect_list("c").alias("refs"))                       # a row; six numbers per language
+    own = refs.select(F.col("lang").alias("_lang"), F.col("n").alias("ref_docs"), F.col("w").alias("own_words"))
+    h = measured.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").crossJoin(every)
+    has = F.col("ref_docs").isNotNull()
+    nearest = F.array_min(F.transform("refs", lambda c: js_distance(F.col("char_shares"), c)))
+    h = h.select("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "ref_docs",
+                 F.when(has, nearest).alias("char_distance"), F.when(has, js_distance(F.col("word_shares"), F.col("own_words"))).alias("word_distance"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    bad = (F.coalesce("char_distance", F.lit(0.0)) > max_char) | (F.coalesce("word_distance", F.lit(0.0)) > max_word)
-    return h.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~bad)
+    spare = MARGIN / F.col("ref_docs")
+    bad = F.coalesce(F.col("char_distance") > max_char + spare, F.lit(False)) | F.coalesce(F.col("word_distance") > max_word + spare, F.lit(False))
+    return h.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & ~bad).drop("ref_docs")
 
 
 def op5_js_divergence(spark, sf_dir: str) -> DataFrame:

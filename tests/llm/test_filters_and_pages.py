@@ -37,20 +37,89 @@ def test_quality_counts_equal_brute_force(spark):
 
 
 def test_every_language_has_its_reference(spark):
-    """A 17th language is held against its own reference, one without a reference against none."""
+    """A 17th language is held against its own reference, as is one of three documents; one of short texts only against none."""
     r = random.Random(12)
     wide = lambda: " ".join("".join(r.choices("абвгдежзиклмнопрст", k=6)) for _ in range(150))
     rows = [(1000 * k + i, f"l{k:02d}", prose(r, 150)) for k in range(16) for i in range(21)]
     rows += [(50_000 + i, "ru", wide()) for i in range(20)] + [(60_000, "ru", "%$# " * 10 + prose(r, 20).upper() + wide()[:200])]
-    rows += [(70_000 + i, "uk", wide()) for i in range(3)]
+    rows += [(70_000 + i, "uk", wide()) for i in range(3)] + [(80_000 + i, "xx", prose(r, 60)) for i in range(3)]
     got = {x["row"]["doc_id"]: x for x in Q.judge(spark.createDataFrame(rows, "doc_id long, lang string, text string")).collect()}
     assert all(got[d]["kept"] and got[d]["char_distance"] < Q.MAX_CHAR_DISTANCE for d in range(50_000, 50_020))
-    assert all(got[d]["kept"] and got[d]["char_distance"] is None for d in range(70_000, 70_003))
+    assert all(got[d]["kept"] and got[d]["char_distance"] < 0.05 for d in range(70_000, 70_003))
+    assert all(got[d]["kept"] and got[d]["char_distance"] is None for d in range(80_000, 80_003))
     assert not got[60_000]["kept"]
     few = spark.createDataFrame([x for x in rows if x[0] % 1000 < 10], "doc_id long, lang string, text string")
     assert all(x["kept"] for x in Q.judge(few).collect() if x["row"]["doc_id"] != 60_000)
 
 
+def plain_judgement(docs):
+    """The method row by row: (lang, text) -> (char distance, word distance, kept)."""
+    import math
+    import re
+    from collections import Counter, defaultdict
+
+    words = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub(Q.MARKS, "", t or "").lower()) if w]
+    freq = defaultdict(Counter)
+    for lang, t in docs:
+        freq[lang].update(set(words(t)))
+    common = {lang: [w for w, _ in sorted(c.items(), key=lambda x: (-x[1], x[0].encode()))[:Q.COMMON_WORDS]] for lang, c in freq.items()}
+
+    def shares(lang, t):
+        t = t or ""
+        w = words(t)
+        n_words, word_chars = len(re.findall(r"[^\x20\x09-\x0D]+", t)), len(re.sub(r"[\x20\x09-\x0D]", "", t))
+        symbols, upper = len(re.findall(r"[#*$%&|<>]", t)), sum(c.isupper() for c in t)
+        marks, wide = len(t) - len(re.sub(Q.MARKS, "", t)), len(t.encode()) - len(t)
+        bins = [len(t) - word_chars, symbols, upper, marks - symbols, wide, max(0, word_chars - upper - marks - wide)]
+        chars = [x / max(1, sum(bins)) for x in bins] if len(t) >= Q.MIN_CHARS else None
+        count = Counter(w)
+        own = [count[x] for x in common.get(lang, [])]
+        return chars, [x / len(w) for x in [*own, len(w) - sum(own)]] if n_words >= Q.MIN_HISTOGRAM_WORDS and w else None
+
+    made = [shares(lang, t) for lang, t in docs]
+    refs = {}
+    for lang in common:
+        both = [m for (x, _), m in zip(docs, made, strict=True) if x == lang and m[0] and m[1]]
+        if both:
+            median = [sorted(b[0][i] for b in both)[-(-len(both) // 2) - 1] for i in range(6)]
+            refs[lang] = (len(both), [x / sum(median) for x in median], [sum(b[1][i] for b in both) / len(both) for i in range(len(both[0][1]))])
+
+    def js(p, q):
+        side = lambda a, b: sum(x * math.log2(2 * x / (x + y)) for x, y in zip(a, b, strict=True) if x > 0)
+        return math.sqrt(max(0.0, (side(p, q) + side(q, p)) / 2))
+
+    out = []
+    for (lang, t), (c, w) in zip(docs, made, strict=True):
+        own = refs.get(lang)
+        cd = min(js(c, r[1]) for r in refs.values()) if own and c else None
+        wd = js(w, own[2]) if own and w else None
+        spare = Q.MARGIN / own[0] if own else 0
+        bad = cd is not None and cd > Q.MAX_CHAR_DISTANCE + spare or wd is not None and wd > Q.MAX_WORD_DISTANCE + spare
+        out.append((cd, wd, not brute.quality(t)[-1] and not bad))
+    return out
+
+
+def test_distances_and_verdicts_equal_brute_force(spark):
+    r = random.Random(21)
+    other = lambda n: " ".join(r.choices(["il", "La", "casa,", "fiume", "(di)", "e", "non", "per", "con", "sasso", "été"], k=n))
+    docs = [("en", prose(r, r.randint(40, 260))) for _ in range(50)] + [("it", other(r.randint(90, 220))) for _ in range(15)]
+    docs += [("en", t) for _, t in quality_docs()] + [(None, prose(r, 150)), ("it", "Don't, STOP! " * 80), ("zz", "short"), ("", other(120)), ("en", None)]
+    docs += [("en", " ".join(w + "%%$" for w in prose(r, 150).split())), ("en", " ".join(f"junk{k}" for k in range(300)))]
+    df = spark.createDataFrame([(k, lang, t) for k, (lang, t) in enumerate(docs)], "doc_id long, lang string, text string")
+    got = {x["row"]["doc_id"]: x for x in Q.judge(df).collect()}
+    for k, (cd, wd, kept) in enumerate(plain_judgement(docs)):
+        assert got[k]["char_distance"] == (None if cd is None else pytest.approx(cd, abs=1e-9)), k
+        assert got[k]["word_distance"] == (None if wd is None else pytest.approx(wd, abs=1e-9)), k
+        assert got[k]["kept"] == kept, k
+    assert {x["kept"] for x in got.values()} == {True, False}
+
+
+def test_common_words_are_learnt(spark):
+    rows = [(k, "en", f"The river, the STONE own{k}") for k in range(5)] + [(9, None, "uno dos"), (10, "xx", None), (11, "xx", "--- !!!")]
+    got = {x["lang"]: x["words"] for x in Q.common_words(spark.createDataFrame(rows, "doc_id long, lang string, text string"), 3).collect()}
+    assert got == {"en": ["river", "stone", "the"], None: ["dos", "uno"]}
+
+
 def test_js_distance_bounds(spark):
     a = lambda *x: F.array(*map(F.lit, x))
     r = spark.range(1).select(Q.js_distance(a(1.0, 0.0), a(0.0, 1.0)), Q.js_distance(a(0.5, 0.5), a(0.5, 0.5)),
