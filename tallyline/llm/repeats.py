@@ -23,9 +23,12 @@ neighbours in suffix order:
 
 The sequential files are Spark's: segments reach a task sorted by gram, and are
 read once in runs of bounded size. Equal segments are counted before the
-shuffle, so a passage in a third of all documents is one text with a count. A
-gram with more than `hot` different segments is not gathered: they are cut into
-single windows, which are counted by value.
+shuffle, so a passage in a third of all documents is one text with a count. The
+collection of a gram with more than `hot` different segments is split by longer
+grams: a window holds the gram and LENGTH - GRAM bytes around it, so either half
+of these to its right or more than the other half to its left; its part of the
+segment goes to the collection of the gram so extended. That repeats, eight times
+at most, until no collection is larger; equal windows stay together throughout.
 
 Defined cases: a null or short text loses nothing; repeated documents lose all
 their bytes if they have `length`; a null or repeated doc_id is carried as it
@@ -105,23 +108,23 @@ def segments(buf: np.ndarray, off: np.ndarray, length: int) -> tuple[np.ndarray,
 
 
 def _anchors(texts: DataFrame, length: int) -> DataFrame:
-    """(gram, ta, place): a row per segment; place holds its start, its number of windows and its anchor offset."""
+    """(gram, ta, tb, place): a row per segment; place holds its start, its number of windows and its anchor offset."""
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, off in slices(batch):
                 row, start, n, at, h = segments(buf, off, length)
                 place = (start << 2 * N_BITS) | (n << N_BITS) | at
-                ta = np.asarray(part.column("ta"))[row]
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ta), pa.array(place)], ["gram", "ta", "place"])
+                ta, tb = np.asarray(part.column("ta"))[row], np.asarray(part.column("tb"))[row]
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ta), pa.array(tb), pa.array(place)], ["gram", "ta", "tb", "place"])
 
-    return map_arrow(texts.select("text", "ta"), tasks, "gram long, ta long, place long")
+    return map_arrow(texts.select("text", "ta", "tb"), tasks, "gram long, ta long, tb long, place long")
 
 
 def _strings(held: DataFrame, length: int) -> DataFrame:
-    """The bytes of every listed segment of the held texts, with its text and start."""
+    """The bytes of every listed segment of the held texts, with its text, start and the text's number of rows `m`."""
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ta, tb = batch.column("ta").to_pylist(), batch.column("tb").to_pylist()
+            ta, tb, m = (batch.column(c).to_pylist() for c in ("ta", "tb", "m"))
             for r in range(batch.num_rows):
                 raw = batch.column("text")[r].as_buffer().to_pybytes()
                 places = batch.column("places")[r].values
@@ -133,9 +136,10 @@ def _strings(held: DataFrame, length: int) -> DataFrame:
                         pa.array(gram[i:i + 8192]), pa.array(at[i:i + 8192].astype(np.int32)),
                         pa.array([raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)], pa.binary()),
                         pa.array([ta[r]] * len(s), pa.int64()), pa.array([tb[r]] * len(s), pa.int64()), pa.array(s),
-                    ], ["gram", "at", "bytes", "ta", "tb", "start"])
+                        pa.array([m[r]] * len(s), pa.int64()),
+                    ], ["gram", "at", "bytes", "ta", "tb", "start", "m"])
 
-    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long")
+    return map_arrow(held, tasks, "gram long, at int, bytes binary, ta long, tb long, start long, m long")
 
 
 def build(gram: np.ndarray, at: np.ndarray, texts: list[bytes], length: int) -> list[np.ndarray]:
@@ -210,15 +214,47 @@ def _collections(strings: DataFrame, length: int) -> DataFrame:
     return map_arrow(strings, tasks, FOUND)
 
 
-def _by_window(strings: DataFrame, length: int) -> DataFrame:
-    """The same for grams with very many different segments: single windows, counted by value."""
-    windows = strings.select("sa", "sb", "gram", "at", "n", F.posexplode(F.expr(
-        f"transform(sequence(1, octet_length(bytes) - {length - 1}), i -> substring(bytes, i, {length}))")).alias("i", "w"))
-    windows = windows.select("sa", "sb", "gram", "at", "n", "i", F.xxhash64("w").alias("wa"), F.xxhash64(F.lit(7), "w").alias("wb"))
-    twice = windows.groupBy("wa", "wb").agg(F.sum("n").alias("k")).where("k > 1").select("wa", "wb")
-    hits = windows.join(twice, ["wa", "wb"]).groupBy("sa", "sb", "gram", "at").agg(F.array_sort(F.collect_set("i")).alias("i"))
-    return hits.select("sa", "sb", "gram", "at", F.transform("i", lambda x: F.struct(
-        x.cast("long").alias("start"), (x + 1).cast("long").alias("stop"))).alias("windows"))
+OWN = ["osa", "osb", "ogram", "oat", "shift"]          # the segment that a part comes from, and where the part begins in it
+
+
+def _extended(parts: DataFrame, length: int) -> DataFrame:
+    """Parts of segments by grams extended to the right or to the left; `l` and `r` are the bytes beside the first gram that all share."""
+    free = length - GRAM - F.col("l") - F.col("r")
+    half = F.ceil(free / 2).cast("int")
+    # a window that begins d bytes before the gram; here d lies in l .. l + free
+    first, last = F.col("at") - (F.octet_length("bytes") - length), F.col("at")
+    edge = F.col("l") + free - half
+    right = F.struct(F.greatest(F.col("l"), first).alias("lo"), F.least(edge, last).alias("hi"), F.col("l").alias("l"), (F.col("r") + half).alias("r"),
+              F.xxhash64("gram", F.lit("r"), F.substring(F.col("bytes"), F.col("at") + GRAM + F.col("r") + 1, half)).alias("gram"))
+    left = F.struct(F.greatest(edge + 1, first).alias("lo"), F.least(F.col("l") + free, last).alias("hi"), (edge + 1).alias("l"), F.col("r").alias("r"),
+             F.xxhash64("gram", F.lit("l"), F.substring(F.col("bytes"), F.col("at") - edge, edge + 1 - F.col("l"))).alias("gram"))
+    two = parts.select("bytes", "n", "at", *OWN, F.explode(F.array(right, left)).alias("p")).where("p.lo <= p.hi")
+    begin = F.col("at") - F.col("p.hi")
+    part = F.substring(F.col("bytes"), begin + 1, F.col("p.hi") - F.col("p.lo") + length)
+    return two.select("p.gram", F.col("p.hi").alias("at"), "p.l", "p.r", part.alias("bytes"), "n", "osa", "osb", "ogram", "oat",
+                      (F.col("shift") + begin).alias("shift")).withColumns({"sa": F.xxhash64("bytes"), "sb": F.xxhash64(F.lit(7), "bytes")})
+
+
+def _split_up(many: DataFrame, length: int, hot: int) -> DataFrame:
+    """The repeated windows of the segments of crowded grams, from collections of longer grams."""
+    zero = F.lit(0).cast("int")
+    parts = many.select("gram", "at", zero.alias("l"), zero.alias("r"), "bytes", "n", F.col("sa").alias("osa"), F.col("sb").alias("osb"),
+                        F.col("gram").alias("ogram"), F.col("at").alias("oat"), zero.alias("shift"))
+    out = None
+    while True:
+        parts = materialize(_extended(parts, length), "repeat-parts")
+        sizes = parts.select("gram", "at", "sa", "sb").distinct().groupBy("gram").count()
+        crowd = materialize(sizes.where(F.col("count") > hot).select("gram"), "repeat-crowd")
+        few = parts.join(crowd, "gram", "left_anti")
+        counted = few.groupBy("gram", "at", "sa", "sb", "bytes").agg(F.sum("n").alias("n")).repartition("gram").sortWithinPartitions("gram")
+        found = _collections(counted.select("gram", "at", "bytes", "n", "sa", "sb"), length)
+        back = found.join(few.select("gram", "at", "sa", "sb", *OWN).distinct(), ["gram", "at", "sa", "sb"])
+        back = back.select(F.col("osa").alias("sa"), F.col("osb").alias("sb"), F.col("ogram").alias("gram"), F.col("oat").alias("at"),
+                           F.transform("windows", lambda w: F.struct((w["start"] + F.col("shift")).alias("start"), (w["stop"] + F.col("shift")).alias("stop"))).alias("windows"))
+        out = back if out is None else out.unionByName(back)
+        if crowd.isEmpty():
+            return out
+        parts = parts.join(crowd, "gram", "left_semi").drop("sa", "sb")
 
 
 def _cut(held: DataFrame, length: int) -> DataFrame:
@@ -252,28 +288,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Dat
 
     places = materialize(_anchors(keyed.where(F.octet_length("text") >= length), length), "repeat-places")
     often = places.groupBy("gram").agg(F.count("*").alias("uses")).where("uses > 1").select("gram")
-    listed = materialize(places.join(often, "gram").distinct().groupBy("ta").agg(
+    listed = materialize(places.join(often, "gram").distinct().groupBy("ta", "tb").agg(
         F.collect_list(F.struct("gram", "place")).alias("places")), "repeat-listed")
     discard(places)
 
-    held = materialize(keyed.select("ta", "tb", "text").join(listed, "ta"), "repeat-texts")
+    # a row per different text from here on, with its number of rows; copies are combined before the shuffle
+    one = keyed.where(F.octet_length("text") >= length).groupBy("ta", "tb").agg(F.first("text").alias("text"), F.count("*").alias("m"))
+    held = materialize(one.join(listed, ["ta", "tb"]), "repeat-texts")
     discard(listed)
 
     strings = _strings(held, length).withColumns({"sa": F.xxhash64("bytes"), "sb": F.xxhash64(F.lit(7), "bytes")})
-    counted = materialize(strings.groupBy("gram", "at", "sa", "sb", "bytes").agg(F.count("*").alias("n")), "repeat-strings")
+    counted = materialize(strings.groupBy("gram", "at", "sa", "sb", "bytes").agg(F.sum("m").alias("n")), "repeat-strings")
     # grams with very many different segments: few, as each has more than `hot`
     crowd = materialize(counted.groupBy("gram").count().where(F.col("count") > hot).select("gram"), "repeat-crowd")
     few = counted.join(crowd, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram").select("gram", "at", "bytes", "n", "sa", "sb")
-    many = counted.join(crowd, "gram", "left_semi")
-    found = materialize(_collections(few, length).unionByName(_by_window(many, length)), "repeat-found")
+    found = _collections(few, length)
+    if not crowd.isEmpty():
+        found = found.unionByName(_split_up(counted.join(crowd, "gram", "left_semi"), length, hot))
+    found = materialize(found, "repeat-found")
     discard(counted)
 
     spans = strings.select("ta", "tb", "start", "gram", "at", "sa", "sb").distinct().join(found, ["gram", "at", "sa", "sb"])
     spans = spans.select("ta", "tb", F.explode(F.transform("windows", lambda w: F.struct(
         (w["start"] + F.col("start")).alias("start"), (w["stop"] + F.col("start")).alias("stop")))).alias("w"))
     spans = materialize(spans.groupBy("ta", "tb").agg(F.collect_list("w").alias("windows")), "repeat-spans")
-    one = held.select("ta", "tb", "text").join(spans, ["ta", "tb"])
-    cut = materialize(_cut(one, length).dropDuplicates(["ta", "tb", "kept_sha256"]), "repeat-cut")
+    cut = materialize(_cut(held.select("ta", "tb", "text").join(spans, ["ta", "tb"]), length), "repeat-cut")
     discard(held)
 
     rows = keyed.select("doc_id", "ta", "tb", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))

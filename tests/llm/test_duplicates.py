@@ -157,6 +157,24 @@ def test_repeats_equal_brute_force(spark, hot):
     assert sorted(map(tuple, got), key=str) == sorted(brute.repeats(docs, R.LENGTH), key=str)
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_crowded_grams_are_split_until_each_collection_is_small(spark, hot):
+    """One line in very many different surroundings, partly shared to its left or right, at all distances from the ends."""
+    r = random.Random(31)
+    text = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    line = text(90)
+    lefts, rights = [text(160) for _ in range(4)], [text(160) for _ in range(4)]
+    docs = []
+    for k in range(70):
+        a, b = r.choice(lefts)[r.randrange(0, 150):], r.choice(rights)[:r.randrange(10, 160)]
+        docs.append(text(r.randrange(0, 60)) + (a if k % 3 else text(len(a))) + line + (b if k % 4 else text(len(b))) + text(r.randrange(0, 60)))
+    docs = list(enumerate([*docs, docs[3], docs[9] + docs[9]]))
+    got = R.remove_repeats(frame(spark, docs), hot=hot).drop("kept").collect()
+    want = brute.repeats(docs, R.LENGTH)
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert sum(w[2] > 0 for w in want) > 20
+
+
 def test_repeats_over_step_borders(spark, monkeypatch):
     r = random.Random(9)
     long = "".join(r.choice("abcdefgh") for _ in range(60_000))
