@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline import schema as S
-from tallyline.session import keep
+from tallyline.session import keep, remove
 from tallyline.functions import exact_sum, line_total, mean_of, revenue_class, round2
 
 
@@ -139,7 +139,8 @@ def running_totals(
     A distributed prefix scan, never one partition for all rows:
       1. range-partition on the full sort key (date, tie keys); a date with a
          third of all rows spans many partitions;
-      2. keep the rows with their partition number, so both passes see the same;
+      2. keep the rows with their partition number, so both passes see the same
+         (and before it, so that the sampling of the ranges reads a table);
       3. per-partition sums -> exclusive offsets (a row per partition, a table);
       4. a window inside each partition plus its offset.
     Money is summed as integer cents, so the result does not depend on order
@@ -154,8 +155,10 @@ def running_totals(
         conf = spark.conf.get("spark.sql.shuffle.partitions")
         partitions = int(conf) if str(conf).isdigit() else spark.sparkContext.defaultParallelism
     cents = F.coalesce(F.round(F.col("total_amount") * F.lit(100)).cast("long"), F.lit(0).cast("long"))
-    ordered, _ = keep(df.withColumn("_cents", cents).repartitionByRange(partitions, *order)
-                      .withColumn("_pid", F.spark_partition_id()), "running-rows")
+    # kept before the range partitioning, whose sampling would compute the rows a second time
+    rows, rows_path = keep(df.withColumn("_cents", cents), "running-input")
+    ordered, _ = keep(rows.repartitionByRange(partitions, *order).withColumn("_pid", F.spark_partition_id()), "running-rows")
+    remove(spark, rows_path)
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)     # over a row per partition
     sums = ordered.groupBy("_pid").agg(F.sum("_cents").alias("c"), F.count(F.lit(1)).alias("n"))
     offsets, _ = keep(sums.select("_pid", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("_c0"),

@@ -205,11 +205,16 @@ def plan_run(raw: DataFrame, cfg: RunConfig = RunConfig(), header_columns: DataF
     """Lazy after the file verdict unless ``materialize``; the caller decides
     what to write or count."""
     raw = normalize_nulls(raw)
+    kept = []
+    if materialize:
+        # the verdict, the rows, the archive and the quarantine all read the raw rows: they are computed once
+        raw, raw_path = keep(raw, "run-raw")
+        kept.append(raw_path)
     # The file verdict is a barrier, as in any file-by-file load: one small
     # aggregate (a row per file) is computed and kept before the rows flow.
     profile, path = keep(V.raw_profile(raw, header_columns), "run-profile")
     verdict, valid_raw = _valid(raw, profile)
-    run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg), [path])
+    run = _assemble(cfg, raw, profile, verdict, valid_raw, _classify(valid_raw, cfg), [*kept, path])
     run = run.materialize() if materialize else run
     if cfg.on_fail == "fail":
         data = [c for c in run.cleaned.columns if c != S.ROW_ORDINAL]
