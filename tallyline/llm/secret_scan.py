@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import read
+from tallyline.llm.common import materialize, read
 
 # Fixed patterns of the contract. Runs too short are left out: in `access` and
 # `hex` a run that fails can hide no other, so its length is part of the pattern.
@@ -96,13 +96,13 @@ def _long_enough(spans: Column, groups: Column, least: int) -> Column:
     return F.transform(F.filter(both, lambda x: F.length(x["v"]) >= least), lambda x: x["s"])
 
 
-def _with_found(t: DataFrame, patterns: dict[str, tuple[str, str, tuple[int, int] | None]]) -> DataFrame:
+def _with_found(t: DataFrame, patterns: dict[str, tuple[str, str, tuple[int, int] | None]], where: Column | None = None) -> DataFrame:
     """Adds, per name -> (pattern, kind, least), the array of all its matches from left to right: a span and its text each;
-    `least` (group, n) drops matches whose group is shorter."""
+    `least` (group, n) drops matches whose group is shorter. Texts that are not `where` have none."""
     text = F.col("text")
     arrays, spans = {}, {}
     for name, (pattern, kind, least) in patterns.items():
-        has = text.rlike(pattern)
+        has = text.rlike(pattern) if where is None else where & text.rlike(pattern)
         arrays[f"_{name}_m"] = F.coalesce(F.when(has, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))), _none("array<string>"))
         arrays[f"_{name}_g"] = F.coalesce(F.when(has, F.split(text, pattern, -1)), _none("array<string>"))
         if least:
@@ -151,13 +151,16 @@ def train(docs: DataFrame, min_sample: int = MIN_SAMPLE) -> list[float] | None:
     """log2 ratio of every transition, row by row over ALPHABET; None without samples of both kinds."""
     t = base_spans(docs, F.struct(F.lit(0).alias("_")))
     sample = f"{TOKEN}{{{min_sample},}}"
-    tokens = F.regexp_extract_all("text", F.lit(sample), F.lit(0))
     # only texts with base spans need positions: elsewhere every token is ordinary
-    found = _with_found(t.where(F.size("base") > 0), {"found": (sample, "markov", None)}).withColumn("inside", _in_base(F.col("found"), F.col("base")))
-    secret = found.select(F.explode(F.zip_with("found", "inside", lambda x, y: F.struct(x["text"].alias("token"), y.alias("secret")))).alias("x")).select(
-        "x.token", "x.secret")
-    ordinary = t.where(F.size("base") == 0).select(F.explode(tokens).alias("token"), F.lit(False).alias("secret"))
-    chars = secret.unionByName(ordinary).select("secret", F.split("token", "").alias("c"))
+    some = F.size("base") > 0
+    t = _with_found(t, {"found": (sample, "markov", None)}, some).withColumn("inside", _in_base(F.col("found"), F.col("base")))
+    token = lambda x, secret: F.struct(x.alias("token"), secret.alias("secret"))
+    t = t.select(F.when(some, F.zip_with("found", "inside", lambda x, y: token(x["text"], y))).otherwise(
+        F.transform(F.regexp_extract_all("text", F.lit(sample), F.lit(0)), lambda x: token(x, F.lit(False)))).alias("tokens"))
+    # written first: a filter on what is exploded would be pushed into the projections and repeat them
+    samples = materialize(t, "secret-samples")
+    labelled = samples.select(F.explode("tokens").alias("x")).select("x.token", "x.secret")
+    chars = labelled.select("secret", F.split("token", "").alias("c"))
     pairs = chars.select("secret", F.explode(F.zip_with(
         F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1), lambda a, b: F.concat(a, b))).alias("pair"))
     counts = {True: {}, False: {}}
