@@ -5,8 +5,10 @@ and digits) and compared in units: every line, every paragraph of several lines
 (between blank lines) and the whole text. Dice of two bigram multisets is 2 * common / (sum of sizes), so a
 unit of `a` bigrams reaches `threshold` t only with templates of a size from
 a * t / (2 - t) to a * (2 - t) / t: the templates are kept by size and all
-others are never looked at. Common bigrams are counted through an index from
-bigram to templates.
+others are never looked at. Of a template of n bigrams at least n * t / (2 - t) must
+occur, so one of its other-than-that-many-plus-one rarest does: only templates with
+such an anchor in the text are compared, and phrases common to many licences
+lead to none.
 
 A notice inside a longer line or text is found by word windows: every window of
 a size that the bounds allow, over the whole text. Cutting a window's ends down to
@@ -15,8 +17,12 @@ two such bigrams are tried, and only where enough of them lie near each other. T
 windows that do not overlap are the text's passages; none that reaches the
 threshold is left beside them.
 
-Each task works on its own rows; the templates are a parameter (the bundled ones
-are a few kilobytes) and travel with the code. No shuffle.
+Templates are the bundled notices and short texts, and the whole texts in a folder of
+licence files (a parameter; by default that of Debian and its kin, where it is
+there): each as a whole, compared with units, and each of its paragraphs that no
+other licence has, compared with units and windows. So a long licence is found
+whole, and any part of it inside other text. Each task works on its own rows;
+the templates travel with the code. No shuffle.
 
 Defined cases: a null text, and a unit of fewer than two words, match nothing;
 of equal scores the first template name wins; repeated documents are judged
@@ -26,6 +32,7 @@ clash.
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter, defaultdict
@@ -40,6 +47,9 @@ from tallyline.llm.common import map_arrow, read
 
 THRESHOLD = 0.8
 MAX_TEMPLATE_BYTES = 8 << 20
+FOLDER = "/usr/share/common-licenses"
+PARAGRAPH_WORDS = 20       # of a paragraph that is a template of its own
+WINDOW_BIGRAMS = 1000      # larger templates are whole texts: found as units, and by their paragraphs inside other text
 
 # Notices and texts of public licences as their stewards publish them.
 TEMPLATES = {
@@ -124,22 +134,47 @@ def bigrams(text: str) -> Counter:
     return Counter(zip(w, w[1:]))
 
 
+def folder_templates(folder: str = FOLDER) -> dict[str, list[str]]:
+    """License name -> its whole text and the paragraphs that only it has; nothing without such a folder."""
+    texts = {}
+    for file in sorted(os.listdir(folder)) if os.path.isdir(folder) else []:
+        path = os.path.join(folder, file)
+        if os.path.isfile(path) and not os.path.islink(path):
+            with open(path, encoding="utf-8", errors="replace") as f:
+                name = file.lower()
+                texts[f"{name}.0" if re.search(r"-\d$", name) else name] = f.read()
+    parts = {name: {" ".join(words(p)) for p in BLANK.split(t)} for name, t in texts.items()}
+    seen = Counter(p for own in parts.values() for p in own)
+    return {name: [t, *sorted(p for p in parts[name] if seen[p] == 1 and p.count(" ") >= PARAGRAPH_WORDS - 1)] for name, t in texts.items()}
+
+
+def all_templates(folder: str = FOLDER) -> dict[str, list[str]]:
+    more = folder_templates(folder)
+    return {name: TEMPLATES.get(name, []) + more.get(name, []) for name in sorted({*TEMPLATES, *more})}
+
+
 class Matcher:
-    """Templates by size, and the templates of each bigram."""
+    """Templates by size, and the templates that a bigram anchors."""
 
     def __init__(self, templates: dict[str, list[str]], threshold: float):
         made = [(name, bigrams(t)) for name in sorted(templates) for t in templates[name]]
         made = sorted(((sum(b.values()), name, b) for name, b in made if b), key=lambda x: x[:2])
         self.threshold, self.sizes, self.names = threshold, [x[0] for x in made], [x[1] for x in made]
-        self.index: dict[tuple, list[tuple[int, int]]] = defaultdict(list)
-        for k, (_, _, b) in enumerate(made):
-            for g, n in b.items():
-                self.index[g].append((k, n))
         self.low = threshold / (2 - threshold) * (1 - 1e-12)      # a size just at a bound is not lost by rounding
         self.counts = [b for _, _, b in made]
-        # common bigrams that a window needs at least: as many as the smallest size that can reach the threshold
+        # common bigrams that a unit or window needs at least: as many as the smallest size that can reach the threshold
         self.need = [max(1, ceil(n * self.low - 1e-9)) for n in self.sizes]
         self.least = min(self.need, default=1)
+        held_by = Counter(g for b in self.counts for g in b)
+        self.anchors: dict[tuple, list[int]] = defaultdict(list)
+        for k, b in enumerate(self.counts):
+            missing = self.sizes[k] - self.need[k]                 # as many occurrences may be absent
+            for g in sorted(b, key=lambda g: (held_by[g], g)):
+                self.anchors[g].append(k)
+                missing -= b[g]
+                if missing < 0:
+                    break
+        self.anchors = dict(self.anchors)
 
     def best(self, w: list[str]) -> tuple[str, float] | None:
         """The template of the highest Dice at or above the threshold."""
@@ -147,31 +182,40 @@ class Matcher:
         lo, hi = bisect_left(self.sizes, a * self.low), bisect_right(self.sizes, a / self.low)
         if a < 1 or lo == hi:
             return None
-        index, common = self.index, Counter()
-        held = [g for g in zip(w, w[1:]) if g in index]
-        if not held:
+        anchors = self.anchors
+        near = {k for g in zip(w, w[1:]) if g in anchors for k in anchors[g] if lo <= k < hi}
+        if not near:
             return None
-        for g, n in Counter(held).items():
-            for k, m in index[g]:
-                if lo <= k < hi:
-                    common[k] += min(n, m)
-        found = [(2 * c / (a + self.sizes[k]), k) for k, c in common.items() if 2 * c >= self.threshold * (a + self.sizes[k])]
+        own = Counter(zip(w, w[1:]))
+        found = []
+        for k in near:
+            template = self.counts[k]
+            common = sum(min(n, template[g]) for g, n in own.items() if g in template)
+            if 2 * common >= self.threshold * (a + self.sizes[k]):
+                found.append((2 * common / (a + self.sizes[k]), k))
         if not found:
             return None
         dice, k = min(found, key=lambda x: (-x[0], self.names[x[1]]))
         return self.names[k], dice
 
-
     def passages(self, w: list[str]) -> list[tuple[str, float, int, int]]:
         """(name, Dice, first word, last word) of the best windows that do not overlap, in order of place."""
         out = []
-        todo = [[(i, g) for i, g in enumerate(zip(w, w[1:])) if g in self.index]]
+        anchors, counts = self.anchors, self.counts
+        near = {k for g in zip(w, w[1:]) if g in anchors for k in anchors[g] if self.sizes[k] <= WINDOW_BIGRAMS}
+        if not near:
+            return out
+        index: dict[tuple, list[int]] = defaultdict(list)
+        for k in near:
+            for g in counts[k]:
+                index[g].append(k)
+        todo = [[(i, g) for i, g in enumerate(zip(w, w[1:])) if g in index]]
         while todo:
             part = todo.pop()
             if len(part) < self.least:
                 continue
             taken: list[tuple[int, int]] = []
-            for dice, _, a, name, b in sorted(self._windows(part)):
+            for dice, _, a, name, b in sorted(self._windows(part, index)):
                 at = bisect_left(taken, (a, b))
                 if (at == len(taken) or taken[at][0] > b) and (not at or taken[at - 1][1] < a):
                     taken.insert(at, (a, b))
@@ -190,11 +234,11 @@ class Matcher:
                 todo.append(part[i:])
         return sorted(out, key=lambda x: x[2])
 
-    def _windows(self, held: list[tuple[int, tuple]]) -> Iterator[tuple[float, int, int, str, int]]:
+    def _windows(self, held: list[tuple[int, tuple]], index: dict[tuple, list[int]]) -> Iterator[tuple[float, int, int, str, int]]:
         """The best window from each first bigram: (-Dice, -template size, first word, name, last word)."""
         by: dict[int, list[tuple[int, tuple]]] = defaultdict(list)
         for x in held:
-            for k, _ in self.index[x[1]]:
+            for k in index[x[1]]:
                 by[k].append(x)
         for k, at in by.items():
             size, need, counts = self.sizes[k], self.need[k], self.counts[k]
@@ -244,7 +288,7 @@ def units(text: str) -> Iterator[tuple[str, int, int]]:
 def scan_licenses(docs: DataFrame, row: Column | None = None, templates: dict[str, list[str]] | None = None,
                   threshold: float = THRESHOLD) -> DataFrame:
     """row, n_units, `matches`: license, Dice, unit kind and place of every unit that reaches the threshold, and `passages`: of every window."""
-    templates = TEMPLATES if templates is None else templates
+    templates = all_templates() if templates is None else templates
     if sum(len(t) for texts in templates.values() for t in texts) > MAX_TEMPLATE_BYTES:
         raise ValueError("templates are sent to every task; scan with parts of them in turn")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]) if row is None else row

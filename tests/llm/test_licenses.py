@@ -95,3 +95,49 @@ def test_empty_table(spark):
 
 def test_bigrams_are_a_multiset():
     assert L.bigrams("a b a b") == Counter({("a", "b"): 2, ("b", "a"): 1})
+
+
+def licence_folder(tmp_path):
+    r = random.Random(7)
+    p = lambda n: " ".join(r.choices([f"term{k}" for k in range(60)] + ["of", "the", "license", "you"], k=n))
+    shared = p(40)
+    long, other = [p(50) for _ in range(60)], [p(60) for _ in range(5)]
+    (tmp_path / "Long-3").write_text("\n\n".join([*long[:30], shared, *long[30:]]))
+    (tmp_path / "other").write_text("\n\n".join([shared, *other, "too short"]))
+    (tmp_path / "alias").symlink_to(tmp_path / "other")
+    return long, other, shared
+
+
+def test_whole_licences_from_a_folder(spark, tmp_path):
+    long, other, shared = licence_folder(tmp_path)
+    templates = L.folder_templates(str(tmp_path))
+    assert {k: len(v) for k, v in templates.items()} == {"long-3.0": 61, "other": 6}          # the shared paragraph belongs to none
+    whole = templates["long-3.0"][0]
+    rows = [(1, whole), (2, "int x; " * 200 + " ".join(long[7].split()) + " while true " * 100), (3, "some code\n\n" + other[2] + "\n\nmore code"), (4, shared),
+            (5, whole.replace("term3 ", "termX ")), (6, "of the license you " * 50), (7, None)]
+    got = {r["row"]["doc_id"]: r for r in L.scan_licenses(frame(spark, rows), templates=templates).collect()}
+    units = {d: {m["license"] for m in r["matches"]} for d, r in got.items()}
+    assert "long-3.0" in units[1] and any(m["unit"] == "text" and m["dice"] == 1.0 for m in got[1]["matches"])
+    assert [p["license"] for p in got[2]["passages"]] == ["long-3.0"] and "other" in units[3]
+    assert any(m["unit"] == "text" and m["license"] == "long-3.0" for m in got[5]["matches"])
+    assert all(not got[d]["matches"] and not got[d]["passages"] for d in (4, 6, 7))
+    assert L.folder_templates(str(tmp_path / "none")) == {} and L.all_templates(str(tmp_path / "none")) == dict(sorted(L.TEMPLATES.items()))
+
+
+def test_anchors_lose_no_template(tmp_path):
+    """Against all templates compared in full, for units cut from and mixed of them."""
+    licence_folder(tmp_path)
+    templates = {**L.folder_templates(str(tmp_path)), **L.TEMPLATES}
+    m = L.Matcher(templates, 0.8)
+    r = random.Random(3)
+    texts = [t for own in templates.values() for t in own if len(t) < 5000]
+    for _ in range(300):
+        w = r.choice(texts).split()
+        a = r.randrange(max(1, len(w) // 3))
+        w = w[a:] if r.random() < 0.5 else w[:len(w) - a]
+        w = L.words(" ".join("x" if r.random() < 0.08 else x for x in w))
+        own = Counter(zip(w, w[1:]))
+        n = sum(own.values())
+        want = max((2 * sum((own & b).values()) / (n + s) for b, s in zip(m.counts, m.sizes, strict=True)), default=0) if n else 0
+        got = m.best(w)
+        assert (got[1] if got else 0) == (pytest.approx(want) if want >= 0.8 else 0)
