@@ -2,7 +2,7 @@
 
 A document's characters are counted by class (white space, symbols, upper case,
 other ASCII punctuation, the bytes that non-ASCII adds, the rest), and its words,
-lower-cased and without ASCII punctuation, by the common words of its language
+lower-cased and cut at ASCII punctuation too, by the common words of its language
 (all other words are one more bin). The common words are learnt: the
 COMMON_WORDS words that most documents of a language hold. Both histograms are
 compared with references by the Jensen-Shannon distance (base 2, 0 to 1):
@@ -36,6 +36,8 @@ SYMBOLS = r"[#*$%&|<>]+"
 
 MARKS = r"[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
 
+GAPS = r"[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+"
+
 COMMON_WORDS = 32        # of a language
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -56,14 +58,16 @@ def _lang(docs: DataFrame) -> Column:
     return F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
 
 
-def _folded(plain: Column) -> Column:
-    return F.array_remove(F.split(F.lower(plain), SPACE), "")
+def _folded(text: Column) -> Column:
+    return F.array_remove(F.split(F.lower(text), GAPS), "")
 
 
 def common_words(docs: DataFrame, n: int = COMMON_WORDS) -> DataFrame:
     """lang, words: the n words of each language that most of its documents hold, the most frequent first, ties by the word."""
-    words = F.array_distinct(_folded(F.regexp_replace(F.col("text").cast("string"), MARKS, "")))
-    seen = docs.select(_lang(docs).alias("lang"), F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("docs"))
+    words = F.array_distinct(_folded(F.col("text").cast("string")))
+    # the outer form: for the plain one Spark would filter by the array's size first, and make every array twice
+    seen = docs.select(_lang(docs).alias("lang"), F.explode_outer(words).alias("word")).where("word is not null").groupBy("lang", "word").agg(
+        F.count("*").alias("docs"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("docs").desc(), "word"))
     top = seen.withColumn("place", place).where(F.col("place") <= n)
     return top.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "word"))), lambda x: x["word"]).alias("words"))
@@ -78,24 +82,25 @@ def measure(docs: DataFrame, row: Column | None = None, common: DataFrame | None
     base = base.join(own, F.col("lang").eqNullSafe(F.col("_lang")), "left").withColumn(
         "common", F.coalesce("common", F.array().cast("array<string>"))).drop("_lang")
     t = F.col("text")
-    base = base.withColumn("plain", F.regexp_replace(t, MARKS, "")).withColumns({
+    base = base.withColumns({
         "words": F.array_remove(F.split(t, SPACE), ""),
         "n_symbols": _removed(t, SYMBOLS),
         "n_upper": _removed(t, r"\p{Lu}+"),
-        "n_marks": (F.length(t) - F.length("plain")).cast("long"),
-        "folded": _folded(F.col("plain")),
+        "n_marks": _removed(t, MARKS),
         "n_chars": F.length(t).cast("long"),
         "n_wide": (F.octet_length(t) - F.length(t)).cast("long"),
         "lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-    }).drop("text", "plain")
+    })
     n = F.size("words")
     base = base.withColumns({
         "n_words": n.cast("long"),
         "word_chars": F.length(F.array_join("words", "")).cast("long"),
-        "hits": F.filter("folded", lambda w: F.array_contains("common", w)),
+        # of each folded word its place among the common ones, 0 for all others
+        "at": F.when(n >= MIN_HISTOGRAM_WORDS, F.transform(_folded(t), lambda w: F.array_position("common", w))),
         "tri": F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(
             F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))),
-    })
+    }).drop("text")
+    base = base.withColumn("hits", F.array_remove("at", F.lit(0).cast("long")))
     base = base.withColumn("in_order", F.sort_array("tri"))
     base = base.withColumn("repeated", F.array_distinct(F.filter("in_order", lambda x, k: F.get("in_order", k + 1) == x)))
     # where the windows found twice begin: few such windows are looked up, many come from sorting windows with their places
@@ -108,19 +113,19 @@ def measure(docs: DataFrame, row: Column | None = None, common: DataFrame | None
     space = F.col("n_chars") - F.col("word_chars")
     rest = F.greatest(F.lit(0).cast("long"), F.col("word_chars") - F.col("n_upper") - F.col("n_marks") - F.col("n_wide"))
     base = base.select(
-        "row", "lang", "n_words", "word_chars", "n_symbols", "n_chars", F.size("folded").alias("n_folded"),
+        "row", "lang", "n_words", "word_chars", "n_symbols", "n_chars", F.size("at").alias("n_folded"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(F.col("twice").isNull(), 0).otherwise(F.size(F.array_union(F.array_union(
             "twice", F.transform("twice", lambda i: i + 1)), F.transform("twice", lambda i: i + 2)))).cast("long").alias("n_repeat_words"),
         F.array(space, "n_symbols", "n_upper", F.col("n_marks") - F.col("n_symbols"), "n_wide", rest).alias("char_bins"),
-        F.concat(F.transform("common", lambda w: (F.size("hits") - F.size(F.array_remove(F.col("hits"), w))).cast("long")),
-                 F.array((F.size("folded") - F.size("hits")).cast("long"))).alias("word_bins"),
+        F.concat(F.transform("common", lambda w, i: (F.size("hits") - F.size(F.array_remove(F.col("hits"), (i + 1).cast("long")))).cast("long")),
+                 F.array((F.size("at") - F.size("hits")).cast("long"))).alias("word_bins"),
     )
     base = base.withColumn("char_sum", F.greatest(F.lit(1), sum((F.col("char_bins")[i] for i in range(1, N_CHAR_BINS)), F.col("char_bins")[0])))
     return base.select(
         "row", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         F.when(F.col("n_chars") >= MIN_CHARS, F.transform("char_bins", lambda x: x / F.col("char_sum"))).alias("char_shares"),
-        F.when((F.col("n_words") >= MIN_HISTOGRAM_WORDS) & (F.col("n_folded") > 0), F.transform(
+        F.when(F.col("n_folded") > 0, F.transform(
             "word_bins", lambda x: x / F.col("n_folded"))).alias("word_shares"))
 
 

@@ -58,7 +58,7 @@ def plain_judgement(docs):
     import re
     from collections import Counter, defaultdict
 
-    words = lambda t: [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub(Q.MARKS, "", t or "").lower()) if w]
+    words = lambda t: [w for w in re.split(Q.GAPS, (t or "").lower()) if w]
     freq = defaultdict(Counter)
     for lang, t in docs:
         freq[lang].update(set(words(t)))
