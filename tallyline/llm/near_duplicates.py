@@ -213,18 +213,27 @@ def _unsettled(shared: DataFrame, comp: DataFrame) -> DataFrame:
     return materialize(at.join(mixed, "key").select("doc_id", "component").distinct(), "near-unsettled")
 
 
-def _lists(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    lists = batch.column("shingles")
-    off = np.asarray(lists.offsets)
-    return np.asarray(lists.flatten()).view(np.uint64), off - off[0]
+PART = 1 << 18          # shingles that a step sorts at once
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows in runs of at most PART shingles (one larger set stands alone), their shingles, and where each row's begin."""
+    for batch in batches:
+        off = np.asarray(batch.column("shingles").offsets)
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(off, off[i] + PART, side="right")) - 1)
+            part = batch.slice(i, j - i)
+            yield part, np.asarray(part.column("shingles").flatten()).view(np.uint64), off[i:j + 1] - off[i]
+            i = j
 
 
 def shingle_counts(sets: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
     """How often shingles occur over `sets`, in 2^bits counters by the shingle's highest bits."""
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.zeros(1 << bits, np.int64)
-        for batch in batches:
-            n += np.bincount((_lists(batch)[0] >> np.uint64(64 - bits)).astype(np.int64), minlength=len(n))
+        for _, values, _ in _lists(batches):
+            n += np.bincount((values >> np.uint64(64 - bits)).astype(np.int32), minlength=len(n))
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at])], ["i", "n"])
 
@@ -239,16 +248,15 @@ def _prefixes(sets: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
     bits = np.uint64(64 - (len(counts).bit_length() - 1))
 
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, off = _lists(batch)
+        for part, values, off in _lists(batches):
             size = np.diff(off)
             row = np.repeat(np.arange(len(size)), size)
-            order = np.lexsort((values, counts[(values >> bits).astype(np.int64)], row))
+            order = np.lexsort((values, counts[(values >> bits).astype(np.int32)], row))
             pos = np.arange(len(values)) - off[row]
             keep = pos < (size - -(-percent * size // 100) + 1)[row]
             order, row, pos = order[keep], row[keep], pos[keep]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[order].view(np.int64)), batch.column("doc_id").take(pa.array(row)), batch.column("component").take(pa.array(row)),
+                [pa.array(values[order].view(np.int64)), part.column("doc_id").take(pa.array(row)), part.column("component").take(pa.array(row)),
                  pa.array(size[row].astype(np.int64)), pa.array(pos)], ["shingle", "doc_id", "component", "n", "pos"])
 
     return map_arrow(sets, tasks, "shingle long, doc_id long, component long, n long, pos long")
