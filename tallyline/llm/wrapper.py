@@ -389,8 +389,9 @@ ROWS = 256
 
 
 def references(pages: DataFrame) -> DataFrame:
-    """(host, reference): one page of every host, the one with the least hash of its html."""
-    least = pages.groupBy("host").agg(F.min("h").alias("h"))
+    """(host, reference): one page of every host, the one with the least hash of its html. The least hashes are written
+    first, so that Spark knows their size and need not shuffle the pages to meet them."""
+    least = materialize(pages.groupBy("host").agg(F.min("h").alias("h")), "page-least")
     return pages.join(least, ["host", "h"]).groupBy("host").agg(F.min("html").alias("reference"))
 
 
