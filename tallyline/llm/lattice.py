@@ -45,8 +45,9 @@ from tallyline.llm.common import discard, map_arrow, materialize, read
 
 CHUNK_BYTES = 16 << 20
 CHUNK_BITS = 33
-HALVES = 16          # bytes of a piece that two 64-bit halves hold; longer ones are few and looked up by a rolling hash
+HALVES = 16          # bytes of a piece that two 64-bit halves hold; longer ones are few and looked up where one's first half occurs
 WORDS_A_TASK = 100_000
+WORDS_AT_ONCE = 50_000
 WIDE = 40
 ROUNDS = 2
 GROUP = 4096
@@ -60,17 +61,6 @@ def ranks_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
-STEP = 0x9E3779B97F4A7C15
-
-
-def rolling(piece: bytes) -> int:
-    """Polynomial hash modulo 2^64: those of substrings come from those of prefixes."""
-    h = 0
-    for c in piece:
-        h = (h * STEP + c + 1) & 0xFFFFFFFFFFFFFFFF
-    return h
-
-
 class Vocabulary:
     """All pieces, those of at most HALVES bytes with a lookup by two 64-bit halves; all single bytes are among them."""
 
@@ -80,7 +70,8 @@ class Vocabulary:
         self.number = {p: k for k, p in enumerate(self.pieces)}
         self.short = np.array([k for k, p in enumerate(self.pieces) if len(p) <= HALVES])
         self.lengths = sorted({len(p) for p in self.pieces})
-        self.long = {n: np.sort(np.array([rolling(p) for p in self.pieces if len(p) == n], np.uint64)) for n in self.lengths if n > HALVES}
+        self.long = [n for n in self.lengths if n > HALVES]
+        self.heads = np.unique(np.frombuffer(b"".join(p[:8] for p in self.pieces if len(p) > HALVES), "<u8"))
         short = [self.pieces[k] for k in self.short]
         self.bits = (len(short) - 1).bit_length() + 3
         self.slots = np.full(1 << self.bits, -1, np.int32)
@@ -146,20 +137,12 @@ def _edges(v: Vocabulary, words: list[bytes], length: int):
             ids = v.find(lo, hi, np.full(len(words), k + 1, np.uint64))
             if (ids >= 0).any():
                 out[i, j] = ids
-    if length > HALVES:
-        prefix = np.zeros((length + 1, len(words)), np.uint64)
-        for j in range(length):
-            prefix[j + 1] = prefix[j] * np.uint64(STEP) + raw[:, j] + np.uint64(1)
-        for n, hashes in v.long.items():
-            power = np.uint64(pow(STEP, n, 1 << 64))
-            for i in range(length - n + 1):
-                h = prefix[i + n] - prefix[i] * power
-                maybe = np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h)
-                ids = np.full(len(words), -1, np.int32)
-                for k in maybe.tolist():
-                    ids[k] = v.number.get(words[k][i:i + n], -1)
-                if (ids >= 0).any():
-                    out[i, i + n] = ids
+        if length - i > HALVES:
+            head = v.heads[np.minimum(np.searchsorted(v.heads, lo), len(v.heads) - 1)] == lo
+            for k in np.flatnonzero(head).tolist():
+                for n in v.long:
+                    if n <= length - i and (number := v.number.get(words[k][i:i + n])) is not None:
+                        out.setdefault((i, i + n), np.full(len(words), -1, np.int32))[k] = number
     return out
 
 
@@ -305,6 +288,19 @@ def _spread(words: DataFrame, n: int) -> DataFrame:
     return words.repartition(max(1, -(-n // WORDS_A_TASK)), "word")
 
 
+def _many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Batches joined to WORDS_AT_ONCE rows or more: numpy then works on many words of one length in a step."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= WORDS_AT_ONCE:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
 def _expected(words: DataFrame, path: str, scores: np.ndarray) -> np.ndarray:
     """Expected number of uses of each piece over the distinct training words; one partial row set per task."""
     shared = words.sparkSession.sparkContext.broadcast(scores.astype(np.float32))     # counts need no more
@@ -312,7 +308,7 @@ def _expected(words: DataFrame, path: str, scores: np.ndarray) -> np.ndarray:
     def tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
         counts = np.zeros(len(v.pieces))
-        for b in batches:
+        for b in _many(batches):
             w = [b" " + x for x in b.column("word").to_pylist()]
             path_scores(v, shared.value, w, counts, np.ones(len(w)))
         at = np.flatnonzero(counts)
@@ -356,12 +352,12 @@ def score_documents(docs: DataFrame, path: str | None = None, rounds: int = ROUN
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        for b in batches:
+        for b in _many(batches):
             c = np.asarray(b.column("c"), dtype=float)
             spelt = path_scores(v, shared.value, [b" " + x for x in b.column("word").to_pylist()])
             with np.errstate(divide="ignore"):
                 p = (np.logaddexp(np.log(c), math.log(mu) + spelt) - math.log(total + mu + 1.0)) / math.log(10)
-            yield pa.RecordBatch.from_arrays([b.column("word"), b.column("c"), pa.array(p)], ["word", "c", "p"])
+            yield from b.append_column("p", pa.array(p)).to_batches()
 
     weighed = materialize(map_arrow(_spread(counts, counts.count()), weigh, "word binary, c long, p double"), "lattice-weighed")
     discard(counts)
