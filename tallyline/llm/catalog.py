@@ -38,6 +38,4 @@ QUERIES = {
 # The other operators are beyond SQL: tests compare them with brute force. The
 # pages of the test tables declare no links, so rules alone decide there; links
 # and components are tested apart.
-ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op11_time_forward": MANIFEST_SQL,
-                              "op12_skip_chain": op12_skip_chain,
-    "op13_lookup_centroids": CENTROID_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_redirect_components": URL_SQL, "op11_time_forward": MANIFEST_SQL, "op13_lookup_centroids": CENTROID_SQL}

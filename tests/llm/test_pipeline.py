@@ -56,3 +56,10 @@ def test_pipeline_of_an_empty_table(spark):
         docs = materialize(stage(spark, docs, SF), f"empty-{i}")
     assert docs.count() == 0
     release(spark)
+
+
+def test_the_catalog_names_queries_and_sql():
+    from tallyline.llm.catalog import ORACLE_SQL, QUERIES
+
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14)) and all(map(callable, QUERIES.values()))
+    assert set(ORACLE_SQL) < set(QUERIES) and all(isinstance(x, str) for x in ORACLE_SQL.values())
