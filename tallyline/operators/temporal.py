@@ -10,9 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.session import keep
+
 FINE_BINS = 4096
 MAX_RANGES = 256
 OPEN_END = (1 << 62) - 1        # microseconds; the end of a period without one
+FEW_PERIODS = 64
+ONE_BIN = 63                    # a level whose only bins are the times before 1970 and those from then on
 
 
 def micros(t: Column) -> Column:
@@ -111,13 +115,17 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
 def interval_join(points: DataFrame, periods: DataFrame, on: list[str], at: str, start: str, end: str) -> DataFrame:
     """Pairs of a point and a period of its key with start <= at < end, each pair once.
 
-    A period of d microseconds belongs to the level k with 2^(k-1) < d <= 2^k and
-    lies in one or two bins of that width, so a long period is two rows at most,
-    and at least a quarter of its bins' width is its own. A point is in one bin
-    of each level that occurs (at most 63). Points meet periods by key, level and
-    bin: a hash join whose candidates are in proportion to its matches; a hot bin
-    is split by adaptive execution.
-
+    A key with few periods (at most FEW_PERIODS) has one bin: its points meet all of
+    them. Else a period of d microseconds belongs to the level k with
+    2^(k-1) < d <= 2^k and lies in one or two bins of that width, so a long period
+    is two rows at most, and at least a quarter of its bins' width is its own; a
+    point of such a key is in one bin of each level that the key has (at most 63).
+    So a point of other keys is shuffled once, and candidates are bounded or in
+    proportion to the matches; a hot bin is split by adaptive execution. Both
+    sides are shuffled, whatever their size: a period becomes several rows and
+    the smallest file may unpack to more than a driver holds.
+
+    The periods are written under the checkpoint folder first (`session.discard_kept`).
     A period without an end has none; without a start, or ending before it
     begins, it holds nothing; nor do rows without a key or time match. Columns of
     the two sides must differ but for `on`.
@@ -127,12 +135,19 @@ def interval_join(points: DataFrame, periods: DataFrame, on: list[str], at: str,
     held = keyed(periods).withColumns({"_s": micros(F.col(start)), "_e": F.coalesce(micros(F.col(end)), F.lit(OPEN_END))}).where(s < e)
     # bits of (length - 1): the least k with 2^k >= length
     level = F.when(e - s == 1, F.lit(0)).otherwise(F.length(F.bin(e - s - 1))).cast("int")
-    held = held.withColumn("_level", level).withColumns({
-        "_first": F.expr("shiftright(_s, _level)"), "_last": F.expr("shiftright(_e - 1, _level)")})
-    levels = sorted(r[0] for r in held.select("_level").distinct().collect())          # at most 63
-    binned = held.withColumn("_bin", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+    held, _ = keep(held.withColumn("_level", level), "periods")
+    crowded, _ = keep(held.groupBy(*on).count().where(F.col("count") > FEW_PERIODS).select(*on), "crowded-keys")
+    some = not crowded.isEmpty()
+    marks = crowded.withColumn("_own", F.lit(True))
+    own = held.join(marks.hint("merge") if some else marks, on, "left")
+    placed = own.withColumn("_level", F.when(F.col("_own"), F.col("_level")).otherwise(F.lit(ONE_BIN))).drop("_own")
+    binned = (placed.withColumns({"_first": F.expr("shiftright(_s, _level)"), "_last": F.expr("shiftright(_e - 1, _level)")})
+              .withColumn("_bin", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last"))
     moment = keyed(points).withColumn("_p", micros(F.col(at))).where("_p is not null")
-    binned_points = (moment.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
-                     .withColumn("_bin", F.expr("shiftright(_p, _level)")))
-    pairs = binned_points.join(binned, [*on, "_level", "_bin"]).where((F.col("_p") >= s) & (F.col("_p") < e))
+    leveled = moment.withColumn("_level", F.lit(ONE_BIN))
+    if some:
+        levels = held.join(crowded.hint("merge"), on, "left_semi").where(F.col("_level") < ONE_BIN).select(*on, "_level").distinct()
+        leveled = leveled.unionByName(moment.join(levels.hint("merge"), on))
+    binned_points = leveled.withColumn("_bin", F.expr("shiftright(_p, _level)"))
+    pairs = binned_points.join(binned.hint("merge"), [*on, "_level", "_bin"]).where((F.col("_p") >= s) & (F.col("_p") < e))
     return pairs.drop("_level", "_bin", "_p", "_s", "_e")

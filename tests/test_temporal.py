@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallyline.operators.temporal import FINE_BINS, TimeRanges, asof_join, interval_join
+from tallyline.operators.temporal import FEW_PERIODS, FINE_BINS, TimeRanges, asof_join, interval_join
 
 T0 = datetime(2024, 1, 1)
 LEFT = "k string, g int, at timestamp, id long, _row string"
@@ -129,3 +129,11 @@ def test_interval_plan_is_a_hash_join_and_long_periods_stay_few_rows(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert "_level" in plan and "_bin" in plan
     assert joined.count() == 51
+
+
+def test_neither_side_of_an_interval_join_is_broadcast(spark):
+    points = spark.createDataFrame([("a", T0 + timedelta(days=d), d) for d in range(5)], POINTS)
+    periods = spark.createDataFrame([("a", T0, T0 + timedelta(days=2), 1)], PERIODS)
+    assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) > 0
+    plan = interval_join(points, periods, ["k"], "at", "begins", "ends")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [k" in plan and "_bin" in plan.split("SortMergeJoin [k")[1].splitlines()[0], plan
