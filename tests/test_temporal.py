@@ -137,3 +137,21 @@ def test_neither_side_of_an_interval_join_is_broadcast(spark):
     assert int(spark.conf.get("spark.sql.autoBroadcastJoinThreshold").removesuffix("b")) > 0
     plan = interval_join(points, periods, ["k"], "at", "begins", "ends")._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [k" in plan and "_bin" in plan.split("SortMergeJoin [k")[1].splitlines()[0], plan
+
+
+def test_points_of_keys_with_few_periods_are_one_row(spark):
+    # periods of many lengths, one without an end, some from before 1970; one key has one period too many
+    old = datetime(1969, 12, 31, 23)
+    points, periods = [], []
+    for k, n in (("few", FEW_PERIODS), ("crowded", FEW_PERIODS + 1)):
+        points += [(k, t + timedelta(minutes=7 * i), i) for t in (T0, old) for i in range(60)]
+        starts = [(T0, old)[i % 2] + timedelta(minutes=11 * (i // 2)) for i in range(n)]
+        periods += [(k, b, None if i == 4 else b + timedelta(microseconds=3 ** (i % 22)), i) for i, b in enumerate(starts)]
+    got = interval_join(spark.createDataFrame(points, POINTS), spark.createDataFrame(periods, PERIODS), ["k"], "at", "begins", "ends")
+    want = [(k, a, i, p) for k, a, i in points for pk, b, e, p in periods if k == pk and b <= a and (e is None or a < e)]
+    key = lambda x: (x[0], x[1], x[2], x[3])
+    assert sorted(((r["k"], r["at"], r["id"], r["pid"]) for r in got.collect()), key=key) == sorted(want, key=key)
+    few = interval_join(spark.createDataFrame(points, POINTS).where("k = 'few'"), spark.createDataFrame(periods, PERIODS).where("k = 'few'"),
+                        ["k"], "at", "begins", "ends")
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and plan.count("Generate") == 1, plan          # only the periods become several rows
