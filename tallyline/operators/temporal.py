@@ -7,13 +7,14 @@ work follows the rows and the matches.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.session import keep
 
 FINE_BINS = 4096
 MAX_RANGES = 256
+KEY_SLOTS = 4096
 OPEN_END = (1 << 62) - 1        # microseconds; the end of a period without one
 FEW_PERIODS = 64
 ONE_BIN = 63                    # a level whose only bins are the times before 1970 and those from then on
@@ -24,6 +25,14 @@ def micros(t: Column) -> Column:
     return F.unix_micros(t.cast("timestamp"))
 
 
+def range_count(spark: SparkSession, ranges: int | None = None) -> int:
+    """`ranges`, or else the number of shuffle partitions, MAX_RANGES at most."""
+    if ranges is not None:
+        return ranges
+    conf = str(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_RANGES, int(conf) if conf.isdigit() else MAX_RANGES)
+
+
 class TimeRanges:
     """Ranges of time that hold about equally many rows, found from a histogram of at most FINE_BINS counts.
 
@@ -35,10 +44,7 @@ class TimeRanges:
     @staticmethod
     def of(times: DataFrame, column: str, ranges: int | None = None) -> "TimeRanges":
         """From the column of microseconds; `ranges` defaults to the number of shuffle partitions."""
-        spark = times.sparkSession
-        if ranges is None:
-            conf = str(spark.conf.get("spark.sql.shuffle.partitions"))
-            ranges = min(MAX_RANGES, int(conf) if conf.isdigit() else MAX_RANGES)
+        ranges = range_count(times.sparkSession, ranges)
         lo, hi = times.agg(F.min(column), F.max(column)).first()
         if lo is None:
             return TimeRanges(0, 1, [0])
@@ -69,10 +75,12 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
     not later (with `strict`: that is earlier) than `left_time`; null where there is none.
 
     An ordered merge: rows of both sides stand in one order per key and range of
-    time, and each left row takes the last right row before it. What is in force
-    when a range begins is carried in as one row per key and range, found from
-    one summary row per key and range. So a key with most rows spreads over all
-    ranges, and no pairs of rows are formed.
+    time, and each left row takes the last right row before it. Only keys that may
+    hold much of a task's rows have more than one range (the rows of both sides are
+    counted by the key's hash, in KEY_SLOTS counts). What is in force when a range of theirs
+    begins is carried in as one row per key and range, found from one summary row
+    per key and range. So a key with most rows spreads over all ranges, other keys
+    are one range without a summary, and no pairs of rows are formed.
 
     Right rows of one key and time: the greatest of `tie` (then of `take`) counts;
     they are combined before the shuffle. Right rows without a key or time match
@@ -87,24 +95,35 @@ def asof_join(left: DataFrame, right: DataFrame, on: list[str], left_time: str,
     value = F.struct(F.col(right_time).alias("_at"), *[F.col(f"_best.t{len(tie) + i}").alias(f"v{i}") for i in range(len(take))])
     latest = right.where(usable).groupBy(*on, right_time).agg(best).select(*on, micros(F.col(right_time)).alias("_t"), value.alias("_value"))
 
+    # a key's hash, of the type that holds both sides' keys
+    keys = left.select(*on).unionByName(right.where(usable).select(*on))
+    slot = F.pmod(F.xxhash64(*[F.col(k).cast(keys.schema[k].dataType) for k in on]), F.lit(KEY_SLOTS)).cast("int")
+    counts = {r["s"]: r["count"] for r in keys.groupBy(slot.alias("s")).count().collect()}           # at most KEY_SLOTS rows
     lrows = left.select(*on, micros(F.col(left_time)).alias("_t"), F.struct(*left.columns).alias("_row"))
-    span = TimeRanges.of(lrows.select("_t"), "_t", ranges)
-    part = span.column(F.col("_t")).alias("_range")
+    many = range_count(left.sparkSession, ranges)
+    hot = sorted(k for k, n in counts.items() if 2 * n * many > sum(counts.values()))                # over half a task's share
+    part, crowded = F.lit(0).alias("_range"), slot.isin(hot)
+    if hot:
+        span = TimeRanges.of(lrows.where(crowded).select("_t"), "_t", many)
+        part = F.when(crowded, span.column(F.col("_t"))).otherwise(F.lit(0)).alias("_range")
     kinds = {f.name: f.dataType for f in latest.schema}
     lrows = lrows.select(*on, part, "_t", F.lit(0 if strict else 2).alias("_side"), "_row", F.lit(None).cast(kinds["_value"]).alias("_value"))
     no_row = F.lit(None).cast(lrows.schema["_row"].dataType).alias("_row")
     rrows = latest.select(*on, part, "_t", F.lit(1).alias("_side"), no_row, "_value")
 
-    # what holds when a range begins: of the summaries of a key's ranges, the last value before it
-    summary = (rrows.select(*on, "_range", "_t", "_value").unionByName(lrows.select(*on, "_range", F.lit(None).cast("long").alias("_t"), "_value"))
-               .groupBy(*on, "_range").agg(F.max_by("_value", "_t").alias("_last")))
-    before = Window.partitionBy(*on).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(*on, "_range", F.last("_last", ignorenulls=True).over(before).alias("_value")).where("_value is not null").select(
-        *on, "_range", F.lit(-(1 << 63)).cast("long").alias("_t"), F.lit(1).alias("_side"), no_row, "_value")
+    merged = lrows.unionByName(rrows)
+    if hot:
+        # what holds when a range begins: of the summaries of a key's ranges, the last value before it
+        summary = (rrows.where(crowded).select(*on, "_range", "_t", "_value")
+                   .unionByName(lrows.where(crowded).select(*on, "_range", F.lit(None).cast("long").alias("_t"), "_value"))
+                   .groupBy(*on, "_range").agg(F.max_by("_value", "_t").alias("_last")))
+        before = Window.partitionBy(*on).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+        carried = summary.select(*on, "_range", F.last("_last", ignorenulls=True).over(before).alias("_value")).where("_value is not null").select(
+            *on, "_range", F.lit(-(1 << 63)).cast("long").alias("_t"), F.lit(1).alias("_side"), no_row, "_value")
+        merged = merged.unionByName(carried)
 
     here = Window.partitionBy(*on, "_range").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    merged = (lrows.unionByName(rrows).unionByName(carried)
-              .withColumn("_found", F.last("_value", ignorenulls=True).over(here)).where("_row is not null"))
+    merged = merged.withColumn("_found", F.last("_value", ignorenulls=True).over(here)).where("_row is not null")
     known = F.col("_t").isNotNull()
     if tolerance_us is not None:
         known = known & (F.col("_t") - micros(F.col("_found._at")) <= tolerance_us)

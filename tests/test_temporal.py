@@ -155,3 +155,29 @@ def test_points_of_keys_with_few_periods_are_one_row(spark):
                         ["k"], "at", "begins", "ends")
     plan = few._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("Generate") == 1, plan          # only the periods become several rows
+
+
+def test_asof_summarises_only_crowded_keys(spark):
+    # 2,000 keys of a few rows, of another integer type on the right; later also one key with a third of all rows
+    r = random.Random(3)
+    left = [(k, T0 + timedelta(minutes=r.randrange(999)), 10 * k + i) for k in range(2000) for i in range(3)]
+    right = [(k, T0 + timedelta(minutes=r.randrange(999)), f"{k}-{i}") for k in range(0, 2000, 2) for i in range(3)]
+    hot = [(7777, T0 + timedelta(minutes=i % 999), 10**6 + i) for i in range(3000)]
+    hot_right = [(7777, T0 + timedelta(minutes=10 * i), f"h-{i}") for i in range(40)]
+
+    def joined(lrows, rrows):
+        return asof_join(spark.createDataFrame(lrows, "k int, at timestamp, id long"), spark.createDataFrame(rrows, "k long, since timestamp, v string"),
+                         ["k"], "at", "since", ["v"], ranges=20)
+
+    def plain(lrows, rrows):
+        of = {}
+        for k, since, v in rrows:
+            of.setdefault(k, []).append((since, v))
+        return sorted((i, max(((s, v) for s, v in of.get(k, []) if s <= at), default=(None, None))[1]) for k, at, i in lrows)
+
+    few, both = joined(left, right), joined(left + hot, right + hot_right)
+    key = lambda x: (x[0], x[1] or "")
+    assert sorted(((r["id"], r["v"]) for r in few.collect()), key=key) == sorted(plain(left, right), key=key)
+    assert sorted(((r["id"], r["v"]) for r in both.collect()), key=key) == sorted(plain(left + hot, right + hot_right), key=key)
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in (few, both)]
+    assert "max_by" not in plans[0] and "max_by" in plans[1]
