@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyline.session import keep
+
 
 def cube_sets(dims: list[str]) -> list[list[str]]:
     return [list(c) for n in range(len(dims), -1, -1) for c in combinations(dims, n)]
@@ -39,8 +41,11 @@ def moving_totals(daily: DataFrame, keys: list[str], day: str, sums: list[str],
     `daily` holds at most one row per key and day. The calendar is cut into blocks of `block_days` days;
     a window runs inside a key's block, and the last days - 1 days of a block are copied into the
     next as its halo. So one long series is many tasks, and no task needs more than block_days + days
-    rows of a key. Rows without a day are left out; null keys are a key."""
-    seen = daily.where(F.col(day).isNotNull()).select(*keys, F.to_date(day).alias(day), *sums)
+    rows of a key. Rows without a day are left out; null keys are a key.
+
+    `daily` is read several times, so it is computed once and written under the checkpoint folder
+    (`session.discard_kept`)."""
+    seen, _ = keep(daily.where(F.col(day).isNotNull()).select(*keys, F.to_date(day).alias(day), *sums), "daily")
     first, last = seen.agg(F.min(day), F.max(day)).first()
     if first is None:
         return seen.select(*keys, day, *sums, *[F.col(c).alias(f"moving_{c}") for c in sums])

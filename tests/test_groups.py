@@ -113,3 +113,10 @@ def test_moving_totals_of_one_series_use_many_tasks(spark):
 def test_queries_match_sql(spark, name):
     r = compare(spark, name, SF_SMALL, duck(SF_SMALL))
     assert r["match"], r
+
+
+def test_moving_totals_compute_the_daily_rows_once(spark):
+    rows = spark.range(40).select(F.expr("date_add(date'2024-01-01', cast(id as int))").alias("day"), (F.col("id") * 7919).alias("n"))
+    out = moving_totals(rows, [], "day", ["n"])
+    assert "7919" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["day"].toordinal() - 738886: r["moving_n"] for r in out.collect()} == {d: 7919 * sum(range(max(0, d - 6), d + 1)) for d in range(40)}
