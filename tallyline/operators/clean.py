@@ -85,6 +85,12 @@ def dedupe_first(df: DataFrame, keys: list[str] | None = None, order: str = S.RO
     )
 
 
+def _within(c: Column, most: int) -> Column:
+    """0 < value <= most; false for null. The value is named once, as a filter that is pushed below the projection
+    parses the text anew wherever it is named, in one method too long for the JVM to compile."""
+    return F.coalesce(F.exists(F.array(c), lambda x: (x > 0) & (x <= F.lit(most))), F.lit(False))
+
+
 def classify(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Add parsed columns and ``reject_reason`` (invalid_date, invalid_numeric or null)."""
     out = df
@@ -94,18 +100,14 @@ def classify(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
         ts = parse_timestamp(F.col("order_date"), cfg.date_formats)
         out = out.withColumn(ORDER_TS, ts)
         t = F.col(ORDER_TS)
-        bad_date = t.isNull() | (t > cfg.newest()) | (
-            t < timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
-        )
+        oldest = timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
+        bad_date = ~F.coalesce(t.between(oldest, cfg.newest()), F.lit(False))
     if cfg.validate_numerics:
         out = out.withColumn(QTY_NUM, parse_number(F.col("quantity"))).withColumn(
             PRICE_NUM, parse_number(F.col("unit_price"))
         )
         q, p = F.col(QTY_NUM), F.col(PRICE_NUM)
-        bad_num = (
-            q.isNull() | p.isNull() | (q <= 0) | (p <= 0)
-            | (q > F.lit(S.MAX_QUANTITY)) | (p > F.lit(S.MAX_UNIT_PRICE))
-        )
+        bad_num = ~(_within(q, S.MAX_QUANTITY) & _within(p, S.MAX_UNIT_PRICE))
     reason = F.when(bad_date, F.lit("invalid_date")).when(bad_num, F.lit("invalid_numeric"))
     return out.withColumn(REJECT_REASON, reason.cast("string"))
 
