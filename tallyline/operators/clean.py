@@ -100,14 +100,18 @@ def classify(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
         ts = parse_timestamp(F.col("order_date"), cfg.date_formats)
         out = out.withColumn(ORDER_TS, ts)
         t = F.col(ORDER_TS)
-        oldest = timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
-        bad_date = ~F.coalesce(t.between(oldest, cfg.newest()), F.lit(False))
+        bad_date = t.isNull() | (t > cfg.newest()) | (
+            t < timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
+        )
     if cfg.validate_numerics:
         out = out.withColumn(QTY_NUM, parse_number(F.col("quantity"))).withColumn(
             PRICE_NUM, parse_number(F.col("unit_price"))
         )
         q, p = F.col(QTY_NUM), F.col(PRICE_NUM)
-        bad_num = ~(_within(q, S.MAX_QUANTITY) & _within(p, S.MAX_UNIT_PRICE))
+        bad_num = (
+            q.isNull() | p.isNull() | (q <= 0) | (p <= 0)
+            | (q > F.lit(S.MAX_QUANTITY)) | (p > F.lit(S.MAX_UNIT_PRICE))
+        )
     reason = F.when(bad_date, F.lit("invalid_date")).when(bad_num, F.lit("invalid_numeric"))
     return out.withColumn(REJECT_REASON, reason.cast("string"))
 
@@ -202,13 +206,12 @@ def parse_dates(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
 
 def parse_numerics(df: DataFrame) -> DataFrame:
     """Numeric step alone: parse quantity and price, range filters, integer quantity."""
-    c = CleanConfig(False, False, False, True, False)
-    k = classify(df, c)
+    parsed = df.withColumns({QTY_NUM: parse_number(F.col("quantity")), PRICE_NUM: parse_number(F.col("unit_price"))})
     return (
-        k.where(F.col(REJECT_REASON).isNull())
+        parsed.where(_within(F.col(QTY_NUM), S.MAX_QUANTITY) & _within(F.col(PRICE_NUM), S.MAX_UNIT_PRICE))
         .withColumn("quantity", F.col(QTY_NUM).try_cast("int"))
         .withColumn("unit_price", F.col(PRICE_NUM))
-        .drop(QTY_NUM, PRICE_NUM, REJECT_REASON)
+        .drop(QTY_NUM, PRICE_NUM)
     )
 
 

@@ -9,6 +9,7 @@ from tallyline.operators.clean import (
     dedupe_first,
     normalize_countries,
     remove_empty_rows,
+    parse_numerics,
 )
 
 AS_OF = datetime(2025, 1, 1)
@@ -141,3 +142,12 @@ def test_rows_in_equal_kept_plus_rejected_plus_duplicates(spark):
         assert kept.get(f, 0) + rej.get(f, 0) + s.duplicates_removed == n
         assert rej.get(f, 0) == s.invalid_dates_removed + s.invalid_numerics_removed
     assert out.rejected.where(F.col("reject_reason").isNull()).count() == 0
+
+
+def test_numeric_step_parses_each_text_once_in_its_filter(spark):
+    pairs = [("1", "0.01"), ("10000", "100000"), ("10001", "5"), ("5", "100000.01"), ("0", "5"), ("5", "0"), ("-1", "5"), ("x", "5"), ("5", ""),
+             (" 7 ", "2.5"), ("1e999", "5"), ("0.5", "5"), (None, "5"), ("5", None)]
+    out = parse_numerics(raw_frame(spark, [(f"ORD-{i:06d}", "a", q, p, "2024-01-15", "CUST-20417", "Canada") for i, (q, p) in enumerate(pairs)]))
+    assert sorted((r["quantity"], r["unit_price"]) for r in out.collect()) == [(0, 5.0), (1, 0.01), (7, 2.5), (10000, 100000.0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 4, plan
