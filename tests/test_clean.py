@@ -8,8 +8,8 @@ from tallyline.operators.clean import (
     clean_column_names,
     dedupe_first,
     normalize_countries,
-    remove_empty_rows,
     parse_numerics,
+    remove_empty_rows,
 )
 
 AS_OF = datetime(2025, 1, 1)
