@@ -13,6 +13,8 @@ NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 # Date formats tried in order; 'M' and 'd' take one or two digits.
 DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d HH:mm:ss", "yyyy-M-d'T'HH:mm:ss")
+PLAIN_DATE = r"^[1-9][0-9]{3}-[0-9]{1,2}-[0-9]{1,2}$"      # what a cast reads as "yyyy-M-d" does
+YEAR_FIRST = r"^[+-]?[0-9]"
 
 
 def parse_number(c: Column) -> Column:
@@ -26,9 +28,17 @@ def is_number_text(c: Column) -> Column:
 
 
 def parse_timestamp(c: Column, formats: tuple[str, ...] = DATE_FORMATS) -> Column:
-    """Text to timestamp trying each format; null when none fits."""
+    """Text to timestamp trying each format; null when none fits.
+
+    A format that does not fit costs an exception inside Spark, so plain dates are cast and texts that cannot
+    begin with a year are not tried, where the formats allow that."""
     t = strip_ws(c.cast("string"))
-    return F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
+    tried = F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])
+    if all(f.startswith("yyyy") for f in formats):
+        tried = F.when(F.regexp_like(t, F.lit(YEAR_FIRST)), tried)
+    if formats[0] != "yyyy-M-d":
+        return tried
+    return F.coalesce(F.when(F.regexp_like(t, F.lit(PLAIN_DATE)), t.try_cast("timestamp")), tried)
 
 
 def timestamp_literal(value) -> Column:

@@ -29,8 +29,11 @@ _RUN_WS = "[" + "".join(
 
 
 def strip_ws(c: Column) -> Column:
-    """Remove leading and trailing whitespace (a character-set trim, no regex)."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Remove leading and trailing whitespace (a character-set trim, no regex).
+
+    The trim looks up both ends in the whole set and is slow; a text that begins and ends with visible ASCII stays as it is."""
+    seen = lambda end: (end >= F.lit("!")) & (end < F.lit("\x7f"))  # noqa: E731  (compares bytes: the first decides)
+    return F.when(seen(c) & seen(F.substring(c, -1, 1)), c).otherwise(F.btrim(c, F.lit(WHITESPACE)))
 
 
 def squeeze_ws(c: Column) -> Column:
@@ -41,7 +44,8 @@ def squeeze_ws(c: Column) -> Column:
 def null_tokens(c: Column, tokens: list[str] | None = None) -> Column:
     """Null for text a CSV reader treats as missing ('', NA, NULL, nan, ...)."""
     toks = S.NULL_TOKENS if tokens is None else tokens
-    return F.when(c.isin(toks), F.lit(None).cast("string")).otherwise(c)
+    longest = max((len(t.encode()) for t in toks), default=0)       # a longer text needs no lookup
+    return F.when((F.octet_length(c) <= longest) & c.isin(toks), F.lit(None).cast("string")).otherwise(c)
 
 
 def is_missing(c: Column) -> Column:

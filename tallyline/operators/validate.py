@@ -468,16 +468,22 @@ def coerce(df: DataFrame, stage: str = "cleaned", date_formats: tuple[str, ...]
     convert becomes null and is named in ``_uncoerced`` (array of columns)."""
     if stage == "raw":
         return df.withColumn("_uncoerced", F.array().cast("array<string>"))
+    kinds = dict(df.dtypes)
     number = lambda c: parse_number(F.col(c))
-    whole = lambda c: F.when(number(c) == F.floor(number(c)), number(c)).try_cast("int")
-    stamp = lambda c: (F.col(c) if dict(df.dtypes)[c].startswith(("timestamp", "date")) else
+    stamp = lambda c: (F.col(c) if kinds[c].startswith(("timestamp", "date")) else
                        F.coalesce(parse_timestamp(F.col(c), date_formats), F.col(c).try_cast("timestamp")))
-    text = lambda c: F.col(c).cast("string")
-    kinds = {"quantity": whole, "unit_price": number, "total_amount": number, "order_date": stamp, "ingestion_timestamp": stamp,
-             "order_id": text, "product_name": text, "customer_id": text, "country": text}
-    made = {c: kind(c) for c, kind in kinds.items() if c in df.columns}
-    lost = F.filter(F.array(*[F.when(F.col(c).isNotNull() & v.isNull(), F.lit(c)) for c, v in made.items()]), lambda x: x.isNotNull())
-    return df.select(*[made[c].alias(c) if c in made else F.col(c) for c in df.columns], lost.alias("_uncoerced"))
+    parsers = {"quantity": number, "unit_price": number, "total_amount": number, "order_date": stamp, "ingestion_timestamp": stamp}
+    # a projection of its own: the ones above it name a parsed value several times
+    parsed = df.withColumns({f"_as_{c}": parse(c) for c, parse in parsers.items() if c in df.columns})
+    made = {c: F.col(f"_as_{c}") for c in parsers if c in df.columns}
+    if "quantity" in made:
+        q = made["quantity"]
+        made["quantity"] = F.when(q == F.floor(q), q).try_cast("int")
+    # a text column always converts; an array filter keeps this projection out of the method of the rows' join, which
+    # would get too long for the JVM to compile
+    lost = F.filter(F.array(*[F.when(F.col(c).isNotNull() & v.isNull(), F.lit(c)) for c, v in made.items()]).cast("array<string>"), lambda x: x.isNotNull())
+    made |= {c: F.col(c).cast("string") for c in ("order_id", "product_name", "customer_id", "country") if c in df.columns}
+    return parsed.select(*[made[c].alias(c) if c in made else F.col(c) for c in df.columns], lost.alias("_uncoerced"))
 
 
 def validate_dataframe(df: DataFrame, stage: str = "cleaned", lazy: bool = True):
