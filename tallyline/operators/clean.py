@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import date, datetime
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,22 +67,26 @@ def _scope(df: DataFrame) -> list[str]:
     return [S.SOURCE_FILE] if S.SOURCE_FILE in df.columns else []
 
 
-def dedupe_first(df: DataFrame, keys: list[str] | None = None, order: str = S.ROW_ORDINAL) -> DataFrame:
+def dedupe_first(df: DataFrame, keys: list[str] | None = None, order: str = S.ROW_ORDINAL,
+                 made: Callable[[Callable[[str], Column]], dict[str, Column]] = lambda of: {}) -> DataFrame:
     """Keep the first row (smallest ``order``) of each key group; nulls form one group.
 
     Adds ``dup_count`` = rows dropped from the group. Scope defaults to one
-    source file plus ``order_id``.
+    source file plus ``order_id``. ``made`` gives further columns from the kept
+    row's: part of the aggregate, they are computed once, while a filter above a
+    projection is pushed below it and computes them again.
     """
     keys = keys if keys is not None else _scope(df) + ["order_id"]
     rest = [c for c in df.columns if c not in keys and c != order]
     # min of a struct led by the (unique) ordinal = the first row; cheaper to
     # aggregate than min_by over a struct value.
     first = F.min(F.struct(F.col(order), *[F.col(c) for c in rest]))
+    new = made(lambda c: F.col(c) if c in keys else first[c])
     return (
         df.groupBy(*keys)
-        .agg(first.alias("_first"), (F.count(F.lit(1)) - 1).alias(DUP_COUNT))
-        .select(*keys, "_first.*", DUP_COUNT)
-        .select(*df.columns, DUP_COUNT)
+        .agg(first.alias("_first"), (F.count(F.lit(1)) - 1).alias(DUP_COUNT), *[c.alias(name) for name, c in new.items()])
+        .select(*keys, "_first.*", DUP_COUNT, *new)
+        .select(*df.columns, DUP_COUNT, *new)
     )
 
 
@@ -91,22 +96,31 @@ def _within(c: Column, most: int) -> Column:
     return F.coalesce(F.exists(F.array(c), lambda x: (x > 0) & (x <= F.lit(most))), F.lit(False))
 
 
+def _parsed(cfg: CleanConfig, of: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """The parsed columns that the rules of ``cfg`` read, from the raw texts."""
+    made = {}
+    if cfg.validate_dates:
+        made[ORDER_TS] = parse_timestamp(of("order_date"), cfg.date_formats)
+    if cfg.validate_numerics:
+        made |= {QTY_NUM: parse_number(of("quantity")), PRICE_NUM: parse_number(of("unit_price"))}
+    return made
+
+
 def classify(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame:
     """Add parsed columns and ``reject_reason`` (invalid_date, invalid_numeric or null)."""
-    out = df
+    return _tagged(df.withColumns(_parsed(cfg)), cfg)
+
+
+def _tagged(out: DataFrame, cfg: CleanConfig) -> DataFrame:
+    """Parsed rows with ``reject_reason``."""
     bad_date = F.lit(False)
     bad_num = F.lit(False)
     if cfg.validate_dates:
-        ts = parse_timestamp(F.col("order_date"), cfg.date_formats)
-        out = out.withColumn(ORDER_TS, ts)
         t = F.col(ORDER_TS)
         bad_date = t.isNull() | (t > cfg.newest()) | (
             t < timestamp_literal(datetime.combine(cfg.min_date, datetime.min.time()))
         )
     if cfg.validate_numerics:
-        out = out.withColumn(QTY_NUM, parse_number(F.col("quantity"))).withColumn(
-            PRICE_NUM, parse_number(F.col("unit_price"))
-        )
         q, p = F.col(QTY_NUM), F.col(PRICE_NUM)
         bad_num = (
             q.isNull() | p.isNull() | (q <= 0) | (p <= 0)
@@ -148,8 +162,9 @@ class CleanOutput:
 
 
 def clean(df: DataFrame, cfg: CleanConfig = CleanConfig()) -> CleanOutput:
-    base = dedupe_first(df) if cfg.remove_duplicates else df.withColumn(DUP_COUNT, F.lit(0).cast("long"))
-    return from_classified(classify(base, cfg), df, cfg)
+    if cfg.remove_duplicates:
+        return from_classified(_tagged(dedupe_first(df, made=lambda of: _parsed(cfg, of)), cfg), df, cfg)
+    return from_classified(classify(df.withColumn(DUP_COUNT, F.lit(0).cast("long")), cfg), df, cfg)
 
 
 def from_classified(classified: DataFrame, raw: DataFrame, cfg: CleanConfig = CleanConfig()) -> CleanOutput:

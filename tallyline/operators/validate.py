@@ -8,6 +8,8 @@ schema) give a per-file verdict that is joined back, never a driver loop.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -119,24 +121,22 @@ def _dup_members(df: DataFrame, keys: list[str], col: str) -> DataFrame:
 
 
 def rule_counts(df: DataFrame, stage: str = "cleaned", keep_zero: bool = True) -> DataFrame:
-    """Failures per (file, column, check) from one aggregate pass (plus one
-    grouped count for uniqueness). Columns: [source_file,] column, check, failures."""
+    """Failures per (file, column, check). Columns: [source_file,] column, check, failures.
+
+    The rows are read once: counts per key first, from which the repeated keys and all other failures of a file are summed.
+    Rows deduplicated by file and key need no further shuffle for that."""
     df, keys, scoped = _scoped(df)
     rules = [r for r in STAGES[stage] if r.column == "*" or r.column in df.columns]
-    flat = [r for r in rules if not r.group]
-    agg = df.groupBy(*keys).agg(
-        *[F.count_if(r.fails()).alias(f"_r{i}") for i, r in enumerate(flat)]
-    )
-    pairs = ", ".join(f"'{r.column}', '{r.check}', `_r{i}`" for i, r in enumerate(flat))
-    long = agg.select(*keys, F.expr(f"stack({len(flat)}, {pairs}) as (`column`, `check`, failures)"))
+    names = {r: f"_r{i}" for i, r in enumerate(rules)}
+    unique = sorted({r.column for r in rules if r.group})           # the order id, or nothing
+    by_key = df.groupBy(*keys, *unique).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(r.fails()).alias(names[r]) for r in rules if not r.group])
+    named = reduce(and_, [F.col(c).isNotNull() for c in keys + unique])
+    repeated = F.sum(F.when((F.col("_n") > 1) & named, F.col("_n")).otherwise(0))
+    agg = by_key.groupBy(*keys).agg(*[(repeated if r.group else F.sum(names[r])).alias(names[r]) for r in rules])
+    pairs = ", ".join(f"'{r.column}', '{r.check}', `{names[r]}`" for r in rules)
+    long = agg.select(*keys, F.expr(f"stack({len(rules)}, {pairs}) as (`column`, `check`, failures)"))
     long = long.select(*keys, "column", "check", F.col("failures").cast("long").alias("failures"))
-    for r in rules:
-        if r.group:
-            dup = _dup_members(df, keys, r.column)
-            per = agg.select(*keys).join(dup, keys, "left")
-            per = per.select(*keys, F.lit(r.column).alias("column"), F.lit(r.check).alias("check"),
-                             F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"))
-            long = long.unionByName(per)
     if scoped:
         long = long.drop(SCOPE)
     return long if keep_zero else long.where(F.col("failures") > 0)

@@ -72,10 +72,12 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     ck = F.col("o_custkey")
+    # six digits at least, as %06d; a formatter per row is slow
+    digits = F.when(ok >= 100_000, ok.cast("string")).when(ok >= 0, F.lpad(ok.cast("string"), 6, "0")).otherwise(F.format_string("%06d", ok))
     order_id = (
         F.when(((sk % FILES) == NULL_ID_FILE) & ((ok % NULL_ID_EVERY) == 0), F.lit(None).cast("string"))
         .when((ok % BAD_ID_EVERY) == 0, F.concat(F.lit("BAD-"), ok.cast("string")))
-        .otherwise(F.concat(F.lit("ORD-"), F.format_string("%06d", ok)))
+        .otherwise(F.concat(F.lit("ORD-"), digits))
     )
     product = (
         F.when((pk % EMPTY_PRODUCT_EVERY) == 0, F.lit(""))
