@@ -37,8 +37,11 @@ def strip_ws(c: Column) -> Column:
 
 
 def squeeze_ws(c: Column) -> Column:
-    """Strip, then turn every run of whitespace into one space."""
-    return F.regexp_replace(strip_ws(c), _RUN_WS, " ")
+    """Strip, then turn every run of whitespace into one space.
+
+    A text of ASCII without controls and without two spaces in a row needs only the strip."""
+    runs = F.contains(c, F.lit("  ")) | F.regexp_like(c, F.lit("[^ -~]"))
+    return F.when(runs, F.regexp_replace(strip_ws(c), _RUN_WS, " ")).otherwise(strip_ws(c))
 
 
 def null_tokens(c: Column, tokens: list[str] | None = None) -> Column:

@@ -145,9 +145,10 @@ def finish(classified: DataFrame, cfg: CleanConfig = CleanConfig()) -> DataFrame
         if cfg.normalize_strings:
             v = normalize_text(v)
         cols[c] = v
-    cols["country"] = normalize_country(cols["country"])
     drop = {ORDER_TS, QTY_NUM, PRICE_NUM, REJECT_REASON, DUP_COUNT}
-    return classified.select(*[cols[c].alias(c) for c in classified.columns if c not in drop])
+    typed = classified.select(*[cols[c].alias(c) for c in classified.columns if c not in drop])
+    # a projection of its own: the country's rule names its text several times
+    return typed.withColumn("country", normalize_country(F.col("country"))) if "country" in typed.columns else typed
 
 
 @dataclass

@@ -5,7 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from sales_rows import SF_SMALL
-from tallyline.functions import null_tokens, parse_timestamp, strip_ws
+from tallyline.functions import null_tokens, parse_timestamp, squeeze_ws, strip_ws
 from tallyline.functions.parse import DATE_FORMATS
 from tallyline.functions.text import WHITESPACE
 from tallyline.operators import validate as V
@@ -88,3 +88,16 @@ def test_coercion_names_what_it_loses(spark):
         [], ["quantity", "unit_price", "order_date"], [], [], ["quantity", "unit_price", "order_date"]]
     assert (got["D"].quantity, got["D"].unit_price, got["D"].order_date) == (3, 100.0, datetime(2024, 1, 5, 10))
     assert (got["B"].quantity, got["B"].order_date, got["B"].country) == (None, None, "é")
+
+
+def test_squeeze_equals_split_and_join(spark):
+    texts = ["", " ", "a", "a b", "a  b", " a b ", "é", "é  ü", "日 本", "a\tb", "a\x7fb", "~ !", "a \t b", *[x for ch in WHITESPACE for x in (f"a{ch}b", f"a {ch}b", f"{ch}a b", f"a b{ch}")]]
+    assert _column(spark, texts + [None], squeeze_ws) == [" ".join(t.split()) for t in texts] + [None]
+
+
+def test_cleaning_squeezes_each_text_once_and_only_where_needed(spark):
+    raw = spark.read.schema("source_file string, row_ordinal long, " + ", ".join(f"{c} string" for c in C.DATA)).parquet(SF_SMALL + "/orders.parquet")
+    plan = _executed(clean(raw, CleanConfig(as_of=datetime(2025, 1, 1))).cleaned).toString()
+    assert plan.count("regexp_replace(") == 3, plan          # product, customer, country
+    plain = spark.createDataFrame([("a b",)], "t string").select(squeeze_ws(F.col("t")))
+    assert "CASE WHEN (Contains(" in _executed(plain).toString()
