@@ -205,12 +205,15 @@ class KeyedSalesTable:
 
     # -- writing ---------------------------------------------------------------
     def _write(self, df: DataFrame, rows: int) -> str:
-        """The rows as a new folder; a large bucket is written by several tasks."""
+        """The rows as a new folder; a large bucket is written by several tasks.
+
+        Each slice of a bucket has a task of its own; dealt by a hash of the two, some tasks had several
+        buckets, for which the load waited, and others none."""
         folder = f"load-{uuid.uuid4().hex}"
         slices = max(1, math.ceil(rows / self.buckets / self.rows_per_file))
         part = F.pmod(F.xxhash64(F.col("order_id"), F.lit("slice")), F.lit(slices))
         (df.withColumn(KEY_BUCKET, bucket_of(F.col("order_id"), self.buckets))
-         .repartition(self.buckets * slices, F.col(KEY_BUCKET), part)
+         .repartitionById(self.buckets * slices, (F.col(KEY_BUCKET) * slices + part).cast("int"))
          .sortWithinPartitions(KEY_BUCKET, "order_date", "country")
          .write.partitionBy(KEY_BUCKET).parquet(f"{self.path}/{folder}"))
         return folder

@@ -1,3 +1,4 @@
+import re
 import tempfile
 from datetime import date, datetime
 
@@ -51,6 +52,16 @@ def test_a_stop_before_the_switch_loses_nothing(spark, monkeypatch, step):
     assert _state(t) == [(f"ORD-{k:06d}", "A" if k < 10 else "B") for k in range(30)]
 
 
+@pytest.mark.parametrize("rows_per_file", [5_000_000, 20])
+def test_each_slice_of_a_bucket_is_written_by_a_task_of_its_own(spark, rows_per_file):
+    t = _table(spark, buckets=8, rows_per_file=rows_per_file)
+    t.upsert(_rows(spark, [_order(k) for k in range(400)]), run_ts=RUN_TS)
+    slices = 1 if rows_per_file > 400 else 3
+    files = [f.rsplit("/", 1)[1] for f in t.read().inputFiles()]
+    assert len(files) == 8 * slices and len({re.match(r"part-(\d+)", f)[1] for f in files}) == 8 * slices
+    assert t.read().count() == 400 and all(t.has_order(f"ORD-{k:06d}") for k in (0, 199, 399))
+
+
 def test_bucket_count_is_the_stored_one(spark):
     t = _table(spark, buckets=8)
     t.upsert(_rows(spark, [_order(k) for k in range(20)]), run_ts=RUN_TS)
