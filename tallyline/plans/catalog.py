@@ -74,8 +74,8 @@ def _enriched(spark, d, cfg: EnrichConfig = PINNED_ENRICH):
     return enrich(_cleaned(spark, d), cfg)
 
 
-def _run(spark, d, files: list[str] | None = None, exclude: bool = False, materialize: bool = False):
-    raw = _raw(spark, d)
+def _run(spark, d, files: list[str] | None = None, exclude: bool = False, materialize: bool = False, raw: DataFrame | None = None):
+    raw = _raw(spark, d) if raw is None else raw
     if files is not None:
         sel = F.col(S.SOURCE_FILE).isin(files)
         raw = raw.where(~sel if exclude else sel)
@@ -399,9 +399,9 @@ def q_sketch_months(spark, d):
 def _after_loads(spark, d, key):
     """A view kept up to date over three loads (a file each) and a delete by date: only changed rows reach it."""
     view = MaintainedView(spark, note(spark, work_path(spark, f"query-view-{uuid.uuid4().hex}")), key, buckets=8)
-    table = None
+    table, raw = None, raw_sales(spark, d, stored=True)
     for number, name in enumerate(VIEW_FILES):
-        gated = _run(spark, d, [name]).gated
+        gated = _run(spark, d, [name], raw=raw).gated
         new, _ = keep(latest_accepted(gated, latest_order(gated)).select(*S.TABLE_COLUMNS), "view-load")
         if table is None:
             view.apply(new.limit(0), new, number)

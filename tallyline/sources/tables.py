@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline import schema as S
+from tallyline.session import keep
 
 # ---------------------------------------------------------------------------
 # Fixed fixture values.
@@ -56,8 +57,18 @@ def _pick(rules: list[tuple[int, str]], key: Column, default: Column) -> Column:
     return expr.otherwise(default)
 
 
-def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """source_file, row_ordinal (struct, total order), 7 raw text columns."""
+def raw_sales(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFrame:
+    """source_file, row_ordinal (struct, total order), 7 raw text columns.
+
+    ``stored`` writes the joined rows under the checkpoint folder, so that several
+    runs read their rows instead of joining the tables anew; as numbers and dates,
+    which are smaller than the texts made from them."""
+    joined = _joined(spark, sf_dir)
+    return _texts(keep(joined, "raw-sales")[0] if stored else joined)
+
+
+def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per line item, with what the raw texts are made from."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     li = read("lineitem").select(*ORDINAL_KEYS)
     orders = read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -69,7 +80,11 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # run time into a broadcast; nothing is hinted.
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey)
     j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    return j.select(*ORDINAL_KEYS, "o_custkey", "o_orderdate", "c_nationkey", "p_name", "p_retailprice")
+
 
+def _texts(j: DataFrame) -> DataFrame:
+    """Raw rows from joined ones."""
     ok, pk, sk = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
     ck = F.col("o_custkey")
     # six digits at least, as %06d; a formatter per row is slow

@@ -167,3 +167,20 @@ def test_a_run_without_files_stops_at_once(spark):
     base = d + "/out"
     r = run_batch(spark, d, RunPaths(base + "/table", base + "/archive", base + "/quarantine", base + "/reports"))
     assert (r.success, r.total_processed, r.rows_failed) == (True, 0, 0) and not os.path.exists(base)
+
+
+def test_stored_raw_rows_equal_the_derived_ones_and_join_nothing(spark, tmp_path):
+    from tallyline.sources.tables import raw_sales
+
+    day = "timestamp '1996-02-29 00:00:00'"
+    made = {"lineitem": "id % 7 l_orderkey, id l_linenumber, id % 5 l_partkey, id % 9 l_suppkey, double(id) l_quantity, id + 0.25D l_extendedprice",
+            "orders": f"if(id = 3, null, id) o_orderkey, id % 3 o_custkey, if(id = 4, null, {day}) o_orderdate",
+            "customer": "id % 4 c_custkey, if(id = 1, null, int(id * 3)) c_nationkey",
+            "part": "id p_partkey, if(id = 2, null, 'large ring') p_name, if(id = 1, null, 9.5D + id) p_retailprice"}
+    for name, columns in made.items():
+        spark.sql(f"SELECT {columns} FROM range({60 if name == 'lineitem' else 7})").write.parquet(f"{tmp_path}/{name}.parquet")
+    derived, stored = raw_sales(spark, str(tmp_path)), raw_sales(spark, str(tmp_path), stored=True)
+    assert derived.dtypes == stored.dtypes and derived.count() > 0
+    assert derived.exceptAll(stored).isEmpty() and stored.exceptAll(derived).isEmpty()
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "Join" not in plan

@@ -15,7 +15,9 @@ from sales_rows import SF_SMALL
 from tallyline.operators import records as R
 from tallyline.operators import sketches as K
 from tallyline.operators.views import MaintainedView, change
+from tallyline.plans import catalog as C
 from tallyline.session import discard_kept, keep
+from tallyline.sources import tables
 
 SALES = "order_id string, country string, customer_id string, order_date date, quantity int, total_amount decimal(12,2)"
 
@@ -156,3 +158,13 @@ def test_kept_tables_go(spark):
 def test_queries_match_sql(spark, name):
     r = compare(spark, name, SF_SMALL, duck(SF_SMALL))
     assert r["match"], r
+
+
+def test_views_after_loads_join_the_tables_once(spark, monkeypatch):
+    joins = []
+    real = tables._joined
+    monkeypatch.setattr(tables, "_joined", lambda *a: joins.append(a) or real(*a))
+    kept = []
+    monkeypatch.setattr(tables, "keep", lambda df, name: kept.append(name) or keep(df, name))
+    assert C.q_view_country_after_loads(spark, SF_SMALL).count() > 0
+    assert len(joins) == len(kept) == 1
