@@ -41,9 +41,9 @@ from tallyline.operators.table import KeyedSalesTable, latest_accepted, latest_o
 from tallyline.operators.views import MaintainedView
 from tallyline.plans import group_queries, time_queries
 from tallyline.plans.batch_run import RunConfig, normalize_nulls, plan_run
-from tallyline.session import keep, note, work_path
+from tallyline.session import keep, note, remove, work_path
 from tallyline.sources.archive import archive_rows, archived_files
-from tallyline.sources.tables import raw_sales
+from tallyline.sources.tables import raw_sales, stored_sales
 
 AS_OF = datetime(2025, 1, 1)
 MIN_DATE = date(2020, 1, 1)
@@ -380,11 +380,15 @@ def q_sample_country_analysis(spark, d):
 
 
 def _sketched(spark, d, by, column=None):
-    """Sketches of every day and country are stored; the figures of `by` come from them and are held against exact ones."""
-    sales = _sales(spark, d)
+    """Sketches of every day and country are stored; the figures of `by` come from them and are held against exact ones.
+
+    The joined input and the sales are written once: the verdict, the sketches and the exact figures would each shuffle them anew."""
+    raw, raw_path = stored_sales(spark, d)
+    sales, _ = keep(_run(spark, d, raw=raw).loaded().select("country", "order_date", "customer_id", "total_amount"), "sketch-sales")
+    remove(spark, raw_path)
     sales = sales.withColumn(by, column) if column is not None else sales
     stored, _ = keep(K.day_sketches(sales, ["country"]), "day-sketches")
-    rolled = K.estimates(K.merged(stored, [column.alias(by) if column is not None else by]))
+    rolled, _ = keep(K.estimates(K.merged(stored, [column.alias(by) if column is not None else by])), "sketch-estimates")
     return K.held_to_exact(sales, rolled, by).withColumnRenamed("n", "total_orders")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.parquet.filterPushdown": "true",
 }
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tallyline",
                   extra: dict | None = None) -> SparkSession:
@@ -93,10 +96,27 @@ def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     does so for all of the session.
     """
     path = note(df.sparkSession, work_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}"))
-    df.write.parquet(path)
+    with _shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def _shuffles_freed(spark: SparkSession):
+    """Shuffle files of what is written meanwhile go when it is written, not when the driver happens to collect garbage.
+
+    A write plans its rows anew and is never run again, so nothing reads them afterwards."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def discard_kept(spark: SparkSession) -> int:
     """Remove what the session's queries have kept, once their results are taken; returns the number of folders."""
     paths = sorted(_kept.get(spark.sparkContext.applicationId, set()))

@@ -63,12 +63,20 @@ def raw_sales(spark: SparkSession, sf_dir: str, stored: bool = False) -> DataFra
     ``stored`` writes the joined rows under the checkpoint folder, so that several
     runs read their rows instead of joining the tables anew; as numbers and dates,
     which are smaller than the texts made from them."""
-    joined = _joined(spark, sf_dir)
-    return _texts(keep(joined, "raw-sales")[0] if stored else joined)
+    return stored_sales(spark, sf_dir)[0] if stored else _texts(_joined(spark, sf_dir))
 
 
-def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A row per line item, with what the raw texts are made from."""
+def stored_sales(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """The rows of ``raw_sales``, stored, with the path to remove when nothing reads them any more."""
+    joined, path = keep(_joined(spark, sf_dir, True), "raw-sales")
+    return _texts(joined), path
+
+
+def _joined(spark: SparkSession, sf_dir: str, by_order: bool = False) -> DataFrame:
+    """A row per line item, with what the raw texts are made from.
+
+    ``by_order`` joins the orders last: where that join is shuffled, the rows of an order lie together,
+    and the dedupe combines them before its own shuffle."""
     read = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     li = read("lineitem").select(*ORDINAL_KEYS)
     orders = read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -79,7 +87,8 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     # on the order key, then part. AQE turns any side that proves small at
     # run time into a broadcast; nothing is hinted.
     oc = orders.join(cust, orders.o_custkey == cust.c_custkey)
-    j = li.join(oc, li.l_orderkey == oc.o_orderkey).join(part, li.l_partkey == part.p_partkey)
+    of_order, of_part = (oc, li.l_orderkey == oc.o_orderkey), (part, li.l_partkey == part.p_partkey)
+    j = li.join(*of_part).join(*of_order) if by_order else li.join(*of_order).join(*of_part)
     return j.select(*ORDINAL_KEYS, "o_custkey", "o_orderdate", "c_nationkey", "p_name", "p_retailprice")
 
 

@@ -4,6 +4,7 @@ import json
 import os
 import random
 import tempfile
+import time
 from datetime import date, timedelta
 from decimal import Decimal
 
@@ -16,7 +17,7 @@ from tallyline.operators import records as R
 from tallyline.operators import sketches as K
 from tallyline.operators.views import MaintainedView, change
 from tallyline.plans import catalog as C
-from tallyline.session import discard_kept, keep
+from tallyline.session import FREE_SHUFFLES, discard_kept, keep
 from tallyline.sources import tables
 
 SALES = "order_id string, country string, customer_id string, order_date date, quantity int, total_amount decimal(12,2)"
@@ -154,6 +155,58 @@ def test_kept_tables_go(spark):
     assert discard_kept(spark) >= 1 and not os.path.exists(path.removeprefix("file:"))
 
 
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for top in folders for _, _, names in os.walk(top.getPath()) for f in names if f.startswith("shuffle_")}
+
+
+def test_kept_tables_leave_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(FREE_SHUFFLES, None)
+    rows = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    kept, _ = keep(rows, "test-shuffles")
+    end = time.time() + 20                        # the files go in the background
+    while (made := shuffle_files(spark) - before) and time.time() < end:
+        time.sleep(0.2)
+    assert not made and spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert rows.exceptAll(kept).isEmpty() and rows.count() == rows.count() == kept.count() == 7
+
+
+def sale_tables(spark, folder):
+    """Line items of 40 orders in four files (order 0 refuses the last one), some orders, customers and parts missing."""
+    made = {"lineitem": (400, "id % 40 l_orderkey, id l_linenumber, id % 9 l_partkey, id % 11 l_suppkey, double(id % 6) l_quantity, id + 0.25D l_extendedprice"),
+            "orders": (38, "id o_orderkey, id % 7 o_custkey, timestamp '1996-02-29 00:00:00' + make_interval(0, id % 5) o_orderdate"),
+            "customer": (6, "id c_custkey, int(id * 3) c_nationkey"),
+            "part": (8, "id p_partkey, 'large ring' p_name, 9.5D + id p_retailprice")}
+    for name, (n, columns) in made.items():
+        spark.sql(f"SELECT {columns} FROM range({n})").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["sketch_countries", "sketch_months"])
+def test_sketched_queries_join_the_tables_once(spark, monkeypatch, tmp_path, name):
+    d, kept = sale_tables(spark, tmp_path), []
+    monkeypatch.setattr(tables, "keep", lambda df, name: kept.append(keep(df, name)) or kept[-1])
+    out = C.QUERIES[name](spark, d)
+    assert out.inputFiles() and not any(d in f for f in out.inputFiles())
+    assert len(kept) == 1 and not os.path.exists(kept[0][1].removeprefix("file:"))
+    rows = out.collect()
+    assert sum(r["total_orders"] for r in rows) == C._sales(spark, d).count() > 0
+    assert all(r["distinct_within"] and r["p50_within"] and r["p90_within"] for r in rows)
+
+
+def test_stored_rows_are_joined_with_the_orders_last(spark, tmp_path):
+    d, most = sale_tables(spark, tmp_path), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for by_order, key in ((True, "l_orderkey"), (False, "l_partkey")):
+            plan = tables._joined(spark, d, by_order)._jdf.queryExecution().executedPlan().toString()
+            assert plan.split("SortMergeJoin [")[1].startswith(key), plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    assert tables._joined(spark, d, True).exceptAll(tables._joined(spark, d)).isEmpty()
+    assert tables._joined(spark, d).exceptAll(tables._joined(spark, d, True)).isEmpty()
+
+
 @pytest.mark.parametrize("name", ["sketch_countries", "sketch_months", "view_country_after_loads", "result_records", "event_records", "event_record_rejects"])
 def test_queries_match_sql(spark, name):
     r = compare(spark, name, SF_SMALL, duck(SF_SMALL))
